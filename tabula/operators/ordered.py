@@ -11,8 +11,11 @@ whole job. The operators here split each key across many tasks instead:
    of one key, whose size is bounded by the number of slices.
 
 All results are exact. The caller must give a total order within the key
-(add a unique tiebreak column) so recomputation after executor loss yields the
-same slices and the same answer.
+(add a unique tiebreak column). The sliced frame is read by two branches
+(rows and per-slice totals), and both must see the same slice of every row,
+so it is pinned with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
+(a shared folder on a cluster): later reads, and recomputation after an
+executor is lost, all see one slicing.
 """
 
 from __future__ import annotations
@@ -40,7 +43,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     keys = list(keys)
     n = slices or _slices(df)
     ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
-              .withColumn(_PID, F.spark_partition_id()))
+              .withColumn(_PID, F.spark_partition_id())
+              .checkpoint(eager=True))
     piece = Window.partitionBy(_PID, *keys).orderBy(*_cols(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn(_LOCAL, F.sum(value).over(piece))
