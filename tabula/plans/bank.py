@@ -21,6 +21,10 @@ def nodes_and_customers_by_region(stay: DataFrame, regions: DataFrame) -> DataFr
                  F.countDistinct("customer_id").alias("num_customers")))
 
 
+def unique_nodes(stay: DataFrame) -> DataFrame:
+    return stay.agg(F.countDistinct("node_id").alias("num_nodes"))
+
+
 def _stay_days(stay: DataFrame) -> DataFrame:
     return stay.withColumn("interval_days", F.datediff("end_date", "start_date"))
 
@@ -99,14 +103,12 @@ def closing_balance_pivot(txn: DataFrame, months=PIVOT_MONTHS) -> DataFrame:
     transaction; a month without activity carries the earlier balance."""
     monthly = txn.groupBy("customer_id", F.year("txn_date").alias("y"), F.month("txn_date").alias("m")).agg(
         F.sum(_signed()).alias("net"))
-    years = monthly.select("customer_id", "y").distinct()
-    # sum of all earlier years per (customer, year): bounded window (one row per year)
-    per_year = monthly.groupBy("customer_id", "y").agg(F.sum("net").alias("year_net"))
+    per_year = monthly.groupBy("customer_id", "y").agg(
+        F.sum("net").alias("year_net"),
+        *[F.sum(F.when(F.col("m") <= m, F.col("net"))).alias(f"upto{m}") for m in months])
+    # balance carried in from earlier years: a window over one row per (customer, year)
     w = Window.partitionBy("customer_id").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
-    opening = per_year.withColumn("opening", F.sum("year_net").over(w)).select("customer_id", "y", "opening")
-    within = monthly.groupBy("customer_id", "y").agg(*[
-        F.sum(F.when(F.col("m") <= m, F.col("net"))).alias(f"upto{m}") for m in months])
-    rows = years.join(opening, ["customer_id", "y"]).join(within, ["customer_id", "y"])
+    rows = per_year.withColumn("opening", F.sum("year_net").over(w))
     cols = []
     for m in months:
         # no transaction at all up to this month -> NULL; otherwise opening + this year's part

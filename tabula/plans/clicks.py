@@ -38,7 +38,8 @@ def visits_by_month(click: DataFrame) -> DataFrame:
 
 
 def events_by_name(click: DataFrame, event_names: DataFrame) -> DataFrame:
-    return click.join(event_names, "event_type").groupBy("event_name").agg(F.count(F.lit(1)).alias("num_events"))
+    per_type = click.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))  # aggregate before the lookup
+    return per_type.join(event_names, "event_type").groupBy("event_name").agg(F.sum("n").alias("num_events"))
 
 
 def purchase_share(click: DataFrame) -> DataFrame:
@@ -62,36 +63,49 @@ def checkout_without_purchase(click: DataFrame, checkout_page: int = 12) -> Data
         .alias("percent_checkout_without_purchase"))
 
 
+def _per_page(events: DataFrame, *aggs) -> DataFrame:
+    """Aggregate events per page_id first: page ids are few and hot, so the
+    events never travel to a join keyed by them -- only one row per page does."""
+    return events.groupBy("page_id").agg(*aggs)
+
+
 def top_pages(click: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
-    views = click.filter(F.col("event_type") == VIEW).join(pages, "page_id")
-    counts = views.groupBy("page_name").agg(F.count(F.lit(1)).alias("page_views"))
+    views = _per_page(click.filter(F.col("event_type") == VIEW), F.count(F.lit(1)).alias("n"))
+    counts = views.join(pages_in_use(click, pages), "page_id").groupBy("page_name").agg(F.sum("n").alias("page_views"))
     return counts.orderBy(F.desc("page_views"), F.asc("page_name")).limit(k)
 
 
 def cart_adds_in_purchase_visits(click: DataFrame, pages: DataFrame) -> DataFrame:
     """Cart adds per page among visits IN (visits with a purchase)."""
     adds = click.filter(F.col("event_type") == CART_ADD)
-    bought = semi_in(adds, _purchase_visits(click), "visit_id").join(pages, "page_id")
-    return bought.groupBy("page_name").agg(F.count(F.lit(1)).alias("num_purchased"))
+    bought = _per_page(semi_in(adds, _purchase_visits(click), "visit_id"), F.count(F.lit(1)).alias("n"))
+    return bought.join(pages, "page_id").groupBy("page_name").agg(F.sum("n").alias("num_purchased"))
 
 
 def category_views(click: DataFrame, pages: DataFrame) -> DataFrame:
-    rows = click.join(pages, "page_id").filter(F.col("product_category").isNotNull())
-    return rows.groupBy("product_category").agg(_count_if(F.col("event_type") == VIEW).alias("page_views"),
-                                                _count_if(F.col("event_type") == CART_ADD).alias("add_carts"))
+    per = _per_page(click, _count_if(F.col("event_type") == VIEW).alias("v"),
+                    _count_if(F.col("event_type") == CART_ADD).alias("a"))
+    rows = per.join(pages, "page_id").filter(F.col("product_category").isNotNull())
+    return rows.groupBy("product_category").agg(F.sum("v").cast("bigint").alias("page_views"),
+                                                F.sum("a").cast("bigint").alias("add_carts"))
 
 
 def product_funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
     """Per product page: views, cart adds, abandoned adds (visit without a
     purchase) and purchased adds (visit with a purchase)."""
+    # (visit, page) counts and the visit's purchase flag are both aggregates;
+    # only they meet in the join, never the raw events.
     flag = click.groupBy("visit_id").agg(F.max((F.col("event_type") == PURCHASE).cast("int")).alias("bought"))
-    rows = click.join(flag, "visit_id").join(pages, "page_id").filter(F.col("product_category").isNotNull())
-    add = F.col("event_type") == CART_ADD
-    return rows.groupBy("page_id", "page_name", "product_category").agg(
-        _count_if(F.col("event_type") == VIEW).alias("viewed"),
-        _count_if(add).alias("added_to_cart"),
-        _count_if(add & (F.col("bought") == 0)).alias("abandoned"),
-        _count_if(add & (F.col("bought") == 1)).alias("purchased"))
+    per_visit_page = click.groupBy("visit_id", "page_id").agg(
+        _count_if(F.col("event_type") == VIEW).alias("v"), _count_if(F.col("event_type") == CART_ADD).alias("a"))
+    per_page = per_visit_page.join(flag, "visit_id").groupBy("page_id").agg(
+        F.sum("v").alias("viewed"), F.sum("a").alias("added_to_cart"),
+        F.sum(F.when(F.col("bought") == 0, F.col("a")).otherwise(0)).alias("abandoned"),
+        F.sum(F.when(F.col("bought") == 1, F.col("a")).otherwise(0)).alias("purchased"))
+    named = per_page.join(pages, "page_id").filter(F.col("product_category").isNotNull())
+    return named.select("page_id", "page_name", "product_category",
+                        *[F.col(c).cast("bigint").alias(c) for c in ("viewed", "added_to_cart", "abandoned",
+                                                                     "purchased")])
 
 
 def _rates(df: DataFrame) -> DataFrame:
@@ -128,22 +142,34 @@ def campaign_of_visit(click: DataFrame, campaigns: DataFrame) -> DataFrame:
                       "campaign_name")
 
 
+def pages_in_use(click: DataFrame, pages: DataFrame) -> DataFrame:
+    """The page rows some event refers to. The distinct event page ids are
+    tiny after aggregation, so AQE measures them and broadcasts them into the
+    page scan; the result is again small and is broadcast into event joins at
+    run time -- or stays a shuffle join if it turns out large."""
+    return pages.join(click.select("page_id").distinct(), "page_id", "left_semi")
+
+
 def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row per visit: start time, page views, cart adds, purchase flag,
-    campaign, impressions, ad clicks and the cart products in event order."""
-    rows = click.join(pages.select("page_id", "page_name", "product_id"), "page_id", "left")
-    add = (F.col("event_type") == CART_ADD) & F.col("product_id").isNotNull()
-    cart = F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.when(add, F.struct("event_time", "event_id", "page_name")))),
-        lambda s: s["page_name"]), ", ")
-    g = rows.groupBy("visit_id", "user_id").agg(
+    campaign, impressions, ad clicks and the cart products in event order.
+
+    Counts come from the events alone; only cart-add events meet the page
+    table (for product names), and the two per-visit results are joined 1:1.
+    """
+    g = click.groupBy("visit_id", "user_id").agg(
         F.min("event_time").alias("visit_start_time"),
         _count_if(F.col("event_type") == VIEW).alias("page_views"),
         _count_if(F.col("event_type") == CART_ADD).alias("cart_adds"),
         F.max((F.col("event_type") == PURCHASE).cast("bigint")).alias("purchase"),
         _count_if(F.col("event_type") == IMPRESSION).alias("impression"),
-        _count_if(F.col("event_type") == AD_CLICK).alias("click"),
-        F.when(F.sum(add.cast("int")) > 0, cart).alias("cart_products"))
+        _count_if(F.col("event_type") == AD_CLICK).alias("click"))
+    products = pages_in_use(click, pages).filter(F.col("product_id").isNotNull()).select("page_id", "page_name")
+    adds = click.filter(F.col("event_type") == CART_ADD).join(products, "page_id")
+    cart = adds.groupBy("visit_id", "user_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name"))),
+        lambda e: e["page_name"]), ", ").alias("cart_products"))
+    g = g.join(cart, ["visit_id", "user_id"], "left")
     g = range_lookup(g, campaigns, "visit_start_time", "start_date", "end_date", len(CAMPAIGNS))
     return g.select("visit_id", "user_id",
                     F.date_format("visit_start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("visit_start_time"),

@@ -50,6 +50,19 @@ def delivery_counts(customer_orders: DataFrame, runner_orders: DataFrame) -> Dat
                  F.count("pizza_id").alias("total_pizza"))
 
 
+def deliveries_per_runner(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
+    """Delivered pizzas per runner (the source counts pizzas, not orders)."""
+    d = delivered(customer_orders, runner_orders)
+    return d.groupBy("runner_id").agg(F.count("pizza_id").alias("num_pizzas"))
+
+
+def largest_order(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
+    """Most pizzas delivered in one order (TOP 1 of the per-order counts)."""
+    d = delivered(customer_orders, runner_orders)
+    per_order = d.groupBy("order_id").agg(F.count("pizza_id").alias("max_pizzas"))
+    return per_order.orderBy(F.desc("max_pizzas")).limit(1).select("max_pizzas")
+
+
 def change_flags(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """Per customer: delivered pizzas with no change, with any change, with both."""
     d = delivered(customer_orders, runner_orders)
@@ -162,7 +175,15 @@ def order_descriptions(customer_orders: DataFrame, pizza_names: DataFrame, toppi
     co = clean_customer_orders(customer_orders)
     exc = _named_lists(co, "exclusions", toppings).withColumnRenamed("names", "exc_names")
     ext = _named_lists(co, "extras", toppings).withColumnRenamed("names", "ext_names")
-    rows = co.join(pizza_names, "pizza_id", "left").join(exc, "exclusions", "left").join(ext, "extras", "left")
+    # NULL lists (often most rows) would all hash to one shuffle partition in
+    # the outer joins; give them a distinct key that can never match instead.
+    def key(lst):
+        return F.coalesce(F.col(lst), F.concat(F.lit("\u0000"), F.col("order_id").cast("string"),
+                                               F.lit("/"), F.col("line_id").cast("string")))
+    rows = (co.join(pizza_names, "pizza_id", "left")
+            .withColumn("__ek", key("exclusions")).withColumn("__xk", key("extras"))
+            .join(exc.withColumnRenamed("exclusions", "__ek"), "__ek", "left")
+            .join(ext.withColumnRenamed("extras", "__xk"), "__xk", "left"))
     part = lambda lst, names, label: F.when(
         F.col(lst).isNotNull(), F.concat(F.lit(label), F.coalesce(F.col(names), F.lit("")))).otherwise(F.lit(""))
     text = F.concat(F.coalesce(F.col("pizza_name"), F.lit("")),

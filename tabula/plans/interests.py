@@ -31,6 +31,13 @@ def typed_metrics(interest_metrics: DataFrame) -> DataFrame:
         nul("interest_id").cast("bigint").alias("interest_id"))
 
 
+def parsed_month_years(interest_metrics: DataFrame) -> DataFrame:
+    """Each distinct ``MM-yyyy`` text (not the 'NULL' spelling) with its DATE."""
+    texts = (interest_metrics.select(F.col("month_year").alias("text"))
+             .where(F.col("text") != "NULL").distinct())
+    return texts.select("text", parse_month_year("text").alias("parsed"))
+
+
 def counts_per_month(metrics: DataFrame) -> DataFrame:
     """Records per month_year, NULL months included (sorted NULLS FIRST)."""
     return (metrics.groupBy("month_year").agg(F.count(F.lit(1)).alias("counts"))

@@ -48,6 +48,12 @@ def clean_weekly_sales(weekly_sales: DataFrame) -> DataFrame:
     )
 
 
+def parsed_week_dates(weekly_sales: DataFrame) -> DataFrame:
+    """Each distinct ``d/M/yy`` week text with its DATE."""
+    texts = weekly_sales.select(F.col("week_date").alias("text")).distinct()
+    return texts.select("text", parse_two_digit_year_date("text").alias("parsed"))
+
+
 def transactions_by_year(clean: DataFrame) -> DataFrame:
     return clean.groupBy("calendar_year").agg(F.sum("transactions").alias("total_transactions"))
 

@@ -208,6 +208,19 @@ def _(spark, sf):
     return delivery.delivery_counts(co, ro)
 
 
+@query("runner_deliveries", DW("SELECT runner_id, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY runner_id"))
+def _(spark, sf):
+    _, co, ro = _d(spark, sf)
+    return delivery.deliveries_per_runner(co, ro)
+
+
+@query("max_pizzas_per_order", DW(
+    "SELECT COUNT(pizza_id) AS max_pizzas FROM dl GROUP BY order_id ORDER BY max_pizzas DESC LIMIT 1"))
+def _(spark, sf):
+    _, co, ro = _d(spark, sf)
+    return delivery.largest_order(co, ro)
+
+
 @query("change_flags", DW("""
 SELECT customer_id,
   CAST(SUM(CASE WHEN extras IS NULL AND exclusions IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_change,
@@ -391,6 +404,11 @@ def _(spark, sf):
     return subscriptions.journey(r.sub(), r.plans())
 
 
+@query("subscription_customers", W("SELECT COUNT(DISTINCT customer_id) AS num_customers FROM sub", "sub"))
+def _(spark, sf):
+    return subscriptions.customers(R(spark, sf).sub())
+
+
 @query("orders_by_month", W("""
 SELECT strftime(date_trunc('month', start_date), '%d/%m/%Y') AS month, COUNT(plan_id) AS num_plans
 FROM sub GROUP BY date_trunc('month', start_date)""", "sub"))
@@ -516,6 +534,11 @@ def _(spark, sf):
     return bank.nodes_and_customers_by_region(r.stay(), r.regions())
 
 
+@query("unique_nodes", W("SELECT COUNT(DISTINCT node_id) AS num_nodes FROM stay", "stay"))
+def _(spark, sf):
+    return bank.unique_nodes(R(spark, sf).stay())
+
+
 @query("avg_of_avg", W("""
 SELECT round(AVG(avg_days), 4) AS avg_days_reallocated,
        CAST(SUM(avg_days_int) // COUNT(avg_days_int) AS BIGINT) AS avg_days_reallocated_int
@@ -648,6 +671,25 @@ def _(spark, sf):
     return _cw(spark, sf)
 
 
+_PARSE_WEEKLY = f"""
+SELECT DISTINCT week_date AS text, week_date_parsed AS parsed FROM (
+  SELECT weekly_sales.week_date, cw_dates.week_date AS week_date_parsed FROM weekly_sales
+  JOIN (SELECT DISTINCT week_date FROM cw) cw_dates
+    ON strftime(cw_dates.week_date, '%-d/%-m/%y') = weekly_sales.week_date) x"""
+_PARSE_MONTHS = """
+SELECT DISTINCT month_year AS text, CAST(strptime('01-' || month_year, '%d-%m-%Y') AS DATE) AS parsed
+FROM interest_metrics WHERE month_year <> 'NULL'"""
+
+
+@query("parse_dates", W("SELECT * FROM pw UNION ALL SELECT * FROM pm", "weekly_sales", "interest_metrics",
+                        extra={"cw": _CLEAN_WEEKLY, "pw": _PARSE_WEEKLY, "pm": _PARSE_MONTHS}),
+       dates=("parsed",))
+def _(spark, sf):
+    r = R(spark, sf)
+    return mart.parsed_week_dates(r.weekly_sales()).unionByName(
+        interests.parsed_month_years(r.interest_metrics()))
+
+
 @query("transactions_by_year", MW(
     "SELECT calendar_year, SUM(transactions)::BIGINT AS total_transactions FROM cw GROUP BY calendar_year"))
 def _(spark, sf):
@@ -991,6 +1033,13 @@ def _(spark, sf):
     return interests.duplicate_check(R(spark, sf).interest_map(), ["id"])
 
 
+@query("update_where_map", IW("""
+SELECT id, interest_name, CASE WHEN interest_summary = '' THEN NULL ELSE interest_summary END AS interest_summary
+FROM interest_map"""))
+def _(spark, sf):
+    return interests.clean_map(R(spark, sf).interest_map()).select("id", "interest_name", "interest_summary")
+
+
 @query("distinct_rows", IW("""
 SELECT id, interest_name, interest_summary, CAST(created_at AS VARCHAR) AS created_at,
        CAST(last_modified AS VARCHAR) AS last_modified FROM cm"""))

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source system's queries are all batch queries over finished tables: no
+watermark, event-time window, state or late data appears in them, so there is
+no streaming operator to rebuild. The batch reports here are plain DataFrame
+plans; any of them can run inside ``foreachBatch`` of a Structured Streaming
+query without change, which is left to the caller.
+"""
