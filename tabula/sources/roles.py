@@ -208,8 +208,8 @@ class Roles:
         return li.select(
             F.when(no_period, F.lit("NULL")).otherwise(F.lit("1")).alias("_month"),
             F.when(no_period, F.lit("NULL")).otherwise(F.year("l_shipdate").cast("string")).alias("_year"),
-            F.when(no_period, F.lit("NULL"))
-             .otherwise(F.date_format(F.date_trunc("year", "l_shipdate"), "MM-yyyy")).alias("month_year"),
+            F.when(no_period, F.lit("NULL"))  # 'MM-yyyy' of the year's first month
+             .otherwise(F.concat(F.lit("01-"), F.year("l_shipdate").cast("string"))).alias("month_year"),
             F.when(F.col("l_discount") == 0, F.lit("NULL"))
              .otherwise(F.col("l_partkey").cast("string")).alias("interest_id"),
         )

@@ -13,10 +13,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# One reader DataFrame per (session, file): resolving a Parquet source lists
+# files and reads footers, so repeated reports reuse the resolved plan. Only
+# the plan is shared -- no data is cached.
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[key] = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
