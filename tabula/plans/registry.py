@@ -35,17 +35,21 @@ BONUS_CATEGORY = "PROMO"
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 DATE_COLUMNS: dict[str, tuple[str, ...]] = {}
+INT_COLUMNS: dict[str, tuple[str, ...]] = {}
 
 
-def query(name: str, sql: str | None, dates: tuple[str, ...] = ()):
+def query(name: str, sql: str | None, dates: tuple[str, ...] = (), ints: tuple[str, ...] = ()):
     """Register a report; ``dates`` names its DATE output columns (the driver
-    contract renders them as 'yyyy-MM-dd' text on both sides)."""
+    contract renders them as 'yyyy-MM-dd' text on both sides) and ``ints`` its
+    32-bit integer columns (widened to BIGINT on both sides)."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         if dates:
             DATE_COLUMNS[name] = tuple(dates)
+        if ints:
+            INT_COLUMNS[name] = tuple(ints)
         return fn
     return deco
 
@@ -185,7 +189,7 @@ def _d(spark, sf):
     return r, r.customer_orders(), r.runner_orders()
 
 
-@query("update_where", DW("SELECT order_id, line_id, exclusions, extras FROM co"))
+@query("update_where", DW("SELECT order_id, line_id, exclusions, extras FROM co"), ints=('line_id',))
 def _(spark, sf):
     _, co, _ro = _d(spark, sf)
     return delivery.clean_customer_orders(co).select("order_id", "line_id", "exclusions", "extras")
@@ -349,7 +353,7 @@ LEFT JOIN (SELECT lst, string_agg(t.topping_name, ', ' ORDER BY t.topping_name)
                  FROM (SELECT DISTINCT extras AS lst FROM co WHERE extras IS NOT NULL) d,
                       LATERAL (SELECT {_SPLIT.format(col='lst')} AS v) s) i
            JOIN toppings t ON i.id = t.topping_id GROUP BY lst) x ON co.extras = x.lst""",
-                                  "pizza_names", "toppings"))
+                                  "pizza_names", "toppings"), ints=('line_id',))
 def _(spark, sf):
     r, co, _ro = _d(spark, sf)
     return delivery.order_descriptions(co, r.pizza_names(), r.toppings())
@@ -398,7 +402,7 @@ def _(spark, sf):
 
 @query("customer_journey", W("""
 SELECT s.customer_id, s.plan_id, p.plan_name, s.start_date FROM sub s JOIN plans p ON s.plan_id = p.plan_id""",
-                             "sub", "plans"), dates=('start_date',))
+                             "sub", "plans"), dates=('start_date',), ints=('plan_id',))
 def _(spark, sf):
     r = R(spark, sf)
     return subscriptions.journey(r.sub(), r.plans())
@@ -494,7 +498,7 @@ def _(spark, sf):
 @query("latest_row_per_key", W("""
 SELECT customer_id, plan_id, start_date
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY start_date DESC, sub_id DESC) AS rn
-      FROM sub) x WHERE rn = 1""", "sub"), dates=('start_date',))
+      FROM sub) x WHERE rn = 1""", "sub"), dates=('start_date',), ints=('plan_id',))
 def _(spark, sf):
     return subscriptions.latest_plan(R(spark, sf).sub())
 
@@ -554,7 +558,7 @@ SELECT region_id,
   round(quantile_cont(avg_days, 0.5), 4) AS median, round(quantile_cont(avg_days, 0.8), 4) AS p80,
   round(quantile_cont(avg_days, 0.95), 4) AS p95
 FROM (SELECT customer_id, region_id, AVG(date_diff('day', start_date, end_date)) AS avg_days
-      FROM stay GROUP BY customer_id, region_id) x GROUP BY region_id""", "stay"))
+      FROM stay GROUP BY customer_id, region_id) x GROUP BY region_id""", "stay"), ints=('region_id',))
 def _(spark, sf):
     return bank.stay_percentiles(R(spark, sf).stay())
 
@@ -1023,7 +1027,7 @@ def _(spark, sf):
     return interests.orphan_counts(k, r.interest_map())
 
 
-@query("duplicate_check", "SELECT l_orderkey, l_linenumber, COUNT(*) AS counts FROM lineitem GROUP BY 1, 2")
+@query("duplicate_check", "SELECT l_orderkey, l_linenumber, COUNT(*) AS counts FROM lineitem GROUP BY 1, 2", ints=('l_linenumber',))
 def _(spark, sf):
     return basics.line_duplicates(Tables(spark, sf)("lineitem", "l_orderkey", "l_linenumber"))
 
@@ -1101,7 +1105,7 @@ def _(spark, sf):
 
 # ------------------------------------------------------------------- basics
 @query("scan_project", """
-SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net_price FROM lineitem""")
+SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net_price FROM lineitem""", ints=('l_linenumber',))
 def _(spark, sf):
     return basics.project_net_price(Tables(spark, sf)("lineitem", "l_orderkey", "l_linenumber",
                                                       "l_extendedprice", "l_discount"))

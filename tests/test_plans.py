@@ -43,3 +43,17 @@ def test_year_filter_reaches_scan(spark, small_dir):
 def test_campaign_lookup_is_broadcast(spark, small_dir):
     plan = plan_of(entry.queries()["campaign_range_join"](spark, small_dir))
     assert "BroadcastNestedLoopJoin" in plan and "BroadcastExchange" in plan
+
+
+# The only single-partition exchange not fed by a partial aggregate: the
+# cumulative-share window over one row per distinct month count.
+SINGLE_PARTITION_OK = {"cumulative_share"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_single_partition_only_after_partial_aggregates(spark, small_dir, key):
+    lines = plan_of(entry.queries()[key](spark, small_dir)).split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line and key not in SINGLE_PARTITION_OK:
+            child = lines[i + 1]
+            assert "HashAggregate(keys=[]" in child and "partial_" in child, "\n".join(lines[i:i + 3])
