@@ -45,16 +45,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when it is unset -- local runs and tests -- a scratch
-    folder is created and registered.
+    file system), read from the session, the SparkContext or its SparkConf.
+    Only when none is set -- local runs and tests -- a scratch folder is
+    created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = (spark.conf.get("spark.checkpoint.dir", None)
+               or sc.getCheckpointDir()
+               or sc.getConf().get("spark.checkpoint.dir", None))
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="tabula-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

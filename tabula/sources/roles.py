@@ -223,9 +223,9 @@ class Roles:
             F.col("p_name").alias("interest_name"),
             F.when(F.col("p_size") <= 10, F.lit("")).otherwise(F.col("p_brand")).alias("interest_summary"),
             F.timestamp_add("DAY", F.col("p_size") * 30,
-                           F.lit(dt.datetime(1995, 1, 1)).cast("timestamp_ntz")).alias("created_at"),
+                           F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")).alias("created_at"),
             F.timestamp_add("DAY", F.col("p_size") * 31,
-                           F.lit(dt.datetime(1995, 1, 1)).cast("timestamp_ntz")).alias("last_modified"),
+                           F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")).alias("last_modified"),
         )
 
     # -- delivery: dirty order tables -------------------------------------------
