@@ -70,5 +70,5 @@ def parse_two_digit_year_date(col: str | Column, sep: str = "/") -> Column:
 def parse_month_year(col: str | Column) -> Column:
     """``MM-yyyy`` text as the DATE of the first day of that month (built from
     the integer parts; text that is not MM-yyyy raises under ANSI casts)."""
-    parts = F.split(_c(col), "-")
-    return F.make_date(parts.getItem(1).cast("int"), parts.getItem(0).cast("int"), F.lit(1))
+    c = _c(col)
+    return F.make_date(F.substring_index(c, "-", -1).cast("int"), F.substring_index(c, "-", 1).cast("int"), F.lit(1))

@@ -98,17 +98,17 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     h = F.col("__p") * (F.col("__n") - 1)
     targets = targets.select(*keys, "__name", h.alias("__h"),
                              F.floor(h).cast("bigint").alias("__lo"), F.ceil(h).cast("bigint").alias("__hi"))
-    # value at 0-based rank r: the row with cum - w <= r < cum
+    # the value at 0-based rank r sits in the row with cum - w <= r < cum; one
+    # range join finds the (at most two) rows holding rank floor(h) and ceil(h)
     r = ranked.select(*[F.col(k).alias("__r_" + k) for k in keys], F.col(value).alias("__rv"), "__w", "__cum")
-
-    def at(rank: str, alias: str) -> DataFrame:
-        cond = [F.col(k) == F.col("__r_" + k) for k in keys] + [
-            (F.col("__cum") - F.col("__w") <= F.col(rank)), (F.col(rank) < F.col("__cum"))]
-        return targets.join(r, cond).select(*keys, "__name", "__h", "__lo", F.col("__rv").alias(alias))
-    lo = at("__lo", "__vlo")
-    hi = at("__hi", "__vhi").select(*keys, "__name", "__vhi")
-    both = lo.join(hi, [*keys, "__name"])
+    start = F.col("__cum") - F.col("__w")
+
+    def holds(rank):
+        return (start <= F.col(rank)) & (F.col(rank) < F.col("__cum"))
+    cond = [F.col(k) == F.col("__r_" + k) for k in keys] + [holds("__lo") | holds("__hi")]
+    pairs = targets.join(r, cond).groupBy(*keys, "__name", "__h", "__lo").agg(
+        F.max(F.when(holds("__lo"), F.col("__rv"))).alias("__vlo"),
+        F.max(F.when(holds("__hi"), F.col("__rv"))).alias("__vhi"))
     result = F.col("__vlo") + (F.col("__h") - F.col("__lo")) * (F.col("__vhi") - F.col("__vlo"))
-    picked = both.select(*keys, "__name", result.alias("__v"))
-    return picked.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probs])
+    return pairs.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("__name") == name, result)).alias(name) for name in probs])

@@ -45,11 +45,23 @@ def counts_per_month(metrics: DataFrame) -> DataFrame:
 
 
 def drop_null_keys(metrics: DataFrame) -> DataFrame:
-    """``DELETE WHERE month_year IS NULL OR interest_id IS NULL``."""
+    """``DELETE WHERE month_year IS NULL OR interest_id IS NULL`` on typed metrics."""
     gone = F.col("month_year").isNull() | F.col("interest_id").isNull()
     return metrics.filter(~F.coalesce(gone, F.lit(False)))
 
 
+def kept_metrics(interest_metrics: DataFrame) -> DataFrame:
+    """``typed_metrics`` then ``drop_null_keys``, deleting on the raw text first.
+
+    A typed key is NULL exactly when its text is NULL or 'NULL', so the rows
+    can go before parsing; filtering after typing would make the optimizer
+    evaluate the parse twice (in the pushed-down filter and the projection).
+    """
+    def present(c):
+        return F.col(c).isNotNull() & (F.col(c) != "NULL")
+    return typed_metrics(interest_metrics.filter(present("month_year") & present("interest_id")))
+
+
 def orphan_counts(metrics: DataFrame, interest_map: DataFrame) -> DataFrame:
     """Distinct ids on one side only, both directions (LEFT JOIN ... IS NULL)."""
     m_ids = metrics.select(F.col("interest_id").alias("id")).where(F.col("id").isNotNull()).distinct()
@@ -66,11 +78,19 @@ def duplicate_check(df: DataFrame, keys: list[str]) -> DataFrame:
 def drop_invalid(metrics: DataFrame, clean_interest_map: DataFrame) -> DataFrame:
     """Delete metric rows whose (id, month) has a month before the interest's
     creation date -- the first-of-month date is compared, so a month that
-    contains the creation date counts as invalid too."""
-    v = (metrics.join(clean_interest_map, metrics.interest_id == clean_interest_map.id)
-         .filter(F.col("month_year") < F.col("created_at").cast("date"))
-         .select("interest_id", "month_year").distinct())
-    return anti_exists(metrics, v, ["interest_id", "month_year"])
+    contains the creation date counts as invalid too.
+
+    The source builds the invalid (id, month) pairs and deletes with EXISTS.
+    A pair is invalid exactly when its month is before the latest creation
+    date among the interest's map rows, so one left join against a per-id
+    aggregate (one row per id) decides every row in a single pass. A NULL
+    month never compares as invalid, as in the source.
+    """
+    created = clean_interest_map.groupBy(F.col("id").alias("__id")).agg(
+        F.max(F.col("created_at").cast("date")).alias("__created"))
+    joined = metrics.join(created, metrics.interest_id == created.__id, "left")
+    invalid = F.coalesce(F.col("month_year") < F.col("__created"), F.lit(False))
+    return joined.filter(~invalid).drop("__id", "__created")
 
 
 def present_in_all_months(metrics: DataFrame, clean_interest_map: DataFrame) -> DataFrame:

@@ -1003,8 +1003,8 @@ def _im(spark, sf):
 
 
 def _kept(spark, sf):
-    r, m = _im(spark, sf)
-    return r, interests.drop_null_keys(m)
+    r = R(spark, sf)
+    return r, interests.kept_metrics(r.interest_metrics())
 
 
 @query("nulls_first_counts", IW("SELECT month_year, COUNT(*) AS counts FROM m GROUP BY month_year"), dates=('month_year',))

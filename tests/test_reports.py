@@ -128,12 +128,18 @@ def test_visit_stats_campaign_and_cart(spark):
 
 
 def test_invalid_months_include_creation_month(spark):
-    metrics = spark.createDataFrame([(1, D(2020, 3, 1)), (1, D(2020, 4, 1)), (2, D(2020, 3, 1))],
+    metrics = spark.createDataFrame([(1, D(2020, 3, 1)), (1, D(2020, 4, 1)), (2, D(2020, 3, 1)),
+                                     (3, D(2020, 3, 1)), (4, D(2020, 1, 1)), (None, D(2019, 1, 1)), (1, None)],
                                     "interest_id bigint, month_year date")
-    imap = spark.createDataFrame([(1, "a", dt.datetime(2020, 3, 10)), (2, "b", dt.datetime(2020, 3, 1))],
+    imap = spark.createDataFrame([(1, "a", dt.datetime(2020, 3, 10)), (2, "b", dt.datetime(2020, 3, 1)),
+                                  (3, "c", dt.datetime(2020, 1, 5)), (3, "c2", dt.datetime(2020, 5, 1))],
                                  "id bigint, interest_name string, created_at timestamp_ntz")
-    kept = sorted((r.interest_id, r.month_year) for r in interests.drop_invalid(metrics, imap).collect())
-    assert kept == [(1, D(2020, 4, 1)), (2, D(2020, 3, 1))]
+    kept = sorted(((r.interest_id, r.month_year) for r in interests.drop_invalid(metrics, imap).collect()),
+                  key=str)
+    # 1/March is before creation (10 March); 3 is invalid through its later map row; 4 has no map row;
+    # NULL ids and months never count as invalid.
+    assert kept == sorted([(1, D(2020, 4, 1)), (2, D(2020, 3, 1)), (4, D(2020, 1, 1)), (None, D(2019, 1, 1)),
+                           (1, None)], key=str)
 
 
 def test_cumulative_share_truncates(spark):
@@ -150,3 +156,12 @@ def test_before_after_change_shape(spark, weeks):
     clean = spark.createDataFrame([(base - dt.timedelta(weeks=1), 100), (base, 150)], "week_date date, sales bigint")
     row = {r.weeks: r for r in mart.before_after_change(clean, base, (weeks,)).collect()}[weeks]
     assert (row.sales_difference, row.sales_percentage_change) == (50, 50.0)
+
+
+def test_kept_metrics_equals_typed_then_deleted(spark):
+    raw = spark.createDataFrame([("1", "2020", "01-2020", "7"), ("NULL", "NULL", "NULL", "8"),
+                                 ("1", "2021", "01-2021", "NULL"), (None, None, None, None)],
+                                "_month string, _year string, month_year string, interest_id string")
+    a = sorted(map(tuple, interests.kept_metrics(raw).collect()))
+    b = sorted(map(tuple, interests.drop_null_keys(interests.typed_metrics(raw)).collect()))
+    assert a == b == [(1, 2020, D(2020, 1, 1), 7)]
