@@ -91,7 +91,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w"))
     ranked = running_sum(counted, keys, [value], "__w", "__cum")  # rows with rank < __cum
-    totals = counted.groupBy(*keys).agg(F.sum("__w").alias("__n"))
+    # the largest running count of a key is its total; reading it from the
+    # ranked (checkpointed) frame avoids recomputing the input
+    totals = ranked.groupBy(*keys).agg(F.max("__cum").alias("__n"))
     targets = totals.select(*keys, "__n", F.explode(F.array(*[
         F.struct(F.lit(name).alias("__name"), F.lit(float(p)).alias("__p")) for name, p in probs.items()
     ])).alias("__t")).select(*keys, "__n", "__t.__name", "__t.__p")

@@ -137,16 +137,18 @@ def success_rate(runner_orders: DataFrame, runners: DataFrame) -> DataFrame:
         F.round(ok * 100.0 / F.nullif(orders, F.lit(0)), 4).alias("success"))
 
 
-def _named_lists(lists: DataFrame, list_col: str, toppings: DataFrame) -> DataFrame:
+def _named_lists(lists: DataFrame, toppings: DataFrame, *list_cols: str) -> DataFrame:
     """Distinct list text -> ', '-joined topping names (ordered by name).
 
-    Lists are de-duplicated before exploding, so each distinct list is split
-    and looked up once however many rows carry it.
+    The texts of all ``list_cols`` are de-duplicated together in one pass, so
+    each distinct list is split and looked up once however many rows (and
+    columns) carry it. Returns (lst, names).
     """
-    distinct = lists.select(list_col).where(F.col(list_col).isNotNull()).distinct()
-    items = distinct.select(list_col, F.explode(split_ids(list_col)).alias("topping_id"))
+    texts = lists.select(F.explode(F.array(*[F.col(c) for c in list_cols])).alias("lst"))
+    distinct = texts.where(F.col("lst").isNotNull()).distinct()
+    items = distinct.select("lst", F.explode(split_ids("lst")).alias("topping_id"))
     named = items.join(toppings, "topping_id")
-    return named.groupBy(list_col).agg(
+    return named.groupBy("lst").agg(
         F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias("names"))
 
 
@@ -173,8 +175,9 @@ def extras_per_order(customer_orders: DataFrame, toppings: DataFrame) -> DataFra
 def order_descriptions(customer_orders: DataFrame, pizza_names: DataFrame, toppings: DataFrame) -> DataFrame:
     """'Name - Exclude a, b - Extra c' per pizza row."""
     co = clean_customer_orders(customer_orders)
-    exc = _named_lists(co, "exclusions", toppings).withColumnRenamed("names", "exc_names")
-    ext = _named_lists(co, "extras", toppings).withColumnRenamed("names", "ext_names")
+    named = _named_lists(co, toppings, "exclusions", "extras")
+    exc = named.select(F.col("lst").alias("exclusions"), F.col("names").alias("exc_names"))
+    ext = named.select(F.col("lst").alias("extras"), F.col("names").alias("ext_names"))
     # NULL lists (often most rows) would all hash to one shuffle partition in
     # the outer joins; give them a distinct key that can never match instead.
     def key(lst):
