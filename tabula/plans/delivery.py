@@ -88,6 +88,18 @@ def volume_by_time(customer_orders: DataFrame, runner_orders: DataFrame) -> Data
         F.count("pizza_id").alias("num_pizzas"))
 
 
+def volume_by_hour(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
+    d = delivered(customer_orders, runner_orders)
+    return d.groupBy(F.hour("order_time").cast("bigint").alias("hour_of_day")).agg(
+        F.count("pizza_id").alias("num_pizzas"))
+
+
+def volume_by_weekday(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
+    d = delivered(customer_orders, runner_orders)
+    return d.groupBy(F.date_format("order_time", "EEEE").alias("day_of_week")).agg(
+        F.count("pizza_id").alias("num_pizzas"))
+
+
 def signups_per_week(runners: DataFrame, week_zero: str = "2021-01-01") -> DataFrame:
     """One row per runner: week number (Sunday boundaries from ``week_zero``)
     and the number of runners registered in that week (COUNT(*) OVER week)."""

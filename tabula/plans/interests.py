@@ -38,6 +38,11 @@ def parsed_month_years(interest_metrics: DataFrame) -> DataFrame:
     return texts.select("text", parse_month_year("text").alias("parsed"))
 
 
+def rows_without_interest(metrics: DataFrame) -> DataFrame:
+    """``SELECT * ... WHERE interest_id IS NULL`` on typed metrics."""
+    return metrics.filter(F.col("interest_id").isNull())
+
+
 def counts_per_month(metrics: DataFrame) -> DataFrame:
     """Records per month_year, NULL months included (sorted NULLS FIRST)."""
     return (metrics.groupBy("month_year").agg(F.count(F.lit(1)).alias("counts"))

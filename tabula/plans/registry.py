@@ -253,6 +253,19 @@ def _(spark, sf):
     return delivery.volume_by_time(co, ro)
 
 
+@query("volume_by_hour", DW("""
+SELECT CAST(hour(order_time) AS BIGINT) AS hour_of_day, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY 1"""))
+def _(spark, sf):
+    _, co, ro = _d(spark, sf)
+    return delivery.volume_by_hour(co, ro)
+
+
+@query("volume_by_weekday", DW("SELECT dayname(order_time) AS day_of_week, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY 1"))
+def _(spark, sf):
+    _, co, ro = _d(spark, sf)
+    return delivery.volume_by_weekday(co, ro)
+
+
 @query("week_boundary_diff", W("""
 SELECT runner_id, registration_date, week_number,
        COUNT(*) OVER (PARTITION BY week_number) AS signups
@@ -1012,6 +1025,15 @@ def _(spark, sf):
     return interests.counts_per_month(_im(spark, sf)[1])
 
 
+@query("null_interest_rows", IW(
+    "SELECT CAST(_month AS BIGINT) AS _month, CAST(_year AS BIGINT) AS _year, month_year FROM m WHERE interest_id IS NULL"),
+       dates=("month_year",))
+def _(spark, sf):
+    m = _im(spark, sf)[1]
+    return interests.rows_without_interest(m).select(
+        F.col("_month").cast("bigint").alias("_month"), F.col("_year").cast("bigint").alias("_year"), "month_year")
+
+
 @query("delete_null_keys", IW("SELECT interest_id, month_year FROM k"), dates=('month_year',))
 def _(spark, sf):
     return _kept(spark, sf)[1].select("interest_id", "month_year")
