@@ -82,6 +82,12 @@ def cart_adds_in_purchase_visits(click: DataFrame, pages: DataFrame) -> DataFram
     return bought.join(pages, "page_id").groupBy("page_name").agg(F.sum("n").alias("num_purchased"))
 
 
+def top_purchased_products(click: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
+    """TOP k pages by cart adds in visits with a purchase; name breaks ties."""
+    counts = cart_adds_in_purchase_visits(click, pages)
+    return counts.orderBy(F.desc("num_purchased"), F.asc("page_name")).limit(k)
+
+
 def category_views(click: DataFrame, pages: DataFrame) -> DataFrame:
     per = _per_page(click, _count_if(F.col("event_type") == VIEW).alias("v"),
                     _count_if(F.col("event_type") == CART_ADD).alias("a"))

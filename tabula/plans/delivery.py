@@ -175,6 +175,12 @@ def topping_counts(customer_orders: DataFrame, toppings: DataFrame) -> DataFrame
     return parts[0].unionByName(parts[1]).select("kind", "topping_name", "times")
 
 
+def most_common_topping(customer_orders: DataFrame, toppings: DataFrame, kind: str) -> DataFrame:
+    """TOP 1 topping added as an extra (``kind='extra'``) or excluded; name breaks ties."""
+    counts = topping_counts(customer_orders, toppings).filter(F.col("kind") == kind)
+    return counts.orderBy(F.desc("times"), F.asc("topping_name")).limit(1).select("topping_name", "times")
+
+
 def extras_per_order(customer_orders: DataFrame, toppings: DataFrame) -> DataFrame:
     """STRING_AGG of the extra toppings' names per order, ordered by name."""
     co = clean_customer_orders(customer_orders)

@@ -340,6 +340,25 @@ def _(spark, sf):
     return delivery.topping_counts(co, r.toppings())
 
 
+def _top_topping_sql(col: str, kind: str) -> str:
+    return f"""
+SELECT t.topping_name, COUNT(*) AS times
+FROM (SELECT TRY_CAST(trim(v) AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col=col)} AS v FROM co) a) x
+JOIN toppings t ON x.id = t.topping_id GROUP BY t.topping_name ORDER BY times DESC, topping_name ASC LIMIT 1"""
+
+
+@query("most_common_extra", DW(_top_topping_sql("extras", "extra"), "toppings"))
+def _(spark, sf):
+    r, co, _ro = _d(spark, sf)
+    return delivery.most_common_topping(co, r.toppings(), "extra")
+
+
+@query("most_common_exclusion", DW(_top_topping_sql("exclusions", "exclusion"), "toppings"))
+def _(spark, sf):
+    r, co, _ro = _d(spark, sf)
+    return delivery.most_common_topping(co, r.toppings(), "exclusion")
+
+
 @query("string_agg_list", DW(f"""
 SELECT order_id, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS toppings
 FROM (SELECT order_id, TRY_CAST(trim(v) AS BIGINT) AS id
@@ -453,12 +472,12 @@ def _(spark, sf):
 
 @query("self_join_gap", W("""
 SELECT COUNT(*) AS num_customers,
-  round(COUNT(*) * 100.0 / (SELECT COUNT(DISTINCT customer_id) FROM sub), 2) AS percentage
+  round(COUNT(*) * 100.0 / (SELECT COUNT(DISTINCT customer_id) FROM sub), 0) AS percentage
 FROM sub st JOIN (SELECT customer_id, start_date AS churn_date FROM sub WHERE plan_id = 4) ch
   ON st.customer_id = ch.customer_id
 WHERE st.plan_id = 0 AND date_diff('day', st.start_date, ch.churn_date) = 7""", "sub"))
 def _(spark, sf):
-    return subscriptions.gap_pairs(R(spark, sf).sub(), 0, 4, 7)
+    return subscriptions.gap_pairs(R(spark, sf).sub(), 0, 4, 7, digits=0)
 
 
 @query("plans_after_trial", W("""
@@ -870,6 +889,15 @@ def _(spark, sf):
     return clicks.cart_adds_in_purchase_visits(c, r.page_hierarchy())
 
 
+@query("top_purchased_products", CW("""
+SELECT p.page_name, COUNT(*) AS num_purchased FROM click e JOIN page_hierarchy p ON e.page_id = p.page_id
+WHERE e.event_type = 2 AND e.visit_id IN (SELECT DISTINCT visit_id FROM click WHERE event_type = 3)
+GROUP BY p.page_name ORDER BY num_purchased DESC, page_name ASC LIMIT 3""", "page_hierarchy"))
+def _(spark, sf):
+    r, c = _c(spark, sf)
+    return clicks.top_purchased_products(c, r.page_hierarchy(), 3)
+
+
 @query("category_views", CW("""
 SELECT product_category, CAST(SUM(CASE WHEN event_type = 1 THEN 1 ELSE 0 END) AS BIGINT) AS page_views,
        CAST(SUM(CASE WHEN event_type = 2 THEN 1 ELSE 0 END) AS BIGINT) AS add_carts

@@ -50,12 +50,14 @@ def churn_share(sub: DataFrame) -> DataFrame:
 
 
 def gap_pairs(sub: DataFrame, first_plan: int, second_plan: int | None, gap_days: int,
-              exclude_second: int | None = None) -> DataFrame:
+              exclude_second: int | None = None, digits: int = 2) -> DataFrame:
     """Count (first, second) subscription pairs of one customer whose start
     dates are exactly ``gap_days`` apart, as the self join would, and their
     share of all customers. Both sides are counted per (customer, date) and
     equi-joined on the shifted date, so no pair list is materialised.
-    ``second_plan=None`` with ``exclude_second`` means "any plan but that one".
+    ``second_plan=None`` with ``exclude_second`` means "any plan but that one";
+    ``digits`` is the rounding of the percentage (the source casts one report
+    to DECIMAL(5,0), another to DECIMAL(5,2)).
     """
     first = sub.filter(F.col("plan_id") == first_plan).groupBy("customer_id", "start_date").agg(
         F.count(F.lit(1)).alias("n_first"))
@@ -67,7 +69,7 @@ def gap_pairs(sub: DataFrame, first_plan: int, second_plan: int | None, gap_days
     everyone = sub.agg(F.countDistinct("customer_id").alias("__all"))
     return pairs.crossJoin(everyone).select(  # two one-row frames
         "num_customers",
-        F.round(F.col("num_customers") * 100.0 / F.nullif(F.col("__all"), F.lit(0)), 2).alias("percentage"))
+        F.round(F.col("num_customers") * 100.0 / F.nullif(F.col("__all"), F.lit(0)), digits).alias("percentage"))
 
 
 def days_to_plan(sub: DataFrame, from_plan: int = TRIAL, to_plan: int = ANNUAL) -> DataFrame:
