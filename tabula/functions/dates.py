@@ -57,3 +57,17 @@ def add_term(col, unit: str, n: int | Column) -> Column:
     if unit == "year":
         return F.add_months(c, n * 12)
     raise ValueError(unit)
+
+
+def in_year(col, year: int) -> Column:
+    """``YEAR(col) = year`` written as a date range, so the bound reaches the
+    Parquet scan (a cast of the stored timestamp is unwrapped by Catalyst)."""
+    import datetime as dt
+    c = _c(col)
+    return (c >= F.lit(dt.date(year, 1, 1))) & (c < F.lit(dt.date(year + 1, 1, 1)))
+
+
+def after_year(col, year: int) -> Column:
+    """``YEAR(col) > year`` as a pushable date bound."""
+    import datetime as dt
+    return _c(col) >= F.lit(dt.date(year + 1, 1, 1))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.functions.dates import add_term
+from tabula.functions.dates import add_term, after_year, in_year
 from tabula.operators.aggregates import band_pairs, latest_per_key, pair_totals
 from tabula.operators.ordered import with_previous
 
@@ -32,7 +32,7 @@ def starts_per_month(sub: DataFrame) -> DataFrame:
 
 
 def starts_after_year(sub: DataFrame, plans: DataFrame, year: int) -> DataFrame:
-    return (sub.filter(F.year("start_date") > year).join(plans, "plan_id")
+    return (sub.filter(after_year("start_date", year)).join(plans, "plan_id")
             .groupBy("plan_name").agg(F.count("plan_id").alias("num_plans")))
 
 
@@ -123,8 +123,8 @@ def upgrades_between(sub: DataFrame, plan: int, start: dt.date, end: dt.date) ->
 def transitions(sub: DataFrame, from_plan: int, to_plan: int, year: int) -> DataFrame:
     """Customers whose plan went ``from_plan`` -> ``to_plan`` between consecutive
     subscriptions within ``year`` (LAG over start date, sub id as tiebreak)."""
-    in_year = sub.filter(F.year("start_date") == year)
-    lagged = with_previous(in_year, ["customer_id"], ["start_date", "sub_id"], ["plan_id"])
+    rows = sub.filter(in_year("start_date", year))
+    lagged = with_previous(rows, ["customer_id"], ["start_date", "sub_id"], ["plan_id"])
     return (lagged.filter((F.col("plan_id") == to_plan) & (F.col("previous_plan_id") == from_plan))
             .agg(F.countDistinct("customer_id").alias("num_cus_downgraded")))
 

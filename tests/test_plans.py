@@ -35,9 +35,15 @@ def test_projection_prunes_columns(spark, small_dir):
         "l_discount", "l_extendedprice", "l_linenumber", "l_orderkey"]
 
 
-def test_year_filter_reaches_scan(spark, small_dir):
-    plan = plan_of(entry.queries()["filter_compare"](spark, small_dir))
-    assert "PushedFilters" in plan
+@pytest.mark.parametrize("key, pushed", [
+    ("filter_compare", "GreaterThanOrEqual(o_orderdate,1999-01-01"),
+    ("filter_between", "GreaterThanOrEqual(o_orderdate,1998-01-01"),
+    ("plan_snapshot_at_date", "LessThan(o_orderdate,1999-01-01"),
+])
+def test_date_filters_reach_scan(spark, small_dir, key, pushed):
+    plan = plan_of(entry.queries()[key](spark, small_dir))
+    filters = " ".join(re.findall(r"PushedFilters: (.{0,200})", plan))
+    assert pushed in filters, filters
 
 
 def test_campaign_lookup_is_broadcast(spark, small_dir):
