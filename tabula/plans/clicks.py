@@ -160,22 +160,27 @@ def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Dat
     """One row per visit: start time, page views, cart adds, purchase flag,
     campaign, impressions, ad clicks and the cart products in event order.
 
-    Counts come from the events alone; only cart-add events meet the page
-    table (for product names), and the two per-visit results are joined 1:1.
+    A visit is listed, and its start taken, over its events on known pages
+    (the source inner-joins the page table); its counts cover all its events
+    (the source's correlated subqueries). Counts come from the events alone;
+    only page ids and cart-add events meet the page table, and the per-visit
+    results are joined 1:1.
     """
+    used = pages_in_use(click, pages)
+    starts = (click.join(used.select("page_id"), "page_id", "left_semi")
+              .groupBy("visit_id", "user_id").agg(F.min("event_time").alias("visit_start_time")))
     g = click.groupBy("visit_id", "user_id").agg(
-        F.min("event_time").alias("visit_start_time"),
         _count_if(F.col("event_type") == VIEW).alias("page_views"),
         _count_if(F.col("event_type") == CART_ADD).alias("cart_adds"),
         F.max((F.col("event_type") == PURCHASE).cast("bigint")).alias("purchase"),
         _count_if(F.col("event_type") == IMPRESSION).alias("impression"),
         _count_if(F.col("event_type") == AD_CLICK).alias("click"))
-    products = pages_in_use(click, pages).filter(F.col("product_id").isNotNull()).select("page_id", "page_name")
+    products = used.filter(F.col("product_id").isNotNull()).select("page_id", "page_name")
     adds = click.filter(F.col("event_type") == CART_ADD).join(products, "page_id")
     cart = adds.groupBy("visit_id", "user_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name"))),
         lambda e: e["page_name"]), ", ").alias("cart_products"))
-    g = g.join(cart, ["visit_id", "user_id"], "left")
+    g = starts.join(g, ["visit_id", "user_id"]).join(cart, ["visit_id", "user_id"], "left")
     g = range_lookup(g, campaigns, "visit_start_time", "start_date", "end_date", len(CAMPAIGNS))
     return g.select("visit_id", "user_id",
                     F.date_format("visit_start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("visit_start_time"),

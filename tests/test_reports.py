@@ -165,3 +165,17 @@ def test_kept_metrics_equals_typed_then_deleted(spark):
     a = sorted(map(tuple, interests.kept_metrics(raw).collect()))
     b = sorted(map(tuple, interests.drop_null_keys(interests.typed_metrics(raw)).collect()))
     assert a == b == [(1, 2020, D(2020, 1, 1), 7)]
+
+
+def test_visit_start_ignores_unknown_pages(spark):
+    ts = dt.datetime
+    click = spark.createDataFrame([
+        ("v1", 1, 999, 1, ts(2024, 1, 2, 9, 0), 1),    # unknown page: counted, not the start
+        ("v1", 1, 10, 1, ts(2024, 1, 2, 10, 0), 2),
+        ("v2", 2, 999, 1, ts(2024, 1, 3, 10, 0), 3),   # only unknown pages: no row
+    ], "visit_id string, user_id int, page_id bigint, event_type int, event_time timestamp_ntz, event_id int")
+    pages = spark.createDataFrame([(10, "Salmon", "Fish", 10)],
+                                  "page_id bigint, page_name string, product_category string, product_id bigint")
+    got = {r.visit_id: r for r in clicks.visit_stats(click, pages, Roles(spark, "/unused").campaigns()).collect()}
+    assert set(got) == {"v1"}
+    assert (got["v1"].visit_start_time, got["v1"].page_views) == ("2024-01-02 10:00:00.000000", 2)
