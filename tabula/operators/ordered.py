@@ -10,6 +10,10 @@ whole job. The operators here split each key across many tasks instead:
 3. each piece's total is carried forward: a window over the per-piece totals
    of one key, whose size is bounded by the number of slices.
 
+The input is checkpointed once, then its groups are measured (one grouped
+count): when no key exceeds ``MAX_GROUP_ROWS`` the ordinary window runs
+instead, so the extra shuffles are paid only when a key is actually hot.
+
 All results are exact. The caller must give a total order within the key
 (add a unique tiebreak column). The sliced frame is read by two branches
 (rows and per-slice totals), and both must see the same slice of every row,
@@ -36,11 +40,48 @@ def _slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Key groups up to this many rows run as one ordinary window task; a larger
+# (hot) key is split into range slices. Override per call or with the session
+# setting ``tabula.ordered.maxGroupRows``.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest key group: a grouped count, one number to the driver."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    return int(top or 0)
+
+
+def _group_limit(df: DataFrame, max_group_rows: int | None) -> int:
+    if max_group_rows is not None:
+        return max_group_rows
+    return int(df.sparkSession.conf.get("tabula.ordered.maxGroupRows", str(MAX_GROUP_ROWS)))
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                value: str, out: str, slices: int | None = None) -> DataFrame:
+                value: str, out: str, slices: int | None = None,
+                max_group_rows: int | None = None, total_out: str | None = None,
+                _materialized: bool = False) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same ``keys`` up to and
-    including this row in ``order`` (ROWS frame; ties must not exist)."""
+    including this row in ``order`` (ROWS frame; ties must not exist), and,
+    if ``total_out`` is given, the key's whole sum.
+
+    When the largest key group has at most ``max_group_rows`` rows the plain
+    window is used (one shuffle); otherwise every key is range-sliced so the
+    hot key spreads over many tasks.
+    """
     keys = list(keys)
+    # computed once: the measurement, the range sampling and the window all
+    # read this copy instead of re-running the (possibly expensive) input plan
+    if not _materialized:
+        df = df.checkpoint(eager=True)
+    if _largest_group(df, keys) <= _group_limit(df, max_group_rows):
+        frame = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        df = df.withColumn(out, F.sum(value).over(frame))
+        if total_out:
+            df = df.withColumn(total_out, F.sum(value).over(Window.partitionBy(*keys)))
+        return df
     n = slices or _slices(df)
     ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
               .withColumn(_PID, F.spark_partition_id())
@@ -50,67 +91,67 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     local = ranged.withColumn(_LOCAL, F.sum(value).over(piece))
     blocks = local.groupBy(_PID, *keys).agg(F.sum(value).alias(_BLOCK))
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carry = blocks.select(_PID, *keys, F.coalesce(F.sum(_BLOCK).over(before), F.lit(0)).alias(_CARRY))
+    extra = [F.sum(_BLOCK).over(Window.partitionBy(*keys)).alias(total_out)] if total_out else []
+    carry = blocks.select(_PID, *keys, F.coalesce(F.sum(_BLOCK).over(before), F.lit(0)).alias(_CARRY), *extra)
     return (local.join(carry, [_PID, *keys])
             .withColumn(out, F.col(_LOCAL) + F.col(_CARRY))
             .drop(_PID, _LOCAL, _CARRY))
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "pos",
-             slices: int | None = None) -> DataFrame:
+             slices: int | None = None, max_group_rows: int | None = None,
+             _materialized: bool = False) -> DataFrame:
     """1-based row number within ``keys`` in ``order`` (= ROW_NUMBER())."""
     one = "__one"
-    return running_sum(df.withColumn(one, F.lit(1)), keys, order, one, out, slices).drop(one)
+    return running_sum(df.withColumn(one, F.lit(1)), keys, order, one, out, slices, max_group_rows,
+                       _materialized=_materialized).drop(one)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  columns: Sequence[str], prefix: str = "previous_") -> DataFrame:
+                  columns: Sequence[str], prefix: str = "previous_",
+                  max_group_rows: int | None = None) -> DataFrame:
     """Adds ``previous_<c>`` = LAG(c) OVER (PARTITION BY keys ORDER BY order).
 
-    Built as position + equi-join on (key, position - 1): one row meets at
-    most one partner, so the join cannot fan out.
+    Small groups: the plain LAG window. A hot key: position (range-sliced) +
+    equi-join on (key, position - 1), where one row meets at most one
+    partner, so the join cannot fan out.
     """
+    keys = list(keys)
+    df = df.checkpoint(eager=True)  # one computation of the input for measuring and either path
+    if _largest_group(df, keys) <= _group_limit(df, max_group_rows):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in columns])
     pos = "__pos"
-    numbered = position(df, keys, order, pos)
+    numbered = position(df, keys, order, pos, max_group_rows=0, _materialized=True)
     prev = numbered.select(*keys, (F.col(pos) + 1).alias(pos),
                            *[F.col(c).alias(prefix + c) for c in columns])
     return numbered.join(prev, [*keys, pos], "left").drop(pos)
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: dict[str, float]) -> DataFrame:
+                      probs: dict[str, float], max_group_rows: int | None = None) -> DataFrame:
     """PERCENTILE_CONT for every ``probs`` entry, grouped by ``keys``.
 
     Values are first counted per (key, value) -- a partial aggregate, so
-    duplicates never travel -- then ranked with :func:`running_sum`. The two
-    rows around rank ``p * (n - 1)`` are found by a range condition against a
-    per-key target table (one row per probability) and interpolated.
-    Nothing is collected per group, unlike ``percentile()``, whose buffer holds
-    every distinct value of a group in one task.
+    duplicates never travel -- then given running counts and the key's total
+    by :func:`running_sum`. The value at 0-based rank r sits in the row with
+    ``cum - w <= r < cum``; each row checks the two ranks around
+    ``p * (n - 1)`` of every probability, and one grouped aggregate picks and
+    interpolates them. Nothing is collected per group, unlike
+    ``percentile()``, whose buffer holds every distinct value of a group in
+    one task, and no lookup table is joined.
     """
     keys = list(keys)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w"))
-    ranked = running_sum(counted, keys, [value], "__w", "__cum")  # rows with rank < __cum
-    # the largest running count of a key is its total; reading it from the
-    # ranked (checkpointed) frame avoids recomputing the input
-    totals = ranked.groupBy(*keys).agg(F.max("__cum").alias("__n"))
-    targets = totals.select(*keys, "__n", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("__name"), F.lit(float(p)).alias("__p")) for name, p in probs.items()
-    ])).alias("__t")).select(*keys, "__n", "__t.__name", "__t.__p")
-    h = F.col("__p") * (F.col("__n") - 1)
-    targets = targets.select(*keys, "__name", h.alias("__h"),
-                             F.floor(h).cast("bigint").alias("__lo"), F.ceil(h).cast("bigint").alias("__hi"))
-    # the value at 0-based rank r sits in the row with cum - w <= r < cum; one
-    # range join finds the (at most two) rows holding rank floor(h) and ceil(h)
-    r = ranked.select(*[F.col(k).alias("__r_" + k) for k in keys], F.col(value).alias("__rv"), "__w", "__cum")
+    ranked = running_sum(counted, keys, [value], "__w", "__cum", max_group_rows=max_group_rows, total_out="__n")
     start = F.col("__cum") - F.col("__w")
-
-    def holds(rank):
-        return (start <= F.col(rank)) & (F.col(rank) < F.col("__cum"))
-    cond = [F.col(k) == F.col("__r_" + k) for k in keys] + [holds("__lo") | holds("__hi")]
-    pairs = targets.join(r, cond).groupBy(*keys, "__name", "__h", "__lo").agg(
-        F.max(F.when(holds("__lo"), F.col("__rv"))).alias("__vlo"),
-        F.max(F.when(holds("__hi"), F.col("__rv"))).alias("__vhi"))
-    result = F.col("__vlo") + (F.col("__h") - F.col("__lo")) * (F.col("__vhi") - F.col("__vlo"))
-    return pairs.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("__name") == name, result)).alias(name) for name in probs])
+    aggs, results = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        h = F.lit(float(p)) * (F.col("__n") - 1)
+        lo, hi = F.floor(h), F.ceil(h)
+        aggs += [F.max(h).alias(f"__h{i}"),
+                 F.max(F.when((start <= lo) & (lo < F.col("__cum")), F.col(value))).alias(f"__lo{i}"),
+                 F.max(F.when((start <= hi) & (hi < F.col("__cum")), F.col(value))).alias(f"__hi{i}")]
+        frac = F.col(f"__h{i}") - F.floor(F.col(f"__h{i}"))
+        results.append((F.col(f"__lo{i}") + frac * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(name))
+    return ranked.groupBy(*keys).agg(*aggs).select(*keys, *results)

@@ -21,7 +21,7 @@ def skewed(spark):
 
 
 def test_running_sum_matches_cumsum(spark, skewed):
-    got = (ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", slices=7)
+    got = (ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", slices=7, max_group_rows=0)
            .toPandas().sort_values(["k", "d", "id"]).reset_index(drop=True))
     want = skewed.toPandas().sort_values(["k", "d", "id"]).reset_index(drop=True)
     want["cum"] = want.groupby("k")["v"].cumsum()
@@ -34,7 +34,7 @@ def test_hot_key_spans_several_slices(spark, skewed):
 
 
 def test_previous_matches_lag(spark, skewed):
-    got = (ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"]).toPandas()
+    got = (ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"], max_group_rows=0).toPandas()
            .sort_values(["k", "d", "id"]).reset_index(drop=True))
     want = skewed.toPandas().sort_values(["k", "d", "id"]).reset_index(drop=True)
     want["previous_v"] = want.groupby("k")["v"].shift(1)
@@ -42,7 +42,8 @@ def test_previous_matches_lag(spark, skewed):
 
 
 def test_exact_percentiles_match_linear_interpolation(spark, skewed):
-    got = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5, "p80": 0.8, "p95": 0.95}).toPandas()
+    got = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5, "p80": 0.8, "p95": 0.95},
+                                    max_group_rows=0).toPandas()
     pdf = skewed.toPandas()
     for _, row in got.iterrows():
         vals = pdf[pdf.k == row.k].v.to_numpy()
@@ -95,3 +96,22 @@ def test_broadcast_requires_small_bound(spark):
     joins.broadcast_bounded(df, 3)
     with pytest.raises(ValueError):
         joins.broadcast_bounded(df, 10**9)
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_sliced_and_plain_paths_agree(spark, skewed, limit):
+    lag = ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"], max_group_rows=limit)
+    got = sorted((r.id, r.previous_v) for r in lag.collect())
+    pdf = skewed.toPandas().sort_values(["k", "d", "id"])
+    pdf["p"] = pdf.groupby("k")["v"].shift(1)
+    want = sorted((int(i), None if pd.isna(p) else int(p)) for i, p in zip(pdf.id, pdf.p))
+    assert got == want
+    pct = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5}, max_group_rows=limit)
+    assert {r.k: r.p50 for r in pct.collect()} == pytest.approx(
+        {k: float(np.percentile(g.v, 50)) for k, g in pdf.groupby("k")})
+
+
+def test_hot_key_takes_sliced_path(spark, skewed):
+    plan = ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", max_group_rows=500)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in text or "LogicalRDD" in text  # sliced + checkpointed
