@@ -179,3 +179,32 @@ def test_visit_start_ignores_unknown_pages(spark):
     got = {r.visit_id: r for r in clicks.visit_stats(click, pages, Roles(spark, "/unused").campaigns()).collect()}
     assert set(got) == {"v1"}
     assert (got["v1"].visit_start_time, got["v1"].page_views) == ("2024-01-02 10:00:00.000000", 2)
+
+
+def test_between_includes_last_day(spark):
+    sub = spark.createDataFrame([(1, 3, D(2021, 1, 1), 1), (2, 3, D(2021, 1, 2), 2), (3, 3, D(2020, 1, 1), 3)], SUB)
+    assert subscriptions.upgrades_between(sub, 3, D(2020, 1, 1), D(2021, 1, 1)).first()[0] == 2
+
+
+def test_zero_divisors_give_null(spark):
+    clean = spark.createDataFrame([(2020, 1, "Retail", 10), (2020, 1, "Shopify", 0), (2020, 2, "Retail", 5)],
+                                  "calendar_year bigint, month_number bigint, platforms string, sales bigint")
+    got = {r.month_number: r.ratio for r in mart.channel_ratio(clean, "Retail", "Shopify").collect()}
+    assert got == {1: None, 2: None}
+    stats = spark.createDataFrame([("v1", 1, 0, 0, 1, "A", 1, 0), ("v2", 2, 4, 1, 1, "A", 1, 1)],
+                                  "visit_id string, user_id int, page_views bigint, cart_adds bigint, "
+                                  "purchase bigint, campaign_name string, impression bigint, click bigint")
+    row = clicks.campaign_summary(stats, 1).first()
+    assert (row.purchased_rate, row.click_rate, row.impressed_users) == (25.0, 50.0, 100.0)
+
+
+def test_pivot_counts_empty_cell_as_zero(spark):
+    co = spark.createDataFrame([(1, 1, 7, 1, None, None)],
+                               "order_id int, line_id int, customer_id int, pizza_id int, exclusions string, "
+                               "extras string")
+    ro = spark.createDataFrame([(1, 5, None, "10km", "20 mins", None)],
+                               "order_id int, runner_id int, pickup_time timestamp_ntz, distance string, "
+                               "duration string, cancellation string")
+    names = spark.createDataFrame([(1, "Meatlovers"), (2, "Vegetarian")], "pizza_id int, pizza_name string")
+    row = delivery.pizzas_per_customer_pivot(co, ro, names).first()
+    assert (row.meatlovers, row.vegetarian) == (1, 0)
