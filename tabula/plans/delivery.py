@@ -205,8 +205,10 @@ def order_descriptions(customer_orders: DataFrame, pizza_names: DataFrame, toppi
             .withColumn("__ek", key("exclusions")).withColumn("__xk", key("extras"))
             .join(exc.withColumnRenamed("exclusions", "__ek"), "__ek", "left")
             .join(ext.withColumnRenamed("extras", "__xk"), "__xk", "left"))
-    part = lambda lst, names, label: F.when(
-        F.col(lst).isNotNull(), F.concat(F.lit(label), F.coalesce(F.col(names), F.lit("")))).otherwise(F.lit(""))
+    def part(lst, names, label):
+        # a non-NULL list always prints its label, even if no id matched a topping
+        return F.when(F.col(lst).isNotNull(),
+                      F.concat(F.lit(label), F.coalesce(F.col(names), F.lit("")))).otherwise(F.lit(""))
     text = F.concat(F.coalesce(F.col("pizza_name"), F.lit("")),
                     part("exclusions", "exc_names", " - Exclude "),
                     part("extras", "ext_names", " - Extra "))

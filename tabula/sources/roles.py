@@ -233,7 +233,10 @@ class Roles:
         li = self.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
         ln = F.col("l_linenumber")
-        s = lambda c: F.col(c).cast("string")
+
+        def s(c):
+            return F.col(c).cast("string")
+
         exclusions = (F.when(ln == 1, F.lit(None).cast("string")).when(ln == 2, "").when(ln == 3, "null")
                       .when(ln == 4, " ").when(ln == 5, s("l_suppkey"))
                       .otherwise(F.concat(s("l_suppkey"), F.lit(", "), s("l_linenumber"))))
