@@ -59,6 +59,19 @@ def _digit(col: str) -> Column:
     return F.substring(F.col(col), 1, 1)
 
 
+_LITERALS: dict[tuple[int, str], DataFrame] = {}
+
+
+def _literal(spark: SparkSession, name: str, rows, schema: str) -> DataFrame:
+    """A fixed lookup table, created once per session and broadcast (its row
+    count is the length of a constant list)."""
+    key = (id(spark), name)
+    df = _LITERALS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _LITERALS[key] = spark.createDataFrame(rows, schema)
+    return F.broadcast(df)
+
+
 class Roles:
     """Builds every role view for one scale-factor directory."""
 
@@ -68,18 +81,17 @@ class Roles:
 
     # -- literal dimensions (bounded by construction) -----------------------
     def plans(self) -> DataFrame:
-        schema = "plan_id INT, plan_name STRING, price DECIMAL(5,2)"
-        return F.broadcast(self.spark.createDataFrame(PLANS, schema))
+        return _literal(self.spark, "plans", PLANS, "plan_id INT, plan_name STRING, price DECIMAL(5,2)")
 
     def event_names(self) -> DataFrame:
-        return F.broadcast(self.spark.createDataFrame(EVENT_NAMES, "event_type INT, event_name STRING"))
+        return _literal(self.spark, "event_names", EVENT_NAMES, "event_type INT, event_name STRING")
 
     def pizza_names(self) -> DataFrame:
-        return F.broadcast(self.spark.createDataFrame(PIZZA_NAMES, "pizza_id INT, pizza_name STRING"))
+        return _literal(self.spark, "pizza_names", PIZZA_NAMES, "pizza_id INT, pizza_name STRING")
 
     def campaigns(self) -> DataFrame:
-        schema = "campaign_name STRING, start_date TIMESTAMP_NTZ, end_date TIMESTAMP_NTZ"
-        return F.broadcast(self.spark.createDataFrame(CAMPAIGNS, schema))
+        return _literal(self.spark, "campaigns", CAMPAIGNS,
+                        "campaign_name STRING, start_date TIMESTAMP_NTZ, end_date TIMESTAMP_NTZ")
 
     # -- restaurant: sales, menu, members ------------------------------------
     def sale(self) -> DataFrame:
