@@ -44,7 +44,8 @@ def first_items(sale: DataFrame, menu: DataFrame) -> DataFrame:
 
 def top_items(sale: DataFrame, menu: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` most purchased item names (TOP k, name as tiebreak)."""
-    counts = sale.join(menu, "product_id").groupBy("product_name").agg(F.count(F.lit(1)).alias("no_buy"))
+    per_product = sale.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))  # before the menu join
+    counts = per_product.join(menu, "product_id").groupBy("product_name").agg(F.sum("n").alias("no_buy"))
     return counts.orderBy(F.desc("no_buy"), F.asc("product_name")).limit(k)
 
 
