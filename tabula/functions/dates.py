@@ -40,10 +40,6 @@ def minute_component(later, earlier) -> Column:
     return F.pmod(total, F.lit(60)).cast("bigint")
 
 
-def days_between(start, end) -> Column:
-    return F.datediff(_c(end), _c(start))
-
-
 def add_term(col, unit: str, n: int | Column) -> Column:
     """DATEADD for DATE values, staying DATE (``dateadd`` would give a timestamp)."""
     c = _c(col)

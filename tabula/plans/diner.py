@@ -11,10 +11,6 @@ from tabula.functions.dates import add_term
 from tabula.operators.aggregates import ties_for_max, ties_for_min
 
 
-def _money(col: str):
-    return F.col(col).cast("double")
-
-
 def spend_per_customer(sale: DataFrame, menu: DataFrame) -> DataFrame:
     """Total spent per customer (inner join + SUM)."""
     return (sale.join(menu, "product_id")

@@ -618,6 +618,16 @@ def _(spark, sf):
     return bank.busy_customers_per_month(R(spark, sf).txn())
 
 
+@query("window_count_rows", W("""
+SELECT customer_id, txn_id, CAST(year(txn_date) AS BIGINT) AS txn_year, CAST(month(txn_date) AS BIGINT) AS txn_month,
+       COUNT(*) OVER (PARTITION BY customer_id, year(txn_date), month(txn_date)) AS num_in_month
+FROM txn""", "txn"))
+def _(spark, sf):
+    out = bank.txn_count_window(R(spark, sf).txn())
+    return out.select("customer_id", "txn_id", F.col("txn_year").cast("bigint").alias("txn_year"),
+                      F.col("txn_month").cast("bigint").alias("txn_month"), "num_in_month")
+
+
 _SIGNED = "CASE WHEN txn_type = 'deposit' THEN txn_amount ELSE -txn_amount END"
 
 
