@@ -16,6 +16,7 @@ EXTRA = {
     "S3": ("(all keys)", "typed role frames with explicit casts (`tabula/sources/roles.py`); sinks overwrite"),
     "S8": ("parse_unit_strings", None),
     "P8": ("first_item_per_customer", None),
+    "W4": ("window_count_rows", None),
     "O1": ("top_k, top_pages, nulls_first_counts", "`orderBy` in `diner.top_items`, `clicks.top_pages`, `interests.counts_per_month`"),
 }
 
