@@ -34,10 +34,9 @@ def average_of_averages(stay: DataFrame) -> DataFrame:
     integer-truncated variant integer inputs give (each level truncates)."""
     per = _stay_days(stay).groupBy("customer_id").agg(
         F.avg("interval_days").alias("avg_days"),
-        (F.sum("interval_days") / F.count("interval_days")).cast("bigint").alias("avg_days_int"))
+        F.expr("sum(interval_days) div count(interval_days)").alias("avg_days_int"))  # exact integer division
     return per.agg(F.round(F.avg("avg_days"), 4).alias("avg_days_reallocated"),
-                   (F.sum("avg_days_int") / F.count("avg_days_int")).cast("bigint")
-                   .alias("avg_days_reallocated_int"))
+                   F.expr("sum(avg_days_int) div count(avg_days_int)").alias("avg_days_reallocated_int"))
 
 
 # The percentiles of the reallocation report.

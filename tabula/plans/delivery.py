@@ -113,10 +113,10 @@ def pickup_minutes(customer_orders: DataFrame, runner_orders: DataFrame) -> Data
     """Per runner: average minute component of (pickup - order), truncated to an
     integer as integer AVG does, and the exact average of whole minutes."""
     d = delivered(customer_orders, runner_orders)
-    minute = minute_component("pickup_time", "order_time")
     total = F.timestamp_diff("MINUTE", F.col("order_time"), F.col("pickup_time"))
+    d = d.withColumn("__minute", minute_component("pickup_time", "order_time"))
     return d.groupBy("runner_id").agg(
-        (F.sum(minute) / F.count(minute)).cast("bigint").alias("avg_pickup_minute"),
+        F.expr("sum(__minute) div count(__minute)").alias("avg_pickup_minute"),  # exact integer division
         F.round(F.avg(total), 4).alias("avg_pickup_total_minutes"))
 
 
