@@ -40,8 +40,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    for item in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        k, v = item.split("=", 1)
+        extra[k] = v
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)
     timings = {}
     for name in names:
         run_once(spark, name, sf_dir)  # warm-up: JIT, file listing, broadcast of literals

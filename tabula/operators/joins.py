@@ -33,17 +33,21 @@ def semi_in(df: DataFrame, members: DataFrame, on: Sequence[str] | str) -> DataF
 def anti_not_in(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """``WHERE k NOT IN (SELECT k FROM members)`` with SQL's null rules.
 
-    A NULL on the right makes NOT IN unknown for every row, so the result is
-    empty; a NULL key on the left is dropped. Implemented as a null flag (a
-    one-row aggregate) and a plain left-anti join on non-null keys, which can
-    shuffle instead of relying on the null-aware broadcast anti join.
+    Against an empty subquery every row is kept, NULL keys included. Otherwise
+    a NULL in the subquery makes NOT IN unknown for every row (empty result),
+    and a NULL key on the left is dropped. The subquery's row count and NULL
+    flag are one one-row aggregate; the match test is a plain left-anti join on
+    non-null keys, which can shuffle instead of relying on the null-aware
+    broadcast anti join.
     """
     right = members.select(key)
-    has_null = right.agg(F.max(F.col(key).isNull().cast("int")).alias("__has_null"))
-    kept = df.filter(F.col(key).isNotNull()).join(right.filter(F.col(key).isNotNull()), key, "left_anti")
-    return (kept.crossJoin(F.broadcast(has_null))  # one row by construction
-            .filter(F.coalesce(F.col("__has_null"), F.lit(0)) == 0)
-            .drop("__has_null"))
+    stats = right.agg(F.count(F.lit(1)).alias("__rows"),
+                      F.max(F.col(key).isNull().cast("int")).alias("__has_null"))
+    kept = df.join(right.filter(F.col(key).isNotNull()), key, "left_anti")
+    keep = (F.col("__rows") == 0) | (F.col(key).isNotNull() & (F.col("__has_null") == 0))
+    return (kept.crossJoin(F.broadcast(stats))  # one row by construction
+            .filter(keep)
+            .drop("__rows", "__has_null"))
 
 
 def anti_exists(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataFrame:

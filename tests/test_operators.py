@@ -89,6 +89,8 @@ def test_not_in_with_null_is_empty(spark):
     assert sorted(r.v for r in joins.anti_not_in(left, right, "v").collect()) == ["b"]
     right_null = spark.createDataFrame([("a",), (None,)], "v string")
     assert joins.anti_not_in(left, right_null, "v").count() == 0
+    empty = spark.createDataFrame([], "v string")
+    assert sorted(map(str, (r.v for r in joins.anti_not_in(left, empty, "v").collect()))) == ["None", "a", "b"]
 
 
 def test_broadcast_requires_small_bound(spark):

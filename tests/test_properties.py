@@ -87,3 +87,26 @@ def test_pairs_without_pairs(spark, left, right):
     assert (tot[0] or 0, tot[1] or 0) == (len(gaps), sum(gaps))
     band = aggregates.band_pairs(L, R, "c", "d", 30).agg(F.sum("pairs")).first()[0] or 0
     assert band == sum(1 for g in gaps if 0 <= g <= 30)
+
+
+maybe_int = st.one_of(st.none(), st.integers(0, 5))
+
+
+@FAST
+@given(st.lists(maybe_int, min_size=0, max_size=12), st.lists(maybe_int, min_size=0, max_size=6))
+def test_not_in_matches_sql(spark, left, right):
+    import duckdb
+    from tabula.operators import joins
+    L = spark.createDataFrame([(v,) for v in left], "v int")
+    R = spark.createDataFrame([(v,) for v in right], "v int")
+    got = sorted((r.v for r in joins.anti_not_in(L, R, "v").collect()), key=lambda x: (x is None, x))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE l(v INTEGER)")
+    con.execute("CREATE TABLE r(v INTEGER)")
+    if left:
+        con.executemany("INSERT INTO l VALUES (?)", [[v] for v in left])
+    if right:
+        con.executemany("INSERT INTO r VALUES (?)", [[v] for v in right])
+    want = sorted((row[0] for row in con.execute("SELECT v FROM l WHERE v NOT IN (SELECT v FROM r)").fetchall()),
+                  key=lambda x: (x is None, x))
+    assert got == want
