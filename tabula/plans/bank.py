@@ -43,9 +43,13 @@ def average_of_averages(stay: DataFrame) -> DataFrame:
 PERCENTILES = {"median": 0.5, "p80": 0.8, "p95": 0.95}
 
 
-def stay_percentiles(stay: DataFrame) -> DataFrame:
-    """PERCENTILE_CONT 0.5 / 0.8 / 0.95 of per-(customer, region) average stay, per region."""
-    per = _stay_days(stay).groupBy("customer_id", "region_id").agg(F.avg("interval_days").alias("avg_days"))
+def stay_percentiles(stay: DataFrame, truncate_average: bool = False) -> DataFrame:
+    """PERCENTILE_CONT 0.5 / 0.8 / 0.95 of per-(customer, region) average stay,
+    per region. ``truncate_average`` uses the integer average (AVG over INT
+    days truncates) as the source's numbers do."""
+    avg = (F.expr("sum(interval_days) div count(interval_days)") if truncate_average
+           else F.avg("interval_days"))
+    per = _stay_days(stay).groupBy("customer_id", "region_id").agg(avg.alias("avg_days"))
     out = exact_percentiles(per, ["region_id"], "avg_days", PERCENTILES)
     return out.select("region_id", *[F.round(name, 4).alias(name) for name in PERCENTILES])
 

@@ -29,7 +29,8 @@ def _purchase_visits(click: DataFrame) -> DataFrame:
 def user_summary(click: DataFrame) -> DataFrame:
     """Users, and average events ('cookies') per user."""
     per_user = click.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_user.agg(F.count(F.lit(1)).alias("num_user"), F.round(F.avg("n"), 4).alias("avg_events_per_user"))
+    return per_user.agg(F.count(F.lit(1)).alias("num_user"), F.round(F.avg("n"), 4).alias("avg_events_per_user"),
+                        F.expr("sum(n) div count(n)").alias("avg_events_per_user_int"))
 
 
 def visits_by_month(click: DataFrame) -> DataFrame:

@@ -491,6 +491,8 @@ def _(spark, sf):
 
 @query("avg_days_to_plan", W("""
 SELECT round(AVG(date_diff('day', a.start_date, b.start_date)), 4) AS avg_days_to_annual,
+       CAST(SUM(date_diff('day', a.start_date, b.start_date)) // NULLIF(COUNT(*), 0) AS BIGINT)
+         AS avg_days_to_annual_int,
        COUNT(*) AS num_pairs
 FROM sub a JOIN sub b ON a.customer_id = b.customer_id WHERE a.plan_id = 0 AND b.plan_id = 3""", "sub"))
 def _(spark, sf):
@@ -498,7 +500,8 @@ def _(spark, sf):
 
 
 @query("day_bucket_breakdown", W("""
-SELECT break_period, round(AVG(day_between), 4) AS avg_day_between, COUNT(*) AS num_cus
+SELECT break_period, round(AVG(day_between), 4) AS avg_day_between,
+       CAST(SUM(day_between) // COUNT(*) AS BIGINT) AS avg_day_between_int, COUNT(*) AS num_cus
 FROM (SELECT date_diff('day', a.start_date, b.start_date) AS day_between,
              CASE WHEN date_diff('day', a.start_date, b.start_date) BETWEEN 0 AND 30 THEN '0-30 days'
                   WHEN date_diff('day', a.start_date, b.start_date) BETWEEN 31 AND 60 THEN '31-60 days'
@@ -595,6 +598,16 @@ def _(spark, sf):
     return bank.stay_percentiles(R(spark, sf).stay())
 
 
+@query("percentiles_by_group_int", W("""
+SELECT region_id,
+  round(quantile_cont(avg_days, 0.5), 4) AS median, round(quantile_cont(avg_days, 0.8), 4) AS p80,
+  round(quantile_cont(avg_days, 0.95), 4) AS p95
+FROM (SELECT customer_id, region_id, SUM(date_diff('day', start_date, end_date)) // COUNT(*) AS avg_days
+      FROM stay GROUP BY customer_id, region_id) x GROUP BY region_id""", "stay"), ints=("region_id",))
+def _(spark, sf):
+    return bank.stay_percentiles(R(spark, sf).stay(), truncate_average=True)
+
+
 @query("count_by_type", W("""
 SELECT txn_type, COUNT(*) AS num_trans, CAST(SUM(txn_amount) AS DOUBLE) AS total_amount
 FROM txn GROUP BY txn_type""", "txn"))
@@ -839,7 +852,8 @@ def _c(spark, sf):
 
 
 @query("user_summary", CW("""
-SELECT COUNT(*) AS num_user, round(AVG(n), 4) AS avg_events_per_user
+SELECT COUNT(*) AS num_user, round(AVG(n), 4) AS avg_events_per_user,
+       CAST(SUM(n) // COUNT(n) AS BIGINT) AS avg_events_per_user_int
 FROM (SELECT user_id, COUNT(*) AS n FROM click GROUP BY user_id) x"""))
 def _(spark, sf):
     return clicks.user_summary(_c(spark, sf)[1])

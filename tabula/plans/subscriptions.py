@@ -74,10 +74,12 @@ def gap_pairs(sub: DataFrame, first_plan: int, second_plan: int | None, gap_days
 
 def days_to_plan(sub: DataFrame, from_plan: int = TRIAL, to_plan: int = ANNUAL) -> DataFrame:
     """Average days from a ``from_plan`` start to a ``to_plan`` start over all
-    pairs of one customer (the self join's rows), from per-customer sums."""
+    pairs of one customer (the self join's rows), from per-customer sums;
+    exact and truncated to an integer (AVG over INT days)."""
     t = pair_totals(sub.filter(F.col("plan_id") == from_plan), sub.filter(F.col("plan_id") == to_plan),
                     "customer_id", "start_date")
     return t.agg(F.round(F.sum("diff_sum") / F.nullif(F.sum("pairs"), F.lit(0)), 4).alias("avg_days_to_annual"),
+                 F.expr("sum(diff_sum) div nullif(sum(pairs), 0)").alias("avg_days_to_annual_int"),
                  F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("num_pairs"))
 
 
@@ -111,6 +113,7 @@ def day_bucket_breakdown(sub: DataFrame, from_plan: int = TRIAL, to_plan: int =
     rows = banded.unionByName(other).filter(F.col("pairs") > 0)
     return rows.select("break_period",
                        F.round(F.col("diff_sum") / F.col("pairs"), 4).alias("avg_day_between"),
+                       F.expr("diff_sum div pairs").alias("avg_day_between_int"),
                        F.col("pairs").cast("bigint").alias("num_cus"))
 
 
