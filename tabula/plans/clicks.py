@@ -8,7 +8,7 @@ is a conditional count in a single grouped pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabula.operators.joins import anti_not_in, range_lookup, semi_in
@@ -209,16 +209,25 @@ def campaign_effect(stats: DataFrame, by=("impression",)) -> DataFrame:
 def campaign_summary(stats: DataFrame, impressions: int = 1) -> DataFrame:
     """Per campaign, over visits with exactly ``impressions`` impressions:
     share of all users, views, cart adds, purchases, impressions, clicks,
-    click rate and average purchase rate."""
-    users = stats.agg(F.countDistinct("user_id").alias("__users"))
-    s = _with_purchase_rate(stats).filter((F.col("impression") == impressions) & F.col("campaign_name").isNotNull())
-    g = s.groupBy("campaign_name").agg(
-        F.countDistinct("user_id").alias("u"), F.sum("page_views").alias("page_views"),
-        F.sum("cart_adds").alias("card_adds"), F.sum("purchase").alias("purchased"),
-        F.sum("impression").alias("impression"), F.sum("click").alias("click"),
-        F.round(F.avg("purchased"), 4).alias("purchased_rate"))
-    return g.crossJoin(users).select(  # one-row frame
-        "campaign_name",
+    click rate and average purchase rate.
+
+    One pass over the visit table: a ``rollup`` on the campaign of qualifying
+    visits (NULL otherwise) yields the per-campaign rows and, as its grand
+    total, the distinct users of all visits; a window over those few rows
+    attaches the total to each campaign.
+    """
+    s = _with_purchase_rate(stats)
+    qualifies = (F.col("impression") == impressions) & F.col("campaign_name").isNotNull()
+    s = s.withColumn("__campaign", F.when(qualifies, F.col("campaign_name")))
+    g = s.rollup("__campaign").agg(
+        F.grouping_id().alias("__gid"), F.countDistinct("user_id").alias("u"),
+        F.sum("page_views").alias("page_views"), F.sum("cart_adds").alias("card_adds"),
+        F.sum("purchase").alias("purchased"), F.sum("impression").alias("impression"),
+        F.sum("click").alias("click"), F.round(F.avg("purchased"), 4).alias("purchased_rate"))
+    everyone = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # <= #campaigns + 2 rows
+    g = g.withColumn("__users", F.max(F.when(F.col("__gid") == 1, F.col("u"))).over(everyone))
+    return g.filter((F.col("__gid") == 0) & F.col("__campaign").isNotNull()).select(
+        F.col("__campaign").alias("campaign_name"),
         F.round(F.col("u") * 100.0 / F.nullif(F.col("__users"), F.lit(0)), 4).alias("impressed_users"),
         "page_views", "card_adds", "purchased", "impression", "click",
         F.round(F.col("click") * 100.0 / F.nullif(F.col("impression"), F.lit(0)), 4).alias("click_rate"),
