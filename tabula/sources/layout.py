@@ -44,7 +44,7 @@ def bucket_orders_and_lines(spark: SparkSession, sf_dir: str, buckets: int | Non
 
 def use_layout(spark: SparkSession, sf_dir: str, names: dict[str, str]) -> None:
     """Route ``Tables`` reads of ``sf_dir`` to the bucketed tables."""
-    LAYOUTS[(id(spark), sf_dir.rstrip("/"))] = dict(names)
+    LAYOUTS[(id(spark), sf_dir.rstrip("/"))] = (spark, dict(names))
 
 
 def clear_layout(spark: SparkSession, sf_dir: str) -> None:

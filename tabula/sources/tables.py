@@ -21,13 +21,14 @@ _READERS: dict[tuple[int, str], DataFrame] = {}
 
 # (session, sf_dir) -> {table: catalog table}: tables served from a prepared
 # layout instead of the raw files (see ``tabula.sources.layout``).
-LAYOUTS: dict[tuple[int, str], dict[str, str]] = {}
+LAYOUTS: dict[tuple[int, str], tuple[SparkSession, dict[str, str]]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, raw: bool = False) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    routed = None if raw else LAYOUTS.get((id(spark), sf_dir.rstrip("/")), {}).get(name)
+    owner, tables = LAYOUTS.get((id(spark), sf_dir.rstrip("/")), (None, {}))
+    routed = None if raw or owner is not spark else tables.get(name)
     if routed:
         df = spark.table(routed)
         return df.select(*columns) if columns else df
