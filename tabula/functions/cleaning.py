@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Spellings that mean "no value" once blanks are trimmed and case is folded.
+# Spellings that mean "no value" once blanks are trimmed and case is folded.
 NULL_SPELLINGS = ("", "null")
+# Fixed value: two-digit years up to this year's last two digits are 20xx, the
+# rest 19xx (the usual default cutoff of style-3 date conversions).
+TWO_DIGIT_YEAR_CUTOFF = 2049
 
 
 def _c(col: str | Column) -> Column:
@@ -53,17 +56,15 @@ def split_ids(col: str | Column) -> Column:
 
 
 def parse_two_digit_year_date(col: str | Column, sep: str = "/") -> Column:
-    """``d/M/yy`` text as DATE with the two-digit-year window 1950-2049.
-
-    Fixed value: years 00-49 are 20xx and 50-99 are 19xx, the usual default
-    cutoff of style-3 conversions. (Spark's ``yy`` pattern maps every
-    two-digit year to 20xx.)
+    """``d/M/yy`` text as DATE with the two-digit-year window 1950-2049
+    (``TWO_DIGIT_YEAR_CUTOFF``). Spark's ``yy`` pattern would map every
+    two-digit year to 20xx.
     """
     parts = F.split(_c(col), sep)
     day = parts.getItem(0).cast("int")
     month = parts.getItem(1).cast("int")
     yy = parts.getItem(2).cast("int")
-    year = F.when(yy < 50, yy + 2000).otherwise(yy + 1900)
+    year = F.when(yy <= TWO_DIGIT_YEAR_CUTOFF % 100, yy + 2000).otherwise(yy + 1900)
     return F.make_date(year, month, day)
 
 
