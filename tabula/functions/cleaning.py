@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ def parse_two_digit_year_date(col: str | Column, sep: str = "/") -> Column:
     (``TWO_DIGIT_YEAR_CUTOFF``). Spark's ``yy`` pattern would map every
     two-digit year to 20xx.
     """
-    parts = F.split(_c(col), sep)
+    parts = F.split(_c(col), re.escape(sep))  # split takes a regex
     day = parts.getItem(0).cast("int")
     month = parts.getItem(1).cast("int")
     yy = parts.getItem(2).cast("int")

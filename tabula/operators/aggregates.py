@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabula.operators.ordered import join_on_keys
+
 
 def ties_for_max(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """Rows whose ``measure`` equals the maximum of their key group.
@@ -19,19 +21,20 @@ def ties_for_max(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     Equals ``RANK() OVER (PARTITION BY keys ORDER BY measure DESC) = 1`` and
     keeps ties, without sorting any group: max per key, then equi-join.
     """
-    keys = list(keys)
-    best = df.groupBy(*keys).agg(F.max(measure).alias("__best"))
-    return (df.join(best, keys)
-            .filter(F.col(measure) == F.col("__best"))
+    return _ties(df, keys, measure, F.max)
+
+
+def _ties(df: DataFrame, keys: Sequence[str], measure: str, pick) -> DataFrame:
+    # NULL keys form their own group (PARTITION BY); a group whose measures are
+    # all NULL ties at rank one, as NULLs compare equal in window ordering
+    best = df.groupBy(*keys).agg(pick(measure).alias("__best"))
+    return (join_on_keys(df, best, list(keys))
+            .filter(F.col(measure).eqNullSafe(F.col("__best")))
             .drop("__best"))
 
 
 def ties_for_min(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    keys = list(keys)
-    best = df.groupBy(*keys).agg(F.min(measure).alias("__best"))
-    return (df.join(best, keys)
-            .filter(F.col(measure) == F.col("__best"))
-            .drop("__best"))
+    return _ties(df, keys, measure, F.min)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -56,7 +59,7 @@ def window_aggregate(df: DataFrame, keys: Sequence[str], agg: Column, out: str)
     """
     keys = list(keys)
     per_key = df.groupBy(*keys).agg(agg.alias(out))
-    return df.join(per_key, keys)
+    return join_on_keys(df, per_key, keys)  # NULL keys are one group, as in PARTITION BY
 
 
 def day_number(col: str | Column) -> Column:

@@ -36,6 +36,16 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL key is a group of
+    its own, as in PARTITION BY); keeps ``left``'s column order, then the
+    right side's other columns."""
+    r = right.select(*[F.col(k).alias("__rk_" + k) for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r["__rk_" + k]) for k in keys]
+    return left.join(r, cond, how).drop(*["__rk_" + k for k in keys])
+
+
 def _slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -75,7 +85,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     # read this copy instead of re-running the (possibly expensive) input plan
     if not _materialized:
         df = df.checkpoint(eager=True)
-    if _largest_group(df, keys) <= _group_limit(df, max_group_rows):
+    limit = _group_limit(df, max_group_rows)
+    if limit > 0 and _largest_group(df, keys) <= limit:
         frame = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         df = df.withColumn(out, F.sum(value).over(frame))
@@ -92,10 +103,12 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     blocks = local.groupBy(_PID, *keys).agg(F.sum(value).alias(_BLOCK))
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     extra = [F.sum(_BLOCK).over(Window.partitionBy(*keys)).alias(total_out)] if total_out else []
-    carry = blocks.select(_PID, *keys, F.coalesce(F.sum(_BLOCK).over(before), F.lit(0)).alias(_CARRY), *extra)
-    return (local.join(carry, [_PID, *keys])
-            .withColumn(out, F.col(_LOCAL) + F.col(_CARRY))
-            .drop(_PID, _LOCAL, _CARRY))
+    # NULL when every earlier slice of the key held only NULL values, as SUM is
+    carry = blocks.select(_PID, *keys, F.sum(_BLOCK).over(before).alias(_CARRY), *extra)
+    joined = join_on_keys(local, carry, [_PID, *keys])
+    total = F.when(F.col(_LOCAL).isNull() & F.col(_CARRY).isNull(), F.lit(None)).otherwise(
+        F.coalesce(F.col(_LOCAL), F.lit(0)) + F.coalesce(F.col(_CARRY), F.lit(0)))
+    return joined.select(*df.columns, total.alias(out), *([total_out] if total_out else []))
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "pos",
@@ -118,14 +131,16 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     """
     keys = list(keys)
     df = df.checkpoint(eager=True)  # one computation of the input for measuring and either path
-    if _largest_group(df, keys) <= _group_limit(df, max_group_rows):
+    limit = _group_limit(df, max_group_rows)
+    if limit > 0 and _largest_group(df, keys) <= limit:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in columns])
     pos = "__pos"
     numbered = position(df, keys, order, pos, max_group_rows=0, _materialized=True)
     prev = numbered.select(*keys, (F.col(pos) + 1).alias(pos),
                            *[F.col(c).alias(prefix + c) for c in columns])
-    return numbered.join(prev, [*keys, pos], "left").drop(pos)
+    out = join_on_keys(numbered, prev, [*keys, pos], "left")
+    return out.select(*df.columns, *[prefix + c for c in columns])
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
@@ -142,8 +157,12 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     one task, and no lookup table is joined.
     """
     keys = list(keys)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w"))
-    ranked = running_sum(counted, keys, [value], "__w", "__cum", max_group_rows=max_group_rows, total_out="__n")
+    # per (key, value) counts, NULL values included so that a group of only
+    # NULLs still yields a row (with NULL percentiles), as GROUP BY does
+    counted_all = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w")).checkpoint(eager=True)
+    counted = counted_all.filter(F.col(value).isNotNull())
+    ranked = running_sum(counted, keys, [value], "__w", "__cum", max_group_rows=max_group_rows,
+                         total_out="__n", _materialized=True)
     start = F.col("__cum") - F.col("__w")
     aggs, results = [], []
     for i, (name, p) in enumerate(probs.items()):
@@ -154,4 +173,6 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                  F.max(F.when((start <= hi) & (hi < F.col("__cum")), F.col(value))).alias(f"__hi{i}")]
         frac = F.col(f"__h{i}") - F.floor(F.col(f"__h{i}"))
         results.append((F.col(f"__lo{i}") + frac * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(name))
-    return ranked.groupBy(*keys).agg(*aggs).select(*keys, *results)
+    picked = ranked.groupBy(*keys).agg(*aggs).select(*keys, *results)
+    groups = counted_all.select(*keys).distinct()
+    return join_on_keys(groups, picked, keys, "left")

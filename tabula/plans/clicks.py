@@ -101,14 +101,22 @@ def product_funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
     """Per product page: views, cart adds, abandoned adds (visit without a
     purchase) and purchased adds (visit with a purchase)."""
     # (visit, page) counts and the visit's purchase flag are both aggregates;
-    # only they meet in the join, never the raw events.
-    flag = click.groupBy("visit_id").agg(F.max((F.col("event_type") == PURCHASE).cast("int")).alias("bought"))
+    # only they meet in the join, never the raw events. IN / NOT IN rules of
+    # the source: a NULL visit is neither purchased nor abandoned, and a NULL
+    # visit among the purchases makes NOT IN unknown, so nothing is abandoned.
+    is_purchase = (F.col("event_type") == PURCHASE).cast("int")
+    flag = (click.filter(F.col("visit_id").isNotNull()).groupBy("visit_id")
+            .agg(F.max(is_purchase).alias("bought")))
+    null_buyer = click.agg(F.max(is_purchase * F.col("visit_id").isNull().cast("int")).alias("__nb"))
     per_visit_page = click.groupBy("visit_id", "page_id").agg(
         _count_if(F.col("event_type") == VIEW).alias("v"), _count_if(F.col("event_type") == CART_ADD).alias("a"))
-    per_page = per_visit_page.join(flag, "visit_id").groupBy("page_id").agg(
-        F.sum("v").alias("viewed"), F.sum("a").alias("added_to_cart"),
-        F.sum(F.when(F.col("bought") == 0, F.col("a")).otherwise(0)).alias("abandoned"),
-        F.sum(F.when(F.col("bought") == 1, F.col("a")).otherwise(0)).alias("purchased"))
+    abandon = (F.col("bought") == 0) & (F.coalesce(F.col("__nb"), F.lit(0)) == 0)
+    per_page = (per_visit_page.join(flag, "visit_id", "left")
+                .crossJoin(F.broadcast(null_buyer))  # one row by construction
+                .groupBy("page_id").agg(
+                    F.sum("v").alias("viewed"), F.sum("a").alias("added_to_cart"),
+                    F.sum(F.when(abandon, F.col("a")).otherwise(0)).alias("abandoned"),
+                    F.sum(F.when(F.col("bought") == 1, F.col("a")).otherwise(0)).alias("purchased")))
     named = per_page.join(pages, "page_id").filter(F.col("product_category").isNotNull())
     return named.select("page_id", "page_name", "product_category",
                         *[F.col(c).cast("bigint").alias(c) for c in ("viewed", "added_to_cart", "abandoned",

@@ -20,10 +20,15 @@ def distinct_map(interest_map: DataFrame) -> DataFrame:
     return clean_map(interest_map).distinct()
 
 
+def _spelled_null(c: str):
+    """The text means "no value": NULL, or 'NULL' in any casing / padding (D18)."""
+    return F.col(c).isNull() | (F.lower(F.trim(F.col(c))) == "null")
+
+
 def typed_metrics(interest_metrics: DataFrame) -> DataFrame:
     """'NULL' text to NULL, numbers cast, month_year parsed to the month's first day."""
     def nul(c):
-        return F.when(F.col(c) != "NULL", F.col(c))
+        return F.when(~_spelled_null(c), F.col(c))
     return interest_metrics.select(
         nul("_month").cast("int").alias("_month"),
         nul("_year").cast("int").alias("_year"),
@@ -33,8 +38,7 @@ def typed_metrics(interest_metrics: DataFrame) -> DataFrame:
 
 def parsed_month_years(interest_metrics: DataFrame) -> DataFrame:
     """Each distinct ``MM-yyyy`` text (not the 'NULL' spelling) with its DATE."""
-    texts = (interest_metrics.select(F.col("month_year").alias("text"))
-             .where(F.col("text") != "NULL").distinct())
+    texts = interest_metrics.select(F.col("month_year").alias("text")).where(~_spelled_null("text")).distinct()
     return texts.select("text", parse_month_year("text").alias("parsed"))
 
 
@@ -62,9 +66,7 @@ def kept_metrics(interest_metrics: DataFrame) -> DataFrame:
     can go before parsing; filtering after typing would make the optimizer
     evaluate the parse twice (in the pushed-down filter and the projection).
     """
-    def present(c):
-        return F.col(c).isNotNull() & (F.col(c) != "NULL")
-    return typed_metrics(interest_metrics.filter(present("month_year") & present("interest_id")))
+    return typed_metrics(interest_metrics.filter(~_spelled_null("month_year") & ~_spelled_null("interest_id")))
 
 
 def orphan_counts(metrics: DataFrame, interest_map: DataFrame) -> DataFrame:

@@ -533,8 +533,11 @@ def _(spark, sf):
 
 
 @query("latest_row_per_key", W("""
-SELECT customer_id, arg_max(plan_id, (start_date, sub_id)) AS plan_id, MAX(start_date) AS start_date
-FROM sub GROUP BY customer_id""", "sub"), dates=('start_date',), ints=('plan_id',))
+SELECT s.customer_id, s.plan_id, s.start_date FROM sub s
+WHERE NOT EXISTS (SELECT 1 FROM sub t
+                  WHERE t.customer_id IS NOT DISTINCT FROM s.customer_id
+                    AND (t.start_date > s.start_date OR (t.start_date = s.start_date AND t.sub_id > s.sub_id)))""",
+                             "sub"), dates=('start_date',), ints=('plan_id',))
 def _(spark, sf):
     return subscriptions.latest_plan(R(spark, sf).sub())
 
@@ -700,13 +703,12 @@ _CLEAN_WEEKLY = """
 SELECT w.week_date, CAST(day(CAST(date_trunc('week', w.week_date) AS DATE)) // 7 + 1 AS BIGINT) AS week_number,
   CAST(month(w.week_date) AS BIGINT) AS month_number, CAST(year(w.week_date) AS BIGINT) AS calendar_year,
   w.region, w.platforms,
-  CASE WHEN w.known THEN w.segment ELSE 'unknown' END AS segment,
-  CASE WHEN w.known THEN COALESCE(ab.band, 'Retirees') ELSE 'unknown' END AS age_band,
-  CASE WHEN w.known THEN COALESCE(dm.label, 'Families') ELSE 'unknown' END AS demographic,
+  CASE WHEN w.segment = 'null' THEN 'unknown' ELSE w.segment END AS segment,
+  CASE WHEN w.segment = 'null' THEN 'unknown' ELSE COALESCE(ab.band, 'Retirees') END AS age_band,
+  CASE WHEN w.segment = 'null' THEN 'unknown' ELSE COALESCE(dm.label, 'Families') END AS demographic,
   w.customer_type, CAST(w.transactions AS BIGINT) AS transactions, CAST(w.sales AS BIGINT) AS sales,
   CAST(w.sales // w.transactions AS BIGINT) AS avg_transaction
-FROM (SELECT make_date(CASE WHEN yy < 50 THEN yy + 2000 ELSE yy + 1900 END, mm, dd) AS week_date,
-             segment <> 'null' AS known, *
+FROM (SELECT make_date(CASE WHEN yy < 50 THEN yy + 2000 ELSE yy + 1900 END, mm, dd) AS week_date, *
       FROM (SELECT CAST(string_split(week_date, '/')[1] AS INTEGER) AS dd,
                    CAST(string_split(week_date, '/')[2] AS INTEGER) AS mm,
                    CAST(string_split(week_date, '/')[3] AS INTEGER) AS yy,
@@ -736,7 +738,7 @@ SELECT DISTINCT week_date AS text, week_date_parsed AS parsed FROM (
     ON strftime(cw_dates.week_date, '%-d/%-m/%y') = weekly_sales.week_date) x"""
 _PARSE_MONTHS = """
 SELECT DISTINCT month_year AS text, CAST(strptime('01-' || month_year, '%d-%m-%Y') AS DATE) AS parsed
-FROM interest_metrics WHERE month_year <> 'NULL'"""
+FROM interest_metrics WHERE lower(trim(month_year)) <> 'null'"""
 
 
 @query("parse_dates", W("SELECT * FROM pw UNION ALL SELECT * FROM pm", "weekly_sales", "interest_metrics",
@@ -933,10 +935,12 @@ _FUNNEL = """
 SELECT pg.page_id, pg.page_name, pg.product_category,
        COUNT(*) FILTER (WHERE ev.event_type = 1) AS viewed,
        COUNT(*) FILTER (WHERE ev.event_type = 2) AS added_to_cart,
-       COUNT(*) FILTER (WHERE ev.event_type = 2 AND NOT EXISTS (
-           SELECT 1 FROM click pu WHERE pu.visit_id = ev.visit_id AND pu.event_type = 3)) AS abandoned,
-       COUNT(*) FILTER (WHERE ev.event_type = 2 AND EXISTS (
-           SELECT 1 FROM click pu WHERE pu.visit_id = ev.visit_id AND pu.event_type = 3)) AS purchased
+       COUNT(*) FILTER (WHERE ev.event_type = 2
+                          AND ev.visit_id NOT IN (SELECT pu.visit_id FROM click pu WHERE pu.event_type = 3))
+         AS abandoned,
+       COUNT(*) FILTER (WHERE ev.event_type = 2
+                          AND ev.visit_id IN (SELECT pu.visit_id FROM click pu WHERE pu.event_type = 3))
+         AS purchased
 FROM page_hierarchy pg JOIN click ev ON ev.page_id = pg.page_id
 WHERE pg.product_category IS NOT NULL
 GROUP BY pg.page_id, pg.page_name, pg.product_category"""
@@ -1051,9 +1055,11 @@ def _(spark, sf):
 
 # ----------------------------------------------------------------- interests
 _METRICS = """
-SELECT CAST(NULLIF(_month, 'NULL') AS INTEGER) AS _month, CAST(NULLIF(_year, 'NULL') AS INTEGER) AS _year,
-       CAST(strptime('01-' || NULLIF(month_year, 'NULL'), '%d-%m-%Y') AS DATE) AS month_year,
-       CAST(NULLIF(interest_id, 'NULL') AS BIGINT) AS interest_id
+SELECT CAST(CASE WHEN lower(trim(_month)) <> 'null' THEN _month END AS INTEGER) AS _month,
+       CAST(CASE WHEN lower(trim(_year)) <> 'null' THEN _year END AS INTEGER) AS _year,
+       CAST(strptime('01-' || CASE WHEN lower(trim(month_year)) <> 'null' THEN month_year END, '%d-%m-%Y') AS DATE)
+         AS month_year,
+       CAST(CASE WHEN lower(trim(interest_id)) <> 'null' THEN interest_id END AS BIGINT) AS interest_id
 FROM interest_metrics"""
 _CLEAN_MAP = """
 SELECT DISTINCT id, interest_name, CASE WHEN interest_summary = '' THEN NULL ELSE interest_summary END

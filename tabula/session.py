@@ -56,9 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return current.removeprefix("file:")
+    # spark.checkpoint.dir cannot be changed on a running session; register the
+    # scratch folder with the SparkContext only (getCheckpointDir finds it next time)
     local = tempfile.mkdtemp(prefix="tabula-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 

@@ -17,6 +17,8 @@ def _values(rows, cols: str) -> str:
             return "'" + v.replace("'", "''") + "'"
         if hasattr(v, "hour"):
             return f"TIMESTAMP '{v:%Y-%m-%d %H:%M:%S}'"
+        if hasattr(v, "isoformat"):
+            return f"DATE '{v.isoformat()}'"
         return str(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"SELECT * FROM (VALUES {body}) AS v({cols})"

@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tabula.session import shared_path
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """``SELECT ... INTO name``: write ``df`` (overwrite) and return a reader of it."""
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``SELECT ... INTO name``: write ``df`` and return a reader of it with the
+    same schema. Each call writes a new folder (a reader of an earlier copy
+    stays valid); the shared folder's retention policy removes old copies."""
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def snapshot(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

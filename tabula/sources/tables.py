@@ -6,6 +6,8 @@ column pruning and filter pushdown reach the scan.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -13,10 +15,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# One reader DataFrame per (session, file): resolving a Parquet source lists
-# files and reads footers, so repeated reports reuse the resolved plan. Only
-# the plan is shared -- no data is cached.
-_READERS: dict[tuple[int, str], DataFrame] = {}
+# One reader DataFrame per (session, file, version): resolving a Parquet source
+# lists files and reads footers, so repeated reports reuse the resolved plan.
+# Only the plan is shared -- no data is cached -- and a rewritten local file
+# (new modification time) gets a fresh reader; other file systems are not cached.
+_READERS: dict[tuple[int, str, float], DataFrame] = {}
 
 
 # (session, sf_dir) -> {table: catalog table}: tables served from a prepared
@@ -33,7 +36,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, raw:
         df = spark.table(routed)
         return df.select(*columns) if columns else df
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    try:
+        version = os.stat(path).st_mtime_ns
+    except OSError:  # not a local path: resolve every time
+        df = spark.read.parquet(path)
+        return df.select(*columns) if columns else df
+    key = (id(spark), path, version)
     df = _READERS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _READERS[key] = spark.read.parquet(path)

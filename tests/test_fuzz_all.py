@@ -31,8 +31,12 @@ def ts(t):
     return pa.array(t, pa.timestamp("us"))
 
 
-def write_tables(folder: str, seed: int) -> None:
+def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
     rnd = random.Random(seed)
+
+    def maybe(v, p=0.08):
+        """Sometimes NULL, when the dataset is a NULL-sprinkled one."""
+        return None if nulls and rnd.random() < p else v
     n_part, n_cust, n_orders = 60, 12, 260
     pq.write_table(pa.table({"r_regionkey": pa.array(range(5), pa.int32()),
                              "r_name": [f"REGION_{i}" for i in range(5)]}), f"{folder}/region.parquet")
@@ -44,13 +48,13 @@ def write_tables(folder: str, seed: int) -> None:
         "c_custkey": pa.array(range(n_cust), pa.int64()),
         "c_name": [f"Customer#{i}" for i in range(n_cust)],
         "c_nationkey": pa.array([rnd.randrange(25) for _ in range(n_cust)], pa.int32()),
-        "c_acctbal": [round(rnd.uniform(-999, 9999), 2) for _ in range(n_cust)],
+        "c_acctbal": [maybe(round(rnd.uniform(-999, 9999), 2)) for _ in range(n_cust)],
         "c_mktsegment": [rnd.choice(SEGMENTS) for _ in range(n_cust)]}), f"{folder}/customer.parquet")
     pq.write_table(pa.table({
         "p_partkey": pa.array(range(n_part), pa.int64()),
         "p_name": [rnd.choice(NAMES) for _ in range(n_part)],
         "p_brand": [f"Brand#{rnd.randint(1, 5)}" for _ in range(n_part)],
-        "p_type": [rnd.choice(TYPES) for _ in range(n_part)],
+        "p_type": [maybe(rnd.choice(TYPES)) for _ in range(n_part)],
         "p_size": pa.array([rnd.randint(1, 50) for _ in range(n_part)], pa.int32()),
         "p_retailprice": [round(900 + rnd.uniform(0, 99.9), 2) for _ in range(n_part)]}), f"{folder}/part.parquet")
     base = dt.datetime(1997, 11, 1)
@@ -62,7 +66,7 @@ def write_tables(folder: str, seed: int) -> None:
         "o_orderstatus": [rnd.choice("OFP") for _ in range(n_orders)],
         "o_totalprice": [round(rnd.uniform(1000, 499000), 2) for _ in range(n_orders)],
         "o_orderdate": ts(odates),
-        "o_orderpriority": [rnd.choice(PRIORITIES) for _ in range(n_orders)]}), f"{folder}/orders.parquet")
+        "o_orderpriority": [maybe(rnd.choice(PRIORITIES)) for _ in range(n_orders)]}), f"{folder}/orders.parquet")
     li = {k: [] for k in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                           "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]}
     for k, od in zip(range(n_orders), odates):
@@ -77,7 +81,7 @@ def write_tables(folder: str, seed: int) -> None:
             li["l_tax"].append(rnd.choice([0.0, 0.03, 0.08]))
             li["l_returnflag"].append(rnd.choice("ANR"))
             li["l_linestatus"].append(rnd.choice("OF"))
-            li["l_shipdate"].append(od + dt.timedelta(days=rnd.randint(-200, 400)))
+            li["l_shipdate"].append(maybe(od + dt.timedelta(days=rnd.randint(-200, 400))))
     pq.write_table(pa.table({**{k: v for k, v in li.items() if k != "l_shipdate"}, "l_shipdate": ts(li["l_shipdate"])},
                             schema=pa.schema([("l_orderkey", pa.int64()), ("l_partkey", pa.int64()),
                                               ("l_suppkey", pa.int64()), ("l_linenumber", pa.int32()),
@@ -91,22 +95,22 @@ def write_tables(folder: str, seed: int) -> None:
     pq.write_table(pa.table({
         "event_id": pa.array(range(n_ev), pa.int64()),
         "ts": ts([start + dt.timedelta(minutes=rnd.randint(0, 30 * 24 * 60)) for _ in range(n_ev)]),
-        "user_id": pa.array([rnd.choice([0, 0, 1, 2, 3, 4, 5]) for _ in range(n_ev)], pa.int64()),
+        "user_id": pa.array([maybe(rnd.choice([0, 0, 1, 2, 3, 4, 5])) for _ in range(n_ev)], pa.int64()),
         "event_type": [rnd.choice(EVENTS) for _ in range(n_ev)],
         "value": [round(rnd.uniform(0, 20), 2) for _ in range(n_ev)],
         "props": [json.dumps({"k": rnd.randrange(n_part + 10)}) for _ in range(n_ev)]}),  # some unknown pages
         f"{folder}/events.parquet")
 
 
-# FUZZ_EXTRA=21,22 adds seeds (even seeds run the forced hot-key path).
-SEEDS = [(11, False), (12, True)] + [(int(x), int(x) % 2 == 0)
-                                     for x in os.environ.get("FUZZ_EXTRA", "").split(",") if x]
+# FUZZ_EXTRA=21,22 adds seeds (even seeds: forced hot-key path; seeds divisible by 3: NULLs).
+SEEDS = [(11, False, False), (12, True, False), (15, False, True)] + [
+    (int(x), int(x) % 2 == 0, int(x) % 3 == 0) for x in os.environ.get("FUZZ_EXTRA", "").split(",") if x]
 
 
-@pytest.mark.parametrize("seed, sliced", SEEDS)
-def test_all_reports_match_oracle(spark, seed, sliced):
+@pytest.mark.parametrize("seed, sliced, nulls", SEEDS)
+def test_all_reports_match_oracle(spark, seed, sliced, nulls):
     folder = tempfile.mkdtemp(prefix="tabula-fuzz-all-", dir="/tmp")
-    write_tables(folder, seed)
+    write_tables(folder, seed, nulls)
     con = duck(folder, tables=["region", "nation", "customer", "part", "orders", "lineitem", "events"])
     if sliced:
         spark.conf.set("tabula.ordered.maxGroupRows", "1")

@@ -117,3 +117,35 @@ def test_hot_key_takes_sliced_path(spark, skewed):
     plan = ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", max_group_rows=500)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in text or "LogicalRDD" in text  # sliced + checkpointed
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_null_keys_and_values_like_sql(spark, limit):
+    rows = [(None, i, i, (None if i % 10 == 0 else 1)) for i in range(40)] + [(1, i, 100 + i, 2) for i in range(5)]
+    df = spark.createDataFrame(rows, "k int, o int, id int, v int")
+    got = ordered.running_sum(df, ["k"], ["o", "id"], "v", "rs", slices=4, max_group_rows=limit)
+    assert got.columns == ["k", "o", "id", "v", "rs"]
+    pdf = df.toPandas().sort_values(["o", "id"])
+    want = {}
+    for k, g in pdf.groupby(pdf.k.fillna(-1)):
+        seen = None
+        for i, v in zip(g.id, g.v):
+            if not pd.isna(v):
+                seen = (seen or 0) + int(v)
+            want[i] = seen
+    assert {r.id: r.rs for r in got.collect()} == want
+    lag = ordered.with_previous(df, ["k"], ["o", "id"], ["v"], max_group_rows=limit)
+    assert lag.columns == ["k", "o", "id", "v", "previous_v"] and lag.count() == len(rows)
+    pct = ordered.exact_percentiles(spark.createDataFrame([(None, 1.0), (None, 3.0), (2, None)], "k int, v double"),
+                                    ["k"], "v", {"m": 0.5}, max_group_rows=limit)
+    assert {r.k: r.m for r in pct.collect()} == {None: 2.0, 2: None}
+
+
+def test_aggregate_operators_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (2, None), (2, None)], "k int, v int")
+    n = {(r.k, r.v): r.n for r in aggregates.window_aggregate(df, ["k"], F.count(F.lit(1)), "n").collect()}
+    assert n == {(None, 1): 2, (None, 2): 2, (1, 3): 1, (2, None): 2}
+    top = sorted(map(tuple, aggregates.ties_for_max(df, ["k"], "v").collect()), key=str)
+    assert top == sorted([(None, 2), (1, 3), (2, None), (2, None)], key=str)
+    low = sorted(map(tuple, aggregates.ties_for_min(df, ["k"], "v").collect()), key=str)
+    assert low == sorted([(None, 1), (1, 3), (2, None), (2, None)], key=str)

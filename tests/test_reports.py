@@ -208,3 +208,44 @@ def test_pivot_counts_empty_cell_as_zero(spark):
     names = spark.createDataFrame([(1, "Meatlovers"), (2, "Vegetarian")], "pizza_id int, pizza_name string")
     row = delivery.pizzas_per_customer_pivot(co, ro, names).first()
     assert (row.meatlovers, row.vegetarian) == (1, 0)
+
+
+def test_funnel_null_visits_follow_in_and_not_in(spark):
+    import duckdb
+
+    from tabula.plans.registry import _FUNNEL
+    ts = dt.datetime
+    rows = [("v1", 1, 10, 2, ts(2024, 1, 2, 10, 0), 1), ("v1", 1, 10, 3, ts(2024, 1, 2, 10, 5), 2),
+            ("v2", 2, 10, 2, ts(2024, 1, 3, 10, 0), 3), (None, None, 10, 2, ts(2024, 1, 4, 10, 0), 4),
+            (None, None, 10, 1, ts(2024, 1, 4, 11, 0), 5)]
+    schema = "visit_id string, user_id int, page_id bigint, event_type int, event_time timestamp_ntz, event_id int"
+    pages = [(10, "Salmon", "Fish", 10)]
+    pschema = "page_id bigint, page_name string, product_category string, product_id bigint"
+    for extra_null_purchase in (False, True):
+        data = rows + ([(None, None, 10, 3, ts(2024, 1, 5, 9, 0), 6)] if extra_null_purchase else [])
+        click = spark.createDataFrame(data, schema)
+        page_df = spark.createDataFrame(pages, pschema)
+        got = clicks.product_funnel(click, page_df).first()
+        con = duckdb.connect()
+        con.register("click", click.toPandas())
+        con.register("page_hierarchy", page_df.toPandas())
+        want = con.sql(_FUNNEL).fetchall()[0]
+        assert (got.viewed, got.added_to_cart, got.abandoned, got.purchased) == tuple(want[3:])
+    # without a NULL purchase: v2 abandoned, NULL-visit add neither; with one: nothing is abandoned
+    assert want[3:] == (1, 3, 0, 1)
+
+
+def test_weekly_null_segment_decodes_like_source(spark):
+    raw = spark.createDataFrame([("15/6/20", "EU", "Retail", None, "New", 10, 100)],
+                                "week_date string, region string, platforms string, segment string, "
+                                "customer_type string, transactions int, sales bigint")
+    row = mart.clean_weekly_sales(raw).first()
+    assert (row.segment, row.age_band, row.demographic) == (None, "Retirees", "Families")
+
+
+def test_null_spellings_in_metrics(spark):
+    raw = spark.createDataFrame([(" null ", "Null", "01-2020", "NULL "), ("1", "2020", "01-2020", "7")],
+                                "_month string, _year string, month_year string, interest_id string")
+    rows = interests.typed_metrics(raw).collect()
+    assert [tuple(r) for r in rows] == [(None, None, D(2020, 1, 1), None), (1, 2020, D(2020, 1, 1), 7)]
+    assert interests.kept_metrics(raw).count() == 1
