@@ -36,8 +36,8 @@ def week_of_month_of_monday(col) -> Column:
 
 def minute_component(later, earlier) -> Column:
     """Minute part (0-59) of the interval ``later - earlier``; 130 minutes -> 10."""
-    total = F.timestamp_diff("MINUTE", _c(earlier), _c(later))
-    return F.pmod(total, F.lit(60)).cast("bigint")
+    seconds = F.timestamp_diff("SECOND", _c(earlier), _c(later))
+    return F.pmod(F.floor(seconds / 60), F.lit(60)).cast("bigint")
 
 
 def add_term(col, unit: str, n: int | Column) -> Column:

@@ -69,16 +69,20 @@ def day_number(col: str | Column) -> Column:
 
 
 def pair_totals(left: DataFrame, right: DataFrame, key: str, date_col: str) -> DataFrame:
-    """For every key: number of (left, right) row pairs and the sum of
-    ``right.date - left.date`` over those pairs, without forming the pairs.
-
-    sum over pairs (r - l) = n_l * sum(r) - n_r * sum(l).
+    """For every key: number of (left, right) row pairs, the pairs where both
+    dates exist, and the sum of ``right.date - left.date`` over those, without
+    forming the pairs: sum over pairs (r - l) = n_l * sum(r) - n_r * sum(l),
+    counting and summing non-NULL dates only.
     """
-    lt = left.groupBy(key).agg(F.count(F.lit(1)).alias("n_l"), F.sum(day_number(date_col)).alias("s_l"))
-    rt = right.groupBy(key).agg(F.count(F.lit(1)).alias("n_r"), F.sum(day_number(date_col)).alias("s_r"))
+    def side(df, n, nn, total):
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(n), F.count(date_col).alias(nn),
+                                   F.sum(day_number(date_col)).alias(total))
+    lt, rt = side(left, "n_l", "nn_l", "s_l"), side(right, "n_r", "nn_r", "s_r")
     return lt.join(rt, key).select(
         key, (F.col("n_l") * F.col("n_r")).alias("pairs"),
-        (F.col("n_l") * F.col("s_r") - F.col("n_r") * F.col("s_l")).alias("diff_sum"))
+        (F.col("nn_l") * F.col("nn_r")).alias("dated_pairs"),
+        (F.col("nn_l") * F.coalesce(F.col("s_r"), F.lit(0))
+         - F.col("nn_r") * F.coalesce(F.col("s_l"), F.lit(0))).alias("diff_sum"))
 
 
 def band_pairs(left: DataFrame, right: DataFrame, key: str, date_col: str, max_gap: int) -> DataFrame:

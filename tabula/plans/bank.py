@@ -80,9 +80,15 @@ def busy_customers_per_month(txn: DataFrame, min_txns: int = 2) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("num_cus")))
 
 
+def placed(txn: DataFrame) -> DataFrame:
+    """Transactions that have a customer and a date. Others cannot be placed
+    on a customer's timeline and enter no balance."""
+    return txn.filter(F.col("customer_id").isNotNull() & F.col("txn_date").isNotNull())
+
+
 def daily_ledger(txn: DataFrame) -> DataFrame:
     """(customer, day): net amount, row count and balance at the end of the day."""
-    daily = txn.groupBy("customer_id", "txn_date").agg(
+    daily = placed(txn).groupBy("customer_id", "txn_date").agg(
         F.sum(_signed()).alias("net"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("customer_id").orderBy("txn_date").rowsBetween(Window.unboundedPreceding, 0)
     return daily.withColumn("balance", F.sum("net").over(w))  # <= one row per calendar day
@@ -104,7 +110,7 @@ def closing_balance_pivot(txn: DataFrame, months=PIVOT_MONTHS) -> DataFrame:
     """Per (customer, year): balance at the end of each of ``months`` -- the
     ledger sum of everything up to that month, NULL before the first
     transaction; a month without activity carries the earlier balance."""
-    monthly = txn.groupBy("customer_id", F.year("txn_date").alias("y"), F.month("txn_date").alias("m")).agg(
+    monthly = placed(txn).groupBy("customer_id", F.year("txn_date").alias("y"), F.month("txn_date").alias("m")).agg(
         F.sum(_signed()).alias("net"))
     per_year = monthly.groupBy("customer_id", "y").agg(
         F.sum("net").alias("year_net"),
@@ -136,7 +142,8 @@ def running_balance(txn: DataFrame) -> DataFrame:
     """Each transaction with its impact and the running balance; rows of the
     same day share the end-of-day balance (the default RANGE frame)."""
     daily = daily_ledger(txn).select("customer_id", "txn_date", "balance")
-    return txn.join(daily, ["customer_id", "txn_date"]).select(
+    # left join: a transaction without customer or date keeps its row, with no balance
+    return txn.join(daily, ["customer_id", "txn_date"], "left").select(
         "customer_id", "txn_date", "txn_type", "txn_id",
         _signed().cast("double").alias("impact"), F.col("balance").cast("double").alias("running_balance"))
 
@@ -151,7 +158,8 @@ def running_balance_stats(txn: DataFrame) -> DataFrame:
         F.max_by("balance", "txn_date").cast("double").alias("closing_balance"),
         F.max("balance").cast("double").alias("max_running_balance_in_month"),
         F.min("balance").cast("double").alias("min_running_balance_in_month"),
-        F.round((F.sum(F.col("balance") * F.col("n")) / F.sum("n")).cast("double"), 4)
+        F.round((F.sum(F.col("balance") * F.col("n"))
+                 / F.sum(F.when(F.col("balance").isNotNull(), F.col("n")))).cast("double"), 4)
          .alias("avg_running_balance_in_month"))
 
 

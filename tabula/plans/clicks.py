@@ -73,7 +73,7 @@ def _per_page(events: DataFrame, *aggs) -> DataFrame:
 def top_pages(click: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
     views = _per_page(click.filter(F.col("event_type") == VIEW), F.count(F.lit(1)).alias("n"))
     counts = views.join(pages_in_use(click, pages), "page_id").groupBy("page_name").agg(F.sum("n").alias("page_views"))
-    return counts.orderBy(F.desc("page_views"), F.asc("page_name")).limit(k)
+    return counts.orderBy(F.desc("page_views"), F.asc_nulls_last("page_name")).limit(k)
 
 
 def cart_adds_in_purchase_visits(click: DataFrame, pages: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def cart_adds_in_purchase_visits(click: DataFrame, pages: DataFrame) -> DataFram
 def top_purchased_products(click: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
     """TOP k pages by cart adds in visits with a purchase; name breaks ties."""
     counts = cart_adds_in_purchase_visits(click, pages)
-    return counts.orderBy(F.desc("num_purchased"), F.asc("page_name")).limit(k)
+    return counts.orderBy(F.desc("num_purchased"), F.asc_nulls_last("page_name")).limit(k)
 
 
 def category_views(click: DataFrame, pages: DataFrame) -> DataFrame:
@@ -107,10 +107,12 @@ def product_funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
     is_purchase = (F.col("event_type") == PURCHASE).cast("int")
     flag = (click.filter(F.col("visit_id").isNotNull()).groupBy("visit_id")
             .agg(F.max(is_purchase).alias("bought")))
-    null_buyer = click.agg(F.max(is_purchase * F.col("visit_id").isNull().cast("int")).alias("__nb"))
+    null_buyer = click.agg(F.max(is_purchase * F.col("visit_id").isNull().cast("int")).alias("__nb"),
+                           F.max(is_purchase).alias("__any"))
     per_visit_page = click.groupBy("visit_id", "page_id").agg(
         _count_if(F.col("event_type") == VIEW).alias("v"), _count_if(F.col("event_type") == CART_ADD).alias("a"))
-    abandon = (F.col("bought") == 0) & (F.coalesce(F.col("__nb"), F.lit(0)) == 0)
+    no_purchases = F.coalesce(F.col("__any"), F.lit(0)) == 0  # NOT IN (empty set) holds for every row
+    abandon = no_purchases | ((F.col("bought") == 0) & (F.coalesce(F.col("__nb"), F.lit(0)) == 0))
     per_page = (per_visit_page.join(flag, "visit_id", "left")
                 .crossJoin(F.broadcast(null_buyer))  # one row by construction
                 .groupBy("page_id").agg(
@@ -186,9 +188,12 @@ def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Dat
         _count_if(F.col("event_type") == AD_CLICK).alias("click"))
     products = used.filter(F.col("product_id").isNotNull()).select("page_id", "page_name")
     adds = click.filter(F.col("event_type") == CART_ADD).join(products, "page_id")
-    cart = adds.groupBy("visit_id", "user_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name"))),
-        lambda e: e["page_name"]), ", ").alias("cart_products"))
+    # STRING_AGG in event order: NULL names skipped, NULL when none is left
+    ordered_names = F.transform(F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name"))),
+                                lambda e: e["page_name"])
+    names = F.filter(ordered_names, lambda n: n.isNotNull())
+    cart = adds.groupBy("visit_id", "user_id").agg(
+        F.when(F.size(names) > 0, F.array_join(names, ", ")).alias("cart_products"))
     g = starts.join(g, ["visit_id", "user_id"]).join(cart, ["visit_id", "user_id"], "left")
     g = range_lookup(g, campaigns, "visit_start_time", "start_date", "end_date", len(CAMPAIGNS))
     return g.select("visit_id", "user_id",

@@ -13,6 +13,13 @@ from tabula.functions.cleaning import normalize_nulls, parse_quantity, split_ids
 from tabula.functions.dates import minute_component, sunday_weeks_between
 from tabula.operators.aggregates import window_aggregate
 
+
+def string_agg_sorted(col: str, sep: str = ", "):
+    """STRING_AGG(col, sep) ordered by the value: NULLs skipped, NULL when
+    the group has no value (an empty list joins to NULL, not '')."""
+    values = F.array_sort(F.collect_list(col))
+    return F.when(F.size(values) > 0, F.array_join(values, sep))
+
 # Price per pizza type, extra-topping surcharge, rate per km.
 PIZZA_PRICE = {1: 12, 2: 10}
 EXTRA_CHARGE = 1
@@ -39,8 +46,9 @@ def delivered(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame
 
 
 def _price(pizza):
-    expr = F.lit(PIZZA_PRICE[2])
-    return F.when(pizza == 1, F.lit(PIZZA_PRICE[1])).otherwise(expr)
+    """Price of one pizza; NULL for a NULL pizza id, which then adds nothing
+    (the source multiplies COUNT(pizza_id), which skips NULLs)."""
+    return F.when(pizza == 1, F.lit(PIZZA_PRICE[1])).when(pizza.isNotNull(), F.lit(PIZZA_PRICE[2]))
 
 
 def delivery_counts(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
@@ -160,8 +168,7 @@ def _named_lists(lists: DataFrame, toppings: DataFrame, *list_cols: str) -> Data
     distinct = texts.where(F.col("lst").isNotNull()).distinct()
     items = distinct.select("lst", F.explode(split_ids("lst")).alias("topping_id"))
     named = items.join(toppings, "topping_id")
-    return named.groupBy("lst").agg(
-        F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias("names"))
+    return named.groupBy("lst").agg(string_agg_sorted("topping_name").alias("names"))
 
 
 def topping_counts(customer_orders: DataFrame, toppings: DataFrame) -> DataFrame:
@@ -178,7 +185,7 @@ def topping_counts(customer_orders: DataFrame, toppings: DataFrame) -> DataFrame
 def most_common_topping(customer_orders: DataFrame, toppings: DataFrame, kind: str) -> DataFrame:
     """TOP 1 topping added as an extra (``kind='extra'``) or excluded; name breaks ties."""
     counts = topping_counts(customer_orders, toppings).filter(F.col("kind") == kind)
-    return counts.orderBy(F.desc("times"), F.asc("topping_name")).limit(1).select("topping_name", "times")
+    return counts.orderBy(F.desc("times"), F.asc_nulls_last("topping_name")).limit(1).select("topping_name", "times")
 
 
 def extras_per_order(customer_orders: DataFrame, toppings: DataFrame) -> DataFrame:
@@ -186,8 +193,7 @@ def extras_per_order(customer_orders: DataFrame, toppings: DataFrame) -> DataFra
     co = clean_customer_orders(customer_orders)
     items = co.select("order_id", F.explode(split_ids("extras")).alias("topping_id"))
     named = items.join(toppings, "topping_id")
-    return named.groupBy("order_id").agg(
-        F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias("toppings"))
+    return named.groupBy("order_id").agg(string_agg_sorted("topping_name").alias("toppings"))
 
 
 def order_descriptions(customer_orders: DataFrame, pizza_names: DataFrame, toppings: DataFrame) -> DataFrame:

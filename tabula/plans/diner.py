@@ -33,8 +33,8 @@ def global_counts(sale: DataFrame) -> DataFrame:
 
 def first_items(sale: DataFrame, menu: DataFrame) -> DataFrame:
     """Items bought on each customer's first order date (distinct pairs)."""
-    first = ties_for_min(sale.select("customer_id", "order_date", "product_id"),
-                         ["customer_id"], "order_date")
+    dated = sale.select("customer_id", "order_date", "product_id").filter(F.col("order_date").isNotNull())
+    first = ties_for_min(dated, ["customer_id"], "order_date")
     return first.join(menu, "product_id").select("customer_id", "product_name").distinct()
 
 
@@ -42,7 +42,7 @@ def top_items(sale: DataFrame, menu: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` most purchased item names (TOP k, name as tiebreak)."""
     per_product = sale.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))  # before the menu join
     counts = per_product.join(menu, "product_id").groupBy("product_name").agg(F.sum("n").alias("no_buy"))
-    return counts.orderBy(F.desc("no_buy"), F.asc("product_name")).limit(k)
+    return counts.orderBy(F.desc("no_buy"), F.asc_nulls_last("product_name")).limit(k)
 
 
 def favourite_items(sale: DataFrame, menu: DataFrame) -> DataFrame:

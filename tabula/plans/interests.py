@@ -11,8 +11,8 @@ from tabula.operators.joins import anti_exists
 
 def clean_map(interest_map: DataFrame) -> DataFrame:
     """Empty summaries become NULL (``UPDATE ... SET x = NULL WHERE x = ''``)."""
-    return update_where(interest_map, "interest_summary", F.col("interest_summary") == "",
-                        F.lit(None).cast("string"))
+    return update_where(interest_map, "interest_summary", F.trim(F.col("interest_summary")) == "",
+                        F.lit(None).cast("string"))  # D18: blanks only count as empty
 
 
 def distinct_map(interest_map: DataFrame) -> DataFrame:

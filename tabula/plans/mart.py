@@ -25,7 +25,7 @@ def clean_weekly_sales(weekly_sales: DataFrame) -> DataFrame:
     (integer division of sales by transactions, as BIGINT / INT does)."""
     d = parse_two_digit_year_date("week_date")
     seg = F.col("segment")
-    is_null = seg == "null"
+    is_null = F.lower(F.trim(seg)) == "null"  # D18: case and blanks do not matter
     age = F.lit(AGE_BAND_OTHER)
     for code, band in reversed(list(AGE_BANDS.items())):
         age = F.when(F.substring(seg, -1, 1) == code, F.lit(band)).otherwise(age)
@@ -50,7 +50,7 @@ def clean_weekly_sales(weekly_sales: DataFrame) -> DataFrame:
 
 def parsed_week_dates(weekly_sales: DataFrame) -> DataFrame:
     """Each distinct ``d/M/yy`` week text with its DATE."""
-    texts = weekly_sales.select(F.col("week_date").alias("text")).distinct()
+    texts = weekly_sales.select(F.col("week_date").alias("text")).where(F.col("text").isNotNull()).distinct()
     return texts.select("text", parse_two_digit_year_date("text").alias("parsed"))
 
 

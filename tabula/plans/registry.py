@@ -93,7 +93,7 @@ def _(spark, sf):
 
 @query("top_k", W("""
 SELECT m.product_name, COUNT(*) AS no_buy FROM sale s JOIN menu m ON s.product_id = m.product_id
-GROUP BY m.product_name ORDER BY no_buy DESC, product_name ASC LIMIT 3""", "sale", "menu"))
+GROUP BY m.product_name ORDER BY no_buy DESC, product_name ASC NULLS LAST LIMIT 3""", "sale", "menu"))
 def _(spark, sf):
     r = R(spark, sf)
     return diner.top_items(r.sale(), r.menu(), 3)
@@ -103,9 +103,9 @@ def _(spark, sf):
 SELECT t.customer_id, t.product_id, mn.product_name, t.purchase_count
 FROM tally t
 JOIN (SELECT customer_id, MAX(purchase_count) AS most FROM tally GROUP BY customer_id) b
-  ON t.customer_id = b.customer_id AND t.purchase_count = b.most
+  ON t.customer_id IS NOT DISTINCT FROM b.customer_id AND t.purchase_count = b.most
 JOIN menu mn ON mn.product_id = t.product_id""", "sale", "menu",
-  extra={"tally": "SELECT customer_id, product_id, COUNT(*) AS purchase_count FROM sale GROUP BY 1, 2"}))
+  extra={"tally": "SELECT customer_id, product_id, COUNT(product_id) AS purchase_count FROM sale GROUP BY 1, 2"}))
 def _(spark, sf):
     r = R(spark, sf)
     return diner.favourite_items(r.sale(), r.menu())
@@ -286,8 +286,9 @@ def _(spark, sf):
 SELECT runner_id,
   CAST(SUM(m) // COUNT(m) AS BIGINT) AS avg_pickup_minute,
   round(AVG(total), 4) AS avg_pickup_total_minutes
-FROM (SELECT runner_id, date_diff('minute', order_time, pickup_time) AS total,
-             CAST(date_diff('minute', order_time, pickup_time) % 60 AS BIGINT) AS m FROM dl) x
+FROM (SELECT runner_id, CAST(trunc((epoch(pickup_time) - epoch(order_time)) / 60) AS BIGINT) AS total,
+             CAST(((floor((epoch(pickup_time) - epoch(order_time)) / 60) % 60) + 60) % 60 AS BIGINT) AS m
+      FROM dl) x
 GROUP BY runner_id"""))
 def _(spark, sf):
     _, co, ro = _d(spark, sf)
@@ -349,7 +350,7 @@ def _top_topping_sql(col: str, kind: str) -> str:
     return f"""
 SELECT t.topping_name, COUNT(*) AS times
 FROM (SELECT TRY_CAST(trim(v) AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col=col)} AS v FROM co) a) x
-JOIN toppings t ON x.id = t.topping_id GROUP BY t.topping_name ORDER BY times DESC, topping_name ASC LIMIT 1"""
+JOIN toppings t ON x.id = t.topping_id GROUP BY t.topping_name ORDER BY times DESC, topping_name ASC NULLS LAST LIMIT 1"""
 
 
 @query("most_common_extra", DW(_top_topping_sql("extras", "extra"), "toppings"))
@@ -397,15 +398,16 @@ def _(spark, sf):
 
 
 @query("tiered_revenue", DW("""
-SELECT CAST(SUM(CASE pizza_id WHEN 1 THEN 12 ELSE 10 END) AS BIGINT) AS total_sales FROM dl"""))
+SELECT CAST(SUM(CASE WHEN pizza_id = 1 THEN 12 WHEN pizza_id IS NOT NULL THEN 10 END) AS BIGINT) AS total_sales
+FROM dl"""))
 def _(spark, sf):
     _, co, ro = _d(spark, sf)
     return delivery.revenue(co, ro)
 
 
 @query("like_surcharge", DW("""
-SELECT CAST(SUM(CASE pizza_id WHEN 1 THEN 12 ELSE 10 END + (COALESCE(extras, '') LIKE '%4%')::INTEGER) AS BIGINT)
-         AS total_sales FROM dl"""))
+SELECT CAST(SUM(CASE WHEN pizza_id = 1 THEN 12 WHEN pizza_id IS NOT NULL THEN 10 END
+                + (COALESCE(extras, '') LIKE '%4%')::INTEGER) AS BIGINT) AS total_sales FROM dl"""))
 def _(spark, sf):
     _, co, ro = _d(spark, sf)
     return delivery.revenue_with_surcharge(co, ro)
@@ -414,7 +416,8 @@ def _(spark, sf):
 @query("net_revenue", DW("""
 SELECT ro.order_id, s.sales, CAST(ro.distance AS DOUBLE) AS distance,
        CAST(ro.distance * 0.30 AS DOUBLE) AS shipping_fee, CAST(s.sales - ro.distance * 0.30 AS DOUBLE) AS left_over
-FROM ro JOIN (SELECT order_id, CAST(SUM(CASE WHEN pizza_id = 1 THEN 12 ELSE 10 END) AS BIGINT) AS sales
+FROM ro JOIN (SELECT order_id, CAST(SUM(CASE WHEN pizza_id = 1 THEN 12 WHEN pizza_id IS NOT NULL THEN 10 END)
+                                      AS BIGINT) AS sales
               FROM co GROUP BY order_id) s ON ro.order_id = s.order_id
 WHERE ro.cancellation IS NULL"""))
 def _(spark, sf):
@@ -492,7 +495,7 @@ def _(spark, sf):
 
 
 @query("avg_days_to_plan", W("""
-SELECT round(AVG(gap), 4) AS avg_days_to_annual, CAST(SUM(gap) // NULLIF(COUNT(*), 0) AS BIGINT)
+SELECT round(AVG(gap), 4) AS avg_days_to_annual, CAST(SUM(gap) // NULLIF(COUNT(gap), 0) AS BIGINT)
          AS avg_days_to_annual_int, COUNT(*) AS num_pairs
 FROM (SELECT annual.start_date - trial.start_date AS gap
       FROM (SELECT customer_id, start_date FROM sub WHERE plan_id = 0) trial
@@ -502,10 +505,10 @@ def _(spark, sf):
 
 
 @query("day_bucket_breakdown", W("""
-SELECT CASE WHEN gap < 0 OR gap > 90 THEN 'More than 90 days'
+SELECT CASE WHEN gap IS NULL OR gap < 0 OR gap > 90 THEN 'More than 90 days'
             ELSE CAST(greatest(30 * ((gap - 1) // 30), 0) + (CASE WHEN gap > 30 THEN 1 ELSE 0 END) AS VARCHAR)
                  || '-' || CAST(30 * greatest((gap + 29) // 30, 1) AS VARCHAR) || ' days' END AS break_period,
-       round(AVG(gap), 4) AS avg_day_between, CAST(SUM(gap) // COUNT(*) AS BIGINT) AS avg_day_between_int,
+       round(AVG(gap), 4) AS avg_day_between, CAST(SUM(gap) // NULLIF(COUNT(gap), 0) AS BIGINT) AS avg_day_between_int,
        COUNT(*) AS num_cus
 FROM (SELECT annual.start_date - trial.start_date AS gap
       FROM (SELECT customer_id, start_date FROM sub WHERE plan_id = 0) trial
@@ -533,10 +536,8 @@ def _(spark, sf):
 
 
 @query("latest_row_per_key", W("""
-SELECT s.customer_id, s.plan_id, s.start_date FROM sub s
-WHERE NOT EXISTS (SELECT 1 FROM sub t
-                  WHERE t.customer_id IS NOT DISTINCT FROM s.customer_id
-                    AND (t.start_date > s.start_date OR (t.start_date = s.start_date AND t.sub_id > s.sub_id)))""",
+SELECT customer_id, plan_id, start_date FROM sub
+QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY start_date DESC NULLS LAST, sub_id DESC NULLS LAST) = 1""",
                              "sub"), dates=('start_date',), ints=('plan_id',))
 def _(spark, sf):
     return subscriptions.latest_plan(R(spark, sf).sub())
@@ -651,7 +652,7 @@ _SIGNED = "CASE WHEN txn_type = 'deposit' THEN txn_amount ELSE -txn_amount END"
 SELECT customer_id, CAST(y AS BIGINT) AS txn_year, CAST(m AS BIGINT) AS txn_month,
        CAST(SUM(net) OVER (PARTITION BY customer_id ORDER BY y, m) AS DOUBLE) AS closing_balance
 FROM (SELECT customer_id, year(txn_date) AS y, month(txn_date) AS m, SUM({_SIGNED}) AS net
-      FROM txn GROUP BY 1, 2, 3) monthly""", "txn"))
+      FROM txn WHERE customer_id IS NOT NULL AND txn_date IS NOT NULL GROUP BY 1, 2, 3) monthly""", "txn"))
 def _(spark, sf):
     return bank.monthly_closing(R(spark, sf).txn())
 
@@ -659,7 +660,8 @@ def _(spark, sf):
 _PIVOT_SQL = f"""
 SELECT customer_id, CAST(y AS BIGINT) AS txn_year,
   {", ".join(f"CAST((SELECT SUM({_SIGNED.replace('txn_', 't2.txn_')}) FROM txn t2 WHERE t2.customer_id = k.customer_id AND t2.txn_date < make_date(k.y, {m}, 1) + INTERVAL 1 MONTH) AS DOUBLE) AS month{m}" for m in bank.PIVOT_MONTHS)}
-FROM (SELECT DISTINCT customer_id, year(txn_date) AS y FROM txn) k"""
+FROM (SELECT DISTINCT customer_id, year(txn_date) AS y FROM txn
+      WHERE customer_id IS NOT NULL AND txn_date IS NOT NULL) k"""
 
 
 @query("closing_balance_pivot", W(_PIVOT_SQL, "txn"))
@@ -688,11 +690,12 @@ def _(spark, sf):
 
 @query("running_balance_stats", W(f"""
 SELECT customer_id, CAST(year(txn_date) AS BIGINT) AS txn_year, CAST(month(txn_date) AS BIGINT) AS txn_month,
-       CAST(arg_max(rb, txn_date) AS DOUBLE) AS closing_balance,
+       CAST(arg_max_null(rb, txn_date) AS DOUBLE) AS closing_balance,
        CAST(MAX(rb) AS DOUBLE) AS max_running_balance_in_month, CAST(MIN(rb) AS DOUBLE) AS min_running_balance_in_month,
        round(CAST(AVG(rb) AS DOUBLE), 4) AS avg_running_balance_in_month
 FROM (SELECT customer_id, txn_date, SUM({_SIGNED}) OVER (PARTITION BY customer_id ORDER BY txn_date
-                                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb FROM txn) x
+                                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb FROM txn
+      WHERE customer_id IS NOT NULL AND txn_date IS NOT NULL) x
 GROUP BY customer_id, year(txn_date), month(txn_date)""", "txn"))
 def _(spark, sf):
     return bank.running_balance_stats(R(spark, sf).txn())
@@ -703,9 +706,9 @@ _CLEAN_WEEKLY = """
 SELECT w.week_date, CAST(day(CAST(date_trunc('week', w.week_date) AS DATE)) // 7 + 1 AS BIGINT) AS week_number,
   CAST(month(w.week_date) AS BIGINT) AS month_number, CAST(year(w.week_date) AS BIGINT) AS calendar_year,
   w.region, w.platforms,
-  CASE WHEN w.segment = 'null' THEN 'unknown' ELSE w.segment END AS segment,
-  CASE WHEN w.segment = 'null' THEN 'unknown' ELSE COALESCE(ab.band, 'Retirees') END AS age_band,
-  CASE WHEN w.segment = 'null' THEN 'unknown' ELSE COALESCE(dm.label, 'Families') END AS demographic,
+  CASE WHEN lower(trim(w.segment)) = 'null' THEN 'unknown' ELSE w.segment END AS segment,
+  CASE WHEN lower(trim(w.segment)) = 'null' THEN 'unknown' ELSE COALESCE(ab.band, 'Retirees') END AS age_band,
+  CASE WHEN lower(trim(w.segment)) = 'null' THEN 'unknown' ELSE COALESCE(dm.label, 'Families') END AS demographic,
   w.customer_type, CAST(w.transactions AS BIGINT) AS transactions, CAST(w.sales AS BIGINT) AS sales,
   CAST(w.sales // w.transactions AS BIGINT) AS avg_transaction
 FROM (SELECT make_date(CASE WHEN yy < 50 THEN yy + 2000 ELSE yy + 1900 END, mm, dd) AS week_date, *
@@ -795,7 +798,8 @@ def _(spark, sf):
 
 
 @query("integer_division", MW("""
-SELECT calendar_year, platforms, CAST(SUM(sales // transactions) // COUNT(*) AS BIGINT) AS avg_transaction_size,
+SELECT calendar_year, platforms,
+       CAST(SUM(sales // transactions) // COUNT(sales // transactions) AS BIGINT) AS avg_transaction_size,
        round(AVG(sales // transactions), 4) AS avg_transaction_size_exact
 FROM cw GROUP BY calendar_year, platforms"""))
 def _(spark, sf):
@@ -895,7 +899,7 @@ def _(spark, sf):
 
 @query("top_pages", CW("""
 SELECT p.page_name, COUNT(*) AS page_views FROM click e JOIN page_hierarchy p ON e.page_id = p.page_id
-WHERE e.event_type = 1 GROUP BY p.page_name ORDER BY page_views DESC, page_name ASC LIMIT 3""", "page_hierarchy"))
+WHERE e.event_type = 1 GROUP BY p.page_name ORDER BY page_views DESC, page_name ASC NULLS LAST LIMIT 3""", "page_hierarchy"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.top_pages(c, r.page_hierarchy(), 3)
@@ -915,7 +919,7 @@ def _(spark, sf):
 SELECT pg.page_name, COUNT(*) AS num_purchased
 FROM click ev JOIN page_hierarchy pg ON pg.page_id = ev.page_id
 WHERE ev.event_type = 2 AND EXISTS (SELECT 1 FROM click pu WHERE pu.visit_id = ev.visit_id AND pu.event_type = 3)
-GROUP BY pg.page_name ORDER BY num_purchased DESC, page_name ASC LIMIT 3""", "page_hierarchy"))
+GROUP BY pg.page_name ORDER BY num_purchased DESC, page_name ASC NULLS LAST LIMIT 3""", "page_hierarchy"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.top_purchased_products(c, r.page_hierarchy(), 3)
@@ -1062,7 +1066,7 @@ SELECT CAST(CASE WHEN lower(trim(_month)) <> 'null' THEN _month END AS INTEGER)
        CAST(CASE WHEN lower(trim(interest_id)) <> 'null' THEN interest_id END AS BIGINT) AS interest_id
 FROM interest_metrics"""
 _CLEAN_MAP = """
-SELECT DISTINCT id, interest_name, CASE WHEN interest_summary = '' THEN NULL ELSE interest_summary END
+SELECT DISTINCT id, interest_name, CASE WHEN trim(interest_summary) = '' THEN NULL ELSE interest_summary END
   AS interest_summary, created_at, last_modified FROM interest_map"""
 _KEPT = "SELECT * FROM m WHERE NOT (month_year IS NULL OR interest_id IS NULL)"
 
@@ -1104,7 +1108,7 @@ def _(spark, sf):
 @query("anti_join_orphans", IW("""
 SELECT (SELECT COUNT(*) FROM (SELECT DISTINCT interest_id AS i FROM k) a
          WHERE NOT EXISTS (SELECT 1 FROM interest_map mp WHERE mp.id = a.i)) AS metric_not_in_map,
-       (SELECT COUNT(*) FROM (SELECT DISTINCT id AS i FROM interest_map) b
+       (SELECT COUNT(*) FROM (SELECT DISTINCT id AS i FROM interest_map WHERE id IS NOT NULL) b
          WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.interest_id = b.i)) AS map_not_in_metric"""))
 def _(spark, sf):
     r, k = _kept(spark, sf)
@@ -1122,7 +1126,7 @@ def _(spark, sf):
 
 
 @query("update_where_map", IW("""
-SELECT id, interest_name, CASE WHEN interest_summary = '' THEN NULL ELSE interest_summary END AS interest_summary
+SELECT id, interest_name, CASE WHEN trim(interest_summary) = '' THEN NULL ELSE interest_summary END AS interest_summary
 FROM interest_map"""))
 def _(spark, sf):
     return interests.clean_map(R(spark, sf).interest_map()).select("id", "interest_name", "interest_summary")

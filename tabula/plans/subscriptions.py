@@ -78,8 +78,8 @@ def days_to_plan(sub: DataFrame, from_plan: int = TRIAL, to_plan: int = ANNUAL)
     exact and truncated to an integer (AVG over INT days)."""
     t = pair_totals(sub.filter(F.col("plan_id") == from_plan), sub.filter(F.col("plan_id") == to_plan),
                     "customer_id", "start_date")
-    return t.agg(F.round(F.sum("diff_sum") / F.nullif(F.sum("pairs"), F.lit(0)), 4).alias("avg_days_to_annual"),
-                 F.expr("sum(diff_sum) div nullif(sum(pairs), 0)").alias("avg_days_to_annual_int"),
+    return t.agg(F.round(F.sum("diff_sum") / F.nullif(F.sum("dated_pairs"), F.lit(0)), 4).alias("avg_days_to_annual"),
+                 F.expr("sum(diff_sum) div nullif(sum(dated_pairs), 0)").alias("avg_days_to_annual_int"),
                  F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("num_pairs"))
 
 
@@ -103,17 +103,20 @@ def day_bucket_breakdown(sub: DataFrame, from_plan: int = TRIAL, to_plan: int =
     banded = near.groupBy(label.alias("break_period")).agg(
         F.sum("pairs").alias("pairs"), F.sum(F.col("pairs") * F.col("gap")).alias("diff_sum"))
     total = pair_totals(left, right, "customer_id", "start_date").agg(
-        F.sum("pairs").alias("all_pairs"), F.sum("diff_sum").alias("all_diff"))
+        F.sum("pairs").alias("all_pairs"), F.sum("dated_pairs").alias("all_dated"), F.sum("diff_sum").alias("all_diff"))
     near_total = near.agg(F.sum("pairs").alias("near_pairs"),
                           F.sum(F.col("pairs") * F.col("gap")).alias("near_diff"))
+    banded = banded.withColumn("dated", F.col("pairs"))
+    # pairs with a missing date fall in the last band (the CASE's ELSE) without a gap
     other = total.crossJoin(near_total).select(  # one-row frames
         F.lit(OTHER_BAND).alias("break_period"),
         (F.col("all_pairs") - F.coalesce(F.col("near_pairs"), F.lit(0))).alias("pairs"),
-        (F.col("all_diff") - F.coalesce(F.col("near_diff"), F.lit(0))).alias("diff_sum"))
+        (F.col("all_diff") - F.coalesce(F.col("near_diff"), F.lit(0))).alias("diff_sum"),
+        (F.col("all_dated") - F.coalesce(F.col("near_pairs"), F.lit(0))).alias("dated"))
     rows = banded.unionByName(other).filter(F.col("pairs") > 0)
     return rows.select("break_period",
-                       F.round(F.col("diff_sum") / F.col("pairs"), 4).alias("avg_day_between"),
-                       F.expr("diff_sum div pairs").alias("avg_day_between_int"),
+                       F.round(F.col("diff_sum") / F.nullif(F.col("dated"), F.lit(0)), 4).alias("avg_day_between"),
+                       F.expr("diff_sum div nullif(dated, 0)").alias("avg_day_between_int"),
                        F.col("pairs").cast("bigint").alias("num_cus"))
 
 

@@ -52,19 +52,20 @@ def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
         "c_mktsegment": [rnd.choice(SEGMENTS) for _ in range(n_cust)]}), f"{folder}/customer.parquet")
     pq.write_table(pa.table({
         "p_partkey": pa.array(range(n_part), pa.int64()),
-        "p_name": [rnd.choice(NAMES) for _ in range(n_part)],
+        "p_name": [maybe(rnd.choice(NAMES)) for _ in range(n_part)],
         "p_brand": [f"Brand#{rnd.randint(1, 5)}" for _ in range(n_part)],
         "p_type": [maybe(rnd.choice(TYPES)) for _ in range(n_part)],
         "p_size": pa.array([rnd.randint(1, 50) for _ in range(n_part)], pa.int32()),
         "p_retailprice": [round(900 + rnd.uniform(0, 99.9), 2) for _ in range(n_part)]}), f"{folder}/part.parquet")
     base = dt.datetime(1997, 11, 1)
     days = [rnd.randint(0, 700) for _ in range(60)]
-    odates = [base + dt.timedelta(days=rnd.choice(days)) for _ in range(n_orders)]
+    odates = [maybe(base + dt.timedelta(days=rnd.choice(days)), 0.03) for _ in range(n_orders)]
     pq.write_table(pa.table({
         "o_orderkey": pa.array([k * 3 + 1 for k in range(n_orders)], pa.int64()),
-        "o_custkey": pa.array([rnd.choice([0, 0, 0] + list(range(n_cust))) for _ in range(n_orders)], pa.int64()),
+        "o_custkey": pa.array([maybe(rnd.choice([0, 0, 0] + list(range(n_cust))), 0.03) for _ in range(n_orders)],
+                              pa.int64()),
         "o_orderstatus": [rnd.choice("OFP") for _ in range(n_orders)],
-        "o_totalprice": [round(rnd.uniform(1000, 499000), 2) for _ in range(n_orders)],
+        "o_totalprice": [maybe(round(rnd.uniform(1000, 499000), 2), 0.03) for _ in range(n_orders)],
         "o_orderdate": ts(odates),
         "o_orderpriority": [maybe(rnd.choice(PRIORITIES)) for _ in range(n_orders)]}), f"{folder}/orders.parquet")
     li = {k: [] for k in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -81,7 +82,7 @@ def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
             li["l_tax"].append(rnd.choice([0.0, 0.03, 0.08]))
             li["l_returnflag"].append(rnd.choice("ANR"))
             li["l_linestatus"].append(rnd.choice("OF"))
-            li["l_shipdate"].append(maybe(od + dt.timedelta(days=rnd.randint(-200, 400))))
+            li["l_shipdate"].append(maybe(od + dt.timedelta(days=rnd.randint(-200, 400))) if od else None)
     pq.write_table(pa.table({**{k: v for k, v in li.items() if k != "l_shipdate"}, "l_shipdate": ts(li["l_shipdate"])},
                             schema=pa.schema([("l_orderkey", pa.int64()), ("l_partkey", pa.int64()),
                                               ("l_suppkey", pa.int64()), ("l_linenumber", pa.int32()),
@@ -94,7 +95,7 @@ def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
     start = dt.datetime(2024, 1, 1)
     pq.write_table(pa.table({
         "event_id": pa.array(range(n_ev), pa.int64()),
-        "ts": ts([start + dt.timedelta(minutes=rnd.randint(0, 30 * 24 * 60)) for _ in range(n_ev)]),
+        "ts": ts([maybe(start + dt.timedelta(minutes=rnd.randint(0, 30 * 24 * 60)), 0.03) for _ in range(n_ev)]),
         "user_id": pa.array([maybe(rnd.choice([0, 0, 1, 2, 3, 4, 5])) for _ in range(n_ev)], pa.int64()),
         "event_type": [rnd.choice(EVENTS) for _ in range(n_ev)],
         "value": [round(rnd.uniform(0, 20), 2) for _ in range(n_ev)],
