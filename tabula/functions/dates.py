@@ -34,10 +34,29 @@ def week_of_month_of_monday(col) -> Column:
     return (F.floor(F.dayofmonth(week_start_monday(col)) / 7) + 1).cast("int")
 
 
+def seconds_between(earlier, later) -> Column:
+    """``later - earlier`` in seconds (DECIMAL, microsecond precision).
+
+    Subtracting TIMESTAMP_NTZ values gives a wall-clock interval, so the result
+    does not depend on the session time zone (``timestamp_diff`` converts to
+    local instants first and shifts across daylight-saving gaps).
+    """
+    iv = _c(later) - _c(earlier)
+
+    def part(unit):
+        return F.extract(F.lit(unit), iv)
+    return part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")
+
+
+def whole_minutes_between(earlier, later) -> Column:
+    """Elapsed whole minutes, truncated toward zero."""
+    return (seconds_between(earlier, later) / 60).cast("bigint")
+
+
 def minute_component(later, earlier) -> Column:
-    """Minute part (0-59) of the interval ``later - earlier``; 130 minutes -> 10."""
-    seconds = F.timestamp_diff("SECOND", _c(earlier), _c(later))
-    return F.pmod(F.floor(seconds / 60), F.lit(60)).cast("bigint")
+    """Minute part (0-59) of the interval ``later - earlier``, read like a clock:
+    130 minutes -> 10; half a second early -> 59."""
+    return F.pmod(F.floor(seconds_between(earlier, later) / 60), F.lit(60)).cast("bigint")
 
 
 def add_term(col, unit: str, n: int | Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.cleaning import normalize_nulls, parse_quantity, split_ids
-from tabula.functions.dates import minute_component, sunday_weeks_between
+from tabula.functions.dates import minute_component, sunday_weeks_between, whole_minutes_between
 from tabula.operators.aggregates import window_aggregate
 
 
@@ -121,7 +121,7 @@ def pickup_minutes(customer_orders: DataFrame, runner_orders: DataFrame) -> Data
     """Per runner: average minute component of (pickup - order), truncated to an
     integer as integer AVG does, and the exact average of whole minutes."""
     d = delivered(customer_orders, runner_orders)
-    total = F.timestamp_diff("MINUTE", F.col("order_time"), F.col("pickup_time"))
+    total = whole_minutes_between("order_time", "pickup_time")
     d = d.withColumn("__minute", minute_component("pickup_time", "order_time"))
     return d.groupBy("runner_id").agg(
         F.expr("sum(__minute) div count(__minute)").alias("avg_pickup_minute"),  # exact integer division

@@ -66,3 +66,15 @@ def test_add_term_stays_date_and_clamps(spark):
                     dates.add_term("d", "week", 1).alias("w"))
     assert dict(out.dtypes)["m"] == "date"
     assert out.first() == (dt.date(2020, 2, 29), dt.date(2021, 1, 31), dt.date(2020, 2, 7))
+
+
+def test_minutes_are_wall_clock_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2001-04-01 02:58:00' AS a, timestamp_ntz'2001-04-01 03:33:00' AS b, "
+                       "timestamp_ntz'2001-04-01 02:57:59.5' AS c")
+        row = df.select(dates.whole_minutes_between("a", "b"), dates.minute_component("b", "a"),
+                        dates.minute_component("c", "a")).first()
+        assert tuple(row) == (35, 35, 59)   # DST gap ignored; half a second early reads 59
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
