@@ -38,10 +38,10 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "3")))
+    names = [n.strip() for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n.strip()]
     extra = {"spark.driver.memory": "16g"}
-    for item in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+    for item in filter(None, os.environ.get("BENCH_CONF", "").split(";")):  # key=value;key=value
         k, v = item.split("=", 1)
         extra[k] = v
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)

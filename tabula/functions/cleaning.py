@@ -63,9 +63,7 @@ def parse_two_digit_year_date(col: str | Column, sep: str = "/") -> Column:
     two-digit year to 20xx.
     """
     parts = F.split(_c(col), re.escape(sep))  # split takes a regex
-    day = parts.getItem(0).cast("int")
-    month = parts.getItem(1).cast("int")
-    yy = parts.getItem(2).cast("int")
+    day, month, yy = (F.get(parts, i).cast("int") for i in range(3))  # NULL when a part is missing
     year = F.when(yy <= TWO_DIGIT_YEAR_CUTOFF % 100, yy + 2000).otherwise(yy + 1900)
     return F.make_date(year, month, day)
 

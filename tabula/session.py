@@ -45,23 +45,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system), read from the session, the SparkContext or its SparkConf.
-    Only when none is set -- local runs and tests -- a scratch folder is
-    created and registered.
+    file system), read from the session or the SparkContext. Only a local
+    session without one (tests, local runs) gets a scratch folder; a cluster
+    session without one is refused, since a driver-local folder would not
+    hold what executors write. Every call returns the same root.
     """
     sc = spark.sparkContext
-    current = (spark.conf.get("spark.checkpoint.dir", None)
-               or sc.getCheckpointDir()
-               or sc.getConf().get("spark.checkpoint.dir", None))
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current.removeprefix("file:")
-    # spark.checkpoint.dir cannot be changed on a running session; register the
-    # scratch folder with the SparkContext only (getCheckpointDir finds it next time)
-    local = tempfile.mkdtemp(prefix="tabula-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if named:
+            sc.setCheckpointDir(named)
+        elif sc.master.startswith("local"):
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="tabula-ckpt-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster")
+    return sc.getCheckpointDir().removeprefix("file:")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -175,7 +175,7 @@ class Roles:
                 .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                 .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
                 .select(
-                    F.date_format(week, "d/M/yy").alias("week_date"),
+                    week.alias("week"),
                     F.col("r_name").alias("region"),
                     F.col("c_mktsegment").alias("platforms"),
                     F.when(digit == "5", F.lit("null"))
@@ -185,8 +185,11 @@ class Roles:
                      .when(F.col("c_acctbal") < 5000, "New")
                      .otherwise("Existing").alias("customer_type"),
                     F.floor("o_totalprice").cast("bigint").alias("sale")))
-        return (rows.groupBy("week_date", "region", "platforms", "segment", "customer_type")
-                .agg(F.count(F.lit(1)).alias("transactions"), F.sum("sale").alias("sales")))
+        # group on the DATE (a narrow key); the d/M/yy text is made once per group
+        grouped = (rows.groupBy("week", "region", "platforms", "segment", "customer_type")
+                   .agg(F.count(F.lit(1)).alias("transactions"), F.sum("sale").alias("sales")))
+        return grouped.select(F.date_format("week", "d/M/yy").alias("week_date"), "region", "platforms",
+                              "segment", "customer_type", "transactions", "sales")
 
     # -- web shop: click stream ---------------------------------------------
     def click(self) -> DataFrame:
@@ -227,10 +230,10 @@ class Roles:
         )
 
     def interest_map(self) -> DataFrame:
-        p = self.t("part", "p_partkey", "p_name", "p_brand", "p_size")
-        base = p.filter(F.col("p_size") > 1)
-        copies = p.filter(F.col("p_size").between(2, 3))  # duplicated rows, as in the source data
-        return base.unionByName(copies).select(
+        p = self.t("part", "p_partkey", "p_name", "p_brand", "p_size").filter(F.col("p_size") > 1)
+        # sizes 2-3 appear twice: duplicated rows, as in the source data (one scan, no union)
+        copies = F.when(F.col("p_size").between(2, 3), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        return p.select("*", F.explode(copies).alias("__copy")).select(
             F.col("p_partkey").alias("id"),
             F.col("p_name").alias("interest_name"),
             F.when(F.col("p_size") <= 10, F.lit("")).otherwise(F.col("p_brand")).alias("interest_summary"),
@@ -271,7 +274,7 @@ class Roles:
         cancelled = F.col("o_orderstatus") == "P"
         digit = _digit("o_orderpriority")
         tenths = F.floor(F.col("o_totalprice") / 2000).cast("bigint")
-        whole = F.floor(tenths / 10).cast("bigint")  # tenths >= 0, so floor is integer division
+        whole = F.floor(tenths / 10).cast("bigint")
         km = F.concat(whole.cast("string"), F.lit("."), (tenths % 10).cast("string"))
         mins = F.floor(F.col("o_totalprice") / 10000).cast("bigint").cast("string")
         order_time = _minutes(F.col("o_orderdate"), F.floor(F.col("o_totalprice") / 1000).cast("int"))

@@ -120,7 +120,7 @@ ROLE_SQL: dict[str, str] = {
                END AS pickup_time,
                CASE WHEN cancelled THEN 'null'
                     WHEN digit = '1' THEN km || 'km' WHEN digit = '2' THEN km || ' km'
-                    WHEN digit = '3' THEN km WHEN digit = '4' THEN CAST(tenths // 10 AS VARCHAR) || 'km'
+                    WHEN digit = '3' THEN km WHEN digit = '4' THEN CAST(CAST(floor(tenths / 10) AS BIGINT) AS VARCHAR) || 'km'
                     ELSE km || 'km' END AS distance,
                CASE WHEN cancelled THEN 'null'
                     WHEN digit = '1' THEN mins || ' mins' WHEN digit = '2' THEN mins || 'minutes'
@@ -134,7 +134,7 @@ ROLE_SQL: dict[str, str] = {
           SELECT o_orderkey AS order_id, o_custkey AS runner_id, o_totalprice,
                  o_orderstatus = 'P' AS cancelled, left(o_orderpriority, 1) AS digit,
                  CAST(floor(o_totalprice / 2000) AS BIGINT) AS tenths,
-                 CAST(CAST(floor(o_totalprice / 2000) AS BIGINT) // 10 AS VARCHAR) || '.'
+                 CAST(CAST(floor(floor(o_totalprice / 2000) / 10) AS BIGINT) AS VARCHAR) || '.'
                    || CAST(CAST(floor(o_totalprice / 2000) AS BIGINT) % 10 AS VARCHAR) AS km,
                  CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS VARCHAR) AS mins,
                  o_orderdate + to_minutes(CAST(floor(o_totalprice / 1000) AS BIGINT)) AS order_time
