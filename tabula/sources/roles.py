@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.sources.tables import Tables
+from tabula.sources.tables import Tables, forget_other_sessions
 
 MONEY = T.DecimalType(18, 2)
 
@@ -66,6 +66,7 @@ def _literal(spark: SparkSession, name: str, rows, schema: str) -> DataFrame:
     """A fixed lookup table, created once per session and broadcast (its row
     count is the length of a constant list)."""
     key = (id(spark), name)
+    forget_other_sessions(spark, _LITERALS)
     df = _LITERALS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _LITERALS[key] = spark.createDataFrame(rows, schema)

@@ -27,6 +27,14 @@ _READERS: dict[tuple[int, str, float], DataFrame] = {}
 LAYOUTS: dict[tuple[int, str], tuple[SparkSession, dict[str, str]]] = {}
 
 
+def forget_other_sessions(spark: SparkSession, cache: dict) -> None:
+    """Plan caches keep the current session's entries only, so a stopped
+    session (and its resolved plans) can be garbage-collected."""
+    stale = [k for k in cache if k[0] != id(spark)]
+    for k in stale:
+        del cache[k]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, raw: bool = False) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
@@ -42,6 +50,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, raw:
         df = spark.read.parquet(path)
         return df.select(*columns) if columns else df
     key = (id(spark), path, version)
+    forget_other_sessions(spark, _READERS)
     df = _READERS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _READERS[key] = spark.read.parquet(path)
