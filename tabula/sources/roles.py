@@ -201,7 +201,8 @@ class Roles:
         return e.select(
             F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("visit_id"),
             F.col("user_id"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("page_id"),
+            # the page number as written; a fractional number is floored, malformed JSON gives NULL
+            F.floor(F.get_json_object("props", "$.k").try_cast("double")).cast("bigint").alias("page_id"),
             code.alias("event_type"),
             F.col("ts").alias("event_time"),
             F.col("event_id"),

@@ -78,7 +78,8 @@ ROLE_SQL: dict[str, str] = {
         GROUP BY week_date, region, platforms, segment, customer_type""",
     "click": """
         SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id, user_id,
-               CAST(json_extract_string(props, '$.k') AS BIGINT) AS page_id,
+               CAST(floor(TRY_CAST(CASE WHEN json_valid(props) THEN json_extract_string(props, '$.k') END AS DOUBLE))
+                    AS BIGINT) AS page_id,
                CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3
                                WHEN 'signup' THEN 4 ELSE 5 END AS event_type,
                ts AS event_time, event_id

@@ -99,7 +99,9 @@ def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
         "user_id": pa.array([maybe(rnd.choice([0, 0, 1, 2, 3, 4, 5])) for _ in range(n_ev)], pa.int64()),
         "event_type": [rnd.choice(EVENTS) for _ in range(n_ev)],
         "value": [round(rnd.uniform(0, 20), 2) for _ in range(n_ev)],
-        "props": [json.dumps({"k": rnd.randrange(n_part + 10)}) for _ in range(n_ev)]}),  # some unknown pages
+        "props": [rnd.choice([json.dumps({"k": rnd.randrange(n_part + 10)})] * 12            # some unknown pages
+                             + [json.dumps({"k": rnd.randrange(n_part) + 0.5}), "not json", "{}"])
+                  for _ in range(n_ev)]}),
         f"{folder}/events.parquet")
 
 
