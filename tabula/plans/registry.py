@@ -164,20 +164,20 @@ def _(spark, sf):
 # ------------------------------------------------------------------ delivery
 _CO_CLEAN = """
 SELECT order_id, line_id, customer_id, pizza_id, order_time,
-       CASE WHEN lower(trim(exclusions)) IN ('', 'null') THEN NULL ELSE exclusions END AS exclusions,
-       CASE WHEN lower(trim(extras)) IN ('', 'null') THEN NULL ELSE extras END AS extras
+       CASE WHEN lower(trim(exclusions, ' ')) IN ('', 'null') THEN NULL ELSE exclusions END AS exclusions,
+       CASE WHEN lower(trim(extras, ' ')) IN ('', 'null') THEN NULL ELSE extras END AS extras
 FROM customer_orders"""
 _RO_CLEAN = """
 SELECT order_id, runner_id, pickup_time,
-       CAST(trim(CASE WHEN instr(d, 'km') = 0 THEN d ELSE substr(d, 1, instr(d, 'km') - 1) END) AS DECIMAL(5,2))
+       CAST(trim(CASE WHEN instr(d, 'km') = 0 THEN d ELSE substr(d, 1, instr(d, 'km') - 1) END, ' ') AS DECIMAL(5,2))
          AS distance,
-       CAST(trim(CASE WHEN instr(u, 'min') = 0 THEN u ELSE substr(u, 1, instr(u, 'min') - 1) END) AS INTEGER)
+       CAST(trim(CASE WHEN instr(u, 'min') = 0 THEN u ELSE substr(u, 1, instr(u, 'min') - 1) END, ' ') AS INTEGER)
          AS duration,
        cancellation
 FROM (SELECT order_id, runner_id, pickup_time,
-             CASE WHEN lower(trim(distance)) IN ('', 'null') THEN NULL ELSE distance END AS d,
-             CASE WHEN lower(trim(duration)) IN ('', 'null') THEN NULL ELSE duration END AS u,
-             CASE WHEN lower(trim(cancellation)) IN ('', 'null') THEN NULL ELSE cancellation END AS cancellation
+             CASE WHEN lower(trim(distance, ' ')) IN ('', 'null') THEN NULL ELSE distance END AS d,
+             CASE WHEN lower(trim(duration, ' ')) IN ('', 'null') THEN NULL ELSE duration END AS u,
+             CASE WHEN lower(trim(cancellation, ' ')) IN ('', 'null') THEN NULL ELSE cancellation END AS cancellation
       FROM runner_orders) x"""
 _DELIVERY = {"co": _CO_CLEAN, "ro": _RO_CLEAN,
              "dl": "SELECT co.*, ro.runner_id, ro.pickup_time, ro.distance, ro.duration "
@@ -335,11 +335,11 @@ _SPLIT = "UNNEST(string_split({col}, ','))"
 
 @query("split_explode_join", DW(f"""
 SELECT 'extra' AS kind, t.topping_name, COUNT(*) AS times
-FROM (SELECT TRY_CAST(trim(v) AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col='extras')} AS v FROM co) a) x
+FROM (SELECT TRY_CAST(trim(v, ' ') AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col='extras')} AS v FROM co) a) x
 JOIN toppings t ON x.id = t.topping_id GROUP BY t.topping_name
 UNION ALL
 SELECT 'exclusion' AS kind, t.topping_name, COUNT(*) AS times
-FROM (SELECT TRY_CAST(trim(v) AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col='exclusions')} AS v FROM co) a) x
+FROM (SELECT TRY_CAST(trim(v, ' ') AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col='exclusions')} AS v FROM co) a) x
 JOIN toppings t ON x.id = t.topping_id GROUP BY t.topping_name""", "toppings"))
 def _(spark, sf):
     r, co, _ro = _d(spark, sf)
@@ -349,7 +349,7 @@ def _(spark, sf):
 def _top_topping_sql(col: str, kind: str) -> str:
     return f"""
 SELECT t.topping_name, COUNT(*) AS times
-FROM (SELECT TRY_CAST(trim(v) AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col=col)} AS v FROM co) a) x
+FROM (SELECT TRY_CAST(trim(v, ' ') AS BIGINT) AS id FROM (SELECT {_SPLIT.format(col=col)} AS v FROM co) a) x
 JOIN toppings t ON x.id = t.topping_id GROUP BY t.topping_name ORDER BY times DESC, topping_name ASC NULLS LAST LIMIT 1"""
 
 
@@ -367,7 +367,7 @@ def _(spark, sf):
 
 @query("string_agg_list", DW(f"""
 SELECT order_id, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS toppings
-FROM (SELECT order_id, TRY_CAST(trim(v) AS BIGINT) AS id
+FROM (SELECT order_id, TRY_CAST(trim(v, ' ') AS BIGINT) AS id
       FROM (SELECT order_id, {_SPLIT.format(col='extras')} AS v FROM co) a) x
 JOIN toppings t ON x.id = t.topping_id GROUP BY order_id""", "toppings"))
 def _(spark, sf):
@@ -382,12 +382,12 @@ SELECT co.order_id, co.line_id,
   || CASE WHEN co.extras IS NOT NULL THEN ' - Extra ' || COALESCE(x.names, '') ELSE '' END AS order_description
 FROM co LEFT JOIN pizza_names p ON co.pizza_id = p.pizza_id
 LEFT JOIN (SELECT lst, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS names
-           FROM (SELECT lst, TRY_CAST(trim(v) AS BIGINT) AS id
+           FROM (SELECT lst, TRY_CAST(trim(v, ' ') AS BIGINT) AS id
                  FROM (SELECT DISTINCT exclusions AS lst FROM co WHERE exclusions IS NOT NULL) d,
                       LATERAL (SELECT {_SPLIT.format(col='lst')} AS v) s) i
            JOIN toppings t ON i.id = t.topping_id GROUP BY lst) e ON co.exclusions = e.lst
 LEFT JOIN (SELECT lst, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS names
-           FROM (SELECT lst, TRY_CAST(trim(v) AS BIGINT) AS id
+           FROM (SELECT lst, TRY_CAST(trim(v, ' ') AS BIGINT) AS id
                  FROM (SELECT DISTINCT extras AS lst FROM co WHERE extras IS NOT NULL) d,
                       LATERAL (SELECT {_SPLIT.format(col='lst')} AS v) s) i
            JOIN toppings t ON i.id = t.topping_id GROUP BY lst) x ON co.extras = x.lst""",
@@ -706,9 +706,9 @@ _CLEAN_WEEKLY = """
 SELECT w.week_date, CAST(day(CAST(date_trunc('week', w.week_date) AS DATE)) // 7 + 1 AS BIGINT) AS week_number,
   CAST(month(w.week_date) AS BIGINT) AS month_number, CAST(year(w.week_date) AS BIGINT) AS calendar_year,
   w.region, w.platforms,
-  CASE WHEN lower(trim(w.segment)) = 'null' THEN 'unknown' ELSE w.segment END AS segment,
-  CASE WHEN lower(trim(w.segment)) = 'null' THEN 'unknown' ELSE COALESCE(ab.band, 'Retirees') END AS age_band,
-  CASE WHEN lower(trim(w.segment)) = 'null' THEN 'unknown' ELSE COALESCE(dm.label, 'Families') END AS demographic,
+  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown' ELSE w.segment END AS segment,
+  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown' ELSE COALESCE(ab.band, 'Retirees') END AS age_band,
+  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown' ELSE COALESCE(dm.label, 'Families') END AS demographic,
   w.customer_type, CAST(w.transactions AS BIGINT) AS transactions, CAST(w.sales AS BIGINT) AS sales,
   CAST(w.sales // w.transactions AS BIGINT) AS avg_transaction
 FROM (SELECT make_date(CASE WHEN yy < 50 THEN yy + 2000 ELSE yy + 1900 END, mm, dd) AS week_date, *
@@ -741,7 +741,7 @@ SELECT DISTINCT week_date AS text, week_date_parsed AS parsed FROM (
     ON strftime(cw_dates.week_date, '%-d/%-m/%y') = weekly_sales.week_date) x"""
 _PARSE_MONTHS = """
 SELECT DISTINCT month_year AS text, CAST(strptime('01-' || month_year, '%d-%m-%Y') AS DATE) AS parsed
-FROM interest_metrics WHERE lower(trim(month_year)) <> 'null'"""
+FROM interest_metrics WHERE lower(trim(month_year, ' ')) <> 'null'"""
 
 
 @query("parse_dates", W("SELECT * FROM pw UNION ALL SELECT * FROM pm", "weekly_sales", "interest_metrics",
@@ -1059,14 +1059,14 @@ def _(spark, sf):
 
 # ----------------------------------------------------------------- interests
 _METRICS = """
-SELECT CAST(CASE WHEN lower(trim(_month)) <> 'null' THEN _month END AS INTEGER) AS _month,
-       CAST(CASE WHEN lower(trim(_year)) <> 'null' THEN _year END AS INTEGER) AS _year,
-       CAST(strptime('01-' || CASE WHEN lower(trim(month_year)) <> 'null' THEN month_year END, '%d-%m-%Y') AS DATE)
+SELECT CAST(CASE WHEN lower(trim(_month, ' ')) <> 'null' THEN _month END AS INTEGER) AS _month,
+       CAST(CASE WHEN lower(trim(_year, ' ')) <> 'null' THEN _year END AS INTEGER) AS _year,
+       CAST(strptime('01-' || CASE WHEN lower(trim(month_year, ' ')) <> 'null' THEN month_year END, '%d-%m-%Y') AS DATE)
          AS month_year,
-       CAST(CASE WHEN lower(trim(interest_id)) <> 'null' THEN interest_id END AS BIGINT) AS interest_id
+       CAST(CASE WHEN lower(trim(interest_id, ' ')) <> 'null' THEN interest_id END AS BIGINT) AS interest_id
 FROM interest_metrics"""
 _CLEAN_MAP = """
-SELECT DISTINCT id, interest_name, CASE WHEN trim(interest_summary) = '' THEN NULL ELSE interest_summary END
+SELECT DISTINCT id, interest_name, CASE WHEN trim(interest_summary, ' ') = '' THEN NULL ELSE interest_summary END
   AS interest_summary, created_at, last_modified FROM interest_map"""
 _KEPT = "SELECT * FROM m WHERE NOT (month_year IS NULL OR interest_id IS NULL)"
 
@@ -1126,7 +1126,7 @@ def _(spark, sf):
 
 
 @query("update_where_map", IW("""
-SELECT id, interest_name, CASE WHEN trim(interest_summary) = '' THEN NULL ELSE interest_summary END AS interest_summary
+SELECT id, interest_name, CASE WHEN trim(interest_summary, ' ') = '' THEN NULL ELSE interest_summary END AS interest_summary
 FROM interest_map"""))
 def _(spark, sf):
     return interests.clean_map(R(spark, sf).interest_map()).select("id", "interest_name", "interest_summary")
