@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.dates import add_term
+from tabula.sources.roles import to_money
 
 
 def project_net_price(lineitem: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def region_revenue(orders: DataFrame, customer: DataFrame, nation: DataFrame, re
              .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
     return chain.groupBy(F.col("r_name").alias("region_name")).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total_price"))
+        F.sum(to_money("o_totalprice")).cast("double").alias("total_price"))
 
 
 def lines_per_part(part: DataFrame, lineitem: DataFrame) -> DataFrame:

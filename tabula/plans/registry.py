@@ -428,7 +428,8 @@ def _(spark, sf):
 # ------------------------------------------------------------- subscriptions
 @query("join_chain", """
 SELECT r.r_name AS region_name, COUNT(*) AS n_orders,
-       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+       CAST(SUM(CAST(CAST(CAST(round(o.o_totalprice * 100) AS BIGINT) AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)))
+            AS DOUBLE) AS total_price
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name""")
 def _(spark, sf):

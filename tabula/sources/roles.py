@@ -51,6 +51,15 @@ CAMPAIGNS = [
 # ---------------------------------------------------------------------------
 
 
+def to_money(col: str) -> Column:
+    """DOUBLE amount -> DECIMAL(18,2): rounded to whole cents (half away from
+    zero) on the double, then scaled exactly, so every engine gets the same
+    cents (a direct cast rounds the printed or the binary value, which differ
+    for amounts with more than two decimals)."""
+    cents = F.round(F.col(col) * 100).cast("bigint")
+    return (cents.cast(T.DecimalType(18, 0)) / 100).cast(MONEY)
+
+
 def _minutes(ts: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, ts)
 
@@ -112,7 +121,7 @@ class Roles:
         return self.t("part", "p_partkey", "p_name", "p_retailprice", "p_type").select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
-            F.col("p_retailprice").cast(MONEY).alias("price"),
+            to_money("p_retailprice").alias("price"),
             F.col("p_type").alias("category"),
         )
 
@@ -160,7 +169,7 @@ class Roles:
             F.when(F.col("o_orderstatus") == "O", "deposit")
              .when(F.col("o_orderstatus") == "F", "purchase")
              .otherwise("withdrawal").alias("txn_type"),
-            F.col("o_totalprice").cast(MONEY).alias("txn_amount"),
+            to_money("o_totalprice").alias("txn_amount"),
             F.col("o_orderkey").alias("txn_id"),
         )
 

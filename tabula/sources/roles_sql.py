@@ -37,7 +37,8 @@ ROLE_SQL: dict[str, str] = {
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "menu": """
         SELECT p_partkey AS product_id, p_name AS product_name,
-               CAST(p_retailprice AS DECIMAL(18,2)) AS price, p_type AS category
+               CAST(CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS price,
+               p_type AS category
         FROM part""",
     "member": """
         SELECT o_custkey AS customer_id, MIN(CAST(o_orderdate AS DATE)) AS join_date
@@ -58,7 +59,8 @@ ROLE_SQL: dict[str, str] = {
         SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS txn_date,
                CASE o_orderstatus WHEN 'O' THEN 'deposit' WHEN 'F' THEN 'purchase' ELSE 'withdrawal' END
                  AS txn_type,
-               CAST(o_totalprice AS DECIMAL(18,2)) AS txn_amount, o_orderkey AS txn_id
+               CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))
+                 AS txn_amount, o_orderkey AS txn_id
         FROM orders""",
     "weekly_sales": """
         SELECT week_date, region, platforms, segment, customer_type,

@@ -56,7 +56,8 @@ def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
         "p_brand": [f"Brand#{rnd.randint(1, 5)}" for _ in range(n_part)],
         "p_type": [maybe(rnd.choice(TYPES)) for _ in range(n_part)],
         "p_size": pa.array([rnd.randint(1, 50) for _ in range(n_part)], pa.int32()),
-        "p_retailprice": [round(900 + rnd.uniform(0, 99.9), 2) for _ in range(n_part)]}), f"{folder}/part.parquet")
+        "p_retailprice": [round(900 + rnd.uniform(0, 99.9), rnd.choice([2, 3])) for _ in range(n_part)]}),
+        f"{folder}/part.parquet")  # some prices with a third decimal: cents rounding must agree
     base = dt.datetime(1997, 11, 1)
     days = [rnd.randint(0, 700) for _ in range(60)]
     odates = [maybe(base + dt.timedelta(days=rnd.choice(days)), 0.03) for _ in range(n_orders)]
@@ -65,7 +66,7 @@ def write_tables(folder: str, seed: int, nulls: bool = False) -> None:
         "o_custkey": pa.array([maybe(rnd.choice([0, 0, 0] + list(range(n_cust))), 0.03) for _ in range(n_orders)],
                               pa.int64()),
         "o_orderstatus": [rnd.choice("OFP") for _ in range(n_orders)],
-        "o_totalprice": [maybe(round(rnd.uniform(1000, 499000), 2), 0.03) for _ in range(n_orders)],
+        "o_totalprice": [maybe(round(rnd.uniform(1000, 499000), rnd.choice([2, 3])), 0.03) for _ in range(n_orders)],
         "o_orderdate": ts(odates),
         "o_orderpriority": [maybe(rnd.choice(PRIORITIES)) for _ in range(n_orders)]}), f"{folder}/orders.parquet")
     li = {k: [] for k in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
