@@ -81,8 +81,11 @@ def fit(docs: DataFrame, *, label: str = "lang", where: Column | None = None, sa
     if where is not None:
         rows = rows.where(where)
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample_docs)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    sample = rows.select("doc_id", "lang").withColumn("_part", F.spark_partition_id() % 64)
+    for keys in (["lang", "_part"], ["lang"]):  # in two steps, so that no task meets the candidates of all tasks
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        sample = sample.withColumn("_rank", first).where(F.col("_rank") <= sample_docs).drop("_rank")
     ids = [(r.doc_id, r.lang) for r in sample.select("doc_id", "lang").distinct().collect()]
     languages = sorted({lang for _, lang in ids})
     if not languages:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import decontaminate, language_id, packing
+from tabula.llm import brown, chat, decontaminate, fixity, jaccard_join, language_id, packing, suffix_dedup, toxicity, vafile
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,12 +40,82 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), where=~fold(4))
+    return toxicity.score(docs, model).select("doc_id", fold(4).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+                                              F.size("offending").alias("n_offending"))
+
+
+@query
+def op2_template_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                    "conv_id bigint, turn bigint, role string, text string")
+    return chat.audit_format(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(planted))
+
+
+@query
+def op3_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits the records of `pages` against a replica that lost the last
+    character of some payloads and all of some records (by a checksum of the id)."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    spot = F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 6), 16, 10).cast("bigint")
+    damaged = pages.where(spot % 401 != 5).withColumn("html", F.when(spot % 101 == 7, F.expr("substring(html, 1, greatest(length(html) - 1, 0))")).otherwise(F.col("html")))
+    store = lambda rows: rows.select(F.col("page_id").alias("id"), fixity.warc_record("url", "html").alias("record"))
+    return fixity.audit(store(pages), store(damaged)).withColumnsRenamed({"id": "page_id", "expected": "expected_sha256", "found": "found_sha256"})
+
+
+ORACLE["op3_merkle_fixity"] = """
+WITH pages AS (SELECT page_id, url, html FROM pages),
+records AS (
+  SELECT page_id,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+           || chr(13) || chr(10) || 'Content-Length: ' AS head, html, html[1:greatest(length(html) - 1, 0)] AS cut
+  FROM pages),
+both_stores AS (
+  SELECT page_id, head || strlen(html) || repeat(chr(13) || chr(10), 2) || html || repeat(chr(13) || chr(10), 2) AS kept,
+         head || strlen(cut) || repeat(chr(13) || chr(10), 2) || cut || repeat(chr(13) || chr(10), 2) AS damaged
+  FROM records),
+placed AS (
+  SELECT page_id, kept, damaged, strlen(kept) AS length,
+         coalesce(sum(strlen(kept)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset",
+         CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 6) AS BIGINT) AS spot
+  FROM both_stores)
+SELECT page_id, CASE WHEN spot % 401 = 5 THEN 'missing' ELSE 'corrupt' END AS status, CAST("offset" AS BIGINT) AS "offset",
+       CAST(length AS BIGINT) AS length, sha256(kept) AS expected_sha256,
+       CASE WHEN spot % 401 = 5 THEN NULL ELSE sha256(damaged) END AS found_sha256
+FROM placed WHERE spot % 401 = 5 OR spot % 101 = 7
+"""
+
+
+@query
+def op4_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding").where(vafile.usable("embedding"))
+    vectors = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1024)).alias("vec"))
+    return vafile.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query
+def op5_brown_class_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("train", ~fold(7))
+    model = brown.fit(docs.where("train"))
+    scored = brown.score(docs, model, "train")
+    return scored.select("doc_id", fold(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                         F.pow(10.0, -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+
 @query
 def op6_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), max_length=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+@query
+def op7_set_relation_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, num=90, den=100)
+
+
 @query
 def op8_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -54,6 +124,12 @@ def op8_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", fold(4).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+@query
+def op9_radix_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated(table(spark, sf_dir, "documents", "doc_id", "text"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -61,3 +137,9 @@ def op10_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataF
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
                         F.array_max(F.transform("spans", lambda s: s["longest"])).alias("longest_match"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -124,19 +124,48 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
 
 
 def gram_hash(data: np.ndarray, k: int) -> np.ndarray:
-    """Hash of data[i:i + k] for every i (wrapping past the end)."""
-    a = np.uint64(0x9E3779B97F4A7C15)
-    h, power, width = _GRAM[data], a, 1
+    """Hash of data[i:i + k] for every i it fits (k <= len(data))."""
+    h, power, width = _GRAM[data], np.uint64(0x9E3779B97F4A7C15), 1
     out, done = None, 0
     while True:
         if k & width:
-            if out is None:
-                out, done = h.copy(), width
-            else:  # out covers the first `done` bytes
-                out = out * power + np.roll(h, -done)
-                done += width
+            size = len(data) - done - width + 1
+            out = h[:size].copy() if out is None else out[:size] * power + h[done:done + size]
+            done += width
         if width * 2 > k:
             return mix(out)
-        h = h * power + np.roll(h, -width)
+        h = h[:-width] * power + h[width:]
         power = np.uint64(int(power) ** 2 % 2**64)
         width *= 2
+
+
+def radix_groups(rows: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
+    """Group numbers of equal byte rows (n, width), by most-significant-digit
+    passes over eight bytes each: a pass orders the rows that are still alike
+    by their next digit, and rows that are alone drop out. ``group`` gives a
+    known partition to refine. Numbers have gaps."""
+    n, width = rows.shape
+    group = np.zeros(n, np.int64) if group is None else group.astype(np.int64)
+    if width % 8:
+        rows = np.pad(rows, ((0, 0), (0, 8 - width % 8)))
+    digits = np.ascontiguousarray(rows).view(">u8")
+    active, top = np.arange(n), int(group.max(initial=0)) + 1
+    for j in range(digits.shape[1]):
+        if len(active) < 2:
+            break
+        digit, held = digits[active, j].astype(np.uint64), group[active]
+        order = np.lexsort((digit, held))
+        active, digit, held = active[order], digit[order], held[order]
+        new = np.ones(len(active), dtype=bool)
+        new[1:] = (held[1:] != held[:-1]) | (digit[1:] != digit[:-1])
+        number = np.cumsum(new) - 1
+        group[active] = top + number
+        top += int(number[-1]) + 1
+        active = active[np.bincount(number)[number] > 1]
+    return group
+
+
+def renumber(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first member, number from 0) of every group number."""
+    _, first, number = np.unique(group, return_index=True, return_inverse=True)
+    return first, number
