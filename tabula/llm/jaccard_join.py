@@ -4,8 +4,8 @@ Documents are sets of word shingles. Two sets link when
 ``intersection * den >= union * num``. The join returns the connected
 components of the links, without listing the pairs of a group:
 
-1. Index. Shingles are ordered by how many sets hold them (counted over all
-   documents by a lookup between blocks and buckets), rarest first. Two linked
+1. Index. Shingles are ordered by how many documents hold them (counted over
+   all documents by a lookup between blocks and buckets), rarest first. Two linked
    sets share a shingle among the first ``n - ceil(t * n) + 1`` of either.
    Sets whose first ones are all unique to them can have no partner and stop
    here; the others form the inverted lists.
@@ -53,7 +53,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
         if b - a >= k:
             sets.append(np.unique(chain[a:b - k + 1]))
         else:
-            h = words[a:a + 1]
+            h = words[a:b][:1]
             for j in range(a + 1, b):
                 h = ragged.mix(h * _NEXT + words[j])
             sets.append(h ^ np.uint64(b - a))  # a short sequence equals no longer one
@@ -73,12 +73,6 @@ class _Block:
         self.set_id = ragged.mix(sums + self.size.astype(np.uint64) * _NEXT).view(np.int64)
         self.keys, self.key_of = np.unique(self.tokens, return_inverse=True)
 
-    def counts(self) -> np.ndarray:
-        """Different sets of the block that hold each key."""
-        one = np.zeros(len(self.size))
-        one[np.unique(self.set_id, return_index=True)[1]] = 1
-        return np.bincount(self.key_of, weights=one[self.doc], minlength=len(self.keys)).astype(np.int64)
-
 
 SETS = "doc_id bigint, n_shingles bigint, set_id bigint, skip bigint, tokens binary"
 
@@ -91,7 +85,7 @@ def _sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
     def send(table: pa.Table) -> pa.Table:
         block = _Block(table, k)
-        counts = np.minimum(block.counts(), 255).astype(np.uint8)  # orders the lists; 1 stays 1
+        counts = np.minimum(np.bincount(block.key_of, minlength=len(block.keys)), 255).astype(np.uint8)  # orders the lists; 1 stays 1
         return B.send(B.block_of(table), block.keys, buckets, True, lambda cuts: B.binary(counts, cuts))
 
     def answer(table: pa.Table) -> pa.Array:
