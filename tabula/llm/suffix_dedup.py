@@ -75,6 +75,8 @@ class Block:
     """Anchors of a block of documents, and what it sends."""
 
     def __init__(self, table: pa.Table, length: int):
+        # rows come in any order; chunks, and so the entries at their borders, must not follow it
+        self.table = table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         self.length = length
         self.data, self.offsets = ragged.text_bytes(table.column("text"))
         self.ids = B.doc_ids(table)
@@ -233,7 +235,7 @@ def repeated(docs: DataFrame, *, length: int = 50, keep: list[str] | None = None
         for d, a, b in zip(owner.tolist(), (begins - block.offsets[owner]).tolist(), (ends - block.offsets[owner]).tolist(), strict=True):
             spans[d].append({"start": a, "end": b})
         kept = B.binary(block.data[~gone], block.offsets - removed)
-        return pa.table([*(left.column(c) for c in keep), pa.array(np.diff(block.offsets)), pa.array(np.diff(removed)), pa.array(spans, pa.list_(span)), kept], names=[*keep, *added])
+        return pa.table([*(block.table.column(c) for c in keep), pa.array(np.diff(block.offsets)), pa.array(np.diff(removed)), pa.array(spans, pa.list_(span)), kept], names=[*keep, *added])
 
     shared = B.lookup(rows, send_grams, answer_grams)
     sent = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send_entries, B.SENT)
