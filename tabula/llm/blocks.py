@@ -30,10 +30,10 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocked(docs: DataFrame, keep: list[str]) -> DataFrame:
+def blocked(docs: DataFrame, keep: list[str], per_partition: int = 3) -> DataFrame:
     """The columns ``keep`` and text of ``docs``, plus block. Rows are dealt by
     id and text, so neither a hot source nor a repeated id fills a block."""
-    n = 4 * partitions(docs.sparkSession)
+    n = per_partition * partitions(docs.sparkSession)
     cols = [c for c in dict.fromkeys([*keep, "text"]) if c != "block"]
     return docs.select(*cols, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"))
 

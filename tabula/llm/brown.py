@@ -305,7 +305,7 @@ def score(docs: DataFrame, model: Model, train: str, keep: list[str] | None = No
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in (*added, "block")]
     rows = B.blocked(docs, ["doc_id", *keep, train])
-    buckets = 2 * B.partitions(docs.sparkSession)
+    buckets = B.partitions(docs.sparkSession)
 
     def read(table: pa.Table) -> tuple:
         data, offsets = ragged.text_bytes(table.column("text"))

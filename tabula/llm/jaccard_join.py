@@ -81,7 +81,7 @@ def _sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Every document with its set; tokens (rarest first) only for sets with
     entries in the index, which begin after `skip` tokens."""
     rows = B.blocked(docs, ["doc_id"])
-    buckets = 2 * B.partitions(docs.sparkSession)
+    buckets = B.partitions(docs.sparkSession)
 
     def send(table: pa.Table) -> pa.Table:
         block = _Block(table, k)

@@ -163,7 +163,7 @@ def repeated(docs: DataFrame, *, length: int = 50, keep: list[str] | None = None
         raise ValueError(f"length must be {LEFT + 8} to {255 - LEFT}")
     added = ["n_bytes", "n_removed", "spans", "kept"]
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in (*added, "block")]
-    rows = B.blocked(docs, ["doc_id", *keep])
+    rows = B.blocked(docs, ["doc_id", *keep], per_partition=4)
     buckets = 2 * B.partitions(docs.sparkSession)
 
     def send_grams(table: pa.Table) -> pa.Table:
