@@ -108,7 +108,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["label", "features", "first"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where: Column | None = None, per_class: int = 3000,
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where: Column | None = None, per_class: int = 2000,
         epochs: int = 80, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Train from ``labels`` (doc_id, <label> 0/1) that meet ``where`` and the
     texts of ``docs`` (doc_id, text). Rows without id or label are skipped, a
@@ -126,11 +126,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where: Colu
     y = np.array([r.label for r in sample], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(KINDS << BITS, np.float32), -40.0)
-    features = np.concatenate([np.frombuffer(r.features, "<i4").reshape(KINDS, -1) for r in sample], axis=1)
     counts = np.array([len(r.features) // (4 * KINDS) for r in sample])
     at = np.cumsum(counts) - counts
     firsts = [np.frombuffer(r.first, "<i4") for r in sample]
     first = np.concatenate([f + a for f, a in zip(firsts, at, strict=True)]).astype(np.int64)
+    features = np.empty((KINDS, int(counts.sum())), np.int32)
+    for r, a, n in zip(sample, at.tolist(), counts.tolist(), strict=True):
+        features[:, a:a + n] = np.frombuffer(r.features, "<i4").reshape(KINDS, -1)
+    sample.clear()
     return train(y, features, first, np.repeat(np.arange(len(y)), [len(f) for f in firsts]), epochs, rate, decay)
 
 
@@ -140,12 +143,14 @@ def train(y: np.ndarray, features: np.ndarray, first: np.ndarray, doc: np.ndarra
     in fewer than ``min_docs`` documents have no weight; ``lift`` (0 to 1) gives
     the rarer positive documents more of it."""
     words_of = np.diff(np.append(first, features.shape[1]))
-    used, features = np.unique(features, return_inverse=True)
-    features = features.reshape(KINDS, -1)
-    pairs = np.unique(features * np.int64(len(y)) + np.repeat(doc, words_of))
-    known = np.bincount(pairs // len(y), minlength=len(used)) >= min_docs  # others keep weight 0
-    w, bias = np.zeros(len(used)), -5.0
-    m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
+    size, owner = 1 << BITS, np.repeat(doc, words_of)
+    known = np.zeros(KINDS << BITS, bool)  # others keep weight 0
+    for i, f in enumerate(features):
+        pairs = np.unique((f - (i << BITS)).astype(np.int64) * len(y) + owner)
+        known[i << BITS:(i + 1) << BITS] = np.bincount(pairs // len(y), minlength=size) >= min_docs
+    del owner, pairs
+    w, bias = np.zeros(KINDS << BITS), -5.0
+    m, v, mb, vb = np.zeros(len(w)), np.zeros(len(w)), 0.0, 0.0
     share = y.mean()
     balance = np.where(y == 1, share ** -lift, 1.0)
     balance /= balance.mean()
@@ -156,16 +161,14 @@ def train(y: np.ndarray, features: np.ndarray, first: np.ndarray, doc: np.ndarra
         pull = balance * np.where(y == 1, -(1 - total) / total, 1.0) / len(y)
         g = pull[doc] * p
         each = np.repeat(g, words_of)
-        grad = known * (sum(np.bincount(f, each, len(used)) for f in features) + decay * w)
+        grad = known * (np.concatenate([np.bincount(f - (i << BITS), each, size) for i, f in enumerate(features)]) + decay * w)
         gb = float(g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb**2
         up, down = 1 - 0.9**step, 1 - 0.999**step
         w -= rate * (m / up) / (np.sqrt(v / down) + 1e-8)
         bias -= rate * (mb / up) / (np.sqrt(vb / down) + 1e-8)
-    weights = np.zeros(KINDS << BITS, np.float32)
-    weights[used] = w
-    return Model(weights, float(bias))
+    return Model(w.astype(np.float32), float(bias))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None, *, flag_at: float = 0.3) -> DataFrame:
