@@ -13,18 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Literal lookup tables up to this many rows may be broadcast unconditionally.
-BROADCAST_ROW_BOUND = 10_000
-
-
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a table whose row count is bounded by ``max_rows`` by construction
-    (a literal list, a fixed dimension). Refuses bounds above the limit."""
-    if max_rows > BROADCAST_ROW_BOUND:
-        raise ValueError(f"bound {max_rows} too large to broadcast; use a shuffle join")
-    return F.broadcast(df)
-
-
 def semi_in(df: DataFrame, members: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """``WHERE k IN (SELECT k FROM members)`` as a left-semi join (no duplicates introduced)."""
     return df.join(members, on, "left_semi")
@@ -55,15 +43,13 @@ def anti_exists(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> Dat
     return df.join(other, on, "left_anti")
 
 
-def range_lookup(df: DataFrame, ranges: DataFrame, point: str | Column, start: str, end: str,
-                 max_ranges: int) -> DataFrame:
+def range_lookup(df: DataFrame, ranges: DataFrame, point: str | Column, start: str, end: str) -> DataFrame:
     """Left join each row to the range with ``start <= point <= end``.
 
-    ``ranges`` must be a small table with a known row bound (for example a
-    literal campaign calendar); it is broadcast and matched by a nested-loop
-    join, one comparison per range per row. Ranges are expected not to
+    ``ranges`` is meant to be small (for example a campaign calendar): rows
+    meet it in a nested-loop join, one comparison per range per row; the planner
+    broadcasts it by its known size. Ranges are expected not to
     overlap; an overlapping range would duplicate rows.
     """
     p = F.col(point) if isinstance(point, str) else point
-    small = broadcast_bounded(ranges, max_ranges)
-    return df.join(small, (p >= small[start]) & (p <= small[end]), "left")
+    return df.join(ranges, (p >= ranges[start]) & (p <= ranges[end]), "left")

@@ -10,9 +10,9 @@ whole job. The operators here split each key across many tasks instead:
 3. each piece's total is carried forward: a window over the per-piece totals
    of one key, whose size is bounded by the number of slices.
 
-The input is checkpointed once, then its groups are measured (one grouped
-count): when no key exceeds ``MAX_GROUP_ROWS`` the ordinary window runs
-instead, so the extra shuffles are paid only when a key is actually hot.
+There is one path for every size. The carried rows are those of (slice, key)
+pieces that continue a key of an earlier slice: at most one per slice border,
+so they are broadcast with that bound.
 
 All results are exact. The caller must give a total order within the key
 (add a unique tiebreak column). The sliced frame is read by two branches
@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabula.session import checkpoint_dir
+
 _PID, _LOCAL, _BLOCK, _CARRY = "__slice", "__local", "__block", "__carry"
 
 
@@ -50,101 +52,68 @@ def _slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-# Key groups up to this many rows run as one ordinary window task; a larger
-# (hot) key is split into range slices. Override per call or with the session
-# setting ``tabula.ordered.maxGroupRows``.
-MAX_GROUP_ROWS = 2_000_000
-
-
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest key group: a grouped count, one number to the driver."""
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    return int(top or 0)
-
-
-def _group_limit(df: DataFrame, max_group_rows: int | None) -> int:
-    if max_group_rows is not None:
-        return max_group_rows
-    return int(df.sparkSession.conf.get("tabula.ordered.maxGroupRows", str(MAX_GROUP_ROWS)))
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], slices: int | None) -> DataFrame:
+    """``df`` in balanced slices of its (key, order) sequence, numbered and pinned."""
+    checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(slices or _slices(df), *_cols(keys), *_cols(order))
+            .withColumn(_PID, F.spark_partition_id())
+            .checkpoint(eager=True))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                value: str, out: str, slices: int | None = None,
-                max_group_rows: int | None = None, total_out: str | None = None,
-                _materialized: bool = False) -> DataFrame:
+                value: str, out: str, slices: int | None = None, total_out: str | None = None) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same ``keys`` up to and
     including this row in ``order`` (ROWS frame; ties must not exist), and,
-    if ``total_out`` is given, the key's whole sum.
-
-    When the largest key group has at most ``max_group_rows`` rows the plain
-    window is used (one shuffle); otherwise every key is range-sliced so the
-    hot key spreads over many tasks.
-    """
+    if ``total_out`` is given, the key's whole sum."""
     keys = list(keys)
-    # computed once: the measurement, the range sampling and the window all
-    # read this copy instead of re-running the (possibly expensive) input plan
-    if not _materialized:
-        df = df.checkpoint(eager=True)
-    limit = _group_limit(df, max_group_rows)
-    if limit > 0 and _largest_group(df, keys) <= limit:
-        frame = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        df = df.withColumn(out, F.sum(value).over(frame))
-        if total_out:
-            df = df.withColumn(total_out, F.sum(value).over(Window.partitionBy(*keys)))
-        return df
-    n = slices or _slices(df)
-    ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
-              .withColumn(_PID, F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = _sliced(df, keys, order, slices)
     piece = Window.partitionBy(_PID, *keys).orderBy(*_cols(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn(_LOCAL, F.sum(value).over(piece))
-    blocks = local.groupBy(_PID, *keys).agg(F.sum(value).alias(_BLOCK))
+    blocks = ranged.groupBy(_PID, *keys).agg(F.sum(value).alias(_BLOCK))
     before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    extra = [F.sum(_BLOCK).over(Window.partitionBy(*keys)).alias(total_out)] if total_out else []
     # NULL when every earlier slice of the key held only NULL values, as SUM is
-    carry = blocks.select(_PID, *keys, F.sum(_BLOCK).over(before).alias(_CARRY), *extra)
-    joined = join_on_keys(local, carry, [_PID, *keys])
+    carry = blocks.select(_PID, *keys, F.sum(_BLOCK).over(before).alias(_CARRY)).filter(F.col(_CARRY).isNotNull())
+    joined = join_on_keys(local, F.broadcast(carry), [_PID, *keys], "left")  # fewer rows than slices
     total = F.when(F.col(_LOCAL).isNull() & F.col(_CARRY).isNull(), F.lit(None)).otherwise(
         F.coalesce(F.col(_LOCAL), F.lit(0)) + F.coalesce(F.col(_CARRY), F.lit(0)))
-    return joined.select(*df.columns, total.alias(out), *([total_out] if total_out else []))
+    result = joined.select(*df.columns, total.alias(out))
+    if total_out:
+        whole = blocks.groupBy(*keys).agg(F.sum(_BLOCK).alias(total_out))
+        result = join_on_keys(result, whole, keys)
+    return result
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "pos",
-             slices: int | None = None, max_group_rows: int | None = None,
-             _materialized: bool = False) -> DataFrame:
+             slices: int | None = None) -> DataFrame:
     """1-based row number within ``keys`` in ``order`` (= ROW_NUMBER())."""
     one = "__one"
-    return running_sum(df.withColumn(one, F.lit(1)), keys, order, one, out, slices, max_group_rows,
-                       _materialized=_materialized).drop(one)
+    return running_sum(df.withColumn(one, F.lit(1)), keys, order, one, out, slices).drop(one)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  columns: Sequence[str], prefix: str = "previous_",
-                  max_group_rows: int | None = None) -> DataFrame:
-    """Adds ``previous_<c>`` = LAG(c) OVER (PARTITION BY keys ORDER BY order).
-
-    Small groups: the plain LAG window. A hot key: position (range-sliced) +
-    equi-join on (key, position - 1), where one row meets at most one
-    partner, so the join cannot fan out.
-    """
+                  columns: Sequence[str], prefix: str = "previous_", slices: int | None = None) -> DataFrame:
+    """Adds ``previous_<c>`` = LAG(c) OVER (PARTITION BY keys ORDER BY order):
+    LAG inside each slice; the first row of a piece takes the last row of the
+    key's piece before."""
     keys = list(keys)
-    df = df.checkpoint(eager=True)  # one computation of the input for measuring and either path
-    limit = _group_limit(df, max_group_rows)
-    if limit > 0 and _largest_group(df, keys) <= limit:
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in columns])
-    pos = "__pos"
-    numbered = position(df, keys, order, pos, max_group_rows=0, _materialized=True)
-    prev = numbered.select(*keys, (F.col(pos) + 1).alias(pos),
-                           *[F.col(c).alias(prefix + c) for c in columns])
-    out = join_on_keys(numbered, prev, [*keys, pos], "left")
-    return out.select(*df.columns, *[prefix + c for c in columns])
+    ranged = _sliced(df, keys, order, slices)
+    piece = Window.partitionBy(_PID, *keys).orderBy(*_cols(order))
+    local = ranged.select("*", F.row_number().over(piece).alias(_LOCAL),
+                          *[F.lag(c).over(piece).alias(prefix + c) for c in columns])
+    row = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(_cols(order))],
+                   *[F.col(c).alias("__v_" + c) for c in columns])
+    last = ranged.groupBy(_PID, *keys).agg(F.max(row).alias(_BLOCK))
+    carry = last.select(_PID, *keys, F.lag(_BLOCK).over(Window.partitionBy(*keys).orderBy(_PID)).alias(_CARRY))
+    carry = carry.filter(F.col(_CARRY).isNotNull())  # fewer rows than slices
+    joined = join_on_keys(local, F.broadcast(carry), [_PID, *keys], "left")
+    return joined.select(*df.columns, *[
+        F.when(F.col(_LOCAL) == 1, F.col(f"{_CARRY}.__v_{c}")).otherwise(F.col(prefix + c)).alias(prefix + c)
+        for c in columns])
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: dict[str, float], max_group_rows: int | None = None) -> DataFrame:
+                      probs: dict[str, float]) -> DataFrame:
     """PERCENTILE_CONT for every ``probs`` entry, grouped by ``keys``.
 
     Values are first counted per (key, value) -- a partial aggregate, so
@@ -159,10 +128,10 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     # per (key, value) counts, NULL values included so that a group of only
     # NULLs still yields a row (with NULL percentiles), as GROUP BY does
+    checkpoint_dir(df.sparkSession)
     counted_all = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w")).checkpoint(eager=True)
     counted = counted_all.filter(F.col(value).isNotNull())
-    ranked = running_sum(counted, keys, [value], "__w", "__cum", max_group_rows=max_group_rows,
-                         total_out="__n", _materialized=True)
+    ranked = running_sum(counted, keys, [value], "__w", "__cum", total_out="__n")
     start = F.col("__cum") - F.col("__w")
     aggs, results = [], []
     for i, (name, p) in enumerate(probs.items()):

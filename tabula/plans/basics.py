@@ -31,13 +31,11 @@ def line_duplicates(lineitem: DataFrame) -> DataFrame:
 
 
 def region_revenue(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """orders -> customer -> nation -> region chain; nation and region are
-    fixed 25 / 5-row dimensions and are broadcast, the order->customer join
-    is left to the planner (sort-merge, or broadcast when AQE measures a
-    small side)."""
+    """orders -> customer -> nation -> region chain; the planner knows the
+    tables' sizes and picks the joins."""
     chain = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-             .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
+             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     return chain.groupBy(F.col("r_name").alias("region_name")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(to_money("o_totalprice")).cast("double").alias("total_price"))

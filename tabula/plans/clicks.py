@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabula.operators.joins import anti_not_in, range_lookup, semi_in
-from tabula.sources.roles import CAMPAIGNS
 from tabula.sources.sinks import materialize
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, AD_CLICK = 1, 2, 3, 4, 5
@@ -27,15 +26,17 @@ def _purchase_visits(click: DataFrame) -> DataFrame:
 
 
 def user_summary(click: DataFrame) -> DataFrame:
-    """Users, and average events ('cookies') per user."""
-    per_user = click.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    """Users, and average events ('cookies') per user; events without a user
+    belong to none."""
+    per_user = click.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     return per_user.agg(F.count(F.lit(1)).alias("num_user"), F.round(F.avg("n"), 4).alias("avg_events_per_user"),
                         F.expr("sum(n) div count(n)").alias("avg_events_per_user_int"))
 
 
 def visits_by_month(click: DataFrame) -> DataFrame:
-    return click.groupBy(F.month("event_time").cast("bigint").alias("event_month")).agg(
-        F.countDistinct("visit_id").alias("unique_num_visits"))
+    return click.groupBy(F.year("event_time").cast("bigint").alias("event_year"),
+                         F.month("event_time").cast("bigint").alias("event_month")).agg(
+        F.countDistinct("visit_id").alias("unique_num_visits")).orderBy("event_year", "event_month")
 
 
 def events_by_name(click: DataFrame, event_names: DataFrame) -> DataFrame:
@@ -78,8 +79,9 @@ def top_pages(click: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
 
 def cart_adds_in_purchase_visits(click: DataFrame, pages: DataFrame) -> DataFrame:
     """Cart adds per page among visits IN (visits with a purchase)."""
-    adds = click.filter(F.col("event_type") == CART_ADD)
-    bought = _per_page(semi_in(adds, _purchase_visits(click), "visit_id"), F.count(F.lit(1)).alias("n"))
+    # one row per (visit, page) meets the visits, so a hot visit brings its pages, not its events
+    adds = click.filter(F.col("event_type") == CART_ADD).groupBy("visit_id", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    bought = _per_page(semi_in(adds, _purchase_visits(click), "visit_id"), F.sum("n").alias("n"))
     return bought.join(pages, "page_id").groupBy("page_name").agg(F.sum("n").alias("num_purchased"))
 
 
@@ -134,7 +136,9 @@ def _rates(df: DataFrame) -> DataFrame:
 
 
 def product_funnel_rates(click: DataFrame, pages: DataFrame) -> DataFrame:
-    return _rates(product_funnel(click, pages)).drop("product_category")
+    """Sorted by cart-add rate, view-to-purchase rate and purchases, descending."""
+    out = _rates(product_funnel(click, pages)).drop("product_category")
+    return out.orderBy(F.desc("conversion_rate_add_cart"), F.desc("viewed_to_purchased"), F.desc("purchased"))
 
 
 def category_funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
@@ -153,7 +157,7 @@ def campaign_of_visit(click: DataFrame, campaigns: DataFrame) -> DataFrame:
     The source filters the campaign table by an outer aggregate; here the
     visit start is aggregated first and then range-joined."""
     starts = visit_starts(click)
-    out = range_lookup(starts, campaigns, "visit_start_time", "start_date", "end_date", len(CAMPAIGNS))
+    out = range_lookup(starts, campaigns, "visit_start_time", "start_date", "end_date")
     return out.select("visit_id", "user_id",
                       F.date_format("visit_start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("visit_start_time"),
                       "campaign_name")
@@ -173,29 +177,33 @@ def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Dat
 
     A visit is listed, and its start taken, over its events on known pages
     (the source inner-joins the page table); its counts cover all its events
-    (the source's correlated subqueries). Counts come from the events alone;
-    only page ids and cart-add events meet the page table, and the per-visit
-    results are joined 1:1.
+    (the source's correlated subqueries), of all its users. Events are read
+    once and aggregated per (visit, user, page) before they meet the pages.
     """
-    used = pages_in_use(click, pages)
-    starts = (click.join(used.select("page_id"), "page_id", "left_semi")
-              .groupBy("visit_id", "user_id").agg(F.min("event_time").alias("visit_start_time")))
-    g = click.groupBy("visit_id", "user_id").agg(
-        _count_if(F.col("event_type") == VIEW).alias("page_views"),
-        _count_if(F.col("event_type") == CART_ADD).alias("cart_adds"),
-        F.max((F.col("event_type") == PURCHASE).cast("bigint")).alias("purchase"),
-        _count_if(F.col("event_type") == IMPRESSION).alias("impression"),
-        _count_if(F.col("event_type") == AD_CLICK).alias("click"))
-    products = used.filter(F.col("product_id").isNotNull()).select("page_id", "page_name")
-    adds = click.filter(F.col("event_type") == CART_ADD).join(products, "page_id")
-    # STRING_AGG in event order: NULL names skipped, NULL when none is left
-    ordered_names = F.transform(F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name"))),
-                                lambda e: e["page_name"])
-    names = F.filter(ordered_names, lambda n: n.isNotNull())
-    cart = adds.groupBy("visit_id", "user_id").agg(
-        F.when(F.size(names) > 0, F.array_join(names, ", ")).alias("cart_products"))
-    g = starts.join(g, ["visit_id", "user_id"]).join(cart, ["visit_id", "user_id"], "left")
-    g = range_lookup(g, campaigns, "visit_start_time", "start_date", "end_date", len(CAMPAIGNS))
+    is_add = F.col("event_type") == CART_ADD
+    per_page = click.filter(F.col("visit_id").isNotNull()).groupBy("visit_id", "user_id", "page_id").agg(
+        _count_if(F.col("event_type") == VIEW).alias("v"), _count_if(is_add).alias("a"),
+        F.max((F.col("event_type") == PURCHASE).cast("bigint")).alias("p"),
+        _count_if(F.col("event_type") == IMPRESSION).alias("i"), _count_if(F.col("event_type") == AD_CLICK).alias("c"),
+        F.min("event_time").alias("first"),
+        F.collect_list(F.when(is_add, F.struct("event_time", "event_id"))).alias("adds"))
+    known = pages.select("page_id", F.lit(True).alias("known"), "product_id", "page_name")
+    rows = per_page.join(known, "page_id", "left")
+    listed = F.when(F.col("known") & F.col("product_id").isNotNull() & F.col("page_name").isNotNull(), F.transform(
+        "adds", lambda e: F.struct(e["event_time"].alias("t"), e["event_id"].alias("e"), F.col("page_name").alias("n"))))
+    per_user = rows.groupBy("visit_id", "user_id").agg(
+        *[F.sum(c).alias(c) for c in ("v", "a", "i", "c")], F.max("p").alias("p"),
+        F.min(F.when(F.col("known"), F.col("first"))).alias("start"), F.flatten(F.collect_list(listed)).alias("items"))
+    # counts and cart cover the whole visit, whoever its users are
+    visit = per_user.groupBy("visit_id").agg(
+        F.sum("v").alias("page_views"), F.sum("a").alias("cart_adds"), F.max("p").alias("purchase"),
+        F.sum("i").alias("impression"), F.sum("c").alias("click"),
+        F.array_sort(F.flatten(F.collect_list("items"))).alias("items"),
+        F.collect_list(F.when(F.col("start").isNotNull(), F.struct("user_id", F.col("start").alias("visit_start_time")))).alias("users"))
+    names = F.transform("items", lambda e: e["n"])
+    g = visit.select("visit_id", "page_views", "cart_adds", "purchase", "impression", "click",
+                     F.when(F.size("items") > 0, F.array_join(names, ", ")).alias("cart_products"), F.inline("users"))
+    g = range_lookup(g, campaigns, "visit_start_time", "start_date", "end_date")
     return g.select("visit_id", "user_id",
                     F.date_format("visit_start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("visit_start_time"),
                     "page_views", "cart_adds", "purchase", "campaign_name", "impression", "click", "cart_products")

@@ -34,7 +34,7 @@ def clean_customer_orders(customer_orders: DataFrame) -> DataFrame:
 def clean_runner_orders(runner_orders: DataFrame) -> DataFrame:
     """Distance and duration parsed from unit strings; cancellation nulls unified."""
     return (normalize_nulls(runner_orders, "cancellation")
-            .withColumn("distance", parse_quantity("distance", "km", "decimal(5,2)"))
+            .withColumn("distance", parse_quantity("distance", "km", "decimal(12,2)"))
             .withColumn("duration", parse_quantity("duration", "min", "int")))
 
 

@@ -102,9 +102,10 @@ def drop_invalid(metrics: DataFrame, clean_interest_map: DataFrame) -> DataFrame
 
 def present_in_all_months(metrics: DataFrame, clean_interest_map: DataFrame) -> DataFrame:
     """Interests seen in every month_year of the data (relational division)."""
-    months = metrics.agg(F.countDistinct("month_year").alias("__all"))  # one row
-    per = metrics.groupBy("interest_id").agg(F.countDistinct("month_year").alias("n"))
-    full = per.crossJoin(months).filter(F.col("n") == F.col("__all")).select("interest_id")
+    seen = metrics.select("interest_id", "month_year").distinct()
+    months = seen.agg(F.countDistinct("month_year").alias("__all"))
+    per = seen.groupBy("interest_id").agg(F.count("month_year").alias("n"))
+    full = per.crossJoin(F.broadcast(months)).filter(F.col("n") == F.col("__all")).select("interest_id")
     names = clean_interest_map.select(F.col("id").alias("interest_id"), "interest_name").distinct()
     return full.join(names, "interest_id")
 
@@ -129,6 +130,6 @@ def cumulative_share(metrics: DataFrame, min_percent: int = 90) -> DataFrame:
 
 def rows_of_rare_ids(metrics: DataFrame, below_months: int = 6) -> DataFrame:
     """Rows whose interest appears in fewer than ``below_months`` months (EXISTS)."""
-    rare = (metrics.groupBy("interest_id").agg(F.countDistinct("month_year").alias("n"))
-            .filter(F.col("n") < below_months).select("interest_id"))
-    return metrics.join(rare, "interest_id", "left_semi").agg(F.count(F.lit(1)).alias("rows_removed"))
+    per_month = metrics.filter(F.col("interest_id").isNotNull()).groupBy("interest_id", "month_year").agg(F.count(F.lit(1)).alias("rows"))
+    per = per_month.groupBy("interest_id").agg(F.count("month_year").alias("n"), F.sum("rows").alias("rows"))
+    return per.filter(F.col("n") < below_months).agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows_removed"))

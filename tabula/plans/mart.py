@@ -44,7 +44,7 @@ def clean_weekly_sales(weekly_sales: DataFrame) -> DataFrame:
         "customer_type",
         F.col("transactions").cast("bigint").alias("transactions"),
         F.col("sales").cast("bigint").alias("sales"),
-        F.expr("sales div transactions").alias("avg_transaction"),
+        F.expr("sales div nullif(transactions, 0)").alias("avg_transaction"),
     )
 
 
@@ -94,9 +94,9 @@ def top_bands(clean: DataFrame, platform: str) -> DataFrame:
 def average_transaction_size(clean: DataFrame) -> DataFrame:
     """AVG(sales / transactions) per (year, platform) with integer division at
     both steps, as BIGINT inputs give."""
-    size = F.expr("sales div transactions")
+    size = F.expr("sales div nullif(transactions, 0)")
     return clean.groupBy("calendar_year", "platforms").agg(
-        F.expr("sum(sales div transactions) div count(sales div transactions)").alias("avg_transaction_size"),
+        F.expr("sum(sales div nullif(transactions, 0)) div count(sales div nullif(transactions, 0))").alias("avg_transaction_size"),
         F.round(F.avg(size), 4).alias("avg_transaction_size_exact"))
 
 
@@ -133,17 +133,16 @@ def before_after_change(clean: DataFrame, baseline: dt.date, weeks_list=(4, 12))
 def before_after_by_year(clean: DataFrame, month: int, day: int, weeks: int) -> DataFrame:
     """For every calendar year present: sales in [Y-month-day - weeks, Y-month-day)
     and [Y-month-day, Y-month-day + weeks]. Each row is tested against the
-    baselines of its own and the neighbouring years only (a window is shorter
-    than a year), so one scan serves all years."""
-    if weeks * 7 >= 365:
-        raise ValueError("window must be shorter than a year")
-    years = clean.select("calendar_year").distinct()
+    baselines of its own and of the years the window can reach, so one scan
+    serves all years; a year is listed if it has rows of its own."""
+    reach = weeks * 7 // 365 + 1
     cand = clean.select("week_date", "sales",
-                        F.explode(F.array(*[F.year("week_date") + k for k in (-1, 0, 1)])).alias("y"))
+                        F.explode(F.array(*[F.year("week_date") + k for k in range(-reach, reach + 1)])).alias("y"))
     base = F.make_date(F.col("y"), F.lit(month), F.lit(day))
     before = (F.col("week_date") >= F.date_add(base, -7 * weeks)) & (F.col("week_date") < base)
     after = (F.col("week_date") >= base) & (F.col("week_date") <= F.date_add(base, 7 * weeks))
     per_year = cand.groupBy(F.col("y").cast("bigint").alias("calendar_year")).agg(
         F.sum(F.when(before, F.col("sales"))).alias("before"),
-        F.sum(F.when(after, F.col("sales"))).alias("after"))
-    return years.join(per_year, "calendar_year", "left").select("calendar_year", "before", "after")
+        F.sum(F.when(after, F.col("sales"))).alias("after"),
+        F.max(F.year("week_date") == F.col("y")).alias("own"))
+    return per_year.filter("own").select("calendar_year", "before", "after").orderBy("calendar_year")

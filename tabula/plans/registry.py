@@ -169,7 +169,7 @@ SELECT order_id, line_id, customer_id, pizza_id, order_time,
 FROM customer_orders"""
 _RO_CLEAN = """
 SELECT order_id, runner_id, pickup_time,
-       CAST(trim(CASE WHEN instr(d, 'km') = 0 THEN d ELSE substr(d, 1, instr(d, 'km') - 1) END, ' ') AS DECIMAL(5,2))
+       CAST(trim(CASE WHEN instr(d, 'km') = 0 THEN d ELSE substr(d, 1, instr(d, 'km') - 1) END, ' ') AS DECIMAL(12,2))
          AS distance,
        CAST(trim(CASE WHEN instr(u, 'min') = 0 THEN u ELSE substr(u, 1, instr(u, 'min') - 1) END, ' ') AS INTEGER)
          AS duration,
@@ -439,7 +439,7 @@ def _(spark, sf):
 
 
 @query("customer_journey", W("""
-SELECT s.customer_id, s.plan_id, p.plan_name, s.start_date FROM sub s JOIN plans p ON s.plan_id = p.plan_id""",
+SELECT s.customer_id, s.plan_id, p.plan_name, CAST(p.price AS DOUBLE) AS price, s.start_date FROM sub s JOIN plans p ON s.plan_id = p.plan_id""",
                              "sub", "plans"), dates=('start_date',), ints=('plan_id',))
 def _(spark, sf):
     r = R(spark, sf)
@@ -506,9 +506,7 @@ def _(spark, sf):
 
 
 @query("day_bucket_breakdown", W("""
-SELECT CASE WHEN gap IS NULL OR gap < 0 OR gap > 90 THEN 'More than 90 days'
-            ELSE CAST(greatest(30 * ((gap - 1) // 30), 0) + (CASE WHEN gap > 30 THEN 1 ELSE 0 END) AS VARCHAR)
-                 || '-' || CAST(30 * greatest((gap + 29) // 30, 1) AS VARCHAR) || ' days' END AS break_period,
+SELECT """ + "CASE " + " ".join(f"WHEN gap BETWEEN {lo} AND {hi} THEN '{label}'" for label, lo, hi in subscriptions.DAY_BANDS) + f" ELSE '{subscriptions.OTHER_BAND}' END" + """ AS break_period,
        round(AVG(gap), 4) AS avg_day_between, CAST(SUM(gap) // NULLIF(COUNT(gap), 0) AS BIGINT) AS avg_day_between_int,
        COUNT(*) AS num_cus
 FROM (SELECT annual.start_date - trial.start_date AS gap
@@ -708,18 +706,18 @@ SELECT w.week_date, CAST(day(CAST(date_trunc('week', w.week_date) AS DATE)) // 7
   CAST(month(w.week_date) AS BIGINT) AS month_number, CAST(year(w.week_date) AS BIGINT) AS calendar_year,
   w.region, w.platforms,
   CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown' ELSE w.segment END AS segment,
-  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown' ELSE COALESCE(ab.band, 'Retirees') END AS age_band,
-  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown' ELSE COALESCE(dm.label, 'Families') END AS demographic,
+  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown'
+       WHEN right(w.segment, 1) = '1' THEN 'Young Adults' WHEN right(w.segment, 1) = '2' THEN 'Middle Aged' ELSE 'Retirees' END AS age_band,
+  CASE WHEN lower(trim(w.segment, ' ')) = 'null' THEN 'unknown'
+       WHEN left(w.segment, 1) = 'C' THEN 'Couples' ELSE 'Families' END AS demographic,
   w.customer_type, CAST(w.transactions AS BIGINT) AS transactions, CAST(w.sales AS BIGINT) AS sales,
-  CAST(w.sales // w.transactions AS BIGINT) AS avg_transaction
+  CAST(w.sales // NULLIF(w.transactions, 0) AS BIGINT) AS avg_transaction
 FROM (SELECT make_date(CASE WHEN yy < 50 THEN yy + 2000 ELSE yy + 1900 END, mm, dd) AS week_date, *
       FROM (SELECT CAST(string_split(week_date, '/')[1] AS INTEGER) AS dd,
                    CAST(string_split(week_date, '/')[2] AS INTEGER) AS mm,
                    CAST(string_split(week_date, '/')[3] AS INTEGER) AS yy,
                    region, platforms, segment, customer_type, transactions, sales
-            FROM weekly_sales) parts) w
-LEFT JOIN (VALUES ('1', 'Young Adults'), ('2', 'Middle Aged')) ab(code, band) ON ab.code = right(w.segment, 1)
-LEFT JOIN (VALUES ('C', 'Couples')) dm(code, label) ON dm.code = left(w.segment, 1)"""
+            FROM weekly_sales) parts) w"""
 
 
 def MW(body: str) -> str:
@@ -800,8 +798,8 @@ def _(spark, sf):
 
 @query("integer_division", MW("""
 SELECT calendar_year, platforms,
-       CAST(SUM(sales // transactions) // COUNT(sales // transactions) AS BIGINT) AS avg_transaction_size,
-       round(AVG(sales // transactions), 4) AS avg_transaction_size_exact
+       CAST(SUM(sales // NULLIF(transactions, 0)) // COUNT(sales // NULLIF(transactions, 0)) AS BIGINT) AS avg_transaction_size,
+       round(AVG(sales // NULLIF(transactions, 0)), 4) AS avg_transaction_size_exact
 FROM cw GROUP BY calendar_year, platforms"""))
 def _(spark, sf):
     return mart.average_transaction_size(_cw(spark, sf))
@@ -860,14 +858,15 @@ def _c(spark, sf):
 @query("user_summary", CW("""
 SELECT COUNT(*) AS num_user, round(AVG(n), 4) AS avg_events_per_user,
        CAST(SUM(n) // COUNT(n) AS BIGINT) AS avg_events_per_user_int
-FROM (SELECT user_id, COUNT(*) AS n FROM click GROUP BY user_id) x"""))
+FROM (SELECT user_id, COUNT(*) AS n FROM click WHERE user_id IS NOT NULL GROUP BY user_id) x"""))
 def _(spark, sf):
     return clicks.user_summary(_c(spark, sf)[1])
 
 
 @query("visits_by_month", CW("""
-SELECT CAST(month(event_time) AS BIGINT) AS event_month, COUNT(DISTINCT visit_id) AS unique_num_visits
-FROM click GROUP BY 1"""))
+SELECT CAST(year(event_time) AS BIGINT) AS event_year, CAST(month(event_time) AS BIGINT) AS event_month,
+       COUNT(DISTINCT visit_id) AS unique_num_visits
+FROM click GROUP BY 1, 2 ORDER BY 1, 2"""))
 def _(spark, sf):
     return clicks.visits_by_month(_c(spark, sf)[1])
 

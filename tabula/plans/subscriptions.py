@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.dates import add_term, after_year, in_year
@@ -16,7 +16,7 @@ TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
 
 def journey(sub: DataFrame, plans: DataFrame) -> DataFrame:
     """Subscriptions with their plan names (inner join to the catalogue)."""
-    return sub.join(plans, "plan_id").select("customer_id", "plan_id", "plan_name", "start_date")
+    return sub.join(plans, "plan_id").select("customer_id", "plan_id", "plan_name", F.col("price").cast("double").alias("price"), "start_date")
 
 
 def customers(sub: DataFrame) -> DataFrame:
@@ -155,18 +155,16 @@ def plan_in_force(at: Column, plan: Column, previous_date: Column, previous_plan
 def plan_snapshot(sub: DataFrame, at: dt.date) -> DataFrame:
     """Customer count and share per plan in force at ``at``.
 
-    The latest subscription on or before ``at`` and the one before it come
-    from two max-aggregates (the second over rows ordered before the first),
-    not from windows over whole customer histories.
+    The two latest subscriptions on or before ``at`` come from one ranked scan;
+    the rank limit is applied before the shuffle, too, so a hot customer sends
+    two rows per task.
     """
     upto = sub.filter(F.col("start_date") <= F.lit(at))
-    last = latest_per_key(upto, ["customer_id"], ["start_date", "sub_id"], ["plan_id"])
-    earlier = (upto.join(last.select("customer_id", F.col("start_date").alias("l_date"),
-                                     F.col("sub_id").alias("l_id")), "customer_id")
-               .filter(F.struct("start_date", "sub_id") < F.struct("l_date", "l_id")))
-    prev = latest_per_key(earlier, ["customer_id"], ["start_date", "sub_id"], ["plan_id"]).select(
-        "customer_id", F.col("start_date").alias("previous_date"), F.col("plan_id").alias("previous_plan"))
-    rows = last.join(prev, "customer_id", "left")
+    order = Window.partitionBy("customer_id").orderBy(F.desc("start_date"), F.desc("sub_id"))
+    two = upto.withColumn("back", F.row_number().over(order)).filter(F.col("back") <= 2)
+    pick = lambda c, back: F.max(F.when(F.col("back") == back, F.col(c)))
+    rows = two.groupBy("customer_id").agg(pick("plan_id", 1).alias("plan_id"), pick("plan_id", 2).alias("previous_plan"),
+                                          pick("start_date", 2).alias("previous_date"))
     at_c = F.lit(at)
     plan, pp = F.col("plan_id"), F.col("previous_plan")
     rule = plan_in_force(at_c, plan, F.col("previous_date"), pp)
@@ -175,7 +173,6 @@ def plan_snapshot(sub: DataFrame, at: dt.date) -> DataFrame:
                .when(pp < plan, plan)
                .otherwise(rule))
     counts = rows.groupBy(current.cast("bigint").alias("current_plan")).agg(F.count(F.lit(1)).alias("plan_num"))
-    total = counts.agg(F.sum("plan_num").alias("__total"))  # one row
-    return counts.crossJoin(total).select(
-        "current_plan", "plan_num",
-        F.round(F.col("plan_num") * 100.0 / F.col("__total"), 2).alias("plan_percent"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # one row per plan
+    return counts.select("current_plan", "plan_num",
+                         F.round(F.col("plan_num") * 100.0 / F.sum("plan_num").over(everything), 2).alias("plan_percent"))

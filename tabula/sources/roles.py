@@ -146,20 +146,22 @@ class Roles:
         li = self.t("lineitem", "l_orderkey", "l_suppkey", "l_shipdate")
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderdate")
         c = self.t("customer", "c_custkey", "c_nationkey")
-        n = F.broadcast(self.t("nation", "n_nationkey", "n_regionkey"))  # 25 rows by definition
-        return (li.join(o, li.l_orderkey == o.o_orderkey)
-                .filter(F.col("l_shipdate") >= F.col("o_orderdate"))
-                .join(c, F.col("o_custkey") == F.col("c_custkey"))
-                .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        n = self.t("nation", "n_nationkey", "n_regionkey")
+        placed = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                  .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+        early = F.col("l_shipdate") < F.col("o_orderdate")  # a stay lasts from the earlier date to the later
+        first = F.when(early, F.col("l_shipdate")).otherwise(F.col("o_orderdate"))
+        last = F.when(early, F.col("o_orderdate")).otherwise(F.col("l_shipdate"))
+        return (li.join(placed, li.l_orderkey == placed.o_orderkey)
                 .select(F.col("o_custkey").alias("customer_id"),
                         F.col("n_regionkey").alias("region_id"),
                         F.col("l_suppkey").alias("node_id"),
-                        F.col("o_orderdate").cast("date").alias("start_date"),
-                        F.col("l_shipdate").cast("date").alias("end_date")))
+                        first.cast("date").alias("start_date"),
+                        last.cast("date").alias("end_date")))
 
     def regions(self) -> DataFrame:
-        return F.broadcast(self.t("region", "r_regionkey", "r_name").select(
-            F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")))
+        return self.t("region", "r_regionkey", "r_name").select(
+            F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
 
     def txn(self) -> DataFrame:
         o = self.t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
@@ -177,8 +179,8 @@ class Roles:
     def weekly_sales(self) -> DataFrame:
         o = self.t("orders", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice", "o_orderpriority")
         c = self.t("customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-        n = F.broadcast(self.t("nation", "n_nationkey", "n_regionkey"))
-        r = F.broadcast(self.t("region", "r_regionkey", "r_name"))
+        n = self.t("nation", "n_nationkey", "n_regionkey")
+        r = self.t("region", "r_regionkey", "r_name")
         digit = _digit("o_orderpriority")
         week = F.date_trunc("week", F.col("o_orderdate")).cast("date")
         rows = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
@@ -232,16 +234,15 @@ class Roles:
         li = self.t("lineitem", "l_partkey", "l_discount", "l_tax", "l_shipdate")
         no_period = F.col("l_tax") == 0
         return li.select(
-            F.when(no_period, F.lit("NULL")).otherwise(F.lit("1")).alias("_month"),
+            F.when(no_period, F.lit("NULL")).otherwise(F.month("l_shipdate").cast("string")).alias("_month"),
             F.when(no_period, F.lit("NULL")).otherwise(F.year("l_shipdate").cast("string")).alias("_year"),
-            F.when(no_period, F.lit("NULL"))  # 'MM-yyyy' of the year's first month
-             .otherwise(F.concat(F.lit("01-"), F.year("l_shipdate").cast("string"))).alias("month_year"),
+            F.when(no_period, F.lit("NULL")).otherwise(F.date_format("l_shipdate", "MM-yyyy")).alias("month_year"),
             F.when(F.col("l_discount") == 0, F.lit("NULL"))
              .otherwise(F.col("l_partkey").cast("string")).alias("interest_id"),
         )
 
     def interest_map(self) -> DataFrame:
-        p = self.t("part", "p_partkey", "p_name", "p_brand", "p_size").filter(F.col("p_size") > 1)
+        p = self.t("part", "p_partkey", "p_name", "p_brand", "p_size")
         # sizes 2-3 appear twice: duplicated rows, as in the source data (one scan, no union)
         copies = F.when(F.col("p_size").between(2, 3), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
         return p.select("*", F.explode(copies).alias("__copy")).select(

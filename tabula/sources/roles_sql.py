@@ -49,11 +49,11 @@ ROLE_SQL: dict[str, str] = {
         FROM orders""",
     "stay": """
         SELECT o.o_custkey AS customer_id, n.n_regionkey AS region_id, l.l_suppkey AS node_id,
-               CAST(o.o_orderdate AS DATE) AS start_date, CAST(l.l_shipdate AS DATE) AS end_date
+               CAST(CASE WHEN l.l_shipdate < o.o_orderdate THEN l.l_shipdate ELSE o.o_orderdate END AS DATE) AS start_date,
+               CAST(CASE WHEN l.l_shipdate < o.o_orderdate THEN o.o_orderdate ELSE l.l_shipdate END AS DATE) AS end_date
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         JOIN customer c ON o.o_custkey = c.c_custkey
-        JOIN nation n ON c.c_nationkey = n.n_nationkey
-        WHERE l.l_shipdate >= o.o_orderdate""",
+        JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "regions": "SELECT r_regionkey AS region_id, r_name AS region_name FROM region",
     "txn": """
         SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS txn_date,
@@ -92,9 +92,9 @@ ROLE_SQL: dict[str, str] = {
                CASE WHEN p_size > 5 THEN p_partkey END AS product_id
         FROM part""",
     "interest_metrics": """
-        SELECT CASE WHEN l_tax = 0 THEN 'NULL' ELSE '1' END AS _month,
+        SELECT CASE WHEN l_tax = 0 THEN 'NULL' ELSE CAST(month(l_shipdate) AS VARCHAR) END AS _month,
                CASE WHEN l_tax = 0 THEN 'NULL' ELSE CAST(year(l_shipdate) AS VARCHAR) END AS _year,
-               CASE WHEN l_tax = 0 THEN 'NULL' ELSE strftime(date_trunc('year', l_shipdate), '%m-%Y') END
+               CASE WHEN l_tax = 0 THEN 'NULL' ELSE strftime(l_shipdate, '%m-%Y') END
                  AS month_year,
                CASE WHEN l_discount = 0 THEN 'NULL' ELSE CAST(l_partkey AS VARCHAR) END AS interest_id
         FROM lineitem""",
@@ -103,7 +103,7 @@ ROLE_SQL: dict[str, str] = {
                CASE WHEN p_size <= 10 THEN '' ELSE p_brand END AS interest_summary,
                TIMESTAMP '1995-01-01 00:00:00' + to_days(p_size * 30) AS created_at,
                TIMESTAMP '1995-01-01 00:00:00' + to_days(p_size * 31) AS last_modified
-        FROM (SELECT * FROM part WHERE p_size > 1
+        FROM (SELECT * FROM part
               UNION ALL SELECT * FROM part WHERE p_size BETWEEN 2 AND 3) p""",
     "customer_orders": """
         SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_id, o.o_custkey AS customer_id,

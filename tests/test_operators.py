@@ -21,7 +21,7 @@ def skewed(spark):
 
 
 def test_running_sum_matches_cumsum(spark, skewed):
-    got = (ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", slices=7, max_group_rows=0)
+    got = (ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", slices=7)
            .toPandas().sort_values(["k", "d", "id"]).reset_index(drop=True))
     want = skewed.toPandas().sort_values(["k", "d", "id"]).reset_index(drop=True)
     want["cum"] = want.groupby("k")["v"].cumsum()
@@ -34,7 +34,7 @@ def test_hot_key_spans_several_slices(spark, skewed):
 
 
 def test_previous_matches_lag(spark, skewed):
-    got = (ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"], max_group_rows=0).toPandas()
+    got = (ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"]).toPandas()
            .sort_values(["k", "d", "id"]).reset_index(drop=True))
     want = skewed.toPandas().sort_values(["k", "d", "id"]).reset_index(drop=True)
     want["previous_v"] = want.groupby("k")["v"].shift(1)
@@ -42,8 +42,7 @@ def test_previous_matches_lag(spark, skewed):
 
 
 def test_exact_percentiles_match_linear_interpolation(spark, skewed):
-    got = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5, "p80": 0.8, "p95": 0.95},
-                                    max_group_rows=0).toPandas()
+    got = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5, "p80": 0.8, "p95": 0.95}).toPandas()
     pdf = skewed.toPandas()
     for _, row in got.iterrows():
         vals = pdf[pdf.k == row.k].v.to_numpy()
@@ -93,37 +92,28 @@ def test_not_in_with_null_is_empty(spark):
     assert sorted(map(str, (r.v for r in joins.anti_not_in(left, empty, "v").collect()))) == ["None", "a", "b"]
 
 
-def test_broadcast_requires_small_bound(spark):
-    df = spark.range(3)
-    joins.broadcast_bounded(df, 3)
-    with pytest.raises(ValueError):
-        joins.broadcast_bounded(df, 10**9)
-
-
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_sliced_and_plain_paths_agree(spark, skewed, limit):
-    lag = ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"], max_group_rows=limit)
+def test_sliced_and_plain_paths_agree(spark, skewed):
+    lag = ordered.with_previous(skewed, ["k"], ["d", "id"], ["v"])
     got = sorted((r.id, r.previous_v) for r in lag.collect())
     pdf = skewed.toPandas().sort_values(["k", "d", "id"])
     pdf["p"] = pdf.groupby("k")["v"].shift(1)
     want = sorted((int(i), None if pd.isna(p) else int(p)) for i, p in zip(pdf.id, pdf.p))
     assert got == want
-    pct = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5}, max_group_rows=limit)
+    pct = ordered.exact_percentiles(skewed, ["k"], "v", {"p50": 0.5})
     assert {r.k: r.p50 for r in pct.collect()} == pytest.approx(
         {k: float(np.percentile(g.v, 50)) for k, g in pdf.groupby("k")})
 
 
 def test_hot_key_takes_sliced_path(spark, skewed):
-    plan = ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum", max_group_rows=500)
+    plan = ordered.running_sum(skewed, ["k"], ["d", "id"], "v", "cum")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in text or "LogicalRDD" in text  # sliced + checkpointed
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_null_keys_and_values_like_sql(spark, limit):
+def test_null_keys_and_values_like_sql(spark):
     rows = [(None, i, i, (None if i % 10 == 0 else 1)) for i in range(40)] + [(1, i, 100 + i, 2) for i in range(5)]
     df = spark.createDataFrame(rows, "k int, o int, id int, v int")
-    got = ordered.running_sum(df, ["k"], ["o", "id"], "v", "rs", slices=4, max_group_rows=limit)
+    got = ordered.running_sum(df, ["k"], ["o", "id"], "v", "rs", slices=4)
     assert got.columns == ["k", "o", "id", "v", "rs"]
     pdf = df.toPandas().sort_values(["o", "id"])
     want = {}
@@ -134,10 +124,10 @@ def test_null_keys_and_values_like_sql(spark, limit):
                 seen = (seen or 0) + int(v)
             want[i] = seen
     assert {r.id: r.rs for r in got.collect()} == want
-    lag = ordered.with_previous(df, ["k"], ["o", "id"], ["v"], max_group_rows=limit)
+    lag = ordered.with_previous(df, ["k"], ["o", "id"], ["v"])
     assert lag.columns == ["k", "o", "id", "v", "previous_v"] and lag.count() == len(rows)
     pct = ordered.exact_percentiles(spark.createDataFrame([(None, 1.0), (None, 3.0), (2, None)], "k int, v double"),
-                                    ["k"], "v", {"m": 0.5}, max_group_rows=limit)
+                                    ["k"], "v", {"m": 0.5})
     assert {r.k: r.m for r in pct.collect()} == {None: 2.0, 2: None}
 
 

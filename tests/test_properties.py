@@ -47,28 +47,24 @@ keyed_rows = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30), st.intege
 
 
 @FAST
-@given(keyed_rows, st.sampled_from([0, 10**9]))
-def test_running_sum_and_lag(spark, rows, limit):
+@given(keyed_rows)
+def test_running_sum_and_lag(spark, rows):
     data = [(k, d, i, v) for i, (k, d, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k int, d int, id int, v int")
     pdf = pd.DataFrame(data, columns=["k", "d", "id", "v"]).sort_values(["k", "d", "id"])
     pdf["cum"] = pdf.groupby("k")["v"].cumsum()
     pdf["prev"] = pdf.groupby("k")["v"].shift(1)
-    got = {r.id: r.cum for r in ordered.running_sum(df, ["k"], ["d", "id"], "v", "cum", slices=3,
-                                                    max_group_rows=limit).collect()}
+    got = {r.id: r.cum for r in ordered.running_sum(df, ["k"], ["d", "id"], "v", "cum", slices=3).collect()}
     assert got == dict(zip(pdf.id, pdf.cum))
-    lag = {r.id: r.previous_v for r in ordered.with_previous(df, ["k"], ["d", "id"], ["v"],
-                                                              max_group_rows=limit).collect()}
+    lag = {r.id: r.previous_v for r in ordered.with_previous(df, ["k"], ["d", "id"], ["v"]).collect()}
     assert lag == {i: (None if pd.isna(p) else int(p)) for i, p in zip(pdf.id, pdf.prev)}
 
 
 @FAST
-@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-5, 5)), min_size=1, max_size=60),
-       st.sampled_from([0, 10**9]))
-def test_percentiles(spark, rows, limit):
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-5, 5)), min_size=1, max_size=60))
+def test_percentiles(spark, rows):
     df = spark.createDataFrame(rows, "k int, v int")
-    got = {r.k: (r.a, r.b) for r in ordered.exact_percentiles(df, ["k"], "v", {"a": 0.5, "b": 0.95},
-                                                               max_group_rows=limit).collect()}
+    got = {r.k: (r.a, r.b) for r in ordered.exact_percentiles(df, ["k"], "v", {"a": 0.5, "b": 0.95}).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "v"])
     for k, g in pdf.groupby("k"):
         assert got[k][0] == np.percentile(g.v, 50)
