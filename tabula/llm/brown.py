@@ -102,25 +102,42 @@ def _partial_counts(buckets: int) -> Callable:
     return run
 
 
-def _word_statistics(train: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """(slot, types, singles, tokens by bucket; candidates for the top words)."""
+_STATISTICS = "part int, sums binary, words binary, counts binary, slots binary"
+_PARTS = 16
+
+
+def _statistics_row(part: int, sums: np.ndarray, words: np.ndarray, counts: np.ndarray, slots: np.ndarray) -> pa.Table:
+    """One row: types, singles and tokens by slot, and the TOP most frequent words."""
+    best = np.lexsort((words, -counts))[:TOP]
+    parts = [sums.astype("<i8"), words[best].astype("<u8"), counts[best].astype("<i8"), slots[best].astype("<i8")]
+    return pa.table([pa.array([part], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["part", "sums", "words", "counts", "slots"])
+
+
+def _word_statistics(train: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(types, singles and tokens by slot; hashes, counts and slots of the top
+    words), merged from buckets to _PARTS rows before they reach the driver."""
     def total(table: pa.Table) -> pa.Table:
         words, _ = B.numbers(table.column("words"), "<u8")
         counts, _ = B.numbers(table.column("counts"), "<u4")
         slots, _ = B.numbers(table.column("slots"), "<u2")
         words, first, number = np.unique(words, return_index=True, return_inverse=True)
         count, slot = np.bincount(number, weights=counts).astype(np.int64), slots[first].astype(np.int64)
-        best = np.lexsort((words, -count))[:TOP]
-        sums = [np.bincount(slot, weights=w, minlength=SLOTS).astype(np.int64) for w in (np.ones(len(slot)), count == 1, count)]
-        none = np.zeros(SLOTS, np.int64)
-        return pa.table([pa.array(np.concatenate([np.zeros(SLOTS, bool), np.ones(len(best), bool)])), pa.array(np.concatenate([none, words[best].view(np.int64)])),
-                         pa.array(np.concatenate([np.arange(SLOTS), slot[best]])), pa.array(np.concatenate([sums[0], np.ones(len(best), np.int64)])),
-                         pa.array(np.concatenate([sums[1], count[best] == 1]).astype(np.int64)), pa.array(np.concatenate([sums[2], count[best]]))],
-                        names=["top", "word", "slot", "types", "singles", "tokens"])
+        sums = np.stack([np.bincount(slot, weights=w, minlength=SLOTS) for w in (np.ones(len(slot)), count == 1, count)])
+        return _statistics_row(table.column("bucket")[0].as_py() % _PARTS, sums, words, count, slot)
+
+    def merge(table: pa.Table) -> pa.Table:
+        sums = B.numbers(table.column("sums"), "<i8")[0].reshape(-1, 3, SLOTS).sum(0)
+        words, counts, slots = (B.numbers(table.column(c), t)[0] for c, t in (("words", "<u8"), ("counts", "<i8"), ("slots", "<i8")))
+        return _statistics_row(table.column("part")[0].as_py(), sums, words, counts, slots)
     partial = train.select("text").mapInArrow(_partial_counts(buckets), "bucket int, words binary, counts binary, slots binary")
-    found = partial.groupBy("bucket").applyInArrow(total, "top boolean, word bigint, slot bigint, types bigint, singles bigint, tokens bigint").checkpoint()
-    slots = found.where("not top").groupBy("slot").agg(F.sum("types").alias("types"), F.sum("singles").alias("singles"), F.sum("tokens").alias("tokens"))
-    return slots, found.where("top").orderBy(F.desc("tokens"), "word").limit(TOP)
+    rows = partial.groupBy("bucket").applyInArrow(total, _STATISTICS).groupBy("part").applyInArrow(merge, _STATISTICS).collect()
+    if not rows:
+        none = np.empty(0, np.int64)
+        return np.zeros((3, SLOTS), np.int64), np.empty(0, np.uint64), none, none
+    sums = sum(np.frombuffer(r.sums, "<i8").reshape(3, SLOTS) for r in rows)
+    words, counts, slots = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("words", "<u8"), ("counts", "<i8"), ("slots", "<i8")))
+    best = np.lexsort((words, -counts))[:TOP]
+    return sums, words[best], counts[best], slots[best]
 
 
 def _sequence(units: np.ndarray, doc: np.ndarray, n: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,14 +270,10 @@ def fit(train: DataFrame, *, n_classes: int = CLASSES, rounds: int = ROUNDS) ->
     table gives a model that knows no word."""
     buckets = 2 * B.partitions(train.sparkSession)
     texts = train.count()
-    slots, best = _word_statistics(train, buckets)
-    types, singles, count = (np.zeros(SLOTS, np.int64) for _ in range(3))
-    for r in slots.collect():  # SLOTS rows
-        types[r.slot], singles[r.slot], count[r.slot] = r.types, r.singles, r.tokens
-    words = best.collect()  # TOP rows
-    order = np.argsort(np.array([r.word for r in words], np.int64).view(np.uint64), kind="stable")
-    top = np.array([r.word for r in words], np.int64).view(np.uint64)[order]
-    top_slot, top_count = (np.array([r[c] for r in words], np.int64)[order] for c in ("slot", "tokens"))
+    sums, top, top_count, top_slot = _word_statistics(train, buckets)
+    types, singles, count = (x.copy() for x in sums)
+    order = np.argsort(top, kind="stable")
+    top, top_count, top_slot = top[order], top_count[order], top_slot[order]
     all_types, all_tokens = int(types.sum()) + (texts > 0), int(count.sum()) + texts
     np.subtract.at(types, top_slot, 1)
     np.subtract.at(singles, top_slot, (top_count == 1).astype(np.int64))
