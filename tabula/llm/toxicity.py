@@ -109,7 +109,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where: Column | None = None, per_class: int = 2000,
-        epochs: int = 80, rate: float = 0.05, decay: float = 1e-3) -> Model:
+        epochs: int = 160, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Train from ``labels`` (doc_id, <label> 0/1) that meet ``where`` and the
     texts of ``docs`` (doc_id, text). Rows without id or label are skipped, a
     null text is empty. Without both labels every text scores the leak."""
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", where: Colu
     return train(y, features, first, np.repeat(np.arange(len(y)), [len(f) for f in firsts]), epochs, rate, decay)
 
 
-def train(y: np.ndarray, features: np.ndarray, first: np.ndarray, doc: np.ndarray, epochs: int, rate: float, decay: float, min_docs: int = 5, lift: float = 0.25) -> Model:
+def train(y: np.ndarray, features: np.ndarray, first: np.ndarray, doc: np.ndarray, epochs: int, rate: float, decay: float, min_docs: int = 5, lift: float = 0.5) -> Model:
     """Full-batch Adam on the noisy-or log-likelihood of document labels y;
     sentence i starts at word first[i] and belongs to document doc[i]. Features
     in fewer than ``min_docs`` documents have no weight; ``lift`` (0 to 1) gives
