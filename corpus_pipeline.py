@@ -49,7 +49,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of the remaining texts, with their token ids."""
-    return packing.pack(docs, tokenizer_path(), max_length=2048, end_id=1)
+    return packing.pack(docs, tokenizer_path(), max_length=2048, end_id=1, special=True)
 
 
 STAGES = [

@@ -57,18 +57,22 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Token ids of texts, exactly those of the tokenizer file on whole texts."""
+    """Token ids of texts, exactly those of the tokenizer file on whole texts.
+    ``special``: the string of a special token in a text is that token, as the
+    file has it by default; else it is ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.segmented = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer")
-                          and spec["model"]["type"] == "BPE" and not spec["model"].get("end_of_word_suffix"))
+                          and spec["model"]["type"] == "BPE" and not spec["model"].get("end_of_word_suffix")
+                          and not any(" " in t["content"] or t["single_word"] or t["lstrip"] or t["rstrip"]
+                                      for t in spec.get("added_tokens") or [] if special or not t["special"]))
         self._reset()
 
     def _reset(self) -> None:
@@ -118,10 +122,10 @@ class Encoder:
         return ids, np.bincount(doc, weights=size, minlength=n).astype(np.int64)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def pack(docs: DataFrame, tokenizer: str, *, max_length: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, max_length: int = 2048, end_id: int = 1, special: bool = False) -> DataFrame:
     """One row per piece of every document of ``docs`` (doc_id, text; other
     columns are ignored): doc_id, start (the document's ids before it), length
     (a power of two, at most ``max_length``, itself a power of two), ids
@@ -130,13 +134,15 @@ def pack(docs: DataFrame, tokenizer: str, *, max_length: int = 2048, end_id: int
 
     A null or empty text has just the end id, so every row gives at least one
     piece; repeated rows and null ids are packed row by row. ``tokenizer`` is
-    the path of a tokenizers JSON file that every executor can read."""
+    the path of a tokenizers JSON file that every executor can read; with
+    ``special`` the strings of its special tokens in a text become those tokens
+    (the file's own way), without it they are ordinary text."""
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
     kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, Encoder(tokenizer))
+        encoder = _encoders.get((tokenizer, special)) or _encoders.setdefault((tokenizer, special), Encoder(tokenizer, special))
         for b in batches:
             data, offsets = ragged.text_bytes(b.column("text"))
             for lo, hi in ragged.slices(offsets, SLICE_BYTES):

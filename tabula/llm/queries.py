@@ -107,7 +107,7 @@ def op5_brown_class_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), max_length=2048, end_id=1)
+    pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), max_length=2048, end_id=1, special=True)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 

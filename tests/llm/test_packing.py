@@ -67,3 +67,19 @@ def test_buckets_on_disk(spark, tmp_path):
     packing.write_buckets(packing.pack(df, tokenizer_path()), str(tmp_path / "b"))
     back = spark.read.parquet(str(tmp_path / "b"))
     assert all(1 << r.bucket == r.length for r in back.collect()) and back.count() == 3
+
+
+def test_query_and_pipeline_encode_special_tokens_as_the_file_does(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = dict(enumerate([*(t for t in ODD if t), "end <|endoftext|> of", "a  <|endoftext|>  b", "x<|endoftext|>y <|endoftext|><|endoftext|>"]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4") for i, t in texts.items()}
+    assert ids[len(texts) - 3].tolist() == [437, 220, 50256, 286, 1]
+    for r in QUERIES["op6_power_of_two_packing"](spark, str(tmp_path)).collect():
+        assert r.doc_tokens == len(ids[r.doc_id]) and r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes())
+    for r in corpus_pipeline.pack_sequences(spark, df, str(tmp_path)).collect():
+        assert r.ids == ids[r.doc_id][r.start:r.start + r.length].tobytes()
