@@ -2,18 +2,26 @@
 
 Exchange clustering assigns words to classes so that the class bigrams of the
 training texts are as likely as possible; a word is then scored as
-P(class | class before) * P(word | class). The clustering moves units: the
-``TOP`` most frequent training words each, and all other words together by the
-last bytes of their spelling (``SLOTS`` hashed endings), so that every word,
-unseen ones too, has a class. All counts are taken over all training texts:
+P(class | class before) * P(word | class). Every word of the training texts has
+a class of its own choice; only unseen words take one from the last bytes of
+their spelling (``SLOTS`` hashed endings). All counts are over all training texts:
 
 1. word counts, from one partial count per task and bucket of words;
-2. bigram counts of units, likewise (at most units^2 numbers);
-3. exchange rounds: a Spark job sums each unit's neighbours by class, the
-   driver (which holds units x classes numbers, bounded by the model) moves
+2. seed: the ``TOP`` most frequent words each, and the others by their endings,
+   are units; bigram counts of units, likewise (at most units^2 numbers);
+3. exchange rounds of units: a Spark job sums each unit's neighbours by class,
+   the driver (which holds units x classes numbers, bounded by the model) moves
    units while the likelihood grows;
-4. scoring: blocks of texts look up the exact training count of each of their
-   words (see ``tabula.llm.blocks``).
+4. the other words: a Spark table keeps each word's counts of the seed classes
+   before and after it; tasks move words from their ending's class to their
+   best one, given the words of all classes (classes x classes numbers), in
+   hashed halves, as long as that raises the likelihood;
+5. scoring: blocks of texts look up the class and the exact training count of
+   each of their words (see ``tabula.llm.blocks``); the class bigrams are then
+   counted over the words' own classes, and the texts scored by them.
+
+While a word of step 4 picks its class, rarer neighbours count by the class of
+their ending; the class bigrams of step 5 hold every word's own class.
 
 P(word | class) is the word's share of its class, less the Good-Turing mass of
 unseen words (the share of words seen once), which the class's unseen words
@@ -25,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +45,31 @@ from tabula.llm import blocks as B
 from tabula.llm import ragged
 
 TOP, SLOTS, ENDING_BYTES, CLASSES, ROUNDS = 4096, 1024, 3, 48, 9
+WORD_ROUNDS = 4
 
 
 @dataclass
 class Model:
     top: np.ndarray  # sorted hashes of the frequent words; place = unit
     classes: np.ndarray  # class of each unit; the last unit is the end
-    transition: np.ndarray  # log10 P(class | class before)
     unseen: np.ndarray  # P(any unseen word | class)
     class_tokens: np.ndarray
     tokens: int  # N
     types: int  # V
     texts: int
+    words: DataFrame  # bucket, block (-1), keys and extra (classes) of the words outside top
+    buckets: int  # of ``words``
+    train: DataFrame  # text
+
+    @cached_property
+    def transition(self) -> np.ndarray:
+        """log10 P(class | class before), counted over the training texts."""
+        docs = self.train.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.lit(True).alias("train"))
+        return self.log_transition(_class_bigrams(_classed(docs, self, "train", []), len(self.class_tokens)))
+
+    def log_transition(self, table: np.ndarray) -> np.ndarray:
+        share = (self.class_tokens + 1) / (self.class_tokens.sum() + len(table))
+        return np.log10((table + share) / (table.sum(1, keepdims=True) + 1))
 
     def units(self, words: np.ndarray, slots: np.ndarray) -> np.ndarray:
         return _units(self.top, words, slots)
@@ -265,9 +287,173 @@ def exchange(right: np.ndarray, left: np.ndarray, own: np.ndarray, classes: np.n
     return classes
 
 
-def fit(train: DataFrame, *, n_classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
+_CONTEXTS = "bucket int, words binary, slots binary, sizes binary, codes binary, counts binary"
+
+
+_KINDS = ("<u8", "<u2", "<u2", "<u2", "<u4")
+
+
+def _context_rows(used: np.ndarray, cuts: np.ndarray, words: np.ndarray, slots: np.ndarray, sizes: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+    entry = np.concatenate([[0], np.cumsum(sizes)])[cuts]
+    return [pa.array(used, pa.int32()), B.binary(words.astype("<u8"), cuts), B.binary(slots.astype("<u2"), cuts), B.binary(sizes.astype("<u2"), cuts),
+            B.binary(codes.astype("<u2"), entry), B.binary(counts.astype("<u4"), entry)]
+
+
+def _summed(words: np.ndarray, slots: np.ndarray, codes: np.ndarray, counts: np.ndarray, n_codes: int) -> tuple[np.ndarray, ...]:
+    """(sorted distinct words, their slots and numbers of entries, codes,
+    counts) of entries."""
+    words, first, number = np.unique(words, return_index=True, return_inverse=True)
+    entry, place = np.unique(number * n_codes + codes, return_inverse=True)
+    counts = np.bincount(place, weights=counts).astype(np.int64)
+    return words, slots[first], np.bincount(entry // n_codes, minlength=len(words)), entry % n_codes, counts
+
+
+def _contexts(train: DataFrame, top: np.ndarray, classes: np.ndarray, total: int, buckets: int) -> DataFrame:
+    """Rows of _CONTEXTS, one per bucket: of each word outside ``top`` the counts
+    of the seed classes after it (codes from 0) and before it (from ``total``)."""
+    end = len(classes) - 1
+    names = ["bucket", "words", "slots", "sizes", "codes", "counts"]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(_context_rows(*B.bucket_cuts(held[0][0], buckets), *held[0]), names=names)
+
+        def merge() -> None:
+            held[:] = [_summed(*(np.concatenate([np.repeat(h[i], h[2]) for h in held]) for i in (0, 1)), *(np.concatenate([h[i] for h in held]) for i in (3, 4)), 2 * total)]
+        for b in batches:
+            data, offsets = ragged.text_bytes(b.column("text"))
+            for lo, hi in ragged.slices(offsets, 8 << 20):
+                words, slots, doc = tokens(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                units = _units(top, words, slots)
+                before, unit = _sequence(units, doc, hi - lo, end)
+                after = np.append(unit[1:], end)[unit != end]
+                rare = units >= len(top)
+                if rare.any():
+                    words, slots, n = words[rare], slots[rare], int(rare.sum())
+                    codes = np.concatenate([classes[after[rare]], total + classes[before[unit != end][rare]]])
+                    held.append(_summed(np.concatenate([words, words]), np.concatenate([slots, slots]), codes, np.ones(2 * n), 2 * total))
+                if sum(len(h[3]) for h in held) > 4_000_000:
+                    merge()
+                    if len(held[0][3]) > 2_000_000:
+                        yield rows()
+                        held = []
+        if held:
+            merge()
+            yield rows()
+
+    def summed(table: pa.Table) -> pa.Table:
+        words, slots, sizes, codes, counts = (B.numbers(table.column(c), t)[0] for c, t in zip(names[1:], _KINDS, strict=True))
+        rows = _summed(np.repeat(words, sizes), np.repeat(slots, sizes), codes.astype(np.int64), counts, 2 * total)
+        return pa.table(_context_rows(np.array([table.column("bucket")[0].as_py()]), np.array([0, len(rows[0])]), *rows), names=names)
+    return train.select("text").mapInArrow(partial, _CONTEXTS).groupBy("bucket").applyInArrow(summed, _CONTEXTS).checkpoint()
+
+
+def _best(sizes: np.ndarray, codes: np.ndarray, counts: np.ndarray, now: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The best class of each word, given its entries, its class and ``table``:
+    by class, the counts of all words' neighbours by code. The last class is the
+    end, which takes no word."""
+    out, ends = now.copy(), np.cumsum(sizes)
+    base, held = _xlogx(table), table.sum(1) / 2
+    for lo in range(0, len(now), 1 << 14):
+        hi = min(lo + (1 << 14), len(now))
+        part = slice(int(ends[lo] - sizes[lo]), int(ends[hi - 1]))
+        word = np.repeat(np.arange(hi - lo), sizes[lo:hi])
+        code, count, at = codes[part], counts[part].astype(float), now[lo:hi]
+        n = np.bincount(word, weights=count, minlength=hi - lo) / 2
+        gain = _xlogx(table.T[code] + count[:, None]) - base.T[code]
+        mine = at[word]  # its own counts are in the table of its class
+        gain[np.arange(len(code)), mine] = base[mine, code] - _xlogx(np.maximum(table[mine, code] - count, 0))
+        gain = np.add.reduceat(gain, ends[lo:hi] - sizes[lo:hi] - part.start, axis=0)
+        cost = _xlogx(held + n[:, None]) - _xlogx(held)
+        rows = np.arange(hi - lo)
+        cost[rows, at] = _xlogx(held[at]) - _xlogx(np.maximum(held[at] - n, 0))
+        gain -= 2 * cost
+        gain[:, -1] = -np.inf
+        best = gain.argmax(1)
+        out[lo:hi] = np.where(gain[rows, best] > gain[rows, at] + 1e-9, best, at)
+    return out
+
+
+def _value(table: np.ndarray) -> float:
+    """The part of the log-likelihood of all neighbours that depends on the classes."""
+    return float(_xlogx(table).sum() - 2 * _xlogx(table.sum(1) / 2).sum())
+
+
+def _moved(batch: pa.RecordBatch, seed: np.ndarray, moves: list[tuple[int, np.ndarray]]) -> Iterator[tuple]:
+    """(bucket, words, seed classes, classes, sizes, codes, counts) of rows of
+    _CONTEXTS. ``seed``: class by slot. In each of ``moves`` the half of the
+    words that it names has picked a class by a table."""
+    for row in batch.to_pylist():
+        words, slots, sizes, codes, counts = (np.frombuffer(row[c], t) for c, t in zip(("words", "slots", "sizes", "codes", "counts"), _KINDS, strict=True))
+        sizes, codes = sizes.astype(np.int64), codes.astype(np.int64)
+        classes = seed[slots]
+        for half, table in moves:
+            turn = (words & np.uint64(1)) == half
+            of = np.repeat(turn, sizes)
+            if turn.any():
+                classes[turn] = _best(sizes[turn], codes[of], counts[of], classes[turn], table)
+        yield row["bucket"], words, seed[slots], classes, sizes, codes, counts
+
+
+def _sums(rows: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
+    """The sum of ``make`` (whole numbers) over all tasks, added up in _PARTS
+    groups before it reaches the driver."""
+    from pyspark import TaskContext
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() % _PARTS
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([make(batches).astype("<i8").tobytes()], pa.binary())], names=["part", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = sum(np.frombuffer(x, "<i8") for x in table.column("sums").to_pylist())
+        return pa.table([table.column("part").slice(0, 1), pa.array([sums.tobytes()], pa.binary())], names=["part", "sums"])
+    found = rows.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary").collect()
+    return sum((np.frombuffer(r.sums, "<i8") for r in found), np.zeros(int(np.prod(shape)), np.int64)).reshape(shape)
+
+
+def _word_classes(contexts: DataFrame, seed: np.ndarray, table: np.ndarray, rounds: int) -> tuple[DataFrame, np.ndarray]:
+    """(bucket, block -1, keys, extra: classes of all words of ``contexts``;
+    tokens, types and singles of these words by class). ``table``: class
+    bigrams with every word in the class of its ending."""
+    total = len(table)
+    first = state = np.concatenate([table, table.T], axis=1)
+    value, moves = _value(state), []
+    for i in range(rounds):
+        trial = [*moves, (i % 2, state)]
+
+        def change(batches: Iterator[pa.RecordBatch], trial=trial) -> np.ndarray:
+            out = np.zeros(state.size)
+            for b in batches:
+                for _, _, before, now, sizes, codes, counts in _moved(b, seed, trial):
+                    for classes, sign in ((before, -1), (now, 1)):
+                        out += np.bincount(np.repeat(classes, sizes) * 2 * total + codes, weights=sign * counts.astype(float), minlength=len(out))
+            return out
+        next_ = first + _sums(contexts, change, state.shape)
+        reached = _value(next_)
+        if reached > value:  # else words moved against each other
+            moves, state, value = trial, next_, reached
+
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket, words, _, classes, sizes, _, counts in _moved(b, seed, moves):
+                tokens_ = np.add.reduceat(counts.astype(np.int64), np.cumsum(sizes) - sizes) // 2
+                sums = np.stack([np.bincount(classes, weights=w, minlength=total) for w in (tokens_, np.ones(len(words)), tokens_ == 1)])
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([-1], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (words, classes.astype("u1"), sums.astype("<i8")))],
+                                                 names=["bucket", "block", "keys", "extra", "sums"])
+    words = contexts.mapInArrow(final, B.SENT + ", sums binary").checkpoint()
+
+    def stats(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return sum((np.frombuffer(x, "<i8") for b in batches for x in b.column("sums").to_pylist()), np.zeros(3 * total, np.int64))
+    return words.drop("sums"), _sums(words.select("sums"), stats, (3, total))
+
+
+def fit(train: DataFrame, *, n_classes: int = CLASSES, rounds: int = ROUNDS, word_rounds: int = WORD_ROUNDS) -> Model:
     """Learn from every row of ``train`` (text). A null text is empty; an empty
     table gives a model that knows no word."""
+    if n_classes > 254:
+        raise ValueError("at most 254 classes")
     buckets = 2 * B.partitions(train.sparkSession)
     texts = train.count()
     sums, top, top_count, top_slot = _word_statistics(train, buckets)
@@ -298,69 +484,121 @@ def fit(train: DataFrame, *, n_classes: int = CLASSES, rounds: int = ROUNDS) ->
         if reached <= value:  # neighbours moved against each other
             continue
         classes, value, (right, left, own) = moved, reached, next_
-    table = _class_table(right, classes, total)
-    per = lambda x: np.bincount(classes, weights=x, minlength=total)
-    class_tokens, class_types, class_singles = per(unit_tokens), per(unit_types), per(unit_singles)
-    share = (class_tokens + 1) / (class_tokens.sum() + total)
-    transition = np.log10((table + share) / (table.sum(1, keepdims=True) + 1))
+    buckets = B.partitions(train.sparkSession)
+    words, held = _word_classes(_contexts(train, top, classes, total, buckets), classes[len(top):-1], _class_table(right, classes, total), word_rounds)
+    for row, of_top in zip(held, (top_count, np.ones(len(top)), top_count == 1), strict=True):
+        row += np.bincount(classes[:len(top)], weights=of_top, minlength=total).astype(np.int64)
+    class_tokens, class_types, class_singles = held
+    class_tokens[end], class_types[end] = texts, 1
     unseen = np.where(class_tokens > 0, (class_singles + 1) / (class_tokens + class_types + 2), 1.0)
     unseen[end] = 0.0
-    return Model(top, classes, transition, unseen, class_tokens, all_tokens, all_types, texts)
+    return Model(top, classes, unseen, class_tokens, all_tokens, all_types, texts, words, buckets, train.select("text"))
 
 
-def score(docs: DataFrame, model: Model, train: str, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of ``docs`` (default doc_id) plus n_tokens, n_known
-    (tokens seen in training), train_tokens, base_score (add-one unigrams) and
-    score (log10 probability of the text under the classes), one row per row.
-    ``docs`` has doc_id, text and the boolean column ``train``, which names the
-    rows that ``model`` was learned from. A null text is empty: its only token
-    is the end. Columns of ``docs`` with the added names are replaced."""
-    added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    keep = [c for c in (["doc_id"] if keep is None else keep) if c not in (*added, "block")]
+def _classed(docs: DataFrame, model: Model, train: str, keep: list[str]) -> DataFrame:
+    """``keep``, _learned, n_tokens, n_known, base_score, _words (the part of
+    the score that the words give) and _classes (one byte per token) of docs."""
     rows = B.blocked(docs, ["doc_id", *keep, train])
-    buckets = B.partitions(docs.sparkSession)
+    names = ["_learned", "n_tokens", "n_known", "base_score", "_words", "_classes"]
 
     def read(table: pa.Table) -> tuple:
         data, offsets = ragged.text_bytes(table.column("text"))
         words, slots, doc = tokens(data, offsets)
         return words, slots, doc, *np.unique(words, return_inverse=True)
 
+    def learned(table: pa.Table) -> np.ndarray:
+        return table.column(train).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+
     def send(table: pa.Table) -> pa.Table:
         _, _, doc, keys, number = read(table)
-        learned = table.column(train).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
-        counts = np.bincount(number, weights=learned[doc], minlength=len(keys)).astype("<u4")
-        return B.send(B.block_of(table), keys, buckets, False, lambda cuts: B.binary(counts, cuts))
-
-    def answer(table: pa.Table) -> pa.Array:
+        counts = np.bincount(number, weights=learned(table)[doc], minlength=len(keys)).astype("<u4")
+        return B.send(B.block_of(table), keys, model_buckets, False, lambda cuts: B.binary(counts, cuts))
+
+    def answer(table: pa.Table) -> pa.Table:
+        own = np.array(table.column("block").to_pylist()) < 0
+        held, table = table.filter(pa.array(own)), table.filter(pa.array(~own))
+        if not table.num_rows:
+            return pa.table([table.column("bucket"), table.column("block"), pa.array([], pa.binary())], names=["bucket", "block", "answer"])
+        known, kinds = B.numbers(held.column("keys"), "<u8")[0], B.numbers(held.column("extra"), "u1")[0].astype(np.int64)
         keys, sizes = B.numbers(table.column("keys"), "<u8")
         counts, _ = B.numbers(table.column("extra"), "<u4")
-        _, number = np.unique(keys, return_inverse=True)
-        total = np.bincount(number, weights=counts).astype("<i8")
-        return B.binary(total[number], np.concatenate([[0], np.cumsum(sizes)]))
+        keys, number = np.unique(keys, return_inverse=True)
+        value = np.bincount(number, weights=counts).astype("<i8") << 8
+        if len(known):  # the low byte: 1 + the word's own class
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            value |= np.where(known[at] == keys, kinds[at] + 1, 0)
+        return pa.table([table.column("bucket"), table.column("block"), B.binary(value[number], np.concatenate([[0], np.cumsum(sizes)]))], names=["bucket", "block", "answer"])
+
+    # what the tasks need; a model also holds tables, which stay with the driver
+    model_buckets, top, classes, unseen, class_tokens = model.buckets, model.top, model.classes, model.unseen, model.class_tokens
+    n_train, n_types, n_texts = model.tokens, model.types, model.texts
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         n = left.num_rows
         words, slots, doc, _, number = read(left)
-        seen = B.answers(right, "<i8")[number] if len(words) else np.empty(0, np.int64)
-        end = len(model.classes) - 1
-        units = model.units(words, slots)
-        before, unit = _sequence(units, doc, n, end)
+        got = B.answers(right, "<i8")[number] if len(words) else np.empty(0, np.int64)
+        end = len(classes) - 1
+        _, unit = _sequence(_units(top, words, slots), doc, n, end)
         size = np.bincount(doc, minlength=n) + 1
         owner = np.repeat(np.arange(n), size)
-        c = np.full(len(unit), model.texts, np.int64)
-        c[unit != end] = seen
-        kind = model.classes[unit]
-        held = np.maximum(model.class_tokens[kind], 1)
-        word = np.where(c > 0, (1 - model.unseen[kind]) * c / held, model.unseen[kind])
+        c, kind = np.full(len(unit), n_texts, np.int64), classes[unit]
+        c[unit != end] = got >> 8
+        kind[unit != end] = np.where(got & 255, (got & 255) - 1, kind[unit != end])
+        word = np.where(c > 0, (1 - unseen[kind]) * c / np.maximum(class_tokens[kind], 1), unseen[kind])
         word[unit == end] = 1.0
-        logs = model.transition[model.classes[before], kind] + np.log10(np.maximum(word, 1e-300))
-        base = np.log10((c + 1) / (model.tokens + 1 * (model.types + 1)))
+        base = np.log10((c + 1) / (n_train + 1 * (n_types + 1)))
         sums = lambda x: np.bincount(owner, weights=x, minlength=n)
-        return pa.table([*(left.column(x) for x in keep), pa.array(size.astype(np.int64)), pa.array(sums(c > 0).astype(np.int64)),
-                         pa.array(np.full(n, model.tokens, np.int64)), pa.array(sums(base)), pa.array(sums(logs))], names=[*keep, *added])
+        return pa.table([*(left.column(x) for x in keep), pa.array(learned(left)), pa.array(size.astype(np.int64)), pa.array(sums(c > 0).astype(np.int64)), pa.array(sums(base)),
+                         pa.array(sums(np.log10(np.maximum(word, 1e-300)))), B.binary(kind.astype("u1"), np.concatenate([[0], np.cumsum(size)]))], names=[*keep, *names])
+
+    sent = rows.groupBy("block").applyInArrow(send, B.SENT).unionByName(model.words)
+    answers = sent.groupBy("bucket").applyInArrow(answer, B.ANSWER)
+    schema = T.StructType([docs.schema[c] for c in keep])
+    for name, kind in zip(names, (T.BooleanType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.BinaryType()), strict=True):
+        schema = schema.add(name, kind)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
+
+
+def _pairs(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class before, class, length by text) of the tokens of all texts; each
+    text ends in the class ``end``, which also precedes its first word."""
+    seq, size = B.numbers(column, "u1")
+    return np.concatenate([[end], seq[:-1]]).astype(np.int64)[:len(seq)], seq.astype(np.int64), size
+
+
+def _class_bigrams(classed: DataFrame, total: int) -> np.ndarray:
+    """Bigram counts of classes over the learned rows of ``classed``."""
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        out = np.zeros(total * total, np.int64)
+        for b in batches:
+            before, kind, _ = _pairs(b.column("_classes"), total - 1)
+            out += np.bincount(before * total + kind, minlength=len(out))
+        return out
+    return _sums(classed.where("_learned").select("_classes"), count, (total, total))
+
+
+def score(docs: DataFrame, model: Model, train: str, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (default doc_id) plus n_tokens, n_known
+    (tokens seen in training), train_tokens, base_score (add-one unigrams) and
+    score (log10 probability of the text under the classes), one row per row.
+    ``docs`` has doc_id, text and the boolean column ``train``, which names the
+    rows that ``model`` was learned from. A null text is empty: its only token
+    is the end. Columns of ``docs`` with the added names are replaced. The
+    classes of all tokens, one byte each, are written to the checkpoint folder."""
+    added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    keep = [c for c in (["doc_id"] if keep is None else keep) if c not in (*added, "block")]
+    classed = _classed(docs, model, train, keep).checkpoint()
+    total, n_train = len(model.class_tokens), model.tokens
+    transition = model.log_transition(_class_bigrams(classed, total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            before, kind, size = _pairs(b.column("_classes"), total - 1)
+            logs = np.bincount(np.repeat(np.arange(len(size)), size), weights=transition[before, kind], minlength=len(size))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*keep, "n_tokens", "n_known")), pa.array(np.full(len(size), n_train, np.int64)), b.column("base_score"),
+                                              pa.array(b.column("_words").to_numpy() + logs)], names=[*keep, *added])
 
-    counts = B.lookup(rows, send, answer)
     schema = T.StructType([docs.schema[c] for c in keep])
     for name, kind in zip(added, (T.LongType(),) * 3 + (T.DoubleType(),) * 2, strict=True):
         schema = schema.add(name, kind)
-    return rows.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(finish, schema)
+    return classed.mapInArrow(run, schema)

@@ -81,3 +81,26 @@ def test_odd_rows(spark):
     r = brown.score(d.where("doc_id = 3").withColumn("train", d.train.isNull() & False), empty, "train").first()
     assert r.train_tokens == 0 and r.base_score == 0 and math.isfinite(r.score)
     assert brown.score(d.where("false"), model, "train").count() == 0
+
+
+def test_rare_words_pick_their_own_class(spark, monkeypatch):
+    """Outside the frequent words: equal endings, different neighbours."""
+    monkeypatch.setattr(brown, "TOP", 4)
+    rng = random.Random(5)
+    texts = [" ".join(w for _ in range(20) for w in (("the", f"n{rng.randrange(30)}ing") if rng.random() < 0.5 else ("we", f"v{rng.randrange(30)}ing"))) for _ in range(200)]
+    d = spark.createDataFrame([(i, t, True) for i, t in enumerate(texts)], "doc_id bigint, text string, train boolean")
+    model = brown.fit(d, n_classes=6)
+    kinds = {}
+    for r in model.words.collect():
+        kinds |= zip(np.frombuffer(r.keys, "<u8").tolist(), np.frombuffer(r.extra, "u1").tolist(), strict=True)
+    import pyarrow as pa
+
+    from tabula.llm import ragged
+    counts = Counter(w for t in texts for w in t.split())
+    hashes = {w: int(brown.tokens(*ragged.text_bytes(pa.array([w])))[0][0]) for w in counts}
+    rare = [w for w in counts if hashes[w] in kinds]
+    assert len(rare) == len(kinds) == len(counts) - 4
+    nouns, verbs = ({kinds[hashes[w]] for w in rare if w[0] == x} for x in "nv")
+    assert not nouns & verbs
+    total = lambda m: sum(r.score for r in brown.score(d, m, "train").collect())
+    assert total(model) > total(brown.fit(d, n_classes=6, word_rounds=0))
