@@ -4,7 +4,10 @@ Every language gets a zstandard raw-content dictionary made of sentences of
 that language. A text is cut into short pieces, each piece is compressed with
 every dictionary, and the language with the fewest bytes over the whole text
 wins: a compressor that already holds the words of a language needs fewer
-literals. A text is rejected when the runner-up needs hardly more bytes.
+literals. A text is rejected when the runner-up needs hardly more bytes: less
+than ``min_margin`` more, or, in short texts, than ``min_bytes`` bytes more.
+Both were chosen on held-out labelled rows, languages left out of the model and
+noise (figures in the README).
 
 Learning reads a bounded sample: ``sample_docs`` labelled documents of each
 language in the order of a hash of their id, and ``dictionary_bytes`` of their
@@ -43,7 +46,8 @@ class Model:
     short_level: int = 12
     short_bytes: int = 256
     piece_bytes: int = 512
-    min_margin: float = 0.002
+    min_margin: float = 0.04
+    min_bytes: int = 3
 
 
 def normalize(text: str) -> bytes:
@@ -135,8 +139,10 @@ class Classifier:
         best = int(sizes.argmin())
         score = 1.0 / float(np.exp2((sizes[best] - sizes) / 4).sum())
         others = np.delete(sizes, best)
-        margin = float((others.min() - sizes[best]) / max(sizes[best], 1.0)) if len(others) else 1.0
-        return self.model.languages[best], score, margin, margin < self.model.min_margin
+        if not len(others):
+            return self.model.languages[best], score, 1.0, False
+        more = float(others.min() - sizes[best])
+        return self.model.languages[best], score, more / max(float(sizes[best]), 1.0), more < max(self.model.min_margin * float(sizes[best]), self.model.min_bytes)
 
 
 _cache: dict[int, tuple[Model, Classifier]] = {}

@@ -1,5 +1,8 @@
 """Language ID by compression: held-out accuracy and defined odd cases."""
 
+import dataclasses
+import random
+
 from pyspark.sql import functions as F
 
 from tabula.llm import language_id
@@ -47,3 +50,18 @@ def test_no_labels_and_empty(spark):
 def test_one_language(spark):
     d = spark.createDataFrame([(1, "abc", "x")], "doc_id bigint, text string, lang string")
     assert language_id.predict(d, language_id.fit(d)).first().rejected is False
+
+
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, where=~fold(4))
+    held = docs.where(fold(4)).collect()
+    rejected = lambda m, texts: sum(c.classify(t)[3] for c in [language_id.Classifier(m)] for t in texts) / len(texts)
+    assert rejected(model, [r.text for r in held]) < 0.02
+    for left_out in model.languages:
+        known = [(lang, d) for lang, d in zip(model.languages, model.dictionaries, strict=True) if lang != left_out]
+        fewer = dataclasses.replace(model, languages=tuple(lang for lang, _ in known), dictionaries=tuple(d for _, d in known))
+        assert rejected(fewer, [r.text for r in held if r.lang == left_out]) > 0.85, left_out
+    rng = random.Random(3)
+    for signs in ("abcdefghijklmnopqrstuvwxyz    ", "0123456789abcdef"):
+        assert rejected(model, ["".join(rng.choices(signs, k=5000)) for _ in range(20)]) > 0.85
