@@ -46,6 +46,7 @@ from tabula.llm import ragged
 
 TOP, SLOTS, ENDING_BYTES, CLASSES, ROUNDS = 4096, 1024, 3, 48, 9
 WORD_ROUNDS = 4
+_FEW = 64
 
 
 @dataclass
@@ -356,17 +357,23 @@ def _best(sizes: np.ndarray, codes: np.ndarray, counts: np.ndarray, now: np.ndar
     end, which takes no word."""
     out, ends = now.copy(), np.cumsum(sizes)
     base, held = _xlogx(table), table.sum(1) / 2
+    few = _xlogx(table.T + np.arange(_FEW)[:, None, None]) - base.T  # gain by count, code and class: no logarithms for small counts
+    few_cost = _xlogx(held + np.arange(_FEW)[:, None]) - _xlogx(held)
     for lo in range(0, len(now), 1 << 14):
         hi = min(lo + (1 << 14), len(now))
         part = slice(int(ends[lo] - sizes[lo]), int(ends[hi - 1]))
         word = np.repeat(np.arange(hi - lo), sizes[lo:hi])
         code, count, at = codes[part], counts[part].astype(float), now[lo:hi]
         n = np.bincount(word, weights=count, minlength=hi - lo) / 2
-        gain = _xlogx(table.T[code] + count[:, None]) - base.T[code]
+        gain = few[np.minimum(counts[part], _FEW - 1), code]
+        many = np.flatnonzero(count >= _FEW)
+        gain[many] = _xlogx(table.T[code[many]] + count[many, None]) - base.T[code[many]]
         mine = at[word]  # its own counts are in the table of its class
         gain[np.arange(len(code)), mine] = base[mine, code] - _xlogx(np.maximum(table[mine, code] - count, 0))
         gain = np.add.reduceat(gain, ends[lo:hi] - sizes[lo:hi] - part.start, axis=0)
-        cost = _xlogx(held + n[:, None]) - _xlogx(held)
+        cost = few_cost[np.minimum(n, _FEW - 1).astype(np.int64)]
+        many = np.flatnonzero(n >= _FEW)
+        cost[many] = _xlogx(held + n[many, None]) - _xlogx(held)
         rows = np.arange(hi - lo)
         cost[rows, at] = _xlogx(held[at]) - _xlogx(np.maximum(held[at] - n, 0))
         gain -= 2 * cost
