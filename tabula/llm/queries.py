@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import brown, chat, decontaminate, fixity, jaccard_join, language_id, packing, suffix_dedup, toxicity, vafile
+from tabula.llm import brown, chat, decontaminate, fixity, jaccard_join, language_id, line_frequency, packing, suffix_dedup, toxicity, vafile
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,6 +139,51 @@ def op10_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataF
                         F.array_max(F.transform("spans", lambda s: s["longest"])).alias("longest_match"))
 
 
+@query
+def op11_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.judge(table(spark, sf_dir, "documents", "doc_id", "text", "source"), host="source").drop("kept_text")
+
+
+ORACLE["op11_line_frequency_rules"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, text AS raw, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT rid, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM docs),
+placed AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM words),
+windows AS (
+  SELECT rid, place, word, lead(word) OVER later AS second, lead(word, 2) OVER later AS third
+  FROM placed WINDOW later AS (PARTITION BY rid ORDER BY place)),
+twice AS (
+  SELECT rid, place, third IS NOT NULL AND count(*) OVER (PARTITION BY rid, word, second, third) > 1 AS found FROM windows),
+covered AS (
+  SELECT rid, bool_or(found) OVER (PARTITION BY rid ORDER BY place ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS inside FROM twice),
+repeats AS (SELECT rid, count(*) FILTER (WHERE inside) AS n_repeat_words FROM covered GROUP BY rid),
+raw_lines AS (SELECT rid, source, raw, unnest(string_split(text, chr(10))) AS line FROM docs),
+lines AS (
+  SELECT rid, source, raw, line,
+         trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain
+  FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+line_counts AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY rid),
+hosts AS (SELECT source, greatest(10, floor(count(DISTINCT raw) * 0.005)) AS top FROM docs GROUP BY source),
+held AS (SELECT source, plain, count(DISTINCT raw) AS docs FROM lines GROUP BY source, plain),
+frequent AS (SELECT h.source, h.plain FROM held h JOIN hosts t ON h.source IS NOT DISTINCT FROM t.source WHERE h.docs > t.top),
+gone AS (
+  SELECT rid, count(DISTINCT l.plain) AS n_frequent_lines, sum(len(string_split(l.plain, ' '))) AS n_frequent_words
+  FROM lines l JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.plain = f.plain GROUP BY rid),
+figures AS (
+  SELECT d.doc_id, len(w.words) AS n_words, length(regexp_replace(d.text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(c.n_dup_lines, 0) AS n_dup_lines,
+         coalesce(r.n_repeat_words, 0) AS n_repeat_words, coalesce(g.n_frequent_lines, 0) AS n_frequent_lines,
+         coalesce(g.n_frequent_words, 0) AS n_frequent_words
+  FROM docs d JOIN words w USING (rid) LEFT JOIN repeats r USING (rid) LEFT JOIN line_counts c USING (rid) LEFT JOIN gone g USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       CAST(n_frequent_lines AS BIGINT) AS n_frequent_lines, CAST(n_frequent_words AS BIGINT) AS n_frequent_words,
+       NOT base_failed AND n_words - n_frequent_words >= 0.5 * n_words AS kept
+FROM judged
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
