@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import brown, chat, decontaminate, fixity, jaccard_join, language_id, line_frequency, packing, suffix_dedup, toxicity, vafile
+from tabula.llm import brown, chat, collocations, decontaminate, fixity, jaccard_join, language_id, line_frequency, packing, suffix_dedup, toxicity, vafile
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,6 +184,47 @@ FROM judged
 """
 
 
+@query
+def op12_stripes_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), min_count=10, subsumed=50, top=2000)
+
+
+ORACLE["op12_stripes_collocations"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT rid, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+lists AS (
+  SELECT row_number() OVER () AS pid, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces),
+placed AS (SELECT pid, lang, unnest(words) AS w1, unnest(range(1, len(words) + 1)) AS place FROM lists),
+runs AS (
+  SELECT lang, w1, lead(w1) OVER later AS w2, lead(w1, 2) OVER later AS w3
+  FROM placed WINDOW later AS (PARTITION BY pid ORDER BY place)),
+ones AS (SELECT lang, w1, count(*) AS f FROM runs GROUP BY lang, w1),
+twos AS (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY lang, w1, w2),
+threes AS (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+totals AS (SELECT lang, sum(f) AS n FROM ones GROUP BY lang),
+cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, 1 AS k, t.f AS a, x.f AS l, y.f AS r
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.w1 = t.w1 JOIN ones y ON y.lang = t.lang AND y.w1 = t.w2
+  WHERE t.f >= 10
+    AND NOT EXISTS (SELECT 1 FROM threes h WHERE h.lang = t.lang AND h.w1 = t.w1 AND h.w2 = t.w2 AND 100 * h.f >= 50 * t.f)
+    AND NOT EXISTS (SELECT 1 FROM threes h WHERE h.lang = t.lang AND h.w2 = t.w1 AND h.w3 = t.w2 AND 100 * h.f >= 50 * t.f)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.f, x.f, y.f
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.w1 = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.f, x.f, y.f
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.w1 = t.w3),
+scored AS (SELECT *, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
