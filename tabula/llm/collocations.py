@@ -62,6 +62,16 @@ def _raw(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
 
 
+def _numbered(strings: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(distinct strings in byte order, the number of each string): the rows of
+    a block come in any order, and what it sends must not follow it."""
+    coded = strings.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    number = np.empty(len(order), np.int64)
+    number[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), number[coded.indices.to_numpy()]
+
+
 def _message(strings: pa.Array, ids: list[np.ndarray], figures: list[np.ndarray]) -> bytes:
     """Columns of string numbers and of figures, with the strings they name."""
     used, number = np.unique(np.concatenate(ids), return_inverse=True)
@@ -124,18 +134,16 @@ class Block:
         data, offsets = ragged.text_bytes(table.column("text"))
         data = ragged.LOWER[data]
         starts, ends, doc = ragged.runs(data, offsets, WORD)
-        langs = pa.concat_arrays(table.column("lang").chunks).dictionary_encode()
-        names = langs.dictionary.cast(pa.large_binary())
-        lang = langs.indices.to_numpy().astype(np.int64)[doc]
+        names, lang = _numbered(pa.concat_arrays(table.column("lang").chunks).cast(pa.large_binary()))
+        lang = lang[doc]
         piece = np.cumsum(BREAK[data], dtype=np.int32)
         self.joined = (doc[1:] == doc[:-1]) & (piece[starts[1:]] == piece[starts[:-1]])  # word i + 1 follows word i in a piece
-        coded = _strings(ends - starts, data[WORD[data]].tobytes()).dictionary_encode()
-        words = coded.dictionary
+        words, word = _numbered(_strings(ends - starts, data[WORD[data]].tobytes()))
         v = len(words)
         self.strings = pa.concat_arrays([words, names])
         at, raw = _raw(self.strings)
         hashes = ragged.hash_runs(raw, at[:-1], at[1:])
-        code = lang * v + coded.indices.to_numpy().astype(np.int64)
+        code = lang * v + word
         counts = np.bincount(code, minlength=len(names) * v)
         used = np.flatnonzero(counts)
         back = np.cumsum(counts > 0) - 1

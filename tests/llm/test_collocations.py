@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from oracle_check import compare, duck
@@ -75,6 +76,19 @@ def test_many_blocks_long_texts_and_divided_stripes(spark, monkeypatch):
     assert run(spark, docs) == brute(docs)
 
 
+def test_what_a_block_sends_does_not_follow_the_order_of_its_rows():
+    rows = [{"block": 1, "lang": lang or "und", "text": text or ""} for _, text, lang in corpus(3, 40)]
+    sent = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        block = collocations.Block(pa.Table.from_pylist(rows))
+        words = list(block.send_words(4))
+        answers = [collocations._answers([m], 2, 2)[0] for _, m in words]
+        block.pairs(pa.table({"bucket": [b for b, _ in words], "answer": answers}), 4)
+        sent.append((words, list(block.send_pairs())))
+    assert sent[0] == sent[1] == sent[2]
+
+
 def test_empty_table_and_exact_products(spark):
     assert run(spark, []) == []
     big = 3_100_000  # 1000000 * a * a is beyond 64 bits
