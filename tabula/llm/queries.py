@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import brown, chat, collocations, decontaminate, fixity, jaccard_join, language_id, line_frequency, packing, suffix_dedup, toxicity, vafile
+from tabula.llm import brown, chat, collocations, decontaminate, fixity, jaccard_join, language_id, line_frequency, packing, suffix_dedup, toxicity, vafile, variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -225,6 +225,12 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
 
+@query
+def op13_sorted_list_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(table(spark, sf_dir, "documents", "doc_id", "text"), min_length=7, min_count=2, damage=31)
+    return variants.group_variants(words, factor=10)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
