@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.operators.ordered import join_on_keys
@@ -18,23 +18,22 @@ from tabula.operators.ordered import join_on_keys
 def ties_for_max(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """Rows whose ``measure`` equals the maximum of their key group.
 
-    Equals ``RANK() OVER (PARTITION BY keys ORDER BY measure DESC) = 1`` and
-    keeps ties, without sorting any group: max per key, then equi-join.
+    ``RANK() OVER (PARTITION BY keys ORDER BY measure DESC) = 1``, ties kept.
+    The rank limit is applied in every task before the shuffle (window group
+    limit), so a hot key sends only the rows that tie for its best in a task,
+    and ``df`` is read once. NULL keys form one group (PARTITION BY); NULL
+    measures come last, so a group of only NULLs ties as a whole.
     """
-    return _ties(df, keys, measure, F.max)
+    return _ties(df, keys, F.desc_nulls_last(measure))
 
 
-def _ties(df: DataFrame, keys: Sequence[str], measure: str, pick) -> DataFrame:
-    # NULL keys form their own group (PARTITION BY); a group whose measures are
-    # all NULL ties at rank one, as NULLs compare equal in window ordering
-    best = df.groupBy(*keys).agg(pick(measure).alias("__best"))
-    return (join_on_keys(df, best, list(keys))
-            .filter(F.col(measure).eqNullSafe(F.col("__best")))
-            .drop("__best"))
+def _ties(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    best = Window.partitionBy(*keys).orderBy(order)
+    return df.withColumn("__rank", F.rank().over(best)).filter(F.col("__rank") <= 1).drop("__rank")
 
 
 def ties_for_min(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    return _ties(df, keys, measure, F.min)
+    return _ties(df, keys, F.asc_nulls_last(measure))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

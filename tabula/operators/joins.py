@@ -13,6 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A key is heavy from this fraction of all weight on, so there are at most so many.
+HEAVY = 1000
+#: Parts among which rows that look for no match are spread.
+SPREAD = 4096
+
+
 def semi_in(df: DataFrame, members: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """``WHERE k IN (SELECT k FROM members)`` as a left-semi join (no duplicates introduced)."""
     return df.join(members, on, "left_semi")
@@ -53,3 +59,26 @@ def range_lookup(df: DataFrame, ranges: DataFrame, point: str | Column, start: s
     """
     p = F.col(point) if isinstance(point, str) else point
     return df.join(ranges, (p >= ranges[start]) & (p <= ranges[end]), "left")
+
+
+def heavy_join(left: DataFrame, right: DataFrame, key: str, payload: Sequence[str], weight: str, row: Sequence[str]) -> DataFrame:
+    """``left`` with the ``payload`` columns of ``right`` for its ``key``, NULL
+    if there is none (a left join; ``right`` has one row per key, none NULL).
+
+    ``weight`` of a right row says how many left rows have its key, for example
+    from a partial count. Keys of at least one in ``HEAVY`` of all weight, so at
+    most ``HEAVY`` rows, are copied to every task and their left rows never
+    travel; all others meet in a shuffle, in which no key is hot. Left rows
+    that look for nothing more (found, or a NULL key) are spread by a hash of
+    their ``row`` columns."""
+    packed = right.select(F.col(key).alias("__rk"), F.struct(*payload).alias("__p"), F.col(weight).cast("double").alias("__w"))
+    total = packed.agg(F.sum("__w").alias("__all"))  # one row
+    marked = packed.crossJoin(F.broadcast(total)).withColumn("__heavy", F.col("__w") * HEAVY >= F.col("__all"))
+    heavy = marked.filter(F.col("__heavy")).select(F.col("__rk").alias("__hk"), F.col("__p").alias("__hp"), F.lit(True).alias("__met"))
+    light = marked.filter(~F.col("__heavy")).select("__rk", F.col("__p").alias("__lp"), F.col("__heavy").cast("int").alias("__none"))  # a literal would be folded away
+    met = left.join(F.broadcast(heavy), F.col(key) == F.col("__hk"), "left")
+    done = F.col("__met").isNotNull() | F.col(key).isNull()
+    met = met.withColumn("__key", F.when(~done, F.col(key))).withColumn(
+        "__spread", F.when(done, 1 + F.pmod(F.xxhash64(*row), F.lit(SPREAD))).otherwise(0).cast("int"))
+    out = met.join(light, (F.col("__key") == F.col("__rk")) & (F.col("__spread") == F.col("__none")), "left")
+    return out.select(*left.columns, *[F.when(F.col("__met").isNotNull(), F.col(f"__hp.{c}")).otherwise(F.col(f"__lp.{c}")).alias(c) for c in payload])

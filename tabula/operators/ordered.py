@@ -2,40 +2,42 @@
 
 A window ``PARTITION BY key ORDER BY ...`` sends every row of a key to one
 task. When one key holds a large share of the data that task becomes the
-whole job. The operators here split each key across many tasks instead:
+whole job. Running sums, row positions and LAG split each key instead:
 
-1. ``repartitionByRange`` on ``(key, order)`` cuts the sorted sequence into
-   balanced slices -- a hot key spans many slices;
-2. a window runs inside each (slice, key) piece only;
-3. each piece's total is carried forward: a window over the per-piece totals
-   of one key, whose size is bounded by the number of slices.
+1. literal split points of the first order column cut the sequence of every
+   key into slices; they are part of the plan, so every branch and every
+   recomputation sees the same slices, and building the plan runs no job;
+2. one grouped aggregate makes a row per (key, slice), at most one per split
+   point and key, and a window over those few rows finds what a slice takes
+   over from the slices before;
+3. that row joins its slice as a first row of its own, and one window per
+   (key, slice) gives the results.
 
-There is one path for every size. The carried rows are those of (slice, key)
-pieces that continue a key of an earlier slice: at most one per slice border,
-so they are broadcast with that bound.
+``split_points`` finds points for unknown data in a job of its own, once;
+reports whose dates are bounded name them. Without points a key is one slice.
+
+Exact percentiles are found by rank selection: histograms narrow the interval
+that holds each rank, in a few passes of grouped aggregates.
 
 All results are exact. The caller must give a total order within the key
-(add a unique tiebreak column). The sliced frame is read by two branches
-(rows and per-slice totals), and both must see the same slice of every row,
-so it is pinned with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
-(a shared folder on a cluster): later reads, and recomputation after an
-executor is lost, all see one slicing.
+(add a unique tiebreak column).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabula.session import checkpoint_dir
-
-_PID, _LOCAL, _BLOCK, _CARRY = "__slice", "__local", "__block", "__carry"
-
+_SLICE, _REAL, _VALUE, _LAST = "__slice", "__real", "__value", "__last"
 
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in names]
+#: Buckets per linear pass of the rank selection, and per octave of the first.
+BUCKETS, PER_OCTAVE = 1 << 16, 64
+#: A hot key's rows meet the intervals of its ranks in so many parts.
+SALTS = 8
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -48,100 +50,138 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(r, cond, how).drop(*["__rk_" + k for k in keys])
 
 
-def _slices(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def split_points(df: DataFrame, column: str, slices: int) -> list:
+    """Values of ``column`` that cut its rows into about ``slices`` even parts,
+    from approximate quantiles of numbers or dates (one job, now)."""
+    kind = df.schema[column].dataType
+    days = isinstance(kind, T.DateType)
+    plain = df.select((F.datediff(column, F.lit(dt.date(1970, 1, 1))) if days else F.col(column)).cast("double").alias("v"))
+    found = sorted(set(plain.approxQuantile("v", [i / slices for i in range(1, slices)], 0.1 / slices)))
+    return [dt.date(1970, 1, 1) + dt.timedelta(days=int(v)) for v in found] if days else found
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], slices: int | None) -> DataFrame:
-    """``df`` in balanced slices of its (key, order) sequence, numbered and pinned."""
-    checkpoint_dir(df.sparkSession)
-    return (df.repartitionByRange(slices or _slices(df), *_cols(keys), *_cols(order))
-            .withColumn(_PID, F.spark_partition_id())
-            .checkpoint(eager=True))
+def month_starts(first: int, last: int) -> list[dt.date]:
+    """The first days of all months of the years ``first`` to ``last``."""
+    return [dt.date(y, m, 1) for y in range(first, last + 1) for m in range(1, 13)]
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                value: str, out: str, slices: int | None = None, total_out: str | None = None) -> DataFrame:
+def _sliced(df: DataFrame, column: str, splits: Sequence) -> DataFrame:
+    """``df`` with the number of split points up to its value of ``column``
+    (NULL sorts first)."""
+    number = F.lit(0)
+    if splits:
+        points = sorted(splits)
+        number = F.when(F.col(column) >= F.lit(points[-1]), len(points))
+        for i in range(len(points) - 1, 0, -1):
+            number = number.when(F.col(column) >= F.lit(points[i - 1]), i)
+        number = number.otherwise(0)
+    return df.withColumn(_SLICE, number)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, splits: Sequence = ()) -> DataFrame:
     """``out`` = sum of ``value`` over rows of the same ``keys`` up to and
-    including this row in ``order`` (ROWS frame; ties must not exist), and,
-    if ``total_out`` is given, the key's whole sum."""
-    keys = list(keys)
-    ranged = _sliced(df, keys, order, slices)
-    piece = Window.partitionBy(_PID, *keys).orderBy(*_cols(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn(_LOCAL, F.sum(value).over(piece))
-    blocks = ranged.groupBy(_PID, *keys).agg(F.sum(value).alias(_BLOCK))
-    before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # NULL when every earlier slice of the key held only NULL values, as SUM is
-    carry = blocks.select(_PID, *keys, F.sum(_BLOCK).over(before).alias(_CARRY)).filter(F.col(_CARRY).isNotNull())
-    joined = join_on_keys(local, F.broadcast(carry), [_PID, *keys], "left")  # fewer rows than slices
-    total = F.when(F.col(_LOCAL).isNull() & F.col(_CARRY).isNull(), F.lit(None)).otherwise(
-        F.coalesce(F.col(_LOCAL), F.lit(0)) + F.coalesce(F.col(_CARRY), F.lit(0)))
-    result = joined.select(*df.columns, total.alias(out))
-    if total_out:
-        whole = blocks.groupBy(*keys).agg(F.sum(_BLOCK).alias(total_out))
-        result = join_on_keys(result, whole, keys)
-    return result
-
-
-def position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "pos",
-             slices: int | None = None) -> DataFrame:
+    including this row in ``order`` (ROWS frame; ties must not exist)."""
+    keys, order = list(keys), list(order)
+    rows = _sliced(df, order[0], splits)
+    pieces = rows.groupBy(*keys, _SLICE).agg(F.sum(value).alias(_VALUE))
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)  # a row per slice
+    # NULL while every earlier slice of the key held only NULL values, as SUM is
+    carried = pieces.withColumn(_VALUE, F.sum(_VALUE).over(before)).filter(F.col(_VALUE).isNotNull())
+    both = rows.withColumn(_VALUE, F.col(value).cast(pieces.schema[_VALUE].dataType)).withColumn(_REAL, F.lit(1)) \
+        .unionByName(carried.withColumn(_REAL, F.lit(0)), allowMissingColumns=True)
+    upto = Window.partitionBy(*keys, _SLICE).orderBy(_REAL, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn(out, F.sum(_VALUE).over(upto)).filter(F.col(_REAL) == 1).select(*df.columns, out)
+
+
+def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "pos", splits: Sequence = ()) -> DataFrame:
     """1-based row number within ``keys`` in ``order`` (= ROW_NUMBER())."""
     one = "__one"
-    return running_sum(df.withColumn(one, F.lit(1)), keys, order, one, out, slices).drop(one)
+    return running_sum(df.withColumn(one, F.lit(1)), keys, order, one, out, splits).drop(one)
 
 
-def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  columns: Sequence[str], prefix: str = "previous_", slices: int | None = None) -> DataFrame:
-    """Adds ``previous_<c>`` = LAG(c) OVER (PARTITION BY keys ORDER BY order):
-    LAG inside each slice; the first row of a piece takes the last row of the
-    key's piece before."""
-    keys = list(keys)
-    ranged = _sliced(df, keys, order, slices)
-    piece = Window.partitionBy(_PID, *keys).orderBy(*_cols(order))
-    local = ranged.select("*", F.row_number().over(piece).alias(_LOCAL),
-                          *[F.lag(c).over(piece).alias(prefix + c) for c in columns])
-    row = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(_cols(order))],
-                   *[F.col(c).alias("__v_" + c) for c in columns])
-    last = ranged.groupBy(_PID, *keys).agg(F.max(row).alias(_BLOCK))
-    carry = last.select(_PID, *keys, F.lag(_BLOCK).over(Window.partitionBy(*keys).orderBy(_PID)).alias(_CARRY))
-    carry = carry.filter(F.col(_CARRY).isNotNull())  # fewer rows than slices
-    joined = join_on_keys(local, F.broadcast(carry), [_PID, *keys], "left")
-    return joined.select(*df.columns, *[
-        F.when(F.col(_LOCAL) == 1, F.col(f"{_CARRY}.__v_{c}")).otherwise(F.col(prefix + c)).alias(prefix + c)
-        for c in columns])
-
-
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: dict[str, float]) -> DataFrame:
+def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], prefix: str = "previous_",
+                  splits: Sequence = ()) -> DataFrame:
+    """Adds ``previous_<c>`` = LAG(c) OVER (PARTITION BY keys ORDER BY order)."""
+    keys, order = list(keys), list(order)
+    rows = _sliced(df, order[0], splits)
+    held = list(dict.fromkeys([*order, *columns]))
+    last = rows.groupBy(*keys, _SLICE).agg(F.max(F.struct(*held)).alias(_LAST))
+    following = Window.partitionBy(*keys).orderBy(_SLICE)  # a row per slice
+    carried = last.withColumn(_SLICE, F.lead(_SLICE).over(following)).filter(F.col(_SLICE).isNotNull())
+    carried = carried.select(*keys, _SLICE, *[F.col(f"{_LAST}.{c}").alias(c) for c in held if c not in keys], F.lit(0).alias(_REAL))
+    both = rows.withColumn(_REAL, F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    piece = Window.partitionBy(*keys, _SLICE).orderBy(_REAL, *order)
+    lagged = both.select("*", *[F.lag(c).over(piece).alias(prefix + c) for c in columns])
+    return lagged.filter(F.col(_REAL) == 1).select(*df.columns, *[prefix + c for c in columns])
+
+
+def _octave_part(value: Column) -> Column:
+    """A whole number that never falls as ``value`` (DOUBLE) grows: its sign
+    and the ``PER_OCTAVE``-th part of an octave it lies in; NaN is largest."""
+    size = F.floor((2000 + F.least(F.greatest(F.log2(F.abs(value)), F.lit(-1100.0)), F.lit(1100.0))) * PER_OCTAVE)
+    return F.when(F.isnan(value), F.lit(1 << 20)).when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size).cast("int")
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """PERCENTILE_CONT for every ``probs`` entry, grouped by ``keys``.
 
-    Values are first counted per (key, value) -- a partial aggregate, so
-    duplicates never travel -- then given running counts and the key's total
-    by :func:`running_sum`. The value at 0-based rank r sits in the row with
-    ``cum - w <= r < cum``; each row checks the two ranks around
-    ``p * (n - 1)`` of every probability, and one grouped aggregate picks and
-    interpolates them. Nothing is collected per group, unlike
-    ``percentile()``, whose buffer holds every distinct value of a group in
-    one task, and no lookup table is joined.
+    Values are counted per (key, value), a partial aggregate, so duplicates
+    never travel. The ranks around ``p * (n - 1)`` are then selected by
+    histograms: the first counts the values of a key by their part of an
+    octave, the next ones divide the interval that holds a rank evenly, each
+    with the least and largest value of its buckets. The bucket of a rank
+    follows from running counts over the buckets of a key, whose number is
+    fixed. Any two DOUBLEs, and any two BIGINTs, are apart or among a few
+    thousand values when the last step looks at single values, whatever their
+    distribution, so no step sorts or gathers the values of a key.
+
+    NULL values do not count; a key with no other value gets NULL percentiles.
     """
     keys = list(keys)
-    # per (key, value) counts, NULL values included so that a group of only
-    # NULLs still yields a row (with NULL percentiles), as GROUP BY does
-    checkpoint_dir(df.sparkSession)
-    counted_all = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w")).checkpoint(eager=True)
-    counted = counted_all.filter(F.col(value).isNotNull())
-    ranked = running_sum(counted, keys, [value], "__w", "__cum", total_out="__n")
-    start = F.col("__cum") - F.col("__w")
-    aggs, results = [], []
-    for i, (name, p) in enumerate(probs.items()):
-        h = F.lit(float(p)) * (F.col("__n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        aggs += [F.max(h).alias(f"__h{i}"),
-                 F.max(F.when((start <= lo) & (lo < F.col("__cum")), F.col(value))).alias(f"__lo{i}"),
-                 F.max(F.when((start <= hi) & (hi < F.col("__cum")), F.col(value))).alias(f"__hi{i}")]
-        frac = F.col(f"__h{i}") - F.floor(F.col(f"__h{i}"))
-        results.append((F.col(f"__lo{i}") + frac * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(name))
-    picked = ranked.groupBy(*keys).agg(*aggs).select(*keys, *results)
-    groups = counted_all.select(*keys).distinct()
-    return join_on_keys(groups, picked, keys, "left")
+    kind = df.schema[value].dataType
+    passes = 1 if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)) else 2 if isinstance(kind, (T.FloatType, T.DoubleType)) else 3
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w"))
+    number = F.col(value).cast("double")
+    rows = counted.select(*keys, F.col(value).alias("__v"), F.when(F.col(value).isNotNull(), F.col("__w")).otherwise(0).alias("__w"),
+                          F.coalesce(_octave_part(number), F.lit(-(1 << 20))).alias("__b"),
+                          F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int").alias("__salt"))
+    histogram = rows.groupBy(*keys, "__b").agg(F.sum("__w").alias("__w"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    upto = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*keys)
+    histogram = histogram.withColumn("__end", F.sum("__w").over(upto)).withColumn("__n", F.sum("__w").over(whole))
+    spot = {name: F.lit(float(p)) * (F.col("__n") - 1) for name, p in probs.items()}
+    ranks = F.array_distinct(F.array(*[f(h).cast("bigint") for h in spot.values() for f in (F.floor, F.ceil)]))
+    here = F.filter(ranks, lambda r: (r >= F.col("__end") - F.col("__w")) & (r < F.col("__end")))
+    found = histogram.select(*keys, "__b", "__lo", "__hi", (F.col("__end") - F.col("__w")).alias("__below"), F.explode(here).alias("__rank"))
+    for step in range(passes + 1):
+        found = _narrowed(rows, found, keys, single=step == passes)
+    picked = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__lo"))).alias("__at"))  # two ranks per percentile
+    groups = rows.groupBy(*keys).agg(F.sum("__w").alias("__n"))
+    out = join_on_keys(groups, picked, keys, "left")
+
+    def interpolated(h: Column) -> Column:
+        low, high = F.col("__at")[F.floor(h).cast("bigint")], F.col("__at")[F.ceil(h).cast("bigint")]
+        return F.when(F.col("__n") > 0, low + (h - F.floor(h)) * (high - low))
+    return out.select(*keys, *[interpolated(h).alias(name) for name, h in spot.items()])
+
+
+def _narrowed(rows: DataFrame, found: DataFrame, keys: list[str], single: bool) -> DataFrame:
+    """``found`` (the interval __lo to __hi that holds rank __rank, with
+    __below values under it) narrowed to one of ``BUCKETS`` even parts, or to
+    one of its values."""
+    targets = found.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    targets = targets.select(*[F.col(k).alias("__t_" + k) for k in keys], F.col("__b").alias("__tb"), F.col("__salt").alias("__ts"),
+                             "__lo", "__hi", "__below", "__rank")
+    same = [F.col(k).eqNullSafe(F.col("__t_" + k)) for k in keys]
+    inside = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+    met = rows.join(targets, [*same, F.col("__b").eqNullSafe(F.col("__tb")), F.col("__salt").eqNullSafe(F.col("__ts")), inside])
+    v, lo, hi = (F.col(c).cast("double") for c in ("__v", "__lo", "__hi"))
+    part = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0)
+    part = F.col("__v") if single else part
+    buckets = met.groupBy(*keys, "__b", "__rank", part.alias("__part")).agg(
+        F.first("__below").alias("__below"), F.sum("__w").alias("__w"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    upto = Window.partitionBy(*keys, "__b", "__rank").orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.col("__below") + F.sum("__w").over(upto) - F.col("__w")
+    buckets = buckets.withColumn("__below", start)
+    return buckets.filter((F.col("__rank") >= F.col("__below")) & (F.col("__rank") < F.col("__below") + F.col("__w"))) \
+        .select(*keys, "__b", "__lo", "__hi", "__below", "__rank")

@@ -585,7 +585,7 @@ def _(spark, sf):
 SELECT round(AVG(avg_days), 4) AS avg_days_reallocated,
        CAST(SUM(avg_days_int) // COUNT(avg_days_int) AS BIGINT) AS avg_days_reallocated_int
 FROM (SELECT customer_id, AVG(date_diff('day', start_date, end_date)) AS avg_days,
-             SUM(date_diff('day', start_date, end_date)) // COUNT(*) AS avg_days_int
+             SUM(date_diff('day', start_date, end_date)) // COUNT(date_diff('day', start_date, end_date)) AS avg_days_int
       FROM stay GROUP BY customer_id) x""", "stay"))
 def _(spark, sf):
     return bank.average_of_averages(R(spark, sf).stay())
@@ -605,7 +605,7 @@ def _(spark, sf):
 SELECT region_id,
   round(quantile_cont(avg_days, 0.5), 4) AS median, round(quantile_cont(avg_days, 0.8), 4) AS p80,
   round(quantile_cont(avg_days, 0.95), 4) AS p95
-FROM (SELECT customer_id, region_id, SUM(date_diff('day', start_date, end_date)) // COUNT(*) AS avg_days
+FROM (SELECT customer_id, region_id, SUM(date_diff('day', start_date, end_date)) // COUNT(date_diff('day', start_date, end_date)) AS avg_days
       FROM stay GROUP BY customer_id, region_id) x GROUP BY region_id""", "stay"), ints=("region_id",))
 def _(spark, sf):
     return bank.stay_percentiles(R(spark, sf).stay(), truncate_average=True)

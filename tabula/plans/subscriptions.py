@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabula.functions.dates import add_term, after_year, in_year
 from tabula.operators.aggregates import band_pairs, latest_per_key, pair_totals
-from tabula.operators.ordered import with_previous
+from tabula.operators.ordered import month_starts, with_previous
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
 
@@ -130,7 +130,7 @@ def transitions(sub: DataFrame, from_plan: int, to_plan: int, year: int) -> Data
     """Customers whose plan went ``from_plan`` -> ``to_plan`` between consecutive
     subscriptions within ``year`` (LAG over start date, sub id as tiebreak)."""
     rows = sub.filter(in_year("start_date", year))
-    lagged = with_previous(rows, ["customer_id"], ["start_date", "sub_id"], ["plan_id"])
+    lagged = with_previous(rows, ["customer_id"], ["start_date", "sub_id"], ["plan_id"], splits=month_starts(year, year))
     return (lagged.filter((F.col("plan_id") == to_plan) & (F.col("previous_plan_id") == from_plan))
             .agg(F.countDistinct("customer_id").alias("num_cus_downgraded")))
 

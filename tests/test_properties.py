@@ -54,7 +54,7 @@ def test_running_sum_and_lag(spark, rows):
     pdf = pd.DataFrame(data, columns=["k", "d", "id", "v"]).sort_values(["k", "d", "id"])
     pdf["cum"] = pdf.groupby("k")["v"].cumsum()
     pdf["prev"] = pdf.groupby("k")["v"].shift(1)
-    got = {r.id: r.cum for r in ordered.running_sum(df, ["k"], ["d", "id"], "v", "cum", slices=3).collect()}
+    got = {r.id: r.cum for r in ordered.running_sum(df, ["k"], ["d", "id"], "v", "cum", splits=[-2, 0, 3]).collect()}
     assert got == dict(zip(pdf.id, pdf.cum))
     lag = {r.id: r.previous_v for r in ordered.with_previous(df, ["k"], ["d", "id"], ["v"]).collect()}
     assert lag == {i: (None if pd.isna(p) else int(p)) for i, p in zip(pdf.id, pdf.prev)}
