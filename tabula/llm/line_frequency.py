@@ -29,9 +29,7 @@ from pyspark.sql import types as T
 
 from tabula.session import checkpoint_dir
 
-BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLANK, IN_WORD, SYMBOL = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]", "[#*$%&|<>]"
 #: At most this many lines are broadcast, each with at least this share of the rows.
 HOT = 1000
 SALTS = 16
@@ -44,7 +42,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, BLANKS[1:], " " * (len(BLANKS) - 1)), " "), lambda w: w != "")
+    return F.array_remove(F.split(text, BLANK + "+"), "")
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -59,28 +57,30 @@ def repeated_words(words: Column) -> Column:
         F.get(words, i).alias("a"), F.get(words, i + 1).alias("b"), F.get(words, i + 2).alias("c"), i.alias("i"))))
     found = _let(windows, lambda s: F.filter(s, lambda x, j: _same(x, F.get(s, j - 1)) | _same(x, F.get(s, j + 1))))
     places = F.sort_array(F.transform(found, lambda x: x["i"]))
+    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+    some = F.size(F.array_distinct(hashes)) < F.size(words) - 2  # else no two windows are equal
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last"))
     covered = F.aggregate(places, start, lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p - acc["last"])).alias("n"), p.alias("last")),
                           lambda acc: acc["n"])
-    return F.when(F.size(words) < 3, F.lit(0).cast("bigint")).otherwise(covered)
+    return F.when(F.size(words) < 3, F.lit(0).cast("bigint")).when(some, covered).otherwise(F.lit(0).cast("bigint"))
 
 
 def base_statistics(text: Column) -> Column:
     """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text = F.coalesce(text, F.lit(""))
-    dup = _let(F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0),
+    dup = _let(F.filter(F.split(text, "\n"), lambda x: x.rlike(IN_WORD)),
                lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
     return _let(_words(text), lambda w: F.struct(
         F.size(w).cast("bigint").alias("n_words"),
-        F.length(F.translate(text, BLANKS, "")).cast("bigint").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        (F.length(text) - F.regexp_count(text, F.lit(BLANK))).cast("bigint").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
         dup.cast("bigint").alias("n_dup_lines"),
         repeated_words(w).alias("n_repeat_words")))
 
 
 def line_hash(line: Column) -> Column:
     """Struct of h, the hash of the normalised line, and n, its words."""
-    plain = F.translate(line, UPPER + "123456789", LOWER + "0" * 9)
+    plain = F.regexp_replace(F.lower(line), "[1-9]", "0")
     return _let(_words(plain), lambda w: F.struct(F.xxhash64(F.array_join(w, " ")).alias("h"), F.size(w).cast("bigint").alias("n")))
 
 

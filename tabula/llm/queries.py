@@ -160,7 +160,7 @@ repeats AS (SELECT rid, count(*) FILTER (WHERE inside) AS n_repeat_words FROM co
 raw_lines AS (SELECT rid, source, raw, unnest(string_split(text, chr(10))) AS line FROM docs),
 lines AS (
   SELECT rid, source, raw, line,
-         trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain
+         trim(regexp_replace(regexp_replace(lower(line), '[1-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain
   FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 line_counts AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY rid),
 hosts AS (SELECT source, greatest(10, floor(count(DISTINCT raw) * 0.005)) AS top FROM docs GROUP BY source),

@@ -13,11 +13,11 @@ from tabula.llm.queries import ORACLE, QUERIES
 
 SCHEMA = "doc_id bigint, text string, source string, kept string, h int, n int, _k1 int, tags map<string,int>"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
+DIGITS = str.maketrans("123456789", "000000000")
 
 
 def brute(docs, max_docs=10, max_share=0.005, min_left=0.5):
-    plain = lambda line: " ".join(WORD.findall(line.translate(LOWER)))
+    plain = lambda line: " ".join(WORD.findall(line.lower().translate(DIGITS)))
     texts, holders = defaultdict(set), defaultdict(set)
     for _, text, host in docs:
         texts[host].add(text)
