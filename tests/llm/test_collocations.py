@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -70,10 +71,9 @@ def test_random_corpus(spark, seed):
 def test_many_blocks_long_texts_and_divided_stripes(spark, monkeypatch):
     monkeypatch.setattr(collocations, "SMALL_BLOCK", 2000)
     monkeypatch.setattr(collocations, "LARGE_BLOCK", 4000)
-    monkeypatch.setattr(collocations, "STRIPE", 16)
     docs = corpus(7, 200)
     docs.append((500, ". ".join(t or "" for _, t, _ in docs) * 8 + " tail" * 60000, "en"))
-    assert run(spark, docs) == brute(docs)
+    assert run(spark, docs, stripe=16, row_bytes=5000) == brute(docs)
 
 
 def test_what_a_block_sends_does_not_follow_the_order_of_its_rows():
@@ -83,8 +83,9 @@ def test_what_a_block_sends_does_not_follow_the_order_of_its_rows():
         random.Random(seed).shuffle(rows)
         block = collocations.Block(pa.Table.from_pylist(rows))
         words = list(block.send_words(4))
-        answers = [collocations._answers([m], 2, 2)[0] for _, m in words]
-        block.pairs(pa.table({"bucket": [b for b, _ in words], "answer": answers}), 4)
+        answers = [collocations._answer_words([m], np.zeros(1, np.int64), b, 4, 2)[0] for b, m in words]
+        block.read_words(pa.table({"bucket": [b for b, _ in words], "answer": answers}), 4)
+        block.pairs(4)
         sent.append((words, list(block.send_pairs())))
     assert sent[0] == sent[1] == sent[2]
 
@@ -92,7 +93,8 @@ def test_what_a_block_sends_does_not_follow_the_order_of_its_rows():
 def test_empty_table_and_exact_products(spark):
     assert run(spark, []) == []
     big = 3_100_000  # 1000000 * a * a is beyond 64 bits
-    merged = spark.createDataFrame([("en", "a b", big, big + 1, big + 2, None, None, None, None), ("en", None, None, None, None, None, None, None, 7)], collocations._RESULT)
+    merged = spark.createDataFrame([("en", "a b", big, big + 1, big + 2, None, None, None, None), ("en", None, None, None, None, None, None, None, 7)],
+                                   "lang string, phrase string, a bigint, l1 bigint, r1 bigint, l2 bigint, r2 bigint, inside bigint, n bigint")
     original, collocations.stripes = collocations.stripes, lambda *_, **__: merged
     try:
         (row,) = collocations.mine(merged).collect()
