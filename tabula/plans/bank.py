@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.operators.aggregates import window_aggregate
-from tabula.operators.ordered import exact_percentiles
+from tabula.operators.ordered import exact_percentiles, join_on_keys
 
 
 def nodes_and_customers_by_region(stay: DataFrame, regions: DataFrame) -> DataFrame:
@@ -77,29 +77,31 @@ def busy_customers_per_month(txn: DataFrame, min_txns: int = 2) -> DataFrame:
     return (per.filter(F.col("n") >= min_txns)
             .groupBy(F.col("txn_year").cast("bigint").alias("txn_year"),
                      F.col("month_transactions").cast("bigint").alias("month_transactions"))
-            .agg(F.count(F.lit(1)).alias("num_cus")))
-
-
-def placed(txn: DataFrame) -> DataFrame:
-    """Transactions that have a customer and a date. Others cannot be placed
-    on a customer's timeline and enter no balance."""
-    return txn.filter(F.col("customer_id").isNotNull() & F.col("txn_date").isNotNull())
+            .agg(F.count(F.lit(1)).alias("num_cus")).orderBy("txn_year", "month_transactions"))
 
 
 def daily_ledger(txn: DataFrame) -> DataFrame:
-    """(customer, day): net amount, row count and balance at the end of the day."""
-    daily = placed(txn).groupBy("customer_id", "txn_date").agg(
+    """(customer, day): net amount, row count and balance at the end of the day.
+    Transactions without a customer are one group, as in PARTITION BY, and
+    those without a date come before all dates."""
+    daily = txn.groupBy("customer_id", "txn_date").agg(
         F.sum(_signed()).alias("net"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("customer_id").orderBy("txn_date").rowsBetween(Window.unboundedPreceding, 0)
     return daily.withColumn("balance", F.sum("net").over(w))  # <= one row per calendar day
 
 
+def _sortable(day: str):
+    """The day, or the first of all days for a NULL one (max_by skips NULLs)."""
+    return F.coalesce(F.col(day), F.lit("0001-01-01").cast("date"))
+
+
 def monthly_closing(txn: DataFrame) -> DataFrame:
-    """Closing balance per customer at the end of every (year, month) with activity."""
+    """Closing balance per customer at the end of every (year, month) with
+    activity; a NULL month holds the transactions without a date."""
     daily = daily_ledger(txn)
     return (daily.groupBy("customer_id", F.year("txn_date").cast("bigint").alias("txn_year"),
                           F.month("txn_date").cast("bigint").alias("txn_month"))
-            .agg(F.max_by("balance", "txn_date").cast("double").alias("closing_balance")))
+            .agg(F.max_by("balance", _sortable("txn_date")).cast("double").alias("closing_balance")))
 
 
 # The months pivoted into columns.
@@ -109,8 +111,10 @@ PIVOT_MONTHS = (1, 2, 3, 4)
 def closing_balance_pivot(txn: DataFrame, months=PIVOT_MONTHS) -> DataFrame:
     """Per (customer, year): balance at the end of each of ``months`` -- the
     ledger sum of everything up to that month, NULL before the first
-    transaction; a month without activity carries the earlier balance."""
-    monthly = placed(txn).groupBy("customer_id", F.year("txn_date").alias("y"), F.month("txn_date").alias("m")).agg(
+    transaction; a month without activity carries the earlier balance.
+    Transactions without a date come before all years; their own row, whose
+    year is NULL, has no months."""
+    monthly = txn.groupBy("customer_id", F.year("txn_date").alias("y"), F.month("txn_date").alias("m")).agg(
         F.sum(_signed()).alias("net"))
     per_year = monthly.groupBy("customer_id", "y").agg(
         F.sum("net").alias("year_net"),
@@ -123,7 +127,7 @@ def closing_balance_pivot(txn: DataFrame, months=PIVOT_MONTHS) -> DataFrame:
         # no transaction at all up to this month -> NULL; otherwise opening + this year's part
         bal = F.when(F.col("opening").isNull() & F.col(f"upto{m}").isNull(), F.lit(None)).otherwise(
             F.coalesce(F.col("opening"), F.lit(0)) + F.coalesce(F.col(f"upto{m}"), F.lit(0)))
-        cols.append(bal.cast("double").alias(f"month{m}"))
+        cols.append(F.when(F.col("y").isNotNull(), bal).cast("double").alias(f"month{m}"))
     return rows.select("customer_id", F.col("y").cast("bigint").alias("txn_year"), *cols)
 
 
@@ -142,8 +146,7 @@ def running_balance(txn: DataFrame) -> DataFrame:
     """Each transaction with its impact and the running balance; rows of the
     same day share the end-of-day balance (the default RANGE frame)."""
     daily = daily_ledger(txn).select("customer_id", "txn_date", "balance")
-    # left join: a transaction without customer or date keeps its row, with no balance
-    return txn.join(daily, ["customer_id", "txn_date"], "left").select(
+    return join_on_keys(txn, daily, ["customer_id", "txn_date"]).select(
         "customer_id", "txn_date", "txn_type", "txn_id",
         _signed().cast("double").alias("impact"), F.col("balance").cast("double").alias("running_balance"))
 
@@ -155,12 +158,12 @@ def running_balance_stats(txn: DataFrame) -> DataFrame:
     g = daily.groupBy("customer_id", F.year("txn_date").cast("bigint").alias("txn_year"),
                       F.month("txn_date").cast("bigint").alias("txn_month"))
     return g.agg(
-        F.max_by("balance", "txn_date").cast("double").alias("closing_balance"),
+        F.max_by("balance", _sortable("txn_date")).cast("double").alias("closing_balance"),
         F.max("balance").cast("double").alias("max_running_balance_in_month"),
         F.min("balance").cast("double").alias("min_running_balance_in_month"),
         F.round((F.sum(F.col("balance") * F.col("n"))
                  / F.sum(F.when(F.col("balance").isNotNull(), F.col("n")))).cast("double"), 4)
-         .alias("avg_running_balance_in_month"))
+         .alias("avg_running_balance_in_month")).orderBy("customer_id", "txn_year", "txn_month")
 
 
 def txn_count_window(txn: DataFrame) -> DataFrame:

@@ -4,11 +4,12 @@ counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.functions.dates import add_term
-from tabula.sources.roles import to_money
+from tabula.sources import sinks
+from tabula.sources.roles import PLANS, to_money
 
 
 def project_net_price(lineitem: DataFrame) -> DataFrame:
@@ -47,3 +48,13 @@ def lines_per_part(part: DataFrame, lineitem: DataFrame) -> DataFrame:
     counts = lineitem.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
     return part.join(counts, part.p_partkey == counts.l_partkey, "left").select(
         "p_partkey", F.coalesce(F.col("n"), F.lit(0)).alias("n_lines"))
+
+
+def catalogue_starts(spark: SparkSession, sub: DataFrame, name: str = "plan_catalogue") -> DataFrame:
+    """``CREATE TABLE`` and ``INSERT INTO ... VALUES`` of the plan catalogue's
+    literal rows, then the subscriptions started per plan of that table."""
+    sinks.create(spark, name, "plan_id INT, plan_name STRING, price DECIMAL(5,2)", replace=True)
+    sinks.insert_rows(spark, name, PLANS)
+    sinks.expire(spark, name)
+    per_plan = sub.groupBy("plan_id").agg(F.count(F.lit(1)).alias("num_subs"))  # before the lookup
+    return per_plan.join(sinks.read(spark, name), "plan_id").select("plan_name", F.col("price").cast("double").alias("price"), "num_subs")

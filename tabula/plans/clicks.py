@@ -33,6 +33,37 @@ def user_summary(click: DataFrame) -> DataFrame:
                         F.expr("sum(n) div count(n)").alias("avg_events_per_user_int"))
 
 
+def cookies_per_user(click: DataFrame, users: DataFrame) -> DataFrame:
+    """Users, and how many events and cookies each has on average, through the
+    users' cookies: an event belongs to the users that own its cookie, and one
+    whose cookie nobody owns to none. Events are counted per cookie before they
+    meet the users."""
+    per_cookie = click.filter(F.col("cookie_id").isNotNull()).groupBy("cookie_id").agg(F.count(F.lit(1)).alias("n"))
+    owned = users.select("user_id", "cookie_id").filter(F.col("cookie_id").isNotNull())
+    per_user = per_cookie.join(owned, "cookie_id").groupBy("user_id").agg(
+        F.sum("n").alias("n"), F.countDistinct("cookie_id").alias("cookies"))
+    all_users = users.agg(F.countDistinct("user_id").alias("num_user"))  # one row, as is the next
+    return all_users.crossJoin(per_user.agg(
+        F.round(F.avg("n"), 4).alias("avg_num_cookies"), F.expr("sum(n) div count(n)").alias("avg_num_cookies_int"),
+        F.round(F.avg("cookies"), 4).alias("avg_distinct_cookies")))
+
+
+def visits_of_users(click: DataFrame, pages: DataFrame, users: DataFrame) -> DataFrame:
+    """One row per visit and user: start and numbers of views and cart adds of
+    the visit's events on known pages with a cookie of the user (pages and
+    users are inner joins, the latter in two steps through the cookie). A
+    cookie with several owners counts for each."""
+    is_type = lambda t: _count_if(F.col("event_type") == t)
+    per_cookie = click.groupBy("visit_id", "cookie_id", "page_id").agg(
+        is_type(VIEW).alias("v"), is_type(CART_ADD).alias("a"), F.min("event_time").alias("first"))
+    on_pages = per_cookie.join(pages.select("page_id"), "page_id", "left_semi").groupBy("visit_id", "cookie_id").agg(
+        F.sum("v").alias("v"), F.sum("a").alias("a"), F.min("first").alias("first"))
+    rows = on_pages.join(users.select("user_id", "cookie_id"), "cookie_id")
+    return rows.groupBy("visit_id", "user_id").agg(
+        F.date_format(F.min("first"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("visit_start_time"),
+        F.sum("v").cast("bigint").alias("page_views"), F.sum("a").cast("bigint").alias("cart_adds")).orderBy("user_id", "visit_id")
+
+
 def visits_by_month(click: DataFrame) -> DataFrame:
     return click.groupBy(F.year("event_time").cast("bigint").alias("event_year"),
                          F.month("event_time").cast("bigint").alias("event_month")).agg(
@@ -41,7 +72,8 @@ def visits_by_month(click: DataFrame) -> DataFrame:
 
 def events_by_name(click: DataFrame, event_names: DataFrame) -> DataFrame:
     per_type = click.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))  # aggregate before the lookup
-    return per_type.join(event_names, "event_type").groupBy("event_name").agg(F.sum("n").alias("num_events"))
+    return per_type.join(event_names, "event_type").groupBy("event_name").agg(F.sum("n").alias("num_events")).orderBy(
+        F.desc("num_events"), "event_name")
 
 
 def purchase_share(click: DataFrame) -> DataFrame:
@@ -101,7 +133,11 @@ def category_views(click: DataFrame, pages: DataFrame) -> DataFrame:
 
 def product_funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
     """Per product page: views, cart adds, abandoned adds (visit without a
-    purchase) and purchased adds (visit with a purchase)."""
+    purchase) and purchased adds (visit with a purchase); most purchased first."""
+    return _funnel(click, pages).orderBy(F.desc("purchased"), "page_id")
+
+
+def _funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
     # (visit, page) counts and the visit's purchase flag are both aggregates;
     # only they meet in the join, never the raw events. IN / NOT IN rules of
     # the source: a NULL visit is neither purchased nor abandoned, and a NULL
@@ -137,12 +173,12 @@ def _rates(df: DataFrame) -> DataFrame:
 
 def product_funnel_rates(click: DataFrame, pages: DataFrame) -> DataFrame:
     """Sorted by cart-add rate, view-to-purchase rate and purchases, descending."""
-    out = _rates(product_funnel(click, pages)).drop("product_category")
-    return out.orderBy(F.desc("conversion_rate_add_cart"), F.desc("viewed_to_purchased"), F.desc("purchased"))
+    out = _rates(_funnel(click, pages)).drop("product_category")
+    return out.orderBy(F.desc("conversion_rate_add_cart"), F.desc("viewed_to_purchased"), F.desc("purchased"), "page_id")
 
 
 def category_funnel(click: DataFrame, pages: DataFrame) -> DataFrame:
-    f = product_funnel(click, pages)
+    f = _funnel(click, pages)
     g = f.groupBy("product_category").agg(*[F.sum(c).alias(c) for c in
                                             ("viewed", "added_to_cart", "abandoned", "purchased")])
     return _rates(g)
@@ -172,6 +208,11 @@ def pages_in_use(click: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """``visit_rows`` sorted by user and visit."""
+    return visit_rows(click, pages, campaigns).orderBy("user_id", "visit_id")
+
+
+def visit_rows(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row per visit: start time, page views, cart adds, purchase flag,
     campaign, impressions, ad clicks and the cart products in event order.
 
@@ -212,7 +253,7 @@ def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Dat
 def materialized_visit_stats(spark: SparkSession, click: DataFrame, pages: DataFrame,
                              campaigns: DataFrame, name: str = "campaign_stats") -> DataFrame:
     """``SELECT ... INTO campaign_stats``: written to the shared table folder and read back."""
-    return materialize(spark, visit_stats(click, pages, campaigns), name)
+    return materialize(spark, visit_rows(click, pages, campaigns), name)
 
 
 def _with_purchase_rate(stats: DataFrame) -> DataFrame:
@@ -252,4 +293,4 @@ def campaign_summary(stats: DataFrame, impressions: int = 1) -> DataFrame:
         F.round(F.col("u") * 100.0 / F.nullif(F.col("__users"), F.lit(0)), 4).alias("impressed_users"),
         "page_views", "card_adds", "purchased", "impression", "click",
         F.round(F.col("click") * 100.0 / F.nullif(F.col("impression"), F.lit(0)), 4).alias("click_rate"),
-        "purchased_rate")
+        "purchased_rate").orderBy("campaign_name")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tabula.functions.cleaning import normalize_nulls, parse_quantity, split_ids
 from tabula.functions.dates import minute_component, sunday_weeks_between, whole_minutes_between
 from tabula.operators.aggregates import window_aggregate
+from tabula.operators.joins import heavy_join
 
 
 def string_agg_sorted(col: str, sep: str = ", "):
@@ -99,13 +100,13 @@ def volume_by_time(customer_orders: DataFrame, runner_orders: DataFrame) -> Data
 def volume_by_hour(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
     d = delivered(customer_orders, runner_orders)
     return d.groupBy(F.hour("order_time").cast("bigint").alias("hour_of_day")).agg(
-        F.count("pizza_id").alias("num_pizzas"))
+        F.count("pizza_id").alias("num_pizzas")).orderBy("hour_of_day")
 
 
 def volume_by_weekday(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
     d = delivered(customer_orders, runner_orders)
     return d.groupBy(F.date_format("order_time", "EEEE").alias("day_of_week")).agg(
-        F.count("pizza_id").alias("num_pizzas"))
+        F.count("pizza_id").alias("num_pizzas")).orderBy("day_of_week")
 
 
 def signups_per_week(runners: DataFrame, week_zero: str = "2021-01-01") -> DataFrame:
@@ -145,7 +146,7 @@ def speed_per_delivery(runner_orders: DataFrame) -> DataFrame:
     out = window_aggregate(ro, ["runner_id", "order_id"], F.avg(speed), "avg_speed")
     return out.select("runner_id", "order_id", F.col("distance").cast("double").alias("distance"),
                       F.col("duration").cast("bigint").alias("duration"),
-                      F.round("avg_speed", 4).alias("avg_speed"))
+                      F.round("avg_speed", 4).alias("avg_speed")).orderBy("runner_id", "order_id")
 
 
 def success_rate(runner_orders: DataFrame, runners: DataFrame) -> DataFrame:
@@ -160,26 +161,28 @@ def success_rate(runner_orders: DataFrame, runners: DataFrame) -> DataFrame:
 def _named_lists(lists: DataFrame, toppings: DataFrame, *list_cols: str) -> DataFrame:
     """Distinct list text -> ', '-joined topping names (ordered by name).
 
-    The texts of all ``list_cols`` are de-duplicated together in one pass, so
-    each distinct list is split and looked up once however many rows (and
-    columns) carry it. Returns (lst, names).
+    The texts of all ``list_cols`` are counted together in one pass, so each
+    distinct list is split and looked up once however many rows (and columns)
+    carry it. Returns (lst, names, uses).
     """
     texts = lists.select(F.explode(F.array(*[F.col(c) for c in list_cols])).alias("lst"))
-    distinct = texts.where(F.col("lst").isNotNull()).distinct()
-    items = distinct.select("lst", F.explode(split_ids("lst")).alias("topping_id"))
+    distinct = texts.where(F.col("lst").isNotNull()).groupBy("lst").agg(F.count(F.lit(1)).alias("uses"))
+    items = distinct.select("lst", "uses", F.explode(split_ids("lst")).alias("topping_id"))
     named = items.join(toppings, "topping_id")
-    return named.groupBy("lst").agg(string_agg_sorted("topping_name").alias("names"))
+    return named.groupBy("lst").agg(string_agg_sorted("topping_name").alias("names"), F.max("uses").alias("uses"))
 
 
 def topping_counts(customer_orders: DataFrame, toppings: DataFrame) -> DataFrame:
     """How often each topping was added as an extra / excluded (CROSS APPLY split)."""
     co = clean_customer_orders(customer_orders)
-    parts = []
-    for kind, col in (("extra", "extras"), ("exclusion", "exclusions")):
-        ids = co.select(F.explode(split_ids(col)).alias("topping_id"))
-        parts.append(ids.join(toppings, "topping_id").groupBy("topping_name")
-                     .agg(F.count(F.lit(1)).alias("times")).withColumn("kind", F.lit(kind)))
-    return parts[0].unionByName(parts[1]).select("kind", "topping_name", "times")
+    both = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(col).alias("lst"))
+                     for kind, col in (("extra", "extras"), ("exclusion", "exclusions"))])
+    lists = co.select(F.explode(both).alias("one")).select("one.kind", F.col("one.lst").alias("lst")).where(F.col("lst").isNotNull())
+    # counted per list, then per topping, before the toppings are met
+    per_list = lists.groupBy("kind", "lst").agg(F.count(F.lit(1)).alias("n"))
+    per_id = per_list.select("kind", "n", F.explode(split_ids("lst")).alias("topping_id")).groupBy("kind", "topping_id").agg(F.sum("n").alias("n"))
+    return (per_id.join(toppings, "topping_id").groupBy("kind", "topping_name").agg(F.sum("n").alias("times"))
+            .select("kind", "topping_name", "times"))
 
 
 def most_common_topping(customer_orders: DataFrame, toppings: DataFrame, kind: str) -> DataFrame:
@@ -196,21 +199,28 @@ def extras_per_order(customer_orders: DataFrame, toppings: DataFrame) -> DataFra
     return named.groupBy("order_id").agg(string_agg_sorted("topping_name").alias("toppings"))
 
 
+def standard_ingredients(names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+    """Per pizza: the names of the toppings of its recipe (a comma list of
+    topping ids), ordered by name; pizzas without a known topping are left out.
+    Recipes are split before they meet the toppings, and a recipe text goes no
+    further than its own ids."""
+    items = recipes.select("pizza_id", F.explode(split_ids("toppings")).alias("topping_id"))
+    named = items.join(toppings, "topping_id").groupBy("pizza_id").agg(string_agg_sorted("topping_name").alias("toppings"))
+    return names.join(named, "pizza_id").select("pizza_id", "pizza_name", "toppings")
+
+
 def order_descriptions(customer_orders: DataFrame, pizza_names: DataFrame, toppings: DataFrame) -> DataFrame:
-    """'Name - Exclude a, b - Extra c' per pizza row."""
+    """'Name - Exclude a, b - Extra c' per pizza row.
+
+    A list text may be that of most rows, so its names come by a join that
+    copies the names of the commonest lists and spreads rows without a list."""
     co = clean_customer_orders(customer_orders)
     named = _named_lists(co, toppings, "exclusions", "extras")
-    exc = named.select(F.col("lst").alias("exclusions"), F.col("names").alias("exc_names"))
-    ext = named.select(F.col("lst").alias("extras"), F.col("names").alias("ext_names"))
-    # NULL lists (often most rows) would all hash to one shuffle partition in
-    # the outer joins; give them a distinct key that can never match instead.
-    def key(lst):
-        return F.coalesce(F.col(lst), F.concat(F.lit("\u0000"), F.col("order_id").cast("string"),
-                                               F.lit("/"), F.col("line_id").cast("string")))
-    rows = (co.join(pizza_names, "pizza_id", "left")
-            .withColumn("__ek", key("exclusions")).withColumn("__xk", key("extras"))
-            .join(exc.withColumnRenamed("exclusions", "__ek"), "__ek", "left")
-            .join(ext.withColumnRenamed("extras", "__xk"), "__xk", "left"))
+    rows = co.join(pizza_names, "pizza_id", "left")
+    for lst, names in (("exclusions", "exc_names"), ("extras", "ext_names")):
+        rows = heavy_join(rows, named.select(F.col("lst").alias(lst), F.col("names").alias(names), "uses"), lst, [names], "uses",
+                          ["order_id", "line_id"])
+
     def part(lst, names, label):
         # a non-NULL list always prints its label, even if no id matched a topping
         return F.when(F.col(lst).isNotNull(),

@@ -49,7 +49,8 @@ def favourite_items(sale: DataFrame, menu: DataFrame) -> DataFrame:
     """Each customer's most purchased product(s), ties kept (RANK() = 1)."""
     counts = sale.groupBy("customer_id", "product_id").agg(F.count("product_id").alias("purchase_count"))
     top = ties_for_max(counts, ["customer_id"], "purchase_count")
-    return top.join(menu, "product_id").select("customer_id", "product_id", "product_name", "purchase_count")
+    return (top.join(menu, "product_id").select("customer_id", "product_id", "product_name", "purchase_count")
+            .orderBy("customer_id", "product_id"))
 
 
 def first_after_joining(sale: DataFrame, member: DataFrame, menu: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def loyalty_points(sale: DataFrame, menu: DataFrame, member: DataFrame, bonus_ca
     (``points_base``); ``points_member`` also doubles everything from the join
     date to join date + ``first_week_days`` inclusive (an 8-day window, as
     BETWEEN is inclusive). Non-members are kept (left join). ``until`` caps
-    order dates when given."""
+    order dates when given. Most points first."""
     rows = sale.join(menu, "product_id", "left").join(member, "customer_id", "left")
     if until is not None:
         rows = rows.filter(F.col("order_date") <= F.lit(until))
@@ -94,4 +95,5 @@ def loyalty_points(sale: DataFrame, menu: DataFrame, member: DataFrame, bonus_ca
     in_week = F.col("order_date").between(F.col("join_date"), add_term("join_date", "day", first_week_days))
     member_pts = F.when(in_week, F.col("price") * 20).otherwise(base)
     return rows.groupBy("customer_id").agg(F.sum(base).cast("double").alias("points_base"),
-                                           F.sum(member_pts).cast("double").alias("points_member"))
+                                           F.sum(member_pts).cast("double").alias("points_member")).orderBy(
+        F.desc("points_member"), "customer_id")

@@ -100,9 +100,11 @@ def drop_invalid(metrics: DataFrame, clean_interest_map: DataFrame) -> DataFrame
     return joined.filter(~invalid).drop("__id", "__created")
 
 
-def present_in_all_months(metrics: DataFrame, clean_interest_map: DataFrame) -> DataFrame:
-    """Interests seen in every month_year of the data (relational division)."""
-    seen = metrics.select("interest_id", "month_year").distinct()
+def present_in_all_months(metrics: DataFrame, clean_interest_map: DataFrame, months: str = "month_year") -> DataFrame:
+    """Interests seen in every month of the data (relational division); the
+    month is a column of the metrics, ``month_year`` or ``_month``, the month
+    of the year."""
+    seen = metrics.select("interest_id", F.col(months).alias("month_year")).distinct()
     months = seen.agg(F.countDistinct("month_year").alias("__all"))
     per = seen.groupBy("interest_id").agg(F.count("month_year").alias("n"))
     full = per.crossJoin(F.broadcast(months)).filter(F.col("n") == F.col("__all")).select("interest_id")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.cleaning import parse_two_digit_year_date
 from tabula.functions.dates import week_of_month_of_monday
+from tabula.sources import sinks
 
 # Segment code -> age band (by last character) and demographic
 # (by first character); 'null' segments become 'unknown'.
@@ -58,8 +59,31 @@ def transactions_by_year(clean: DataFrame) -> DataFrame:
     return clean.groupBy("calendar_year").agg(F.sum("transactions").alias("total_transactions"))
 
 
+# The columns of the cleaned table.
+CLEAN_SCHEMA = """week_date DATE, week_number BIGINT, month_number BIGINT, calendar_year BIGINT, region STRING,
+platforms STRING, segment STRING, age_band STRING, demographic STRING, customer_type STRING, transactions BIGINT,
+sales BIGINT, avg_transaction BIGINT"""
+
+
+def written_weekly_sales(spark: SparkSession, clean: DataFrame, name: str = "clean_weekly_sales_table") -> DataFrame:
+    """``DROP TABLE IF EXISTS``, ``CREATE TABLE`` with 13 typed columns and
+    ``INSERT INTO ... SELECT``: the cleaned rows as a named table."""
+    sinks.drop(spark, name)
+    sinks.create(spark, name, CLEAN_SCHEMA)
+    sinks.insert(spark, name, clean)
+    sinks.expire(spark, name)
+    return sinks.read(spark, name)
+
+
+def replaced_totals(spark: SparkSession, clean: DataFrame, name: str = "sales_totals") -> DataFrame:
+    """A named table written twice: the totals by year and region replace the
+    rows by year, region and month that they are made from."""
+    by_month = sinks.replace(spark, clean.groupBy("calendar_year", "month_number", "region").agg(F.sum("sales").alias("total_sales")), name)
+    return sinks.replace(spark, by_month.groupBy("calendar_year", "region").agg(F.sum("total_sales").alias("total_sales")), name)
+
+
 def sales_by_region_month(clean: DataFrame) -> DataFrame:
-    return clean.groupBy("region", "calendar_year", "month_number").agg(F.sum("sales").alias("total_sales"))
+    return clean.groupBy("region", "calendar_year", "month_number").agg(F.sum("sales").alias("total_sales")).orderBy("region", "calendar_year", "month_number")
 
 
 def transactions_by_platform(clean: DataFrame) -> DataFrame:
@@ -73,7 +97,7 @@ def channel_ratio(clean: DataFrame, numerator: str, denominator: str) -> DataFra
         F.sum(F.when(F.col("platforms") == numerator, F.col("sales"))).alias("a"),
         F.sum(F.when(F.col("platforms") == denominator, F.col("sales"))).alias("b"))
     return g.select("calendar_year", "month_number",
-                    F.round(F.col("a") * 1.0 / F.nullif(F.col("b"), F.lit(0)), 4).alias("ratio"))
+                    F.round(F.col("a") * 1.0 / F.nullif(F.col("b"), F.lit(0)), 4).alias("ratio")).orderBy("calendar_year", "month_number")
 
 
 def yearly_share(clean: DataFrame) -> DataFrame:
@@ -82,7 +106,7 @@ def yearly_share(clean: DataFrame) -> DataFrame:
     year = Window.partitionBy("calendar_year")  # a few demographic rows per year
     return g.withColumn("total_of_year", F.sum("total_sales").over(year)).withColumn(
         "percent_by_demographic",
-        F.round(F.col("total_sales") * 100.0 / F.nullif(F.col("total_of_year"), F.lit(0)), 2))
+        F.round(F.col("total_sales") * 100.0 / F.nullif(F.col("total_of_year"), F.lit(0)), 2)).orderBy("calendar_year", "demographic")
 
 
 def top_bands(clean: DataFrame, platform: str) -> DataFrame:
@@ -134,7 +158,7 @@ def before_after_by_year(clean: DataFrame, month: int, day: int, weeks: int) ->
     """For every calendar year present: sales in [Y-month-day - weeks, Y-month-day)
     and [Y-month-day, Y-month-day + weeks]. Each row is tested against the
     baselines of its own and of the years the window can reach, so one scan
-    serves all years; a year is listed if it has rows of its own."""
+    serves all years; a year is listed if it has rows of its own (as is NULL)."""
     reach = weeks * 7 // 365 + 1
     cand = clean.select("week_date", "sales",
                         F.explode(F.array(*[F.year("week_date") + k for k in range(-reach, reach + 1)])).alias("y"))
@@ -145,4 +169,4 @@ def before_after_by_year(clean: DataFrame, month: int, day: int, weeks: int) ->
         F.sum(F.when(before, F.col("sales"))).alias("before"),
         F.sum(F.when(after, F.col("sales"))).alias("after"),
         F.max(F.year("week_date") == F.col("y")).alias("own"))
-    return per_year.filter("own").select("calendar_year", "before", "after").orderBy("calendar_year")
+    return per_year.filter(F.col("own") | F.col("calendar_year").isNull()).select("calendar_year", "before", "after").orderBy("calendar_year")

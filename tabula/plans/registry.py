@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabula.functions import sql_functions
 from tabula.plans import bank, basics, clicks, delivery, diner, interests, mart, subscriptions
 from tabula.sources.roles import Roles
 from tabula.sources.roles_sql import with_roles as W
@@ -36,14 +37,26 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 DATE_COLUMNS: dict[str, tuple[str, ...]] = {}
 INT_COLUMNS: dict[str, tuple[str, ...]] = {}
+#: The order contract of the sorted reports: SQL terms over the output columns.
+#: Ascending NULLs come first and descending ones last unless a term says
+#: otherwise, as in the source's dialect; the last terms make the order total.
+ORDERS: dict[str, tuple[str, ...]] = {}
 
 
-def query(name: str, sql: str | None, dates: tuple[str, ...] = (), ints: tuple[str, ...] = ()):
+def order_clause(terms: tuple[str, ...]) -> str:
+    """ORDER BY with the place of NULLs written out."""
+    return "ORDER BY " + ", ".join(t if " NULLS " in t else f"{t} NULLS LAST" if t.endswith(" DESC") else f"{t} NULLS FIRST" for t in terms)
+
+
+def query(name: str, sql: str | None, dates: tuple[str, ...] = (), ints: tuple[str, ...] = (), order: tuple[str, ...] = ()):
     """Register a report; ``dates`` names its DATE output columns (the driver
-    contract renders them as 'yyyy-MM-dd' text on both sides) and ``ints`` its
-    32-bit integer columns (widened to BIGINT on both sides)."""
+    contract renders them as 'yyyy-MM-dd' text on both sides), ``ints`` its
+    32-bit integer columns (widened to BIGINT on both sides) and ``order`` the
+    order its rows come in."""
     def deco(fn):
         QUERIES[name] = fn
+        if order:
+            ORDERS[name] = tuple(order)
         if sql is not None:
             ORACLE[name] = sql
         if dates:
@@ -93,7 +106,8 @@ def _(spark, sf):
 
 @query("top_k", W("""
 SELECT m.product_name, COUNT(*) AS no_buy FROM sale s JOIN menu m ON s.product_id = m.product_id
-GROUP BY m.product_name ORDER BY no_buy DESC, product_name ASC NULLS LAST LIMIT 3""", "sale", "menu"))
+GROUP BY m.product_name ORDER BY no_buy DESC, product_name ASC NULLS LAST LIMIT 3""", "sale", "menu"),
+       order=("no_buy DESC", "product_name ASC NULLS LAST"))
 def _(spark, sf):
     r = R(spark, sf)
     return diner.top_items(r.sale(), r.menu(), 3)
@@ -105,7 +119,8 @@ FROM tally t
 JOIN (SELECT customer_id, MAX(purchase_count) AS most FROM tally GROUP BY customer_id) b
   ON t.customer_id IS NOT DISTINCT FROM b.customer_id AND t.purchase_count = b.most
 JOIN menu mn ON mn.product_id = t.product_id""", "sale", "menu",
-  extra={"tally": "SELECT customer_id, product_id, COUNT(product_id) AS purchase_count FROM sale GROUP BY 1, 2"}))
+  extra={"tally": "SELECT customer_id, product_id, COUNT(product_id) AS purchase_count FROM sale GROUP BY 1, 2"}),
+       order=("customer_id", "product_id"))
 def _(spark, sf):
     r = R(spark, sf)
     return diner.favourite_items(r.sale(), r.menu())
@@ -155,7 +170,7 @@ FROM (SELECT x.customer_id, mn.price,
              CASE WHEN x.order_date >= mb.join_date AND x.order_date - mb.join_date <= 7 THEN 2 ELSE 1 END
                AS week_factor
       FROM sale x LEFT JOIN menu mn USING (product_id) LEFT JOIN member mb USING (customer_id)) f
-GROUP BY customer_id""", "sale", "menu", "member"))
+GROUP BY customer_id""", "sale", "menu", "member"), order=("points_member DESC", "customer_id"))
 def _(spark, sf):
     r = R(spark, sf)
     return diner.loyalty_points(r.sale(), r.menu(), r.member(), BONUS_CATEGORY)
@@ -259,13 +274,14 @@ def _(spark, sf):
 
 
 @query("volume_by_hour", DW("""
-SELECT CAST(hour(order_time) AS BIGINT) AS hour_of_day, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY 1"""))
+SELECT CAST(hour(order_time) AS BIGINT) AS hour_of_day, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY 1"""), order=("hour_of_day",))
 def _(spark, sf):
     _, co, ro = _d(spark, sf)
     return delivery.volume_by_hour(co, ro)
 
 
-@query("volume_by_weekday", DW("SELECT dayname(order_time) AS day_of_week, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY 1"))
+@query("volume_by_weekday", DW("SELECT dayname(order_time) AS day_of_week, COUNT(pizza_id) AS num_pizzas FROM dl GROUP BY 1"),
+       order=("day_of_week",))
 def _(spark, sf):
     _, co, ro = _d(spark, sf)
     return delivery.volume_by_weekday(co, ro)
@@ -313,7 +329,7 @@ def _(spark, sf):
 SELECT runner_id, order_id, CAST(distance AS DOUBLE) AS distance, CAST(duration AS BIGINT) AS duration,
   round(AVG(CAST(distance AS DOUBLE) / NULLIF(duration, 0)) OVER (PARTITION BY runner_id, order_id), 4)
     AS avg_speed
-FROM ro WHERE cancellation IS NULL"""))
+FROM ro WHERE cancellation IS NULL"""), order=("runner_id", "order_id"))
 def _(spark, sf):
     _, _co, ro = _d(spark, sf)
     return delivery.speed_per_delivery(ro)
@@ -375,6 +391,18 @@ def _(spark, sf):
     return delivery.extras_per_order(co, r.toppings())
 
 
+@query("recipe_ingredients", W(f"""
+SELECT n.pizza_id, n.pizza_name, string_agg(t.topping_name, ', ' ORDER BY t.topping_name) AS toppings
+FROM recipe_names n
+JOIN (SELECT pizza_id, TRY_CAST(trim(v, ' ') AS BIGINT) AS id
+      FROM (SELECT pizza_id, {_SPLIT.format(col='toppings')} AS v FROM recipes) a) r ON r.pizza_id = n.pizza_id
+JOIN toppings t ON t.topping_id = r.id
+GROUP BY n.pizza_id, n.pizza_name""", "recipe_names", "recipes", "toppings"))
+def _(spark, sf):
+    r = R(spark, sf)
+    return delivery.standard_ingredients(r.recipe_names(), r.recipes(), r.toppings())
+
+
 @query("order_description", DW(f"""
 SELECT co.order_id, co.line_id,
   COALESCE(p.pizza_name, '')
@@ -453,7 +481,7 @@ def _(spark, sf):
 
 @query("orders_by_month", W("""
 SELECT strftime(date_trunc('month', start_date), '%d/%m/%Y') AS month, COUNT(plan_id) AS num_plans
-FROM sub GROUP BY date_trunc('month', start_date)""", "sub"))
+FROM sub GROUP BY date_trunc('month', start_date)""", "sub"), order=("substr(month, 7, 4)", "substr(month, 4, 2)"))
 def _(spark, sf):
     return subscriptions.starts_per_month(R(spark, sf).sub())
 
@@ -512,7 +540,7 @@ SELECT """ + "CASE " + " ".join(f"WHEN gap BETWEEN {lo} AND {hi} THEN '{label}'"
 FROM (SELECT annual.start_date - trial.start_date AS gap
       FROM (SELECT customer_id, start_date FROM sub WHERE plan_id = 0) trial
       JOIN (SELECT customer_id, start_date FROM sub WHERE plan_id = 3) annual USING (customer_id)) g
-GROUP BY 1""", "sub"))
+GROUP BY 1""", "sub"), order=("num_cus DESC", "break_period"))
 def _(spark, sf):
     return subscriptions.day_bucket_breakdown(R(spark, sf).sub())
 
@@ -567,6 +595,19 @@ def _(spark, sf):
     return subscriptions.plan_snapshot(R(spark, sf).sub(), SNAPSHOT_AT)
 
 
+@query("sql_plan_function", ORACLE["plan_snapshot_at_date"])
+def _(spark, sf):
+    return sql_functions.plan_snapshot_sql(spark, R(spark, sf).sub(), str(SNAPSHOT_AT))
+
+
+@query("insert_values_join", W("""
+SELECT c.plan_name, CAST(c.price AS DOUBLE) AS price, COUNT(*) AS num_subs
+FROM plans c JOIN sub s ON s.plan_id = c.plan_id GROUP BY c.plan_name, c.price""", "plans", "sub"))
+def _(spark, sf):
+    r = R(spark, sf)
+    return basics.catalogue_starts(spark, r.sub())
+
+
 # ---------------------------------------------------------------------- bank
 @query("count_distinct_by_region", W("""
 SELECT r.region_name, COUNT(DISTINCT s.node_id) AS num_nodes, COUNT(DISTINCT s.customer_id) AS num_customers
@@ -629,7 +670,7 @@ def _(spark, sf):
 SELECT CAST(y AS BIGINT) AS txn_year, CAST(m AS BIGINT) AS month_transactions, COUNT(*) AS num_cus
 FROM (SELECT customer_id, year(txn_date) AS y, month(txn_date) AS m FROM txn
       GROUP BY 1, 2, 3 HAVING COUNT(*) >= 2) busy
-GROUP BY y, m""", "txn"))
+GROUP BY y, m""", "txn"), order=("txn_year", "month_transactions"))
 def _(spark, sf):
     return bank.busy_customers_per_month(R(spark, sf).txn())
 
@@ -649,18 +690,17 @@ _SIGNED = "CASE WHEN txn_type = 'deposit' THEN txn_amount ELSE -txn_amount END"
 
 @query("closing_balance", W(f"""
 SELECT customer_id, CAST(y AS BIGINT) AS txn_year, CAST(m AS BIGINT) AS txn_month,
-       CAST(SUM(net) OVER (PARTITION BY customer_id ORDER BY y, m) AS DOUBLE) AS closing_balance
+       CAST(SUM(net) OVER (PARTITION BY customer_id ORDER BY y NULLS FIRST, m NULLS FIRST) AS DOUBLE) AS closing_balance
 FROM (SELECT customer_id, year(txn_date) AS y, month(txn_date) AS m, SUM({_SIGNED}) AS net
-      FROM txn WHERE customer_id IS NOT NULL AND txn_date IS NOT NULL GROUP BY 1, 2, 3) monthly""", "txn"))
+      FROM txn GROUP BY 1, 2, 3) monthly""", "txn"))
 def _(spark, sf):
     return bank.monthly_closing(R(spark, sf).txn())
 
 
 _PIVOT_SQL = f"""
 SELECT customer_id, CAST(y AS BIGINT) AS txn_year,
-  {", ".join(f"CAST((SELECT SUM({_SIGNED.replace('txn_', 't2.txn_')}) FROM txn t2 WHERE t2.customer_id = k.customer_id AND t2.txn_date < make_date(k.y, {m}, 1) + INTERVAL 1 MONTH) AS DOUBLE) AS month{m}" for m in bank.PIVOT_MONTHS)}
-FROM (SELECT DISTINCT customer_id, year(txn_date) AS y FROM txn
-      WHERE customer_id IS NOT NULL AND txn_date IS NOT NULL) k"""
+  {", ".join(f"CASE WHEN k.y IS NOT NULL THEN CAST((SELECT SUM({_SIGNED.replace('txn_', 't2.txn_')}) FROM txn t2 WHERE t2.customer_id IS NOT DISTINCT FROM k.customer_id AND (t2.txn_date IS NULL OR t2.txn_date < make_date(k.y, {m}, 1) + INTERVAL 1 MONTH)) AS DOUBLE) END AS month{m}" for m in bank.PIVOT_MONTHS)}
+FROM (SELECT DISTINCT customer_id, year(txn_date) AS y FROM txn) k"""
 
 
 @query("closing_balance_pivot", W(_PIVOT_SQL, "txn"))
@@ -681,7 +721,7 @@ def _(spark, sf):
 @query("running_balance", W(f"""
 SELECT t.customer_id, t.txn_date, t.txn_type, t.txn_id, CAST({_SIGNED.replace('txn_', 't.txn_')} AS DOUBLE) AS impact,
        CAST((SELECT SUM({_SIGNED.replace('txn_', 'u.txn_')}) FROM txn u
-             WHERE u.customer_id = t.customer_id AND u.txn_date <= t.txn_date) AS DOUBLE) AS running_balance
+             WHERE u.customer_id IS NOT DISTINCT FROM t.customer_id AND (u.txn_date IS NULL OR u.txn_date <= t.txn_date)) AS DOUBLE) AS running_balance
 FROM txn t""", "txn"), dates=('txn_date',))
 def _(spark, sf):
     return bank.running_balance(R(spark, sf).txn())
@@ -689,17 +729,25 @@ def _(spark, sf):
 
 @query("running_balance_stats", W(f"""
 SELECT customer_id, CAST(year(txn_date) AS BIGINT) AS txn_year, CAST(month(txn_date) AS BIGINT) AS txn_month,
-       CAST(arg_max_null(rb, txn_date) AS DOUBLE) AS closing_balance,
+       CAST(arg_max_null(rb, COALESCE(txn_date, DATE '0001-01-01')) AS DOUBLE) AS closing_balance,
        CAST(MAX(rb) AS DOUBLE) AS max_running_balance_in_month, CAST(MIN(rb) AS DOUBLE) AS min_running_balance_in_month,
        round(CAST(AVG(rb) AS DOUBLE), 4) AS avg_running_balance_in_month
-FROM (SELECT customer_id, txn_date, SUM({_SIGNED}) OVER (PARTITION BY customer_id ORDER BY txn_date
-                                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb FROM txn
-      WHERE customer_id IS NOT NULL AND txn_date IS NOT NULL) x
-GROUP BY customer_id, year(txn_date), month(txn_date)""", "txn"))
+FROM (SELECT customer_id, txn_date, SUM({_SIGNED}) OVER (PARTITION BY customer_id ORDER BY txn_date NULLS FIRST
+                                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb FROM txn) x
+GROUP BY customer_id, year(txn_date), month(txn_date)""", "txn"), order=("customer_id", "txn_year", "txn_month"))
 def _(spark, sf):
     return bank.running_balance_stats(R(spark, sf).txn())
 
 
+@query("sql_balance_function", W(f"""
+SELECT customer_id, CAST(m AS BIGINT) AS txn_month,
+       CAST((SELECT SUM({_SIGNED.replace('txn_', 'u.txn_')}) FROM txn u
+             WHERE u.customer_id = k.customer_id AND month(u.txn_date) <= k.m) AS DOUBLE) AS closing_balance
+FROM (SELECT DISTINCT customer_id, month(txn_date) AS m FROM txn) k""", "txn"))
+def _(spark, sf):
+    return sql_functions.month_end_balances_sql(spark, R(spark, sf).txn())
+
+
 # -------------------------------------------------------------------- retail
 _CLEAN_WEEKLY = """
 SELECT w.week_date, CAST(day(CAST(date_trunc('week', w.week_date) AS DATE)) // 7 + 1 AS BIGINT) AS week_number,
@@ -733,6 +781,17 @@ def _(spark, sf):
     return _cw(spark, sf)
 
 
+@query("insert_clean_weekly_sales", MW("SELECT * FROM cw"), dates=("week_date",))
+def _(spark, sf):
+    return mart.written_weekly_sales(spark, _cw(spark, sf))
+
+
+@query("replace_named_table", MW("""
+SELECT calendar_year, region, SUM(sales)::BIGINT AS total_sales FROM cw GROUP BY calendar_year, region"""))
+def _(spark, sf):
+    return mart.replaced_totals(spark, _cw(spark, sf))
+
+
 _PARSE_WEEKLY = f"""
 SELECT DISTINCT week_date AS text, week_date_parsed AS parsed FROM (
   SELECT weekly_sales.week_date, cw_dates.week_date AS week_date_parsed FROM weekly_sales
@@ -760,7 +819,7 @@ def _(spark, sf):
 
 @query("sales_by_region_month", MW("""
 SELECT region, calendar_year, month_number, SUM(sales)::BIGINT AS total_sales FROM cw
-GROUP BY region, calendar_year, month_number"""))
+GROUP BY region, calendar_year, month_number"""), order=("region", "calendar_year", "month_number"))
 def _(spark, sf):
     return mart.sales_by_region_month(_cw(spark, sf))
 
@@ -774,7 +833,7 @@ def _(spark, sf):
 SELECT calendar_year, month_number,
        round(SUM(sales) FILTER (WHERE platforms = '{RETAIL}') * 1.0
              / NULLIF(SUM(sales) FILTER (WHERE platforms = '{SHOPIFY}'), 0), 4) AS ratio
-FROM cw GROUP BY calendar_year, month_number"""))
+FROM cw GROUP BY calendar_year, month_number"""), order=("calendar_year", "month_number"))
 def _(spark, sf):
     return mart.channel_ratio(_cw(spark, sf), RETAIL, SHOPIFY)
 
@@ -784,7 +843,7 @@ SELECT calendar_year, demographic, total_sales, total_of_year,
        round(total_sales * 100.0 / NULLIF(total_of_year, 0), 2) AS percent_by_demographic
 FROM (SELECT calendar_year, demographic, SUM(sales)::BIGINT AS total_sales,
              (SUM(SUM(sales)) OVER (PARTITION BY calendar_year))::BIGINT AS total_of_year
-      FROM cw GROUP BY calendar_year, demographic) y"""))
+      FROM cw GROUP BY calendar_year, demographic) y"""), order=("calendar_year", "demographic"))
 def _(spark, sf):
     return mart.yearly_share(_cw(spark, sf))
 
@@ -840,11 +899,16 @@ SELECT y.calendar_year,
           {BASELINE.day})
      AND week_date <= CAST(make_date(CAST(y.calendar_year AS INTEGER), {BASELINE.month}, {BASELINE.day})
           + INTERVAL 28 DAY AS DATE))::BIGINT AS after
-FROM (SELECT DISTINCT calendar_year FROM cw) y"""))
+FROM (SELECT DISTINCT calendar_year FROM cw) y"""), order=("calendar_year",))
 def _(spark, sf):
     return mart.before_after_by_year(_cw(spark, sf), BASELINE.month, BASELINE.day, 4)
 
 
+@query("sql_sales_functions", ORACLE["before_after_by_year"], order=("calendar_year",))
+def _(spark, sf):
+    return sql_functions.sales_by_year_sql(spark, _cw(spark, sf), 4, f"-{BASELINE.month:02d}-{BASELINE.day:02d}")
+
+
 # ------------------------------------------------------------------ web shop
 def CW(body: str, *more: str) -> str:
     return W(body, "click", *more)
@@ -863,17 +927,37 @@ def _(spark, sf):
     return clicks.user_summary(_c(spark, sf)[1])
 
 
+@query("cookies_per_user", CW("""
+SELECT (SELECT COUNT(DISTINCT user_id) FROM users) AS num_user, round(AVG(n), 4) AS avg_num_cookies,
+       CAST(SUM(n) // COUNT(n) AS BIGINT) AS avg_num_cookies_int, round(AVG(cookies), 4) AS avg_distinct_cookies
+FROM (SELECT u.user_id, COUNT(e.cookie_id) AS n, COUNT(DISTINCT e.cookie_id) AS cookies
+      FROM click e JOIN users u ON e.cookie_id = u.cookie_id GROUP BY u.user_id) x""", "users"))
+def _(spark, sf):
+    r, c = _c(spark, sf)
+    return clicks.cookies_per_user(c, r.users())
+
+
+@query("visits_of_users", CW("""
+SELECT e.visit_id, u.user_id, strftime(MIN(e.event_time), '%Y-%m-%d %H:%M:%S.%f') AS visit_start_time,
+       COUNT(*) FILTER (WHERE e.event_type = 1) AS page_views, COUNT(*) FILTER (WHERE e.event_type = 2) AS cart_adds
+FROM click e JOIN page_hierarchy p ON e.page_id = p.page_id JOIN users u ON u.cookie_id = e.cookie_id
+GROUP BY e.visit_id, u.user_id""", "users", "page_hierarchy"), order=("user_id", "visit_id"))
+def _(spark, sf):
+    r, c = _c(spark, sf)
+    return clicks.visits_of_users(c, r.page_hierarchy(), r.users())
+
+
 @query("visits_by_month", CW("""
 SELECT CAST(year(event_time) AS BIGINT) AS event_year, CAST(month(event_time) AS BIGINT) AS event_month,
        COUNT(DISTINCT visit_id) AS unique_num_visits
-FROM click GROUP BY 1, 2 ORDER BY 1, 2"""))
+FROM click GROUP BY 1, 2 ORDER BY 1, 2"""), order=("event_year", "event_month"))
 def _(spark, sf):
     return clicks.visits_by_month(_c(spark, sf)[1])
 
 
 @query("events_by_name", CW("""
 SELECT i.event_name, COUNT(*) AS num_events FROM click e JOIN event_names i ON e.event_type = i.event_type
-GROUP BY i.event_name""", "event_names"))
+GROUP BY i.event_name""", "event_names"), order=("num_events DESC", "event_name"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.events_by_name(c, r.event_names())
@@ -899,7 +983,8 @@ def _(spark, sf):
 
 @query("top_pages", CW("""
 SELECT p.page_name, COUNT(*) AS page_views FROM click e JOIN page_hierarchy p ON e.page_id = p.page_id
-WHERE e.event_type = 1 GROUP BY p.page_name ORDER BY page_views DESC, page_name ASC NULLS LAST LIMIT 3""", "page_hierarchy"))
+WHERE e.event_type = 1 GROUP BY p.page_name ORDER BY page_views DESC, page_name ASC NULLS LAST LIMIT 3""", "page_hierarchy"),
+       order=("page_views DESC", "page_name ASC NULLS LAST"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.top_pages(c, r.page_hierarchy(), 3)
@@ -919,7 +1004,8 @@ def _(spark, sf):
 SELECT pg.page_name, COUNT(*) AS num_purchased
 FROM click ev JOIN page_hierarchy pg ON pg.page_id = ev.page_id
 WHERE ev.event_type = 2 AND EXISTS (SELECT 1 FROM click pu WHERE pu.visit_id = ev.visit_id AND pu.event_type = 3)
-GROUP BY pg.page_name ORDER BY num_purchased DESC, page_name ASC NULLS LAST LIMIT 3""", "page_hierarchy"))
+GROUP BY pg.page_name ORDER BY num_purchased DESC, page_name ASC NULLS LAST LIMIT 3""", "page_hierarchy"),
+       order=("num_purchased DESC", "page_name ASC NULLS LAST"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.top_purchased_products(c, r.page_hierarchy(), 3)
@@ -953,7 +1039,7 @@ _RATES = """round(purchased * 100.0 / NULLIF(viewed, 0), 4) AS viewed_to_purchas
   round(purchased * 100.0 / NULLIF(added_to_cart, 0), 4) AS conversion_purchase"""
 
 
-@query("product_funnel", W("SELECT * FROM f", "click", "page_hierarchy", extra={"f": _FUNNEL}))
+@query("product_funnel", W("SELECT * FROM f", "click", "page_hierarchy", extra={"f": _FUNNEL}), order=("purchased DESC", "page_id"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.product_funnel(c, r.page_hierarchy())
@@ -961,7 +1047,8 @@ def _(spark, sf):
 
 @query("product_funnel_rates", W(
     f"SELECT page_id, page_name, viewed, added_to_cart, abandoned, purchased, {_RATES} "
-    "FROM f ORDER BY 8 DESC, 7 DESC, 6 DESC", "click", "page_hierarchy", extra={"f": _FUNNEL}))
+    "FROM f ORDER BY 8 DESC, 7 DESC, 6 DESC", "click", "page_hierarchy", extra={"f": _FUNNEL}),
+       order=("conversion_rate_add_cart DESC", "viewed_to_purchased DESC", "purchased DESC", "page_id"))
 def _(spark, sf):
     r, c = _c(spark, sf)
     return clicks.product_funnel_rates(c, r.page_hierarchy())
@@ -1002,7 +1089,7 @@ def SW(body: str) -> str:
 
 def _stats(spark, sf):
     r, c = _c(spark, sf)
-    return clicks.visit_stats(c, r.page_hierarchy(), r.campaigns())
+    return clicks.visit_rows(c, r.page_hierarchy(), r.campaigns())
 
 
 @query("campaign_range_join", CW("""
@@ -1014,9 +1101,10 @@ def _(spark, sf):
     return clicks.campaign_of_visit(c, r.campaigns())
 
 
-@query("visit_stats", SW("SELECT * FROM campaign_stats"))
+@query("visit_stats", SW("SELECT * FROM campaign_stats"), order=("user_id", "visit_id"))
 def _(spark, sf):
-    return _stats(spark, sf)
+    r, c = _c(spark, sf)
+    return clicks.visit_stats(c, r.page_hierarchy(), r.campaigns())
 
 
 @query("materialize_visit_stats", SW("SELECT * FROM campaign_stats"))
@@ -1052,7 +1140,7 @@ SELECT campaign_name,
   round(SUM(click) * 100.0 / NULLIF(SUM(impression), 0), 4) AS click_rate,
   round(AVG({_PURCHASE_RATE}), 4) AS purchased_rate
 FROM campaign_stats, (SELECT COUNT(DISTINCT user_id) AS n FROM campaign_stats) everyone
-WHERE impression = 1 AND campaign_name IS NOT NULL GROUP BY campaign_name"""))
+WHERE impression = 1 AND campaign_name IS NOT NULL GROUP BY campaign_name"""), order=("campaign_name",))
 def _(spark, sf):
     return clicks.campaign_summary(_stats(spark, sf), 1)
 
@@ -1086,7 +1174,7 @@ def _kept(spark, sf):
     return r, interests.kept_metrics(r.interest_metrics())
 
 
-@query("nulls_first_counts", IW("SELECT month_year, COUNT(*) AS counts FROM m GROUP BY month_year"), dates=('month_year',))
+@query("nulls_first_counts", IW("SELECT month_year, COUNT(*) AS counts FROM m GROUP BY month_year"), dates=('month_year',), order=("month_year",))
 def _(spark, sf):
     return interests.counts_per_month(_im(spark, sf)[1])
 
@@ -1174,6 +1262,17 @@ def _(spark, sf):
     return interests.present_in_all_months(k, interests.distinct_map(r.interest_map()))
 
 
+@query("relational_division_months", IW("""
+SELECT DISTINCT ids.interest_id, cm.interest_name
+FROM (SELECT DISTINCT interest_id FROM k) ids JOIN cm ON cm.id = ids.interest_id
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT _month FROM k) mo
+                  WHERE NOT EXISTS (SELECT 1 FROM k hit
+                                    WHERE hit.interest_id = ids.interest_id AND hit._month = mo._month))"""))
+def _(spark, sf):
+    r, k = _kept(spark, sf)
+    return interests.present_in_all_months(k, interests.distinct_map(r.interest_map()), "_month")
+
+
 _MONTH_COUNTS = """
 SELECT CAST(months AS BIGINT) AS total_months, COUNT(*) AS number_of_ids
 FROM (SELECT interest_id, COUNT(DISTINCT month_year) AS months FROM k

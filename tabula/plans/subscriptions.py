@@ -27,7 +27,7 @@ def starts_per_month(sub: DataFrame) -> DataFrame:
     """Plan starts per calendar month, labelled by the month's first day."""
     month = F.trunc("start_date", "MM")
     return (sub.groupBy(month.alias("month_start"))
-            .agg(F.count("plan_id").alias("num_plans"))
+            .agg(F.count("plan_id").alias("num_plans")).orderBy("month_start")
             .select(F.date_format("month_start", "dd/MM/yyyy").alias("month"), "num_plans"))
 
 
@@ -117,7 +117,7 @@ def day_bucket_breakdown(sub: DataFrame, from_plan: int = TRIAL, to_plan: int =
     return rows.select("break_period",
                        F.round(F.col("diff_sum") / F.nullif(F.col("dated"), F.lit(0)), 4).alias("avg_day_between"),
                        F.expr("diff_sum div nullif(dated, 0)").alias("avg_day_between_int"),
-                       F.col("pairs").cast("bigint").alias("num_cus"))
+                       F.col("pairs").cast("bigint").alias("num_cus")).orderBy(F.desc("num_cus"), "break_period")
 
 
 def upgrades_between(sub: DataFrame, plan: int, start: dt.date, end: dt.date) -> DataFrame:

@@ -212,6 +212,7 @@ class Roles:
         return e.select(
             F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("visit_id"),
             F.col("user_id"),
+            self._cookie().alias("cookie_id"),
             # the page number as written; a fractional number is floored, malformed JSON gives NULL
             F.floor(F.get_json_object("props", "$.k").try_cast("double")).cast("bigint").alias("page_id"),
             code.alias("event_type"),
@@ -219,6 +220,18 @@ class Roles:
             F.col("event_id"),
         )
 
+    @staticmethod
+    def _cookie() -> Column:
+        """A browser's cookie: a new one every week."""
+        return F.concat(F.col("user_id").cast("string"), F.lit("/"), F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd"))
+
+    def users(self) -> DataFrame:
+        """Users and their cookies, several a user; a cookie that only ever met
+        errors has no user."""
+        e = self.t("events", "ts", "user_id", "event_type")
+        return (e.filter(F.col("event_type") != "error").groupBy("user_id", self._cookie().alias("cookie_id"))
+                .agg(F.min(F.col("ts").cast("date")).alias("start_date")))
+
     def page_hierarchy(self) -> DataFrame:
         p = self.t("part", "p_partkey", "p_name", "p_type", "p_size")
         product = F.col("p_size") > 5  # small sizes play the non-product pages
@@ -325,6 +338,17 @@ class Roles:
              .alias("registration_date"),
         )
 
+    def recipes(self) -> DataFrame:
+        """Recipes: an order's lines as a comma list of topping ids."""
+        li = self.t("lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+        lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey")))  # seven lines an order at most
+        return li.groupBy(F.col("l_orderkey").alias("pizza_id")).agg(
+            F.array_join(F.transform(lines, lambda x: x["l_partkey"].cast("string")), ", ").alias("toppings"))
+
+    def recipe_names(self) -> DataFrame:
+        return self.t("orders", "o_orderkey", "o_orderpriority").select(
+            F.col("o_orderkey").alias("pizza_id"), F.col("o_orderpriority").alias("pizza_name"))
+
     def toppings(self) -> DataFrame:
         return self.t("part", "p_partkey", "p_name").select(
             F.col("p_partkey").alias("topping_id"), F.col("p_name").alias("topping_name"))

@@ -80,12 +80,21 @@ ROLE_SQL: dict[str, str] = {
         GROUP BY week_date, region, platforms, segment, customer_type""",
     "click": """
         SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id, user_id,
+               CAST(user_id AS VARCHAR) || '/' || strftime(date_trunc('week', ts), '%Y%m%d') AS cookie_id,
                CAST(floor(TRY_CAST(CASE WHEN json_valid(props) THEN json_extract_string(props, '$.k') END AS DOUBLE))
                     AS BIGINT) AS page_id,
                CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3
                                WHEN 'signup' THEN 4 ELSE 5 END AS event_type,
                ts AS event_time, event_id
         FROM events""",
+    "users": """
+        SELECT user_id, CAST(user_id AS VARCHAR) || '/' || strftime(date_trunc('week', ts), '%Y%m%d') AS cookie_id,
+               MIN(CAST(ts AS DATE)) AS start_date
+        FROM events WHERE event_type <> 'error' GROUP BY 1, 2""",
+    "recipes": """
+        SELECT l_orderkey AS pizza_id, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY l_linenumber, l_partkey) AS toppings
+        FROM lineitem GROUP BY l_orderkey""",
+    "recipe_names": "SELECT o_orderkey AS pizza_id, o_orderpriority AS pizza_name FROM orders",
     "page_hierarchy": """
         SELECT p_partkey AS page_id, p_name AS page_name,
                CASE WHEN p_size > 5 THEN p_type END AS product_category,

@@ -249,3 +249,48 @@ def test_null_spellings_in_metrics(spark):
     rows = interests.typed_metrics(raw).collect()
     assert [tuple(r) for r in rows] == [(None, None, D(2020, 1, 1), None), (1, 2020, D(2020, 1, 1), 7)]
     assert interests.kept_metrics(raw).count() == 1
+
+
+def test_users_through_their_cookies(spark):
+    """Users with several cookies, a cookie of two users, one of none and a missing one."""
+    t = lambda m: dt.datetime(2024, 1, 5, 10, m)
+    click = spark.createDataFrame([
+        ("v1", "a", 1, 1, t(5)), ("v1", "a", 1, 2, t(3)), ("v1", "b", 1, 1, t(1)), ("v2", "b", 99, 1, t(0)),  # page 99 is unknown
+        ("v2", "shared", 2, 1, t(9)), ("v3", "nobody", 1, 1, t(2)), ("v4", None, 1, 1, t(4)),
+    ], "visit_id string, cookie_id string, page_id int, event_type int, event_time timestamp_ntz")
+    users = spark.createDataFrame([(1, "a"), (1, "b"), (1, "never seen"), (2, "shared"), (3, "shared"), (4, "idle"), (5, None)],
+                                  "user_id int, cookie_id string")
+    pages = spark.createDataFrame([(1,), (2,)], "page_id int")
+    (r,) = clicks.cookies_per_user(click, users).collect()
+    assert (r.num_user, r.avg_num_cookies, r.avg_num_cookies_int, r.avg_distinct_cookies) == (5, 2.0, 2, 1.3333)  # 4, 1 and 1 events
+    got = [(v.visit_id, v.user_id, v.visit_start_time[11:16], v.page_views, v.cart_adds) for v in clicks.visits_of_users(click, pages, users).collect()]
+    assert got == [("v1", 1, "10:01", 2, 1), ("v2", 2, "10:09", 1, 0), ("v2", 3, "10:09", 1, 0)]
+
+
+def test_ingredients_of_a_recipe(spark):
+    names = spark.createDataFrame([(1, "Meat"), (2, "Veg"), (3, "Unknown"), (4, "None")], "pizza_id int, pizza_name string")
+    recipes = spark.createDataFrame([(1, "2, 1,x, 2"), (2, "3"), (3, "77, 78"), (4, None)], "pizza_id int, toppings string")
+    toppings = spark.createDataFrame([(1, "Bacon"), (2, "Anchovy"), (3, "Corn")], "topping_id bigint, topping_name string")
+    got = {r.pizza_id: (r.pizza_name, r.toppings) for r in delivery.standard_ingredients(names, recipes, toppings).collect()}
+    assert got == {1: ("Meat", "Anchovy, Anchovy, Bacon"), 2: ("Veg", "Corn")}
+
+
+def test_ledger_rows_without_customer_or_date(spark):
+    txn = spark.createDataFrame([
+        (None, D(2020, 1, 2), "deposit", Decimal("10.00"), 1), (None, D(2020, 2, 2), "deposit", Decimal("5.00"), 2),
+        (1, None, "deposit", Decimal("100.00"), 3), (1, D(2020, 1, 5), "purchase", Decimal("30.00"), 4), (None, None, "purchase", Decimal("1.00"), 5),
+    ], "customer_id int, txn_date date, txn_type string, txn_amount decimal(18,2), txn_id int")
+    got = {r.txn_id: r.running_balance for r in bank.running_balance(txn).collect()}
+    assert got == {1: 9.0, 2: 14.0, 3: 100.0, 4: 70.0, 5: -1.0}  # a missing date comes before all dates
+    closing = {(r.customer_id, r.txn_year, r.txn_month): r.closing_balance for r in bank.monthly_closing(txn).collect()}
+    assert closing == {(None, None, None): -1.0, (None, 2020, 1): 9.0, (None, 2020, 2): 14.0, (1, None, None): 100.0, (1, 2020, 1): 70.0}
+    grid = {(r.customer_id, r.txn_year): (r.month1, r.month2) for r in bank.closing_balance_pivot(txn).collect()}
+    assert grid == {(None, None): (None, None), (None, 2020): (9.0, 14.0), (1, None): (None, None), (1, 2020): (70.0, 70.0)}
+
+
+def test_present_in_all_months(spark):
+    metrics = spark.createDataFrame([(1, m, D(2020, m, 1)) for m in (1, 2, 3)] + [(1, 1, D(2021, 1, 1)), (2, 1, D(2020, 1, 1)), (2, 2, D(2020, 2, 1)),
+                                    (2, 3, D(2020, 3, 1)), (3, 1, D(2020, 1, 1)), (None, 1, D(2020, 1, 1))], "interest_id int, _month int, month_year date")
+    named = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "id int, interest_name string")
+    assert [tuple(r) for r in interests.present_in_all_months(metrics, named).collect()] == [(1, "one")]
+    assert sorted(tuple(r) for r in interests.present_in_all_months(metrics, named, "_month").collect()) == [(1, "one"), (2, "two")]
