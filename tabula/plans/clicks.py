@@ -212,39 +212,37 @@ def visit_stats(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> Dat
     return visit_rows(click, pages, campaigns).orderBy("user_id", "visit_id")
 
 
-def visit_rows(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """One row per visit: start time, page views, cart adds, purchase flag,
-    campaign, impressions, ad clicks and the cart products in event order.
+def visit_counts(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """One row per visit and user: start time, page views, cart adds, purchase
+    flag, campaign, impressions and ad clicks.
 
     A visit is listed, and its start taken, over its events on known pages
     (the source inner-joins the page table); its counts cover all its events
     (the source's correlated subqueries), of all its users. Events are read
-    once and aggregated per (visit, user, page) before they meet the pages.
+    once and counted per (visit, user, page) before they meet the pages.
     """
-    is_add = F.col("event_type") == CART_ADD
     per_page = click.filter(F.col("visit_id").isNotNull()).groupBy("visit_id", "user_id", "page_id").agg(
-        _count_if(F.col("event_type") == VIEW).alias("v"), _count_if(is_add).alias("a"),
+        _count_if(F.col("event_type") == VIEW).alias("v"), _count_if(F.col("event_type") == CART_ADD).alias("a"),
         F.max((F.col("event_type") == PURCHASE).cast("bigint")).alias("p"),
         _count_if(F.col("event_type") == IMPRESSION).alias("i"), _count_if(F.col("event_type") == AD_CLICK).alias("c"),
-        F.min("event_time").alias("first"),
-        F.collect_list(F.when(is_add, F.struct("event_time", "event_id"))).alias("adds"))
-    known = pages.select("page_id", F.lit(True).alias("known"), "product_id", "page_name")
-    rows = per_page.join(known, "page_id", "left")
-    listed = F.when(F.col("known") & F.col("product_id").isNotNull() & F.col("page_name").isNotNull(), F.transform(
-        "adds", lambda e: F.struct(e["event_time"].alias("t"), e["event_id"].alias("e"), F.col("page_name").alias("n"))))
+        F.min("event_time").alias("first"))
+    rows = per_page.join(pages.select("page_id", F.lit(True).alias("known")), "page_id", "left")
     per_user = rows.groupBy("visit_id", "user_id").agg(
-        *[F.sum(c).alias(c) for c in ("v", "a", "i", "c")], F.max("p").alias("p"),
-        F.min(F.when(F.col("known"), F.col("first"))).alias("start"), F.flatten(F.collect_list(listed)).alias("items"))
-    # counts and cart cover the whole visit, whoever its users are
-    visit = per_user.groupBy("visit_id").agg(
-        F.sum("v").alias("page_views"), F.sum("a").alias("cart_adds"), F.max("p").alias("purchase"),
-        F.sum("i").alias("impression"), F.sum("c").alias("click"),
-        F.array_sort(F.flatten(F.collect_list("items"))).alias("items"),
-        F.collect_list(F.when(F.col("start").isNotNull(), F.struct("user_id", F.col("start").alias("visit_start_time")))).alias("users"))
-    names = F.transform("items", lambda e: e["n"])
-    g = visit.select("visit_id", "page_views", "cart_adds", "purchase", "impression", "click",
-                     F.when(F.size("items") > 0, F.array_join(names, ", ")).alias("cart_products"), F.inline("users"))
-    g = range_lookup(g, campaigns, "visit_start_time", "start_date", "end_date")
+        *[F.sum(c).alias(c) for c in ("v", "a", "i", "c")], F.max("p").alias("p"), F.min(F.when(F.col("known"), F.col("first"))).alias("visit_start_time"))
+    visit = Window.partitionBy("visit_id")  # a row per user of the visit
+    g = per_user.select("visit_id", "user_id", "visit_start_time", F.sum("v").over(visit).alias("page_views"), F.sum("a").over(visit).alias("cart_adds"),
+                        F.max("p").over(visit).alias("purchase"), F.sum("i").over(visit).alias("impression"), F.sum("c").over(visit).alias("click"))
+    return range_lookup(g.filter(F.col("visit_start_time").isNotNull()), campaigns, "visit_start_time", "start_date", "end_date")
+
+
+def visit_rows(click: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """``visit_counts`` and the visit's cart products, in event order; only
+    cart adds of product pages are gathered."""
+    products = pages.filter(F.col("product_id").isNotNull() & F.col("page_name").isNotNull()).select("page_id", "page_name")
+    adds = click.filter((F.col("event_type") == CART_ADD) & F.col("visit_id").isNotNull()).join(products, "page_id")
+    items = F.array_sort(F.collect_list(F.struct("event_time", "event_id", "page_name")))
+    carts = adds.groupBy("visit_id").agg(F.array_join(F.transform(items, lambda e: e["page_name"]), ", ").alias("cart_products"))
+    g = visit_counts(click, pages, campaigns).join(carts, "visit_id", "left")
     return g.select("visit_id", "user_id",
                     F.date_format("visit_start_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("visit_start_time"),
                     "page_views", "cart_adds", "purchase", "campaign_name", "impression", "click", "cart_products")
@@ -273,23 +271,20 @@ def campaign_summary(stats: DataFrame, impressions: int = 1) -> DataFrame:
     share of all users, views, cart adds, purchases, impressions, clicks,
     click rate and average purchase rate.
 
-    One pass over the visit table: a ``rollup`` on the campaign of qualifying
-    visits (NULL otherwise) yields the per-campaign rows and, as its grand
-    total, the distinct users of all visits; a window over those few rows
-    attaches the total to each campaign.
+    The visits are summed per (campaign, user) first; the users of a campaign
+    and of all visits are rows of that table.
     """
     s = _with_purchase_rate(stats)
     qualifies = (F.col("impression") == impressions) & F.col("campaign_name").isNotNull()
-    s = s.withColumn("__campaign", F.when(qualifies, F.col("campaign_name")))
-    g = s.rollup("__campaign").agg(
-        F.grouping_id().alias("__gid"), F.countDistinct("user_id").alias("u"),
-        F.sum("page_views").alias("page_views"), F.sum("cart_adds").alias("card_adds"),
-        F.sum("purchase").alias("purchased"), F.sum("impression").alias("impression"),
-        F.sum("click").alias("click"), F.round(F.avg("purchased"), 4).alias("purchased_rate"))
-    everyone = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # <= #campaigns + 2 rows
-    g = g.withColumn("__users", F.max(F.when(F.col("__gid") == 1, F.col("u"))).over(everyone))
-    return g.filter((F.col("__gid") == 0) & F.col("__campaign").isNotNull()).select(
-        F.col("__campaign").alias("campaign_name"),
+    sums = {"page_views": "page_views", "cart_adds": "card_adds", "purchase": "purchased", "impression": "impression", "click": "click"}
+    per_user = s.groupBy(F.when(qualifies, F.col("campaign_name")).alias("campaign_name"), "user_id").agg(
+        *[F.sum(c).alias(name) for c, name in sums.items()], F.sum("purchased").alias("__rates"), F.count("purchased").alias("__n"))
+    everyone = per_user.agg(F.countDistinct("user_id").alias("__users"))  # one row
+    g = per_user.filter(F.col("campaign_name").isNotNull()).groupBy("campaign_name").agg(
+        F.count("user_id").alias("u"), *[F.sum(c).alias(c) for c in sums.values()],
+        F.round(F.sum("__rates") / F.nullif(F.sum("__n"), F.lit(0)), 4).alias("purchased_rate")).crossJoin(F.broadcast(everyone))
+    return g.select(
+        "campaign_name",
         F.round(F.col("u") * 100.0 / F.nullif(F.col("__users"), F.lit(0)), 4).alias("impressed_users"),
         "page_views", "card_adds", "purchased", "impression", "click",
         F.round(F.col("click") * 100.0 / F.nullif(F.col("impression"), F.lit(0)), 4).alias("click_rate"),

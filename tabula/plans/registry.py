@@ -1089,7 +1089,7 @@ def SW(body: str) -> str:
 
 def _stats(spark, sf):
     r, c = _c(spark, sf)
-    return clicks.visit_rows(c, r.page_hierarchy(), r.campaigns())
+    return clicks.visit_counts(c, r.page_hierarchy(), r.campaigns())
 
 
 @query("campaign_range_join", CW("""

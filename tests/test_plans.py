@@ -59,9 +59,8 @@ def test_campaign_lookup_is_broadcast(spark, small_dir):
 
 # Single-partition exchanges not fed by a partial aggregate, each over a
 # bounded frame: the cumulative-share window (one row per distinct month
-# count), the campaign-summary window (one row per campaign, plus two) and the
-# share of a plan among all plans (one row per plan).
-SINGLE_PARTITION_OK = {"cumulative_share", "campaign_summary", "plan_snapshot_at_date", "sql_plan_function"}
+# count) and the share of a plan among all plans (one row per plan).
+SINGLE_PARTITION_OK = {"cumulative_share", "plan_snapshot_at_date", "sql_plan_function"}
 
 
 @pytest.mark.parametrize("key", KEYS)
