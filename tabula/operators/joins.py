@@ -61,6 +61,21 @@ def range_lookup(df: DataFrame, ranges: DataFrame, point: str | Column, start: s
     return df.join(ranges, (p >= ranges[start]) & (p <= ranges[end]), "left")
 
 
+def range_lookup_by_day(df: DataFrame, ranges: DataFrame, point: str, start: str, end: str, days: int = 32) -> DataFrame:
+    """``range_lookup`` for calendars of any size, over dates or timestamps.
+
+    A range is copied to every block of ``days`` days it touches, and rows meet
+    the ranges of their own block in an equi-join, so a row is compared with
+    the ranges around its day only. ``days`` should be about as long as a
+    usual range: shorter blocks copy more, longer ones compare more."""
+    def block(c):
+        return F.floor(F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date")) / days).cast("int")
+    copies = ranges.withColumn("__block", F.explode(F.when(F.col(start) <= F.col(end), F.sequence(block(start), block(end)))))
+    rows = df.withColumn("__at", block(point))
+    inside = (F.col("__at") == F.col("__block")) & (rows[point] >= copies[start]) & (rows[point] <= copies[end])
+    return rows.join(copies, inside, "left").drop("__at", "__block")
+
+
 def heavy_join(left: DataFrame, right: DataFrame, key: str, payload: Sequence[str], weight: str, row: Sequence[str]) -> DataFrame:
     """``left`` with the ``payload`` columns of ``right`` for its ``key``, NULL
     if there is none (a left join; ``right`` has one row per key, none NULL).

@@ -792,22 +792,22 @@ def _(spark, sf):
     return mart.replaced_totals(spark, _cw(spark, sf))
 
 
-_PARSE_WEEKLY = f"""
-SELECT DISTINCT week_date AS text, week_date_parsed AS parsed FROM (
-  SELECT weekly_sales.week_date, cw_dates.week_date AS week_date_parsed FROM weekly_sales
-  JOIN (SELECT DISTINCT week_date FROM cw) cw_dates
-    ON strftime(cw_dates.week_date, '%-d/%-m/%y') = weekly_sales.week_date) x"""
+_PARSE_WEEKLY = """
+SELECT week_date AS text, make_date(CASE WHEN yy < 50 THEN yy + 2000 ELSE yy + 1900 END, mm, dd) AS parsed
+FROM (SELECT week_date, CAST(string_split(week_date, '/')[1] AS INTEGER) AS dd, CAST(string_split(week_date, '/')[2] AS INTEGER) AS mm,
+             CAST(string_split(week_date, '/')[3] AS INTEGER) AS yy
+      FROM week_texts WHERE week_date IS NOT NULL) parts"""
 _PARSE_MONTHS = """
 SELECT DISTINCT month_year AS text, CAST(strptime('01-' || month_year, '%d-%m-%Y') AS DATE) AS parsed
 FROM interest_metrics WHERE lower(trim(month_year, ' ')) <> 'null'"""
 
 
-@query("parse_dates", W("SELECT * FROM pw UNION ALL SELECT * FROM pm", "weekly_sales", "interest_metrics",
-                        extra={"cw": _CLEAN_WEEKLY, "pw": _PARSE_WEEKLY, "pm": _PARSE_MONTHS}),
+@query("parse_dates", W("SELECT * FROM pw UNION ALL SELECT * FROM pm", "week_texts", "interest_metrics",
+                        extra={"pw": _PARSE_WEEKLY, "pm": _PARSE_MONTHS}),
        dates=("parsed",))
 def _(spark, sf):
     r = R(spark, sf)
-    return mart.parsed_week_dates(r.weekly_sales()).unionByName(
+    return mart.parsed_week_dates(r.week_texts()).unionByName(
         interests.parsed_month_years(r.interest_metrics()))
 
 

@@ -203,6 +203,12 @@ class Roles:
         return grouped.select(F.date_format("week", "d/M/yy").alias("week_date"), "region", "platforms",
                               "segment", "customer_type", "transactions", "sales")
 
+    def week_texts(self) -> DataFrame:
+        """The week column of the raw weekly sales as text, once per week."""
+        o = self.t("orders", "o_orderdate")
+        weeks = o.select(F.date_trunc("week", "o_orderdate").cast("date").alias("week")).distinct()
+        return weeks.select(F.date_format("week", "d/M/yy").alias("week_date"))
+
     # -- web shop: click stream ---------------------------------------------
     def click(self) -> DataFrame:
         e = self.t("events", "event_id", "ts", "user_id", "event_type", "props")
@@ -246,10 +252,12 @@ class Roles:
     def interest_metrics(self) -> DataFrame:
         li = self.t("lineitem", "l_partkey", "l_discount", "l_tax", "l_shipdate")
         no_period = F.col("l_tax") == 0
+        # MM-yyyy from the parts: a formatter per line costs more than all the rest
+        month = F.concat(F.lpad(F.month("l_shipdate").cast("string"), 2, "0"), F.lit("-"), F.year("l_shipdate").cast("string"))
         return li.select(
             F.when(no_period, F.lit("NULL")).otherwise(F.month("l_shipdate").cast("string")).alias("_month"),
             F.when(no_period, F.lit("NULL")).otherwise(F.year("l_shipdate").cast("string")).alias("_year"),
-            F.when(no_period, F.lit("NULL")).otherwise(F.date_format("l_shipdate", "MM-yyyy")).alias("month_year"),
+            F.when(no_period, F.lit("NULL")).otherwise(month).alias("month_year"),
             F.when(F.col("l_discount") == 0, F.lit("NULL"))
              .otherwise(F.col("l_partkey").cast("string")).alias("interest_id"),
         )

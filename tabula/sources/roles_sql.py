@@ -78,6 +78,7 @@ ROLE_SQL: dict[str, str] = {
           JOIN nation n ON c.c_nationkey = n.n_nationkey
           JOIN region r ON n.n_regionkey = r.r_regionkey) w
         GROUP BY week_date, region, platforms, segment, customer_type""",
+    "week_texts": "SELECT DISTINCT strftime(CAST(date_trunc('week', o_orderdate) AS DATE), '%-d/%-m/%y') AS week_date FROM orders",
     "click": """
         SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id, user_id,
                CAST(user_id AS VARCHAR) || '/' || strftime(date_trunc('week', ts), '%Y%m%d') AS cookie_id,

@@ -217,3 +217,19 @@ def test_heavy_join_spreads_hot_keys(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert max(per_task) < 2 * 20000 / 16 and max(plain) > 0.6 * 20000
+
+
+def test_range_lookup_by_day(spark):
+    import datetime as dt
+    rnd = random.Random(8)
+    t = lambda h: dt.datetime(2023, 12, 20) + dt.timedelta(hours=h)
+    bounds = sorted(rnd.sample(range(20000), 400))
+    ranges = [(f"r{i}", t(a), t(b)) for i, (a, b) in enumerate(zip(bounds[::2], bounds[1::2]))] + [("empty", t(9), t(5)), ("open", None, t(7))]
+    points = [(i, t(rnd.randrange(-100, 20500)) if i % 50 else None) for i in range(1500)]
+    R = spark.createDataFrame(ranges, "name string, s timestamp_ntz, e timestamp_ntz")
+    P = spark.createDataFrame(points, "id int, p timestamp_ntz")
+    want = {(i, next((n for n, a, b in ranges if p and a and a <= p <= b), None)) for i, p in points}
+    for days in (1, 32, 400):
+        out = joins.range_lookup_by_day(P, R, "p", "s", "e", days)
+        assert out.columns == ["id", "p", "name", "s", "e"] and {(r.id, r.name) for r in out.collect()} == want and out.count() == len(points)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()

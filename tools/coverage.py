@@ -12,12 +12,23 @@ from tabula.plans.registry import ORACLE, QUERIES  # noqa: E402
 
 # Rows whose survey key is "—" or names a different key: where the capability lives.
 EXTRA = {
-    "S2": ("(all keys)", "literal rows: `createDataFrame` in tests and `Roles.plans/campaigns/...`; scale: Parquet scans"),
-    "S3": ("(all keys)", "typed role frames with explicit casts (`tabula/sources/roles.py`); sinks overwrite"),
+    "S2": ("insert_values_join", None),
+    "S3": ("insert_clean_weekly_sales, insert_values_join", None),
+    "S4": ("insert_clean_weekly_sales", None),
+    "S5": ("replace_named_table", None),
     "S8": ("parse_unit_strings", None),
     "P8": ("first_item_per_customer", None),
+    "J9": ("visit_stats", None),
     "W4": ("window_count_rows", None),
-    "O1": ("top_k, top_pages, nulls_first_counts", "`orderBy` in `diner.top_items`, `clicks.top_pages`, `interests.counts_per_month`"),
+    "O1": ("rank_top_item, points_case, visit_stats, running_balance_stats", "every key of `registry.ORDERS` is sorted and compared in order"),
+    "A13": ("relational_division_months", None),
+    "U1": ("sql_plan_function", None),
+    "U2": ("sql_balance_function", None),
+    "U3": ("sql_sales_functions", None),
+    "U4": ("sql_sales_functions", None),
+    "R8": ("recipe_ingredients", None),
+    "R20": ("cookies_per_user", None),
+    "R22": ("visits_of_users", None),
 }
 
 
@@ -27,7 +38,7 @@ def impl_of(key: str) -> str:
     for helper in re.findall(r"\b(_\w+)\(spark", src):  # report helpers such as _cw / _kept
         src += inspect.getsource(getattr(registry, helper))
     src = re.sub(r"(?<![\w.])snapshot\(", "sinks.snapshot(", src)
-    calls = re.findall(r"\b(diner|delivery|subscriptions|bank|mart|clicks|interests|basics|sinks)\.(\w+)\(", src)
+    calls = re.findall(r"\b(diner|delivery|subscriptions|bank|mart|clicks|interests|basics|sinks|sql_functions)\.(\w+)\(", src)
     seen = []
     for mod, fn in calls:
         name = f"`{mod}.{fn}`"
