@@ -7,6 +7,7 @@ column pruning and filter pushdown reach the scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -18,6 +19,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 LAYOUTS: dict[tuple[int, str], tuple[SparkSession, dict[str, str]]] = {}
 
 
+# (session, path) -> (session, file status, schema). Only the schema is kept, as
+# inferring it is a Spark job per table and report; files are listed anew.
+SCHEMAS: dict[tuple[int, str], tuple[SparkSession, tuple[int, int], T.StructType]] = {}
+
+
+def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` with the schema of the last read, as long as the
+    file or folder has the same time and length."""
+    forget_other_sessions(spark, SCHEMAS)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where)
+    seen = (status.getModificationTime(), status.getLen())
+    owner, before, schema = SCHEMAS.get((id(spark), path), (None, None, None))
+    if owner is spark and before == seen:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    SCHEMAS[id(spark), path] = (spark, seen, df.schema)
+    return df
+
+
 def forget_other_sessions(spark: SparkSession, cache: dict) -> None:
     """Plan caches keep the current session's entries only, so a stopped
     session (and its resolved plans) can be garbage-collected."""
@@ -35,7 +56,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, raw:
         df = spark.table(routed)
         return df.select(*columns) if columns else df
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    df = _read_parquet(spark, path)
     return df.select(*columns) if columns else df
 
 

@@ -60,3 +60,18 @@ def test_dirty_spellings_present(spark, small_dir):
 def test_campaigns_do_not_overlap(spark, small_dir):
     rows = sorted(Roles(spark, small_dir).campaigns().collect(), key=lambda r: r.start_date)
     assert all(a.end_date < b.start_date for a, b in zip(rows, rows[1:]))
+
+
+def test_a_rewritten_file_is_read_with_its_own_schema(spark, tmp_path):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from tabula.sources.tables import read_table
+    path = f"{tmp_path}/part.parquet"
+    pq.write_table(pa.table({"p_partkey": [1, 2]}), path)
+    assert [r.p_partkey for r in read_table(spark, str(tmp_path), "part").collect()] == [1, 2]
+    assert read_table(spark, str(tmp_path), "part", "p_partkey").count() == 2
+    pq.write_table(pa.table({"p_partkey": ["a"], "p_name": ["n"]}), path)
+    os.utime(path, (1, 1))
+    assert [tuple(r) for r in read_table(spark, str(tmp_path), "part").collect()] == [("a", "n")]
