@@ -37,7 +37,7 @@ def _new_version(spark: SparkSession, name: str) -> str:
 
 
 def _schema(schema: str | T.StructType) -> T.StructType:
-    return schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
 def exists(spark: SparkSession, name: str) -> bool:
