@@ -30,10 +30,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocked(docs: DataFrame, keep: list[str], per_partition: int = 3) -> DataFrame:
-    """The columns ``keep`` and text of ``docs``, plus block. Rows are dealt by
-    id and text, so neither a hot source nor a repeated id fills a block."""
-    n = per_partition * partitions(docs.sparkSession)
+def count_for(docs: DataFrame, size: int) -> int:
+    """How many blocks of about ``size`` bytes the texts of ``docs`` make (one
+    scan of their lengths)."""
+    return max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // size))
+
+
+def blocked(docs: DataFrame, keep: list[str], per_partition: int = 3, count: int | None = None) -> DataFrame:
+    """The columns ``keep`` and text of ``docs``, plus block, of ``count``
+    blocks. Rows are dealt by id and text, so neither a hot source nor a
+    repeated id fills a block."""
+    n = count or per_partition * partitions(docs.sparkSession)
     cols = [c for c in dict.fromkeys([*keep, "text"]) if c != "block"]
     return docs.select(*cols, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"))
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabula.llm import ragged, suffix_dedup
@@ -31,9 +32,9 @@ def brute(docs, length):
     return sorted(out, key=str)
 
 
-def run(spark, docs, length):
+def run(spark, docs, length, **how):
     d = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("doc_id", "text", "1 as block", "'x' as kept", "2 as answer")
-    got = suffix_dedup.repeated(d, length=length).collect()
+    got = suffix_dedup.repeated(d, length=length, **how).collect()
     for r in got:
         assert r.n_removed == sum(s.end - s.start for s in r.spans)
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got), key=str)
@@ -52,12 +53,34 @@ def test_random_copies(spark, alphabet, length, seed):
     assert run(spark, docs, length) == brute(docs, length)
 
 
-def test_hot_passage_and_chunks(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "CHUNK", 64)
+@pytest.mark.parametrize("hot", [2, 30, 10**6])
+def test_hot_passage_is_divided(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4000)  # read on the driver
     rng = random.Random(9)
-    hot = "".join(rng.choice("abcdef") for _ in range(140))
-    docs = [(i, hot[rng.randrange(3):] + str(i) * 30 + hot[:rng.randrange(40, 140)]) for i in range(120)]
-    assert run(spark, docs, 50) == brute(docs, 50)
+    passage = "".join(rng.choice("abcdef") for _ in range(140))
+    docs = [(i, passage[rng.randrange(3):] + str(i) * 30 + passage[:rng.randrange(40, 140)]) for i in range(120)]
+    docs += [(i, "".join(rng.choice("xyz") for _ in range(rng.randrange(40))) + passage[40:75] + "".join(rng.choice("xyz") for _ in range(rng.randrange(40)))) for i in range(200, 400)]
+    assert run(spark, docs, 50, hot=hot) == brute(docs, 50)
+
+
+def test_chunks_and_slices(monkeypatch):
+    """In one process, so that the small sizes hold."""
+    rng = random.Random(4)
+    passage = "".join(rng.choice("ab") for _ in range(200))
+    rows = [{"block": 0, "doc_id": i, "text": passage[rng.randrange(99):][:rng.randrange(150)] + "".join(rng.choice("ab") for _ in range(rng.randrange(200)))} for i in range(60)]
+    wanted = suffix_dedup.Block(pa.Table.from_pylist(rows), 50)
+    wanted.entries(np.ones(len(wanted.keys), np.int64))
+    found = suffix_dedup._masks(wanted.rows, wanted.least, 50)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 16)
+    assert (suffix_dedup._masks(wanted.rows, wanted.least, 50) == found).all() and found.any()
+    small = suffix_dedup.Block(pa.Table.from_pylist(rows), 50)
+    small.entries(np.ones(len(small.keys), np.int64))
+    assert (small.rows == wanted.rows).all() and (small.entry_of == wanted.entry_of).all()
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 64)
+    chunks = suffix_dedup.Block(pa.Table.from_pylist(rows), 50)
+    covered = lambda b: sorted(w for f, e in zip(b.first.tolist(), b.last.tolist(), strict=True) for w in range(f, e + 1))
+    assert covered(chunks) == covered(suffix_dedup.Block(pa.Table.from_pylist(rows), 50))
+
 
 
 def test_empty(spark):

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tabula.llm import variants
@@ -61,8 +62,23 @@ def test_random_vocabulary(spark, seed):
     assert run(spark, words) == want
 
 
-def test_divided_lists_and_small_batches(spark, monkeypatch):
-    monkeypatch.setattr(variants, "STATES", 50)
+def test_small_batches(monkeypatch):
+    """In one process, so that the small size holds."""
+    words = sorted(w for w in vocabulary(5, 150) if len(w) in (7, 8))
+    middle = np.zeros((len(words), 12), np.uint8)
+    for i, w in enumerate(words):
+        middle[i, :len(w)] = np.frombuffer(w.encode("latin-1"), np.uint8)
+    found = variants.SortedList(np.zeros(len(words), np.int64), middle)
+    whole = set()
+    for size in (1 << 18, 2000):
+        monkeypatch.setattr(variants, "STATES", size)
+        pairs = [(words[found.order[x]], words[found.order[y]]) for a, b in found.near() for x, y in zip(a, b, strict=True)]
+        assert len(pairs) == len(set(pairs))
+        whole = whole or {(w, e) for w in words for e in edits(w, LETTERS) if e in set(words) and e != w}
+        assert set(pairs) == whole
+
+
+def test_divided_lists(spark):
     words = vocabulary(4, 200)
     for a in "abcde":  # many words that are alike but for one place
         words.update({"samestart" + a + x + "sameend": 3 for x in LETTERS})
@@ -95,8 +111,7 @@ def count(spark, docs, **how):
     return {r.word: r.n for r in variants.count_words(spark.createDataFrame(rows, "doc_id bigint, text string, word string, n int, m string"), **how).collect()}
 
 
-def test_counts(spark, monkeypatch):
-    monkeypatch.setattr(variants, "_HELD", 20)
+def test_counts(spark):
     rng = random.Random(6)
     words = ["ÉCOLEàs", "Straßes", "letters", "LETTERS", "eightxyz", "a", "ninexyzab", "x×÷éabcd"]
     docs = [(i if i % 7 else None, "".join(rng.choice(words) + rng.choice([" ", "1", "λ", "𝔘", "\n", "Ā"]) for _ in range(rng.randrange(60)))) for i in range(200)]
