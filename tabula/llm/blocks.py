@@ -16,6 +16,7 @@ its rows, so a task that runs again sends the same.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
 import numpy as np
@@ -30,6 +31,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def lean(fn: Callable) -> Callable:
+    """``fn`` of one or two tables, after which the worker hands unused memory
+    back. Workers outlive their task, wait for the next stage's, and share an
+    executor's memory; without this each keeps the most it ever needed."""
+    def done(out):
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+        return out
+    if fn.__code__.co_argcount == 1:
+        return lambda table: done(fn(table))
+    return lambda left, right: done(fn(left, right))
+
+
 def count_for(docs: DataFrame, size: int) -> int:
     """How many blocks of about ``size`` bytes the texts of ``docs`` make (one
     scan of their lengths)."""

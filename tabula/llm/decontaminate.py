@@ -207,6 +207,10 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 10, keep:
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, *, window: int = 10) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark passage."""
+    """``docs`` without the rows that hold a benchmark passage; what stays keeps
+    all its columns, whatever their names."""
     columns = docs.columns
-    return contamination(docs, items, window=window, keep=columns).where(~F.col("contaminated")).select(*columns)
+    named = {c: f"_in{i}" for i, c in enumerate(columns) if c != "text"}
+    rows = docs.select("text", *[F.col(c).alias(n) for c, n in named.items()])
+    found = contamination(rows, items, window=window, keep=["text", *named.values()]).where(~F.col("contaminated"))
+    return found.select(*[F.col(named.get(c, c)).alias(c) for c in columns])

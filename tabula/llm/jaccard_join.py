@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabula.llm import blocks as B
 from tabula.llm import ragged
@@ -74,14 +75,15 @@ class _Block:
         self.keys, self.key_of = np.unique(self.tokens, return_inverse=True)
 
 
-SETS = "doc_id bigint, n_shingles bigint, set_id bigint, skip bigint, tokens binary"
+BLOCK_BYTES = 1 << 23
+SETS = "doc_id bigint, row_key bigint, n_shingles bigint, set_id bigint, skip bigint, tokens binary"
 
 
 def _sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Every document with its set; tokens (rarest first) only for sets with
     entries in the index, which begin after `skip` tokens."""
-    rows = B.blocked(docs, ["doc_id"])
-    buckets = B.partitions(docs.sparkSession)
+    buckets = B.count_for(docs, BLOCK_BYTES)  # and as many blocks
+    rows = B.blocked(docs, ["doc_id", "row_key"], count=buckets)
 
     def send(table: pa.Table) -> pa.Table:
         block = _Block(table, k)
@@ -98,7 +100,7 @@ def _sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
     def index(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(),) * 4 + (pa.binary(),)], names=["doc_id", "n_shingles", "set_id", "skip", "tokens"])
+            return pa.table([pa.array([], t) for t in (pa.int64(),) * 5 + (pa.binary(),)], names=["doc_id", "row_key", "n_shingles", "set_id", "skip", "tokens"])
         block = _Block(left, k)
         rank = B.answers(right, "u1")[block.key_of]
         n = block.size
@@ -110,10 +112,11 @@ def _sets(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         order = np.lexsort((tokens, rank[mine], doc))
         size = np.where(listed, n, 0)
         values = B.binary(tokens[order], np.concatenate([[0], np.cumsum(size)]))
-        return pa.table([left.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(block.set_id), pa.array(np.where(listed, unique, -1)), values], names=["doc_id", "n_shingles", "set_id", "skip", "tokens"])
+        return pa.table([left.column("doc_id").cast(pa.int64()), left.column("row_key"), pa.array(n), pa.array(block.set_id), pa.array(np.where(listed, unique, -1)), values],
+                        names=["doc_id", "row_key", "n_shingles", "set_id", "skip", "tokens"])
 
-    ranks = B.lookup(rows, send, answer)
-    return rows.groupBy("block").cogroup(ranks.groupBy("block")).applyInArrow(index, SETS)
+    ranks = B.lookup(rows, B.lean(send), B.lean(answer))
+    return rows.groupBy("block").cogroup(ranks.groupBy("block")).applyInArrow(B.lean(index), SETS)
 
 
 def _postings(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -230,6 +233,12 @@ def similar_groups(docs: DataFrame, *, k: int = 3, num: int = 90, den: int = 100
     has fewer. Null, empty and blank texts have no shingle and link with
     nothing. Repeated rows are nodes each (equal sets always link); a null
     doc_id never names a component unless all its members are null."""
+    return _grouped(docs.withColumn("row_key", F.lit(0).cast("bigint")), k, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """``similar_groups`` of ``docs`` (doc_id, text, row_key) with the rows'
+    row_key and first_key, that of the component's first row by (doc_id, row_key)."""
     if not 0 < num <= den or k < 1:
         raise ValueError("need k >= 1 and 0 < num/den <= 1")
     every = _sets(docs, k, num, den).checkpoint()
@@ -245,22 +254,27 @@ def similar_groups(docs: DataFrame, *, k: int = 3, num: int = 90, den: int = 100
     more = pairs.where("decided = 1").select("a", "b").unionByName(read.where(_linked(F.col("shared"), num, den)).select("a", "b")).checkpoint()
     if not more.isEmpty():
         roots = components(stars.unionByName(more))
-    members = listed.select("doc_id", "n_shingles", "set_id").join(roots, F.col("set_id") == F.col("node"), "left")
-    members = members.select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
-    named = members.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    grouped = members.join(named, "root").select("doc_id", "n_shingles", "component_id")
-    alone = every.where("skip < 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    members = listed.select("doc_id", "row_key", "n_shingles", "set_id").join(roots, F.col("set_id") == F.col("node"), "left")
+    members = members.select("doc_id", "row_key", "n_shingles", F.coalesce("root", "set_id").alias("root"))
+    named = members.groupBy("root").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row_key"))).alias("first"))
+    grouped = members.join(named, "root").select("doc_id", "row_key", "n_shingles", F.col("first.doc_id").alias("component_id"), F.col("first.row_key").alias("first_key"))
+    alone = every.where("skip < 0").select("doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row_key").alias("first_key"))
     return grouped.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one document of every group of near duplicates, the one
-    with the smallest doc_id (of repeated ids one row). Rows with a null id
-    are kept."""
+    with the smallest doc_id. Rows equal in doc_id and text are one document;
+    rows that share an id but not the text are documents of their own. Rows
+    with a null id are kept."""
     columns = docs.columns
-    found = similar_groups(docs, k=k, num=num, den=den)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    order = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    one = docs.join(kept, F.col("doc_id") == F.col("_id")).withColumn("_copy", order).where("_copy = 1").select(*columns)
-    return one.unionByName(docs.where("doc_id is null"))
-
+    named = [c for c in columns if c not in ("doc_id", "text")]
+    # other columns under names of our own, so that none clashes with what is added
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(f"_in{i}") for i, c in enumerate(named)]).withColumn("row_key", F.xxhash64("text"))
+    found = _grouped(rows.select("doc_id", "text", "row_key"), k, num, den)
+    kept = found.where("doc_id = component_id and row_key = first_key").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_k")).distinct()
+    one = rows.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("row_key") == F.col("_k"))).drop("_id", "_k")
+    order = F.row_number().over(Window.partitionBy("doc_id", "row_key").orderBy(F.xxhash64(*[c for c in one.columns if isinstance(one.schema[c].dataType, T.AtomicType)])))
+    one = one.withColumn("_copy", order).where("_copy = 1").drop("_copy")
+    back = [F.col(f"_in{named.index(c)}").alias(c) if c in named else F.col(c) for c in columns]
+    return one.unionByName(rows.where("doc_id is null")).select(*back)

@@ -310,14 +310,14 @@ def repeated(docs: DataFrame, *, length: int = 50, keep: list[str] | None = None
         kept = B.binary(block.data[~gone], block.offsets - removed)
         return pa.table([*(block.table.column(c) for c in keep), pa.array(np.diff(block.offsets)), pa.array(np.diff(removed)), pa.array(spans, pa.list_(span)), kept], names=[*keep, *added])
 
-    shared = B.lookup(rows, send_grams, answer_grams)
-    sent = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send_entries, B.SENT)
-    found = sent.groupBy("bucket").applyInArrow(answer_entries, B.ANSWER)
+    shared = B.lookup(rows, B.lean(send_grams), B.lean(answer_grams))
+    sent = rows.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(B.lean(send_entries), B.SENT)
+    found = sent.groupBy("bucket").applyInArrow(B.lean(answer_entries), B.ANSWER)
     both = shared.withColumn("step", F.lit(0)).unionByName(found.withColumn("step", F.lit(1)))
     span_type = T.StructType().add("start", T.LongType()).add("end", T.LongType())
     schema = T.StructType([docs.schema[c] for c in keep]).add("n_bytes", T.LongType()).add("n_removed", T.LongType())
     schema = schema.add("spans", T.ArrayType(span_type)).add("kept", T.BinaryType())
-    return rows.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(cut, schema)
+    return rows.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(B.lean(cut), schema)
 
 
 def remove_repeats(docs: DataFrame, *, length: int = 50) -> DataFrame:
