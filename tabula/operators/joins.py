@@ -76,7 +76,8 @@ def range_lookup_by_day(df: DataFrame, ranges: DataFrame, point: str, start: str
     return rows.join(copies, inside, "left").drop("__at", "__block")
 
 
-def heavy_join(left: DataFrame, right: DataFrame, key: str, payload: Sequence[str], weight: str, row: Sequence[str]) -> DataFrame:
+def heavy_join(left: DataFrame, right: DataFrame, key: str, payload: Sequence[str], weight: str, row: Sequence[str],
+               weights: DataFrame | None = None) -> DataFrame:
     """``left`` with the ``payload`` columns of ``right`` for its ``key``, NULL
     if there is none (a left join; ``right`` has one row per key, none NULL).
 
@@ -85,9 +86,10 @@ def heavy_join(left: DataFrame, right: DataFrame, key: str, payload: Sequence[st
     most ``HEAVY`` rows, are copied to every task and their left rows never
     travel; all others meet in a shuffle, in which no key is hot. Left rows
     that look for nothing more (found, or a NULL key) are spread by a hash of
-    their ``row`` columns."""
+    their ``row`` columns. All weight is summed over ``weights`` if given, a
+    frame with the weights of ``right`` that is cheaper to make."""
     packed = right.select(F.col(key).alias("__rk"), F.struct(*payload).alias("__p"), F.col(weight).cast("double").alias("__w"))
-    total = packed.agg(F.sum("__w").alias("__all"))  # one row
+    total = (right if weights is None else weights).agg(F.sum(F.col(weight).cast("double")).alias("__all"))  # one row
     marked = packed.crossJoin(F.broadcast(total)).withColumn("__heavy", F.col("__w") * HEAVY >= F.col("__all"))
     heavy = marked.filter(F.col("__heavy")).select(F.col("__rk").alias("__hk"), F.col("__p").alias("__hp"), F.lit(True).alias("__met"))
     light = marked.filter(~F.col("__heavy")).select("__rk", F.col("__p").alias("__lp"), F.col("__heavy").cast("int").alias("__none"))  # a literal would be folded away

@@ -158,15 +158,15 @@ def success_rate(runner_orders: DataFrame, runners: DataFrame) -> DataFrame:
         F.round(ok * 100.0 / F.nullif(orders, F.lit(0)), 4).alias("success"))
 
 
-def _named_lists(lists: DataFrame, toppings: DataFrame, *list_cols: str) -> DataFrame:
+def _named_lists(lists: DataFrame, rows: str, toppings: DataFrame, *list_cols: str) -> DataFrame:
     """Distinct list text -> ', '-joined topping names (ordered by name).
 
     The texts of all ``list_cols`` are counted together in one pass, so each
     distinct list is split and looked up once however many rows (and columns)
-    carry it. Returns (lst, names, uses).
+    carry it; a row of ``lists`` stands for ``rows`` of them. Returns (lst, names, uses).
     """
-    texts = lists.select(F.explode(F.array(*[F.col(c) for c in list_cols])).alias("lst"))
-    distinct = texts.where(F.col("lst").isNotNull()).groupBy("lst").agg(F.count(F.lit(1)).alias("uses"))
+    texts = lists.select(F.explode(F.array(*[F.col(c) for c in list_cols])).alias("lst"), rows)
+    distinct = texts.where(F.col("lst").isNotNull()).groupBy("lst").agg(F.sum(rows).alias("uses"))
     items = distinct.select("lst", "uses", F.explode(split_ids("lst")).alias("topping_id"))
     named = items.join(toppings, "topping_id")
     return named.groupBy("lst").agg(string_agg_sorted("topping_name").alias("names"), F.max("uses").alias("uses"))
@@ -212,23 +212,34 @@ def standard_ingredients(names: DataFrame, recipes: DataFrame, toppings: DataFra
 def order_descriptions(customer_orders: DataFrame, pizza_names: DataFrame, toppings: DataFrame) -> DataFrame:
     """'Name - Exclude a, b - Extra c' per pizza row.
 
-    A list text may be that of most rows, so its names come by a join that
-    copies the names of the commonest lists and spreads rows without a list."""
-    co = clean_customer_orders(customer_orders)
-    named = _named_lists(co, toppings, "exclusions", "extras")
-    rows = co.join(pizza_names, "pizza_id", "left")
+    A text is made once per kind of pizza (its id and list texts) and found by
+    the rows, which travel once; rows without a list do not travel. A kind, or
+    a list among the kinds, may be the commonest by far, so the joins copy what
+    belongs to the commonest keys."""
+    co = clean_customer_orders(customer_orders).select("order_id", "line_id", "pizza_id", "exclusions", "extras")
+    has_list = F.col("exclusions").isNotNull() | F.col("extras").isNotNull()
+    listed = co.filter(has_list)
+    kind = ["pizza_id", "exclusions", "extras"]
+    kinds = listed.groupBy(*kind).agg(F.count(F.lit(1)).alias("rows"))
+    named = _named_lists(kinds, "rows", toppings, "exclusions", "extras")
+    texts = kinds.join(pizza_names, "pizza_id", "left")
     for lst, names in (("exclusions", "exc_names"), ("extras", "ext_names")):
-        rows = heavy_join(rows, named.select(F.col("lst").alias(lst), F.col("names").alias(names), "uses"), lst, [names], "uses",
-                          ["order_id", "line_id"])
+        texts = heavy_join(texts, named.select(F.col("lst").alias(lst), F.col("names").alias(names), "uses"), lst, [names], "uses", kind)
 
     def part(lst, names, label):
         # a non-NULL list always prints its label, even if no id matched a topping
         return F.when(F.col(lst).isNotNull(),
                       F.concat(F.lit(label), F.coalesce(F.col(names), F.lit("")))).otherwise(F.lit(""))
-    text = F.concat(F.coalesce(F.col("pizza_name"), F.lit("")),
+    name = F.coalesce(F.col("pizza_name"), F.lit(""))
+    text = F.concat(name,
                     part("exclusions", "exc_names", " - Exclude "),
                     part("extras", "ext_names", " - Extra "))
-    return rows.select("order_id", "line_id", text.alias("order_description"))
+    texts = texts.select(F.struct(*kind).alias("kind"), text.alias("order_description"), "rows")
+    listed = heavy_join(listed.select("order_id", "line_id", F.struct(*kind).alias("kind")), texts, "kind", ["order_description"],
+                        "rows", ["order_id", "line_id"], kinds)
+    plain = co.filter(~has_list).join(pizza_names, "pizza_id", "left")
+    return (plain.select("order_id", "line_id", name.alias("order_description"))
+            .unionByName(listed.select("order_id", "line_id", "order_description")))
 
 
 def revenue(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:

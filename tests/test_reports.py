@@ -110,6 +110,47 @@ def test_order_description_text(spark):
                    (2, 1): "Meatlovers - Extra "}
 
 
+def _shuffled_records(node) -> int:
+    own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+    return own + sum(_shuffled_records(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_order_description_rows_travel_once(spark):
+    """Rows without a list do not travel, others once, whatever their lists; a hot kind of pizza is spread."""
+    rows = []
+    for i in range(20000):
+        exc, ext = [(None, "null"), ("5, 4", None), (" ", ""), (None, f"{i % 90},77"), (f"{i % 70}", None),
+                    ("5, 4", None), ("5, 4", None), (f"{i % 30}", f"{i % 20}")][i % 8]
+        rows.append((None if i % 1001 == 0 else i // 3, i % 3, [1, 2, 3, None][i // 8 % 4], exc, ext))
+    rows += rows[:16]
+    names, tops = {1: "Meatlovers", 2: "Vegetarian"}, {i: f"topping {(i * 7) % 61:02}" for i in range(60)}
+
+    def listed(label, text):
+        if text is None or text.strip() in ("", "null"):
+            return ""
+        return label + ", ".join(sorted(tops[int(x)] for x in text.split(",") if int(x) in tops))
+    want = sorted((str(o), n, names.get(p, "") + listed(" - Exclude ", e) + listed(" - Extra ", x)) for o, n, p, e, x in rows)
+    co = spark.createDataFrame(rows, "order_id int, line_id int, pizza_id int, exclusions string, extras string").repartition(4).localCheckpoint()
+    menu = spark.createDataFrame(list(names.items()), "pizza_id int, pizza_name string")
+    toppings = spark.createDataFrame(list(tops.items()), "topping_id bigint, topping_name string")
+    set_to = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in set_to}
+    for k, v in set_to.items():
+        spark.conf.set(k, v)
+    try:
+        # the rows without a list stay with the frame, joined with a menu that is copied
+        out = delivery.order_descriptions(co, F.broadcast(menu), toppings).withColumn("at", F.spark_partition_id())
+        got = out.collect()
+        travelled = _shuffled_records(out._jdf.queryExecution().executedPlan())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((str(r.order_id), r.line_id, r.order_description) for r in got) == want
+    assert travelled < 20000 * 3 / 4 * 1.5, travelled  # and the kinds and lists
+    hot = [r.at for r in got if r.order_description == "Meatlovers - Exclude topping 28, topping 35"]
+    assert len(hot) > 1500 and max(map(hot.count, hot)) < 2 * len(hot) / 16
+
+
 def test_visit_stats_campaign_and_cart(spark):
     ts = dt.datetime
     click = spark.createDataFrame([
